@@ -108,7 +108,7 @@ def like(col, pattern: str, case_sensitive: bool = False) -> Column:
 
 def int_div(a, b) -> Column:
     """T-SQL integer division, truncating toward zero (F16); ``div`` in Spark SQL."""
-    b = b if isinstance(b, Column) else F.lit(b)
+    b = _c(b) if isinstance(b, (str, Column)) else F.lit(b)
     return F.call_function("div", _c(a), b)
 
 
@@ -155,9 +155,16 @@ def as_ts(value) -> Column:
 
 
 def agent_datetime(date_int, time_int) -> Column:
-    """Job-history ``yyyymmdd`` and ``hhmmss`` integers to a timestamp."""
-    txt = F.concat(_c(date_int).cast("string"), F.lpad(_c(time_int).cast("string"), 6, "0"))
-    return F.try_to_timestamp(txt, F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
+    """Job-history ``yyyymmdd`` date and ``hhmmss`` time integers to a timestamp.
+
+    The time is added as seconds (``hh * 3600 + mm * 60 + ss``), as the
+    reference's arithmetic does, so out-of-range minutes roll over rather
+    than fail. An invalid date gives NULL.
+    """
+    t = _c(time_int).cast("bigint")
+    secs = int_div(t, 10000) * 3600 + int_div(t % 10000, 100) * 60 + t % 100
+    day = F.try_to_timestamp(_c(date_int).cast("string"), F.lit("yyyyMMdd")).cast("timestamp_ntz")
+    return day + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
 
 
 def hhmmss_text(n) -> Column:

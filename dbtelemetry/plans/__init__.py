@@ -6,6 +6,8 @@ import importlib
 
 _MODULES = (
     "dbtelemetry.plans.activity_reports",
+    "dbtelemetry.plans.schema_reports",
+    "dbtelemetry.plans.job_reports",
 )
 
 
