@@ -8,6 +8,7 @@ _MODULES = (
     "dbtelemetry.plans.activity_reports",
     "dbtelemetry.plans.schema_reports",
     "dbtelemetry.plans.job_reports",
+    "dbtelemetry.plans.event_reports",
 )
 
 

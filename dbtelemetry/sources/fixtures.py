@@ -507,6 +507,8 @@ def with_relations(names: tuple[str, ...], body: str) -> str:
     """
     prefix = oracle_ctes(tuple(names))
     stripped = body.lstrip()
+    if stripped[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + prefix[5:].rstrip() + ",\n" + stripped[15:]
     if stripped[:5].upper() == "WITH ":
         return prefix.rstrip() + ",\n" + stripped[5:]
     return prefix + body
