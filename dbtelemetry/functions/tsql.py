@@ -170,7 +170,8 @@ def agent_datetime(date_int, time_int) -> Column:
 def hhmmss_text(n) -> Column:
     """``hhmmss`` integer to ``hh:mm:ss`` text (F5); hours widen past 99."""
     v = _c(n).cast("bigint")
-    hours = F.lpad(int_div(v, 10000).cast("string"), 2, "0")
+    h = int_div(v, 10000).cast("string")
+    hours = F.when(F.length(h) < 2, F.lpad(h, 2, "0")).otherwise(h)  # lpad would cut 3+ digits
     return F.concat(hours, F.lit(":"), F.lpad((int_div(v, 100) % 100).cast("string"), 2, "0"),
                     F.lit(":"), F.lpad((v % 100).cast("string"), 2, "0"))
 

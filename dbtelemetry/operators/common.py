@@ -29,6 +29,20 @@ def pick(df: DataFrame, cols: Sequence[str], keys: Keys = (), **renames: str) ->
     return df.select(*exprs)
 
 
+def _keyed_lookup(df: DataFrame, lookup: DataFrame, left_col: str, right_col: str, how: str,
+                  keys: Keys) -> DataFrame:
+    """Join ``df`` to a lookup on ``left_col = right_col`` plus the fleet keys.
+
+    The lookup's key columns are renamed first, so no column name is
+    ambiguous after the join; they are dropped by name afterwards.
+    """
+    renamed = lookup
+    for k in keys:
+        renamed = renamed.withColumnRenamed(k, f"__lk_{k}")
+    cond = [df[left_col] == renamed[right_col]] + [df[k] == renamed[f"__lk_{k}"] for k in keys]
+    return df.join(renamed, cond, how).drop(right_col, *[f"__lk_{k}" for k in keys])
+
+
 def db_name(df: DataFrame, databases: DataFrame, id_col: str, out: str = "database_name",
             keys: Keys = ()) -> DataFrame:
     """``DB_NAME(id)``: left join to the database catalog (F21); unknown ids give NULL.
@@ -37,11 +51,7 @@ def db_name(df: DataFrame, databases: DataFrame, id_col: str, out: str = "databa
     broadcasts it from its measured size rather than from a hint.
     """
     lookup = databases.select(*keys, F.col("database_id").alias("__dbid"), F.col("name").alias(out))
-    cond = [df[id_col] == lookup["__dbid"]] + [df[k] == lookup[k] for k in keys]
-    joined = df.join(lookup, cond, "left").drop("__dbid")
-    for k in keys:
-        joined = joined.drop(lookup[k])
-    return joined
+    return _keyed_lookup(df, lookup, id_col, "__dbid", "left", keys)
 
 
 def lookup_text(df: DataFrame, sql_text: DataFrame, handle_col: str = "sql_handle", how: str = "left",
@@ -49,22 +59,14 @@ def lookup_text(df: DataFrame, sql_text: DataFrame, handle_col: str = "sql_handl
     """``APPLY sys.dm_exec_sql_text(handle)``: ``how='left'`` is OUTER APPLY, ``'inner'`` CROSS APPLY."""
     lookup = sql_text.select(*keys, F.col("sql_handle").alias("__h"),
                              *[F.col(c).alias(prefix + c) for c in cols])
-    cond = [df[handle_col] == lookup["__h"]] + [df[k] == lookup[k] for k in keys]
-    joined = df.join(lookup, cond, how).drop("__h")
-    for k in keys:
-        joined = joined.drop(lookup[k])
-    return joined
+    return _keyed_lookup(df, lookup, handle_col, "__h", how, keys)
 
 
 def lookup_plan(df: DataFrame, plans: DataFrame, handle_col: str = "plan_handle", how: str = "left",
                 keys: Keys = ()) -> DataFrame:
     """``OUTER APPLY sys.dm_exec_query_plan(handle)``."""
     lookup = plans.select(*keys, F.col("plan_handle").alias("__p"), "query_plan")
-    cond = [df[handle_col] == lookup["__p"]] + [df[k] == lookup[k] for k in keys]
-    joined = df.join(lookup, cond, how).drop("__p")
-    for k in keys:
-        joined = joined.drop(lookup[k])
-    return joined
+    return _keyed_lookup(df, lookup, handle_col, "__p", how, keys)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -322,11 +322,14 @@ def merge_stream(reps: DataFrame, lateness: str = "10 minutes", lateness_seconds
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    k = _keyed(reps).withWatermark("event_date", lateness)
+    k = _keyed(reps).withColumn("__t", _micros("event_date"))
+    # Watermarks need a zone-aware TIMESTAMP: the instant with the same epoch
+    # microseconds as the wall-clock report time, the clock the timeouts use.
+    k = k.withColumn("__wm", F.timestamp_micros("__t")).withWatermark("__wm", lateness)
     fold_in = (k.filter(~F.col("__null_key"))
-               .select(F.to_json(F.struct(*MERGE_KEY)).alias("__key"), "event_date",
-                       _micros("event_date").alias("__t"), F.col("wait_time").alias("__w"),
-                       F.col("report_id").alias("__rid"), F.col("arrival_ts").alias("__arr")))
+               .select(F.to_json(F.struct(*MERGE_KEY)).alias("__key"), "__wm", "__t",
+                       F.col("wait_time").alias("__w"), F.col("report_id").alias("__rid"),
+                       F.col("arrival_ts").alias("__arr")))
     changes = fold_in.groupBy("__key").applyInPandasWithState(
         _state_fn(slack_ms * 1000, lateness_seconds * 1_000_000), CHANGE_SCHEMA, "blob string", "append",
         GroupStateTimeout.EventTimeTimeout)
