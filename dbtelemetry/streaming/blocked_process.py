@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from dbtelemetry.functions import tsql
 from dbtelemetry.operators.common import db_name
+from dbtelemetry.session import ensure_checkpoint_dir
 from dbtelemetry.sources import sinks
 from dbtelemetry.streaming.merge_fold import KeyFold, fold_sorted_partitions
 
@@ -72,7 +73,10 @@ def parse_messages(messages: DataFrame, body_col: str = "message_body", type_col
     well-formed XML with an event type.
     """
     m = messages.filter(~F.col(type_col).endswith(END_DIALOG_SUFFIX))
-    x = F.from_xml(F.col(body_col), EVENT_SCHEMA)
+    # explode(array(...)) is an evaluation barrier: without it the optimizer
+    # pushes the routing filters below this projection and parses each
+    # message once per referenced field.
+    x = F.explode(F.array(F.from_xml(F.col(body_col), EVENT_SCHEMA)))
     return m.select(F.col(arrival_col).alias("arrival_ts"), F.col(type_col).alias("message_type_name"),
                     F.col(body_col).alias("message_body"), x.alias("x"),
                     F.sha2(F.concat_ws("|", F.col(arrival_col).cast("string"), F.col(body_col)), 256).alias(
@@ -80,8 +84,17 @@ def parse_messages(messages: DataFrame, body_col: str = "message_body", type_col
         .withColumn("parse_ok", F.col("x.EventType").isNotNull())
 
 
+_OPEN, _CLOSE = "<blocked-process-report", "</blocked-process-report>"
+
+
 def _report_fragment(body: Column) -> Column:
-    return F.regexp_extract(body, r"(<blocked-process-report[\s\S]*</blocked-process-report>)", 1)
+    """From the first ``<blocked-process-report`` to the end of the last
+    ``</blocked-process-report>``; NULL when either is missing. Index
+    arithmetic only (no backtracking regular expression)."""
+    start = F.length(F.substring_index(body, _OPEN, 1)) + 1
+    end = F.length(body) - F.length(F.substring_index(body, _CLOSE, -1))
+    found = (F.locate(_OPEN, body) > 0) & (F.locate(_CLOSE, body) > 0) & (end >= start)
+    return F.when(found, body.substr(start, end - start + 1))
 
 
 def capture_events(parsed: DataFrame, databases: DataFrame | None = None) -> DataFrame:
@@ -97,8 +110,7 @@ def capture_events(parsed: DataFrame, databases: DataFrame | None = None) -> Dat
         _ts(F.col("x.PostTime")).alias("alert_time"),
         _ts(F.col("x.StartTime")).alias("event_date"),
         F.col("x.DatabaseID").alias("database_id"),
-        F.when(F.length(_report_fragment(F.col("message_body"))) > 0,
-               _report_fragment(F.col("message_body"))).alias("blocked_process_report"),
+        _report_fragment(F.col("message_body")).alias("blocked_process_report"),
         F.col("message_body").alias("blocking_event_data"),
         F.col("arrival_ts").alias("audit_date"))
     if databases is not None:
@@ -159,26 +171,24 @@ def _micros(c: str) -> Column:
 def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partitions: int | None = None) -> DataFrame:
     """O50, batch form: one row per incident, first report's fields and the final wait.
 
-    Reports whose plain-equality key has a NULL never match a stored row,
-    so each is its own incident. The rest go through the fold: hash
-    partitioned by merge key, sorted by (key, queue order) and streamed
-    through ``mapInPandas`` with a few numbers of state per key.
+    One pass: hash-partition the reports by merge key, sort within
+    partitions by (key, queue order) and stream them through the fold in
+    ``mapInPandas``, which emits the incident-opening reports with their
+    final wait. A report whose plain-equality key has a NULL never matches
+    a stored row, so it gets a key of its own and stays a single incident.
     """
     k = _keyed(reps)
-    fold_in = (k.filter(~F.col("__null_key"))
-               .select(F.to_json(F.struct(*MERGE_KEY)).alias("__key"), _micros("event_date").alias("__t"),
-                       F.col("wait_time").alias("__w"), F.col("report_id").alias("__rid"),
-                       F.col("arrival_ts").alias("__arr")))
+    key = F.when(F.col("__null_key"), F.concat(F.lit("\u0000"), F.col("report_id"))) \
+        .otherwise(F.to_json(F.struct(*MERGE_KEY)))
+    fold_in = k.select(key.alias("__key"), F.coalesce(_micros("event_date"), F.lit(0)).alias("__t"),
+                       F.coalesce(F.col("wait_time"), F.lit(0)).alias("__w"), F.col("report_id").alias("__rid"),
+                       F.col("arrival_ts").alias("__arr"), *reps.columns)
     parts = [num_partitions] if num_partitions else []
     sorted_in = fold_in.repartition(*parts, "__key").sortWithinPartitions("__key", "__arr", "__rid")
     slack = slack_ms * 1000
-    folded = sorted_in.select("__key", "__t", "__w", "__rid").mapInPandas(
-        lambda it: fold_sorted_partitions(it, slack), "__rid string, __t0 bigint, __final_wait bigint")
-    starts = k.join(folded.select(F.col("__rid").alias("report_id"), "__final_wait"), "report_id")
-    singles = k.filter(F.col("__null_key")).withColumn("__final_wait", F.col("wait_time"))
-    inc = starts.unionByName(singles)
-    return inc.withColumn("wait_time", F.col("__final_wait")).drop("__final_wait", "__null_key",
-                                                                    "blocked_xact_id_key")
+    folded = sorted_in.mapInPandas(lambda it: fold_sorted_partitions(it, slack), sorted_in.schema)
+    return folded.withColumn("wait_time", F.when(F.col("wait_time").isNotNull(), F.col("__w"))) \
+        .select(*reps.columns)
 
 
 def _handle_key(handle: Column, key_type: T.DataType) -> Column:
@@ -197,9 +207,12 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
     Text: lookup by handle (an empty handle gives NULL). Blocked plan: from
     a running request with the same session, handle and offsets, else the
     latest statistics row whose validity covers the event time. Blocking
-    plan: latest statistics row for its handle and offsets. Each lookup is
-    an equi-join on the handle and offsets followed by ``max_by`` per
-    incident, so several candidates never multiply incidents.
+    plan: latest statistics row for its handle and offsets.
+
+    The two plan lookups without a time test are aggregated per lookup key
+    first (one row per key), then left-joined, so several candidates never
+    multiply incidents. The time-tested lookup joins a narrow projection of
+    the incidents and keeps the latest row per incident with ``max_by``.
     """
     hk = sql_text.schema["sql_handle"].dataType
     rk = requests.schema["sql_handle"].dataType
@@ -214,30 +227,27 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
     kt = txt.withColumnRenamed("__h", "__kh_t").withColumnRenamed("__text", "__ktext")
     inc = inc.join(bt, "__bh_t", "left").join(kt, "__kh_t", "left")
     plan = plans.select("plan_handle", "query_plan")
-    # Blocked plan from running requests.
-    er = (requests.select(F.col("session_id").alias("blocked_spid"), F.col("sql_handle").alias("__bh_r"),
-                          F.col("statement_start_offset").alias("blocked_stmt_start"),
-                          F.col("statement_end_offset").alias("blocked_stmt_end"), "plan_handle")
-          .join(plan, "plan_handle"))
     er_key = ["blocked_spid", "__bh_r", "blocked_stmt_start", "blocked_stmt_end"]
-    er_plan = (inc.select("report_id", *er_key).join(er, er_key)
-               .groupBy("report_id").agg(F.min("query_plan").alias("__er_plan")))
+    er_plan = (requests.select(F.col("session_id").alias("blocked_spid"), F.col("sql_handle").alias("__bh_r"),
+                               F.col("statement_start_offset").alias("blocked_stmt_start"),
+                               F.col("statement_end_offset").alias("blocked_stmt_end"), "plan_handle")
+               .join(plan, "plan_handle").groupBy(*er_key).agg(F.min("query_plan").alias("__er_plan")))
     qs = (query_stats.select("sql_handle", "statement_start_offset", "statement_end_offset", "creation_time",
                              "last_execution_time", "plan_handle").join(plan, "plan_handle"))
+    latest = F.max_by("query_plan", F.struct("last_execution_time", "plan_handle"))
+    k_plan = (qs.groupBy(F.col("sql_handle").alias("__kh_q"),
+                         F.col("statement_start_offset").alias("blocking_stmt_start"),
+                         F.col("statement_end_offset").alias("blocking_stmt_end"))
+              .agg(latest.alias("blocking_query_plan")))
     b_qs = (inc.select("report_id", "event_date", "__bh_q", "blocked_stmt_start", "blocked_stmt_end")
             .join(qs, (F.col("__bh_q") == qs["sql_handle"])
                   & (F.col("blocked_stmt_start") == qs["statement_start_offset"])
                   & (F.col("blocked_stmt_end") == qs["statement_end_offset"])
                   & F.col("event_date").between(qs["creation_time"], qs["last_execution_time"]))
-            .groupBy("report_id").agg(F.max_by("query_plan", F.struct("last_execution_time", "plan_handle"))
-                                      .alias("__qs_plan")))
-    k_qs = (inc.select("report_id", "__kh_q", "blocking_stmt_start", "blocking_stmt_end")
-            .join(qs, (F.col("__kh_q") == qs["sql_handle"])
-                  & (F.col("blocking_stmt_start") == qs["statement_start_offset"])
-                  & (F.col("blocking_stmt_end") == qs["statement_end_offset"]))
-            .groupBy("report_id").agg(F.max_by("query_plan", F.struct("last_execution_time", "plan_handle"))
-                                      .alias("blocking_query_plan")))
-    out = inc.join(er_plan, "report_id", "left").join(b_qs, "report_id", "left").join(k_qs, "report_id", "left")
+            .groupBy("report_id").agg(latest.alias("__qs_plan")))
+    out = (inc.join(er_plan, er_key, "left")
+           .join(k_plan, ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "left")
+           .join(b_qs, "report_id", "left"))
     return out.select(
         "*",
         tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end").alias("blocked_sql"),
@@ -261,6 +271,10 @@ def event_log(messages: DataFrame, requests: DataFrame, query_stats: DataFrame,
     identity counter, so a re-run after a lost executor gives the same ids).
     """
     inc = merge_reports(reports(parse_messages(messages, **parse_args)))
+    # The incidents feed several lookups: materialize them once, in the
+    # shared checkpoint folder, which also cuts the lineage after the merge.
+    ensure_checkpoint_dir(inc.sparkSession)
+    inc = inc.checkpoint(eager=True)
     out = enrich(inc, requests, query_stats, sql_text, plans).withColumnRenamed("report_id", "incident_id")
     return out.select(*EVENT_LOG_COLUMNS)
 

@@ -81,34 +81,44 @@ class KeyFold:
 def fold_sorted_partitions(batches, slack_micros: int):
     """``mapInPandas`` body: rows arrive sorted by (key, queue order).
 
-    State is carried across Arrow batches, so a key larger than one batch
-    is streamed through, never collected. Emits one row per incident.
+    Each row carries the whole report; the rows that open an incident are
+    emitted with ``__w`` replaced by the incident's final wait, so the
+    reports are read once and never joined back. State is carried across
+    Arrow batches: a key larger than one batch streams through, and only
+    the open key's incident rows are held.
     """
     import pandas as pd
 
     current, fold = None, None
-    out_rid, out_t0, out_w = [], [], []
+    finals: dict = {}
+    pending: list = []
 
     def flush():
         if fold is not None:
-            for rid, t0, w in fold.final_waits():
-                out_rid.append(rid)
-                out_t0.append(t0)
-                out_w.append(w)
+            for rid, _t0, w in fold.final_waits():
+                finals[rid] = w
 
     for pdf in batches:
-        keys = pdf["__key"].tolist()
-        ts = pdf["__t"].tolist()
-        ws = pdf["__w"].tolist()
-        rids = pdf["__rid"].tolist()
-        for k, t, w, rid in zip(keys, ts, ws, rids):
+        starts = []
+        for i, (k, t, w, rid) in enumerate(zip(pdf["__key"].tolist(), pdf["__t"].tolist(),
+                                                pdf["__w"].tolist(), pdf["__rid"].tolist())):
             if k != current:
                 flush()
                 current, fold = k, KeyFold()
-            fold.step(int(t), int(w), rid, slack_micros)
-        if out_rid:
-            yield pd.DataFrame({"__rid": out_rid, "__t0": out_t0, "__final_wait": out_w})
-            out_rid, out_t0, out_w = [], [], []
+            if fold.step(int(t), int(w), rid, slack_micros):
+                starts.append(i)
+        if starts:
+            pending.append(pdf.iloc[starts])
+        if not pending:
+            continue
+        rows = pd.concat(pending, ignore_index=True) if len(pending) > 1 else pending[0]
+        open_key = rows["__key"] == current
+        done = rows[~open_key]
+        pending = [rows[open_key]] if open_key.any() else []
+        if len(done):
+            done = done.assign(__w=[finals.pop(r) for r in done["__rid"].tolist()])
+            yield done
     flush()
-    if out_rid:
-        yield pd.DataFrame({"__rid": out_rid, "__t0": out_t0, "__final_wait": out_w})
+    if pending:
+        rows = pd.concat(pending, ignore_index=True)
+        yield rows.assign(__w=[finals.pop(r) for r in rows["__rid"].tolist()])
