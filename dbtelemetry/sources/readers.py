@@ -75,3 +75,25 @@ def across_databases(df: DataFrame, exclude: Sequence[str] = (), include: Sequen
 def across_tables(df: DataFrame, table_col: str = "table_name", measures: Sequence[str] = ()) -> DataFrame:
     """The per-table loop as one aggregation per table."""
     return df.groupBy(table_col).agg(*[F.sum(m).alias(m) for m in measures])
+
+
+MESSAGE_SCHEMA = "message_type_name string, event_ts timestamp_ntz, message_body string"
+
+
+def message_source(spark: SparkSession, path_or_topic: str, fmt: str = "parquet",
+                   schema: str = MESSAGE_SCHEMA, options: dict | None = None) -> DataFrame:
+    """The blocked-process queue as a streaming DataFrame.
+
+    Files (parquet or json) exported by the queue reader, or a Kafka topic
+    when the Kafka connector is on the classpath (value = message body,
+    timestamp = arrival, header-less messages are notifications).
+    """
+    reader = spark.readStream
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    if fmt == "kafka":
+        raw = reader.format("kafka").option("subscribe", path_or_topic).load()
+        return raw.select(F.lit("EventNotification").alias("message_type_name"),
+                          F.col("timestamp").cast("timestamp_ntz").alias("event_ts"),
+                          F.col("value").cast("string").alias("message_body"))
+    return reader.schema(schema).format(fmt).load(path_or_topic)

@@ -24,6 +24,19 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     w.save(path)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Materialize an intermediate read more than once.
+
+    A reliable checkpoint in the folder named by ``spark.checkpoint.dir``
+    (shared storage on a cluster), so the copy survives a lost executor
+    and the lineage before it is cut.
+    """
+    from dbtelemetry.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _cell(c: Column) -> Column:
     # FOR XML PATH leaves out the element of a NULL value entirely.
     return F.when(c.isNotNull(), F.concat(F.lit("<td>"), tsql.html_escape(c), F.lit("</td>")))

@@ -144,3 +144,20 @@ def test_stream_inserts_equal_batch_incidents(spark, scratch):
     assert inserted == {rid for rid, _ in expected}
     closed = {(r.incident_id, r.wait_time) for r in log.filter(F.col("change") == "close").collect()}
     assert closed <= expected
+
+
+def test_pipeline_end_to_end_with_bad_message(spark, scratch):
+    good = [_msg(1, 5000, "2024-01-01T10:00:00"), _msg(1, 9000, "2024-01-01T10:00:04"),
+            _msg(2, 100, "2024-01-01T11:00:00")]
+    msgs = _messages(spark, good + ["<EVENT_INSTANCE><"])
+    msgs.coalesce(1).write.parquet(scratch + "/queue")
+    q1, q2 = bp.start_pipeline(spark, scratch + "/queue", scratch + "/out", scratch + "/ckpt",
+                               trigger={"availableNow": True})
+    q1.awaitTermination()
+    q2.awaitTermination()
+    changes = spark.read.parquet(scratch + "/out/changes")
+    assert changes.filter("change = 'insert'").count() == 2
+    assert spark.read.parquet(scratch + "/out/alerts").count() == 2
+    assert spark.read.parquet(scratch + "/out/errors").count() == 1
+    cur = {r.event_date.hour: r.wait_time for r in bp.current_incidents(changes).collect()}
+    assert cur[11] == 100
