@@ -40,6 +40,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    from dbtelemetry import ship_to_executors
+
+    ship_to_executors(spark)
     return spark
 
 
