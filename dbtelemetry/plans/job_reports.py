@@ -395,3 +395,12 @@ def _server_settings(rel):
     """The blocked-process threshold setting per server."""
     return inventory.server_settings(rel.server_config, "blocked process threshold")
 
+
+
+@report("running_jobs", ("jobs", "job_activity"), """
+SELECT j.job_id, j.name, j.enabled, j.category_id, j.notify_page_operator_id, a.execution_status
+FROM jobs j JOIN job_activity a ON a.job_id = j.job_id WHERE a.execution_status = 1
+""")
+def _running_jobs(rel):
+    """Jobs currently executing."""
+    return jobs.running_jobs(rel.jobs, rel.job_activity)

@@ -348,3 +348,51 @@ WHERE starts_with(path, '/dba/backup_') AND ends_with(path, '.txt')
 def _stale_output_files(rel):
     """Backup job output files older than eight days."""
     return storage.stale_output_files(rel.output_files, "/dba/backup_", ".txt", AS_OF_ACTIVITY)
+
+
+# ---------------------------------------------------------------- two databases' index catalogs
+
+def _index_defs_sql(ic: str) -> str:
+    return f"""
+SELECT o.name AS table_name, i.name AS index_name,
+       (SELECT string_agg(ic.column_name || ', ', '' ORDER BY ic.index_column_id) FROM {ic} ic
+        WHERE i.object_id = ic.object_id AND i.index_id = ic.index_id AND ic.is_included_column = 0) AS key_columns
+FROM indexes i JOIN objects o ON i.object_id = o.object_id
+WHERE o.is_ms_shipped = 0"""
+
+
+_A = _index_defs_sql("index_columns")
+_B = _index_defs_sql("index_columns_b")
+
+
+def _catalogs(rel):
+    a = schema_health.index_definitions(rel.indexes, rel.objects, rel.index_columns)
+    b = schema_health.index_definitions(rel.indexes, rel.objects, rel.index_columns_b)
+    return a, b
+
+
+@report("index_difference", ("indexes", "objects", "index_columns", "index_columns_b"),
+        f"SELECT * FROM ({_A}) nine EXCEPT SELECT * FROM ({_B}) ten")
+def _index_difference(rel):
+    """Index definitions of the first database missing from the second (EXCEPT)."""
+    a, b = _catalogs(rel)
+    return schema_health.index_difference(a, b)
+
+
+@report("index_difference_reverse", ("indexes", "objects", "index_columns", "index_columns_b"),
+        f"SELECT * FROM ({_B}) ten EXCEPT SELECT * FROM ({_A}) nine")
+def _index_difference_reverse(rel):
+    """Index definitions of the second database missing from the first (EXCEPT)."""
+    a, b = _catalogs(rel)
+    return schema_health.index_difference(b, a)
+
+
+@report("join_index_sets", ("indexes", "objects", "index_columns", "index_columns_b"), f"""
+SELECT nine.table_name, nine.index_name, nine.key_columns AS a_key_columns, ten.key_columns AS b_key_columns,
+       ten.index_name IS NOT NULL AS in_b
+FROM ({_A}) nine LEFT JOIN ({_B}) ten ON nine.table_name = ten.table_name AND nine.index_name = ten.index_name
+""")
+def _join_index_sets(rel):
+    """Both databases' key columns side by side per (table, index)."""
+    a, b = _catalogs(rel)
+    return schema_health.join_index_sets(a, b)

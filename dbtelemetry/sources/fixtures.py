@@ -420,6 +420,24 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     ]),
 }
 
+# Relations added here beyond FIXTURES.md section 1, for operators it gives no input for:
+# a second database's index catalog (the same, except that a first column with return
+# flag 'A' is an included column there) and the job-activity listing (status per job).
+RELATIONS.update({
+    "index_columns_b": (
+        "(SELECT l_partkey, l_linenumber, MIN(l_returnflag) AS rf FROM {lineitem} GROUP BY l_partkey, l_linenumber) t", [
+            ("object_id", "l_partkey % 100"),
+            ("index_id", "l_partkey"),
+            ("index_column_id", "l_linenumber"),
+            ("column_name", "'col' || CAST(l_linenumber AS STRING)"),
+            ("is_included_column", "CASE WHEN rf = 'R' OR (rf = 'A' AND l_linenumber = 1) THEN 1 ELSE 0 END"),
+        ]),
+    "job_activity": ("{supplier}", [
+        ("job_id", "s_suppkey"),
+        ("execution_status", "CAST(1 + s_suppkey % 5 AS INT)"),
+    ]),
+})
+
 # Fixed clock of FIXTURES.md section 2.
 AS_OF_ACTIVITY = "2024-01-31 00:00:00"
 AS_OF_BACKUP = "2001-08-02 00:00:00"
