@@ -16,8 +16,6 @@ fold of :mod:`dbtelemetry.streaming.merge_fold`, run per merge key:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,8 +121,13 @@ def parse_errors(parsed: DataFrame) -> DataFrame:
 
 
 def reports(parsed: DataFrame) -> DataFrame:
-    """Blocked-process reports as typed rows (the reference's ``repData``)."""
-    r = parsed.filter(F.col("parse_ok") & (F.col("x.EventType") == BLOCKED_PROCESS_REPORT))
+    """Blocked-process reports as typed rows (the reference's ``repData``).
+
+    Only event notifications are parsed as reports; other message types
+    are ignored, as the merge procedure does.
+    """
+    r = parsed.filter(F.col("message_type_name").endswith(NOTIFICATION_TYPE_SUFFIX) & F.col("parse_ok")
+                      & (F.col("x.EventType") == BLOCKED_PROCESS_REPORT))
     bp = "x.TextData.`blocked-process-report`.`blocked-process`.process"
     bk = "x.TextData.`blocked-process-report`.`blocking-process`.process"
     bframe = F.element_at(F.col(f"{bp}.executionStack.frame"), 1)
@@ -408,7 +411,3 @@ def start_pipeline(spark, source: str, out_dir: str, checkpoint_dir: str, fmt: s
     q2 = (parse_errors(parsed).writeStream.trigger(**trig).option("checkpointLocation", f"{checkpoint_dir}/errors")
           .format("parquet").option("path", f"{out_dir}/errors").start())
     return q1, q2
-
-
-def keys_of(df: DataFrame) -> Sequence[str]:
-    return [c for c in MERGE_KEY if c in df.columns]

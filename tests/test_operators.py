@@ -221,3 +221,8 @@ def test_kill_statement_null_login(spark):
     got = {r.spid: r.kill_statement for r in activity.kill_statements(p, d, "db1").collect()}
     assert got == {5: None, 6: "kill 6 -- bob"}
     assert [r.spid for r in activity.kill_statements(p, d, require_host=True).collect()] == [5]
+
+
+def test_across_tables(spark):
+    df = spark.createDataFrame([("t1", 2), ("t1", 3), ("t2", 1)], "table_name string, rows long")
+    assert sorted(tuple(r) for r in readers.across_tables(df, measures=["rows"]).collect()) == [("t1", 5), ("t2", 1)]
