@@ -24,17 +24,26 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     w.save(path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, columnar: bool = False) -> DataFrame:
     """Materialize an intermediate read more than once.
 
-    A reliable checkpoint in the folder named by ``spark.checkpoint.dir``
-    (shared storage on a cluster), so the copy survives a lost executor
-    and the lineage before it is cut.
+    Written into the folder named by ``spark.checkpoint.dir`` (shared
+    storage on a cluster), so the copy survives a lost executor and the
+    lineage before it is cut. ``columnar=True`` writes a Parquet table
+    there (later passes read only the columns they need); otherwise a
+    reliable ``checkpoint()``, which keeps partitions and their order.
     """
+    import uuid
+
     from dbtelemetry.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if not columnar:
+        return df.checkpoint(eager=True)
+    path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _cell(c: Column) -> Column:

@@ -16,14 +16,14 @@ fold of :mod:`dbtelemetry.streaming.merge_fold`, run per merge key:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dbtelemetry.functions import tsql
 from dbtelemetry.operators.common import db_name
 from dbtelemetry.sources import sinks
-from dbtelemetry.streaming.merge_fold import KeyFold, fold_sorted_partitions
+from dbtelemetry.streaming.merge_fold import KeyFold, fold_sorted_partitions, segment_partitions
 
 # Fixed values of the event source and the merge.
 NOTIFICATION_TYPE_SUFFIX = "EventNotification"
@@ -170,14 +170,70 @@ def _micros(c: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col(c))
 
 
-def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partitions: int | None = None) -> DataFrame:
+HOT_KEY_ROWS = 1_000_000
+_SEG_SCHEMA = ("__rid string, __key string, __pid int, __t bigint, __w bigint, __arr timestamp_ntz, "
+               "__split boolean, __seg_rid string")
+
+
+def _fold_by_key(df: DataFrame, slack: int, num_partitions: int | None) -> DataFrame:
+    """Hash-partition by ``__key``, sort by (key, queue order), stream through the fold."""
+    parts = [num_partitions] if num_partitions else []
+    sorted_in = df.repartition(*parts, "__key").sortWithinPartitions("__key", "__arr", "__rid")
+    return sorted_in.mapInPandas(lambda it: fold_sorted_partitions(it, slack), sorted_in.schema)
+
+
+def _episodes(hot: DataFrame, slack: int, num_partitions: int | None) -> DataFrame:
+    """Split hot keys into independent episodes (see ``merge_fold``), as sub-keys.
+
+    The narrow columns are range-partitioned by (key, queue order), so one
+    hot key spans many partitions; a per-(partition, key) aggregate gives
+    each partition its carries (largest report time before it, smallest
+    threshold after it), at most two rows per partition, broadcast back;
+    one ``mapInPandas`` pass marks episode starts; a second small carry
+    names the episode of rows whose episode began in an earlier partition.
+    """
+    spark = hot.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    narrow = hot.select("__key", "__arr", "__rid", "__t", "__w").withColumn(
+        "__thr", F.col("__t") - (F.col("__w") * 1000 + slack))
+    srt = (narrow.repartitionByRange(n, "__key", "__arr", "__rid").sortWithinPartitions("__key", "__arr", "__rid")
+           .withColumn("__pid", F.spark_partition_id()))
+    srt = sinks.materialize(srt)  # reliable checkpoint: partitions and their order are kept
+    by_pid = Window.partitionBy("__key").orderBy("__pid")
+    summ = srt.groupBy("__pid", "__key").agg(F.max("__t").alias("__mt"), F.min("__thr").alias("__mthr"))
+    carries = summ.select(
+        "__pid", "__key",
+        F.max("__mt").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)).alias("__t_in"),
+        F.min("__mthr").over(by_pid.rowsBetween(1, Window.unboundedFollowing)).alias("__thr_in"),
+    ).filter(F.col("__t_in").isNotNull() | F.col("__thr_in").isNotNull())
+    # Only a partition's first and last key can span partitions: <= 2 rows per partition.
+    segs = srt.join(F.broadcast(carries), ["__pid", "__key"], "left").mapInPandas(segment_partitions, _SEG_SCHEMA)
+    segs = sinks.materialize(segs)
+    needed = (segs.filter(F.col("__seg_rid").isNull()).select("__pid", "__key").distinct()
+              .withColumn("__ls", F.lit(None).cast("string")).withColumn("__kind", F.lit(0)))
+    last_split = (segs.filter("__split").groupBy("__pid", "__key")
+                  .agg(F.max_by("__rid", F.struct("__arr", "__rid")).alias("__ls")).withColumn("__kind", F.lit(1)))
+    before = Window.partitionBy("__key").orderBy("__pid", "__kind").rowsBetween(Window.unboundedPreceding, -1)
+    fills = (last_split.unionByName(needed).withColumn("__fill", F.last("__ls", ignorenulls=True).over(before))
+             .filter(F.col("__kind") == 0).select("__pid", "__key", "__fill"))
+    # Rows without an episode of their own are a partition's first key: <= 1 row per partition.
+    seg = segs.join(F.broadcast(fills), ["__pid", "__key"], "left")
+    return seg.select(F.concat(F.col("__key"), F.lit("\u0001"), F.coalesce("__seg_rid", "__fill")).alias("__key"),
+                      "__t", "__w", "__rid", "__arr")
+
+
+def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partitions: int | None = None,
+                  hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """O50, batch form: one row per incident, first report's fields and the final wait.
 
-    One pass: hash-partition the reports by merge key, sort within
-    partitions by (key, queue order) and stream them through the fold in
-    ``mapInPandas``, which emits the incident-opening reports with their
-    final wait. A report whose plain-equality key has a NULL never matches
-    a stored row, so it gets a key of its own and stays a single incident.
+    Keys with up to ``hot_key_rows`` reports: one hash shuffle by merge
+    key, sorted within partitions by (key, queue order) and streamed
+    through the fold in ``mapInPandas``, which emits the incident-opening
+    reports with their final wait. Hotter keys are first cut into
+    independent episodes (exactly; see ``merge_fold``), which fold in
+    parallel; only the narrow columns take that path and the incident rows
+    are joined back by report id. A report whose plain-equality key has a
+    NULL never matches a stored row, so it gets a key of its own.
     """
     k = _keyed(reps)
     key = F.when(F.col("__null_key"), F.concat(F.lit("\u0000"), F.col("report_id"))) \
@@ -185,10 +241,19 @@ def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partition
     fold_in = k.select(key.alias("__key"), F.coalesce(_micros("event_date"), F.lit(0)).alias("__t"),
                        F.coalesce(F.col("wait_time"), F.lit(0)).alias("__w"), F.col("report_id").alias("__rid"),
                        F.col("arrival_ts").alias("__arr"), *reps.columns)
-    parts = [num_partitions] if num_partitions else []
-    sorted_in = fold_in.repartition(*parts, "__key").sortWithinPartitions("__key", "__arr", "__rid")
+    # Read by the key census and by the fold: parse once, keep it columnar.
+    fold_in = sinks.materialize(fold_in, columnar=True)
     slack = slack_ms * 1000
-    folded = sorted_in.mapInPandas(lambda it: fold_sorted_partitions(it, slack), sorted_in.schema)
+    hot_keys = fold_in.groupBy("__key").count().filter(F.col("count") > hot_key_rows).select("__key")
+    if hot_keys.isEmpty():
+        folded = _fold_by_key(fold_in, slack, num_partitions)
+    else:
+        normal = _fold_by_key(fold_in.join(hot_keys, "__key", "left_anti"), slack, num_partitions)
+        hot = fold_in.join(hot_keys, "__key", "left_semi")
+        starts = _fold_by_key(_episodes(hot, slack, num_partitions), slack, num_partitions)
+        hot_out = hot.join(starts.select("__rid", F.col("__w").alias("__final")), "__rid") \
+            .withColumn("__w", F.col("__final")).select(*fold_in.columns)
+        folded = normal.select(*fold_in.columns).unionByName(hot_out)
     return folded.withColumn("wait_time", F.when(F.col("wait_time").isNotNull(), F.col("__w"))) \
         .select(*reps.columns)
 

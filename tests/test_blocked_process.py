@@ -161,3 +161,31 @@ def test_pipeline_end_to_end_with_bad_message(spark, scratch):
     assert spark.read.parquet(scratch + "/out/errors").count() == 1
     cur = {r.event_date.hour: r.wait_time for r in bp.current_incidents(changes).collect()}
     assert cur[11] == 100
+
+
+def test_hot_keys_split_into_episodes_exactly(spark):
+    """Every key forced through the episode split, over many small partitions."""
+    msgs = relation(spark, SF_SMALL, "blocked_process_messages")
+    reps = bp.reports(bp.parse_messages(msgs))
+    plain = sorted((r.report_id, r.wait_time) for r in bp.merge_reports(reps).collect())
+    split = sorted((r.report_id, r.wait_time) for r in bp.merge_reports(reps, num_partitions=7, hot_key_rows=0)
+                   .collect())
+    assert split == plain and len(plain) > 0
+
+
+def test_one_hot_key_many_episodes(spark):
+    """A single key with many episodes spread over partitions equals the brute-force fold."""
+    rng = random.Random(3)
+    bodies, raw, t = [], [], dt.datetime(2024, 1, 1, 10, 0, 0)
+    for i in range(400):
+        t += dt.timedelta(seconds=rng.choice([1, 2, 3, 30, 200]))
+        w = rng.choice([500, 1500, 2500, 60000, 400000])
+        bodies.append(_msg(1, w, t.strftime("%Y-%m-%dT%H:%M:%S")))
+        raw.append((int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000), w))
+    rows = [("EventNotification", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), b) for i, b in enumerate(bodies)]
+    msgs = spark.createDataFrame(rows, "message_type_name string, event_ts timestamp_ntz, message_body string")
+    got = sorted((int((r.event_date - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000), r.wait_time)
+                 for r in bp.merge_reports(bp.reports(bp.parse_messages(msgs)), num_partitions=9, hot_key_rows=10)
+                 .collect())
+    want = sorted((t0, w) for _rid, t0, w in brute_force([(t, w, i) for i, (t, w) in enumerate(raw)]))
+    assert got == want and len(want) > 5
