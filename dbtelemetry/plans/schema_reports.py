@@ -169,24 +169,27 @@ WEEKLY_HEADERS = ("Server Name", "Database Name", "Backup Start Time", "Backup R
 _WEEKLY_ORDER = ("backup_start_date", "server", "database_name", "run_time_minutes")
 
 
-def _html_oracle(inner: str, cols, headers, order, width, color, title="") -> str:
+def _html_oracle(inner: str, cols, headers, order, width, color, title="", keys=()) -> str:
     head = title + sinks.html_header(headers, width, color)
     tds = " || ".join(_td(c) for c in cols)
+    key_cols = "".join(f"{k}, " for k in keys)
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
     return f"""
-SELECT '{head}' || coalesce(string_agg('<tr>' || {tds} || '</tr>', '' ORDER BY {", ".join(order)}), '')
+SELECT {key_cols}'{head}' || coalesce(string_agg('<tr>' || {tds} || '</tr>', '' ORDER BY {", ".join(order)}), '')
        || '</table>' AS html
-FROM ({inner}) t
+FROM ({inner}) t {group}
 """
 
 
 @report("weekly_backup_report_html", ("backupset", "backupmediafamily"),
         _html_oracle(_WEEKLY_SQL, ("server", "database_name", "backup_start", "run_time_minutes"), WEEKLY_HEADERS,
-                     _WEEKLY_ORDER, "100%", "blue"))
+                     _WEEKLY_ORDER, "100%", "blue", keys=("server",)))
 def _weekly_backup_html(rel):
-    """The weekly backup report as one HTML table (mail body)."""
+    """The weekly backup report as one HTML table (mail body) per server."""
     rows = backups.weekly_backup_report(rel.backupset, rel.backupmediafamily, AS_OF_BACKUP)
-    frags = sinks.html_rows(rows, ["server", "database_name", "backup_start", "run_time_minutes"], _WEEKLY_ORDER)
-    return sinks.html_document(frags, WEEKLY_HEADERS, _WEEKLY_ORDER, width="100%", color="blue")
+    frags = sinks.html_rows(rows, ["server", "database_name", "backup_start", "run_time_minutes"], _WEEKLY_ORDER,
+                            keys=("server",))
+    return sinks.html_document(frags, WEEKLY_HEADERS, _WEEKLY_ORDER, keys=("server",), width="100%", color="blue")
 
 
 @report("last_restore", ("restore_history",), """

@@ -62,13 +62,13 @@ def html_header(headers: Sequence[str], width: str = "100%", color: str = "blue"
 
 
 def html_rows(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """S12, row form: one HTML fragment per record, with its order in the report.
+    """S12, row form: one HTML fragment per record, with the report key and ordering columns.
 
     Nothing is gathered: the fragments stay distributed and a file sink
-    writes them in order (:func:`write_html`). ``ord`` is the position of
-    the record within its report key.
+    writes them in order (:func:`write_html`).
     """
-    return df.select(*keys, *[F.col(c) for c in order_by], html_row(columns).alias("html"))
+    carried = list(dict.fromkeys([*keys, *order_by]))
+    return df.select(*[F.col(c) for c in carried], html_row(columns).alias("html"))
 
 
 def html_document(rows: DataFrame, headers: Sequence[str], order_by: Sequence[str], keys: Sequence[str] = (),
