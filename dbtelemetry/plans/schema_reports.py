@@ -121,7 +121,7 @@ WHERE p.type = 'P' AND p.is_ms_shipped = 0
 """)
 def _unused_procedures(rel):
     """Procedures with no cached execution statistics (procedures are objects of type P)."""
-    procs = rel.objects.filter(F.col("type") == "P")
+    procs = rel.objects.filter(F.rtrim("type") == "P")
     return schema_health.unused_procedures(procs, rel.procedure_stats)
 
 
