@@ -22,6 +22,11 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Partition sizing for large inputs: ~256 MB scan splits and shuffle
+    # partitions that AQE coalesces towards 256 MB, so tasks fit executor
+    # memory without spilling on typical 4-8 GB executor slices.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
 

@@ -40,7 +40,15 @@ def materialize(df: DataFrame, columnar: bool = False) -> DataFrame:
     spark = df.sparkSession
     folder = ensure_checkpoint_dir(spark)
     if not columnar:
-        return df.checkpoint(eager=True)
+        # Persist first: an eager checkpoint runs one job to compute and
+        # another to write, which would otherwise compute the input twice.
+        from pyspark import StorageLevel
+
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return df.checkpoint(eager=True)
+        finally:
+            df.unpersist()
     path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

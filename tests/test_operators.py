@@ -226,3 +226,17 @@ def test_kill_statement_null_login(spark):
 def test_across_tables(spark):
     df = spark.createDataFrame([("t1", 2), ("t1", 3), ("t2", 1)], "table_name string, rows long")
     assert sorted(tuple(r) for r in readers.across_tables(df, measures=["rows"]).collect()) == [("t1", 5), ("t2", 1)]
+
+
+def test_job_report_last_day_filter(spark):
+    jobs_df = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "job_id long, name string, enabled int")
+    sched = spark.createDataFrame([], "schedule_id long, name string, enabled int, freq_type int, freq_interval int, "
+                                      "freq_relative_interval int, freq_recurrence_factor long, freq_subday_type int, "
+                                      "freq_subday_interval int, active_start_time long, active_end_time int")
+    js = spark.createDataFrame([], "schedule_id long, job_id long, next_run_date long, next_run_time long")
+    hist = spark.createDataFrame([(1, 10, 0, 1, 20240130, 120000, 5), (2, 20, 0, 1, 20240101, 0, 5)],
+                                 "job_id long, instance_id long, step_id int, run_status long, run_date int, "
+                                 "run_time long, run_duration long")
+    rep = jobs.job_report(jobs_df, jobs.decode_schedules(sched, js), jobs.job_history_summary(hist),
+                          since_hours=24, as_of="2024-01-31 00:00:00")
+    assert [r.job_id for r in rep.collect()] == [1]
