@@ -10,15 +10,15 @@ _SHIPPED: set = set()
 
 
 def ship_to_executors(spark) -> None:
-    """Make this package importable in Python workers (pandas UDF bodies).
+    """Make this package importable in Python workers (pandas UDF bodies), in local mode.
 
-    Zips the package once per process and registers it with
-    ``addPyFile``; Spark serves the file to every executor. Done once per
-    SparkContext.
+    On a cluster the package is deployed with the job (``--py-files``), so
+    nothing is done there. In local mode (tests, the driver's checks) the
+    package is zipped once and registered with ``addPyFile``.
     """
     sc = spark.sparkContext
     key = (id(sc), sc.applicationId)
-    if key in _SHIPPED:
+    if key in _SHIPPED or not sc.master.startswith("local"):
         return
     root = os.path.dirname(os.path.abspath(__file__))
     fd, path = tempfile.mkstemp(prefix="dbtelemetry-", suffix=".zip")

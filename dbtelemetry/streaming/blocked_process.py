@@ -1,4 +1,4 @@
-"""Blocked-process pipeline: capture, merge and alert.
+"""Blocked-process job: capture, merge and alert.
 
 Messages (type, XML body, arrival time) come from a queue: a file or Kafka
 stream in production, a DataFrame in batch. ``from_xml`` parses them with
@@ -443,7 +443,7 @@ def write_changes(batch: DataFrame, batch_id: int, path: str, on_insert=None) ->
         on_insert(batch.filter(F.col("change") == "insert"), batch_id)
 
 
-def start_pipeline(spark, source: str, out_dir: str, checkpoint_dir: str, fmt: str = "parquet",
+def start_blocking_job(spark, source: str, out_dir: str, checkpoint_dir: str, fmt: str = "parquet",
                    trigger: dict | None = None, lateness: str = "10 minutes", lateness_seconds: int = 600,
                    source_options: dict | None = None):
     """Start the blocked-process job: queue -> parse -> merge -> change log + alerts.

@@ -1,4 +1,4 @@
-"""The report-merge fold of the blocked-process pipeline.
+"""The report-merge fold of the blocked-process job.
 
 Per merge key, reports are taken in queue order. A report (t, w) matches
 every stored incident whose first-report time ``t0 >= t - (w + slack)``;

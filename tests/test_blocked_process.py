@@ -1,4 +1,4 @@
-"""Blocked-process pipeline: fold exactness, merge traps, streaming equals batch."""
+"""Blocked-process job: fold exactness, merge traps, streaming equals batch."""
 
 import datetime as dt
 import random
@@ -146,12 +146,12 @@ def test_stream_inserts_equal_batch_incidents(spark, scratch):
     assert closed <= expected
 
 
-def test_pipeline_end_to_end_with_bad_message(spark, scratch):
+def test_streaming_job_end_to_end_with_bad_message(spark, scratch):
     good = [_msg(1, 5000, "2024-01-01T10:00:00"), _msg(1, 9000, "2024-01-01T10:00:04"),
             _msg(2, 100, "2024-01-01T11:00:00")]
     msgs = _messages(spark, good + ["<EVENT_INSTANCE><"])
     msgs.coalesce(1).write.parquet(scratch + "/queue")
-    q1, q2 = bp.start_pipeline(spark, scratch + "/queue", scratch + "/out", scratch + "/ckpt",
+    q1, q2 = bp.start_blocking_job(spark, scratch + "/queue", scratch + "/out", scratch + "/ckpt",
                                trigger={"availableNow": True})
     q1.awaitTermination()
     q2.awaitTermination()
