@@ -71,9 +71,10 @@ def log_consumers(database_transactions: DataFrame, session_transactions: DataFr
 
     Transactions join their session, the session's requests and (CROSS
     APPLY) the request text, so a session with several requests repeats the
-    transaction. Ranking happens before the wide text is attached, after a
-    semi-join that removes requests without text. ``state`` is the optional
-    filter the reference leaves commented out.
+    transaction. Ranking happens on the transactions first (only those with
+    at least one request with text), then on the k transactions' fan-out,
+    and the wide text is attached to the k survivors. ``state`` is the
+    optional filter the reference leaves commented out.
     """
     t1 = database_transactions.select(*keys, "transaction_id", "database_id", "begin_time",
                                       "log_bytes_reserved", "log_record_count",
@@ -83,9 +84,17 @@ def log_consumers(database_transactions: DataFrame, session_transactions: DataFr
     t2 = session_transactions.select(*keys, "transaction_id", "session_id")
     t3 = requests.select(*keys, "session_id", "request_id", "sql_handle")
     t3 = t3.join(sql_text.select(*keys, "sql_handle"), on(["sql_handle"], keys), "left_semi")
-    j = t1.join(t2, on(["transaction_id"], keys)).join(t3, on(["session_id"], keys))
-    order = [F.col("log_record_count").desc(), F.col("transaction_id"), F.col("database_id"),
-             F.col("begin_time"), F.col("log_bytes_reserved"), F.col("session_id"), F.col("request_id")]
+    # The order starts with the transaction row's own columns and every
+    # surviving transaction row yields at least one output row, so the k
+    # output rows come from the k first transaction rows: rank those, then
+    # fan out to the session's requests (instead of fanning out all rows).
+    with_req = t2.join(t3.select(*keys, "session_id"), on(["session_id"], keys), "left_semi")
+    live = t1.join(with_req.select(*keys, "transaction_id"), on(["transaction_id"], keys), "left_semi")
+    tx_order = [F.col("log_record_count").desc(), F.col("transaction_id"), F.col("database_id"),
+                F.col("begin_time"), F.col("log_bytes_reserved")]
+    top_tx = top_k_per_group(live, keys, tx_order, k, salt_cols=["transaction_id"])
+    j = top_tx.join(t2, on(["transaction_id"], keys)).join(t3, on(["session_id"], keys))
+    order = tx_order + [F.col("session_id"), F.col("request_id")]
     top = top_k_per_group(j, keys, order, k, salt_cols=["transaction_id", "request_id"])
     out = lookup_text(top, sql_text, how="inner", keys=keys, cols=("text",))
     out = db_name(out, databases, "database_id", out="db_name", keys=keys)
