@@ -277,22 +277,26 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
     plan: latest statistics row for its handle and offsets.
 
     The two plan lookups without a time test are aggregated per lookup key
-    first (one row per key), then left-joined, so several candidates never
-    multiply incidents. The time-tested lookup joins a narrow projection of
-    the incidents and keeps the latest row per incident with ``max_by``.
+    first (one row per key), so several candidates never multiply
+    incidents; the time-tested lookup keeps the latest row per incident
+    with ``max_by``.
     """
     hk = sql_text.schema["sql_handle"].dataType
     rk = requests.schema["sql_handle"].dataType
     qk = query_stats.schema["sql_handle"].dataType
-    inc = (incidents.withColumn("__bh_t", _handle_key(F.col("blocked_sql_handle"), hk))
-           .withColumn("__kh_t", _handle_key(F.col("blocking_sql_handle"), hk))
-           .withColumn("__bh_r", _handle_key(F.col("blocked_sql_handle"), rk))
-           .withColumn("__bh_q", _handle_key(F.col("blocked_sql_handle"), qk))
-           .withColumn("__kh_q", _handle_key(F.col("blocking_sql_handle"), qk)))
+    # All lookups run on a narrow projection; the wide incident rows (with
+    # the report XML) are joined to the results once, by report id.
+    nar = incidents.select(
+        "report_id", "event_date", "blocked_spid", "blocked_stmt_start", "blocked_stmt_end",
+        "blocking_stmt_start", "blocking_stmt_end",
+        _handle_key(F.col("blocked_sql_handle"), hk).alias("__bh_t"),
+        _handle_key(F.col("blocking_sql_handle"), hk).alias("__kh_t"),
+        _handle_key(F.col("blocked_sql_handle"), rk).alias("__bh_r"),
+        _handle_key(F.col("blocked_sql_handle"), qk).alias("__bh_q"),
+        _handle_key(F.col("blocking_sql_handle"), qk).alias("__kh_q"))
     txt = sql_text.select(F.col("sql_handle").alias("__h"), F.col("text").alias("__text"))
     bt = txt.withColumnRenamed("__h", "__bh_t").withColumnRenamed("__text", "__btext")
     kt = txt.withColumnRenamed("__h", "__kh_t").withColumnRenamed("__text", "__ktext")
-    inc = inc.join(bt, "__bh_t", "left").join(kt, "__kh_t", "left")
     plan = plans.select("plan_handle", "query_plan")
     er_key = ["blocked_spid", "__bh_r", "blocked_stmt_start", "blocked_stmt_end"]
     er_plan = (requests.select(F.col("session_id").alias("blocked_spid"), F.col("sql_handle").alias("__bh_r"),
@@ -306,21 +310,23 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
                          F.col("statement_start_offset").alias("blocking_stmt_start"),
                          F.col("statement_end_offset").alias("blocking_stmt_end"))
               .agg(latest.alias("blocking_query_plan")))
-    b_qs = (inc.select("report_id", "event_date", "__bh_q", "blocked_stmt_start", "blocked_stmt_end")
+    b_qs = (nar.select("report_id", "event_date", "__bh_q", "blocked_stmt_start", "blocked_stmt_end")
             .join(qs, (F.col("__bh_q") == qs["sql_handle"])
                   & (F.col("blocked_stmt_start") == qs["statement_start_offset"])
                   & (F.col("blocked_stmt_end") == qs["statement_end_offset"])
                   & F.col("event_date").between(qs["creation_time"], qs["last_execution_time"]))
             .groupBy("report_id").agg(latest.alias("__qs_plan")))
-    out = (inc.join(er_plan, er_key, "left")
-           .join(k_plan, ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "left")
-           .join(b_qs, "report_id", "left"))
-    return out.select(
-        "*",
+    looked = (nar.join(bt, "__bh_t", "left").join(kt, "__kh_t", "left")
+              .join(er_plan, er_key, "left")
+              .join(k_plan, ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "left")
+              .join(b_qs, "report_id", "left"))
+    looked = looked.select(
+        "report_id",
         tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end").alias("blocked_sql"),
         tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end").alias("blocking_sql"),
         F.coalesce("__er_plan", "__qs_plan").alias("blocked_query_plan"),
-    ).drop("__bh_t", "__kh_t", "__bh_r", "__bh_q", "__kh_q", "__btext", "__ktext", "__er_plan", "__qs_plan")
+        "blocking_query_plan")
+    return incidents.join(looked, "report_id", "left")
 
 
 EVENT_LOG_COLUMNS = ("incident_id", "event_date", "database_id", "resource", "wait_time", "blocked_process_report",
