@@ -240,3 +240,34 @@ def test_job_report_last_day_filter(spark):
     rep = jobs.job_report(jobs_df, jobs.decode_schedules(sched, js), jobs.job_history_summary(hist),
                           since_hours=24, as_of="2024-01-31 00:00:00")
     assert [r.job_id for r in rep.collect()] == [1]
+
+
+def test_trace_source_feeds_default_trace(spark, scratch):
+    from dbtelemetry.operators import inventory
+    rows = [("DB1", 60, "2024-01-30 10:00:00", 8000, 20, "login failed"),
+            ("tempdb", 61, "2024-01-30 10:00:00", 8000, 20, "skip: tempdb"),
+            ("DB1", 12, "2024-01-30 10:00:00", 8000, 20, "skip: system spid"),
+            ("DB1", 62, "2024-01-29 23:59:59", 8000, 20, "skip: yesterday")]
+    df = spark.createDataFrame(rows, "database_name string, spid long, start_time string, object_type long, "
+                                     "event_class long, text_data string")
+    df.write.json(scratch + "/trace/log_1.trc.json")
+    df.limit(1).write.json(scratch + "/trace/log_2.trc.json")  # a rollover file
+    schema = ("database_name string, spid long, start_time timestamp_ntz, object_type long, event_class long, "
+              "text_data string")
+    trace = readers.trace_source(spark, scratch + "/trace/*", fmt="json", schema=schema)
+    ev = spark.createDataFrame([(20, "Audit Login Failed", 8)], "trace_event_id int, name string, category_id int")
+    cat = spark.createDataFrame([(8, "Security Audit")], "category_id int, name string")
+    sub = spark.createDataFrame([(20, 8000, "Database")], "trace_event_id int, subclass_value int, subclass_name string")
+    out = inventory.default_trace_today(trace, sub, ev, cat, "2024-01-30 12:00:00").collect()
+    assert len(out) == 2 and {r.text_data for r in out} == {"login failed"}
+    assert out[0].event_name == "Audit Login Failed" and out[0].object_type == "Database"
+
+
+def test_write_html_keeps_report_order(spark, scratch):
+    rows = spark.createDataFrame([(i, f"n{i}") for i in range(200)], "o long, n string")
+    frags = sinks.html_rows(rows, ["n"], ["o"])
+    sinks.write_html(frags, scratch + "/report", ["o"], num_files=4)
+    import glob
+    text = "".join(open(f).read() for f in sorted(glob.glob(scratch + "/report/part-*")))
+    cells = [line for line in text.splitlines() if line]
+    assert cells == [f"<tr><td>n{i}</td></tr>" for i in range(200)]
