@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from dbtelemetry.operators import activity, backups, consumers, jobs, schema_health, storage
 from dbtelemetry.sources import readers, sinks
