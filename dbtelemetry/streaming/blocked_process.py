@@ -48,6 +48,17 @@ PLAIN_KEY = ("blocked_spid", "resource", "blocking_spid", "blocked_sql_handle",
              "blocked_stmt_end")
 MERGE_KEY = ("blocked_spid", "blocked_xact_id_key", "resource", "blocking_spid", "blocked_sql_handle",
              "blocked_stmt_start", "blocked_stmt_end")
+# Fleet column carried from the queue when present: it joins the merge key and
+# every lookup, so reports of two servers never merge or borrow each other's text.
+FLEET_COLUMNS = ("server_name",)
+
+
+def _fleet(*dfs: DataFrame) -> list[str]:
+    return [c for c in FLEET_COLUMNS if all(c in d.columns for d in dfs)]
+
+
+def _merge_key(df: DataFrame) -> list[str]:
+    return _fleet(df) + list(MERGE_KEY)
 
 
 def _ts(text: Column) -> Column:
@@ -74,10 +85,11 @@ def parse_messages(messages: DataFrame, body_col: str = "message_body", type_col
     # pushes the routing filters below this projection and parses each
     # message once per referenced field.
     x = F.explode(F.array(F.from_xml(F.col(body_col), EVENT_SCHEMA)))
-    return m.select(F.col(arrival_col).alias("arrival_ts"), F.col(type_col).alias("message_type_name"),
+    return m.select(*_fleet(messages), F.col(arrival_col).alias("arrival_ts"),
+                    F.col(type_col).alias("message_type_name"),
                     F.col(body_col).alias("message_body"), x.alias("x"),
-                    F.sha2(F.concat_ws("|", F.col(arrival_col).cast("string"), F.col(body_col)), 256).alias(
-                        "report_id")) \
+                    F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in _fleet(messages)],
+                                       F.col(arrival_col).cast("string"), F.col(body_col)), 256).alias("report_id")) \
         .withColumn("parse_ok", F.col("x.EventType").isNotNull())
 
 
@@ -133,7 +145,7 @@ def reports(parsed: DataFrame) -> DataFrame:
     bframe = F.element_at(F.col(f"{bp}.executionStack.frame"), 1)
     kframe = F.element_at(F.col(f"{bk}.executionStack.frame"), 1)
     return r.select(
-        "report_id", "arrival_ts", "message_body",
+        *_fleet(parsed), "report_id", "arrival_ts", "message_body",
         _ts(F.col("x.StartTime")).alias("event_date"),
         F.col("x.DatabaseID").alias("database_id"),
         F.left(F.col(f"{bp}._waitresource"), F.lit(64)).alias("resource"),
@@ -237,7 +249,7 @@ def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partition
     """
     k = _keyed(reps)
     key = F.when(F.col("__null_key"), F.concat(F.lit("\u0000"), F.col("report_id"))) \
-        .otherwise(F.to_json(F.struct(*MERGE_KEY)))
+        .otherwise(F.to_json(F.struct(*_merge_key(k))))
     fold_in = k.select(key.alias("__key"), F.coalesce(_micros("event_date"), F.lit(0)).alias("__t"),
                        F.coalesce(F.col("wait_time"), F.lit(0)).alias("__w"), F.col("report_id").alias("__rid"),
                        F.col("arrival_ts").alias("__arr"), *reps.columns)
@@ -286,39 +298,44 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
     qk = query_stats.schema["sql_handle"].dataType
     # All lookups run on a narrow projection; the wide incident rows (with
     # the report XML) are joined to the results once, by report id.
+    f_all = _fleet(incidents)
     nar = incidents.select(
-        "report_id", "event_date", "blocked_spid", "blocked_stmt_start", "blocked_stmt_end",
+        *f_all, "report_id", "event_date", "blocked_spid", "blocked_stmt_start", "blocked_stmt_end",
         "blocking_stmt_start", "blocking_stmt_end",
         _handle_key(F.col("blocked_sql_handle"), hk).alias("__bh_t"),
         _handle_key(F.col("blocking_sql_handle"), hk).alias("__kh_t"),
         _handle_key(F.col("blocked_sql_handle"), rk).alias("__bh_r"),
         _handle_key(F.col("blocked_sql_handle"), qk).alias("__bh_q"),
         _handle_key(F.col("blocking_sql_handle"), qk).alias("__kh_q"))
-    txt = sql_text.select(F.col("sql_handle").alias("__h"), F.col("text").alias("__text"))
+    ft, fr, fq, fp = _fleet(nar, sql_text), _fleet(nar, requests, plans), _fleet(nar, query_stats, plans), \
+        _fleet(requests, plans)
+    txt = sql_text.select(*ft, F.col("sql_handle").alias("__h"), F.col("text").alias("__text"))
     bt = txt.withColumnRenamed("__h", "__bh_t").withColumnRenamed("__text", "__btext")
     kt = txt.withColumnRenamed("__h", "__kh_t").withColumnRenamed("__text", "__ktext")
-    plan = plans.select("plan_handle", "query_plan")
-    er_key = ["blocked_spid", "__bh_r", "blocked_stmt_start", "blocked_stmt_end"]
-    er_plan = (requests.select(F.col("session_id").alias("blocked_spid"), F.col("sql_handle").alias("__bh_r"),
+    plan = plans.select(*_fleet(plans), "plan_handle", "query_plan")
+    er_key = fr + ["blocked_spid", "__bh_r", "blocked_stmt_start", "blocked_stmt_end"]
+    er_plan = (requests.select(*_fleet(requests), F.col("session_id").alias("blocked_spid"),
+                               F.col("sql_handle").alias("__bh_r"),
                                F.col("statement_start_offset").alias("blocked_stmt_start"),
                                F.col("statement_end_offset").alias("blocked_stmt_end"), "plan_handle")
-               .join(plan, "plan_handle").groupBy(*er_key).agg(F.min("query_plan").alias("__er_plan")))
-    qs = (query_stats.select("sql_handle", "statement_start_offset", "statement_end_offset", "creation_time",
-                             "last_execution_time", "plan_handle").join(plan, "plan_handle"))
+               .join(plan, fp + ["plan_handle"]).groupBy(*er_key).agg(F.min("query_plan").alias("__er_plan")))
+    qs = (query_stats.select(*_fleet(query_stats), "sql_handle", "statement_start_offset", "statement_end_offset",
+                             "creation_time", "last_execution_time", "plan_handle")
+          .join(plan, _fleet(query_stats, plans) + ["plan_handle"]))
     latest = F.max_by("query_plan", F.struct("last_execution_time", "plan_handle"))
-    k_plan = (qs.groupBy(F.col("sql_handle").alias("__kh_q"),
+    k_plan = (qs.groupBy(*fq, F.col("sql_handle").alias("__kh_q"),
                          F.col("statement_start_offset").alias("blocking_stmt_start"),
                          F.col("statement_end_offset").alias("blocking_stmt_end"))
               .agg(latest.alias("blocking_query_plan")))
-    b_qs = (nar.select("report_id", "event_date", "__bh_q", "blocked_stmt_start", "blocked_stmt_end")
-            .join(qs, (F.col("__bh_q") == qs["sql_handle"])
-                  & (F.col("blocked_stmt_start") == qs["statement_start_offset"])
-                  & (F.col("blocked_stmt_end") == qs["statement_end_offset"])
-                  & F.col("event_date").between(qs["creation_time"], qs["last_execution_time"]))
+    b_in = nar.select(*fq, "report_id", "event_date", F.col("__bh_q").alias("sql_handle"),
+                      F.col("blocked_stmt_start").alias("statement_start_offset"),
+                      F.col("blocked_stmt_end").alias("statement_end_offset"))
+    b_qs = (b_in.join(qs, fq + ["sql_handle", "statement_start_offset", "statement_end_offset"])
+            .filter(F.col("event_date").between(F.col("creation_time"), F.col("last_execution_time")))
             .groupBy("report_id").agg(latest.alias("__qs_plan")))
-    looked = (nar.join(bt, "__bh_t", "left").join(kt, "__kh_t", "left")
+    looked = (nar.join(bt, ft + ["__bh_t"], "left").join(kt, ft + ["__kh_t"], "left")
               .join(er_plan, er_key, "left")
-              .join(k_plan, ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "left")
+              .join(k_plan, fq + ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "left")
               .join(b_qs, "report_id", "left"))
     looked = looked.select(
         "report_id",
@@ -326,7 +343,7 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
         tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end").alias("blocking_sql"),
         F.coalesce("__er_plan", "__qs_plan").alias("blocked_query_plan"),
         "blocking_query_plan")
-    return incidents.join(looked, "report_id", "left")
+    return incidents.join(looked, "report_id", "left")  # report ids include the server
 
 
 EVENT_LOG_COLUMNS = ("incident_id", "event_date", "database_id", "resource", "wait_time", "blocked_process_report",
@@ -348,7 +365,7 @@ def event_log(messages: DataFrame, requests: DataFrame, query_stats: DataFrame,
     # shared checkpoint folder, which also cuts the lineage after the merge.
     inc = sinks.materialize(inc)
     out = enrich(inc, requests, query_stats, sql_text, plans).withColumnRenamed("report_id", "incident_id")
-    return out.select(*EVENT_LOG_COLUMNS)
+    return out.select(*_fleet(out), *EVENT_LOG_COLUMNS)
 
 
 INCIDENT_HEADERS = ("EventID", "Resource", "BlockingSPID", "BlockedProcessReport")
@@ -413,7 +430,7 @@ def merge_stream(reps: DataFrame, lateness: str = "10 minutes", lateness_seconds
     # microseconds as the wall-clock report time, the clock the timeouts use.
     k = k.withColumn("__wm", F.timestamp_micros("__t")).withWatermark("__wm", lateness)
     fold_in = (k.filter(~F.col("__null_key"))
-               .select(F.to_json(F.struct(*MERGE_KEY)).alias("__key"), "__wm", "__t",
+               .select(F.to_json(F.struct(*_merge_key(k))).alias("__key"), "__wm", "__t",
                        F.col("wait_time").alias("__w"), F.col("report_id").alias("__rid"),
                        F.col("arrival_ts").alias("__arr")))
     changes = fold_in.groupBy("__key").applyInPandasWithState(

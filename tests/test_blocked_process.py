@@ -201,3 +201,20 @@ def test_change_log_sink_is_idempotent_per_batch(spark, scratch):
     log = spark.read.parquet(scratch + "/log")
     assert log.count() == 3
     assert seen == [(2, 4), (2, 4)]
+
+
+def test_servers_never_merge_with_each_other(spark):
+    one = _messages(spark, [_msg(1, 5000, "2024-01-01T10:00:00"), _msg(1, 9000, "2024-01-01T10:00:04")])
+    two = one.withColumn("server_name", F.lit("A")).unionByName(one.withColumn("server_name", F.lit("B")))
+    inc = bp.merge_reports(bp.reports(bp.parse_messages(two))).collect()
+    assert sorted((r.server_name, r.wait_time) for r in inc) == [("A", 9000), ("B", 9000)]
+    text = spark.createDataFrame([("A", 1, "text of A"), ("B", 1, "text of B")],
+                                 "server_name string, sql_handle long, text string")
+    req = spark.createDataFrame([], "server_name string, session_id long, sql_handle long, "
+                                    "statement_start_offset long, statement_end_offset long, plan_handle long")
+    qs = spark.createDataFrame([], "server_name string, sql_handle long, statement_start_offset long, "
+                                   "statement_end_offset long, creation_time timestamp_ntz, "
+                                   "last_execution_time timestamp_ntz, plan_handle long")
+    plans = spark.createDataFrame([], "server_name string, plan_handle long, query_plan string")
+    log = bp.event_log(two, req, qs, text, plans).collect()
+    assert sorted((r.server_name, r.blocked_sql) for r in log) == [("A", "text of A"), ("B", "text of B")]
