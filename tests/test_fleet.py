@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dbtelemetry.operators import activity, consumers, jobs, schema_health, storage, tempdb
+from dbtelemetry.operators import activity, backups, consumers, inventory, jobs, schema_health, storage, tempdb
 from dbtelemetry.sources.fixtures import relation
 
 SERVERS = {"a": "/root/testdata/sf0.001", "b": "/root/testdata/sf0.01"}
@@ -47,6 +47,34 @@ CASES = {
                                                r("job_history"), keys=KEYS)),
     "tempdb_sessions": (lambda r: tempdb.tempdb_sessions(r("task_space_usage"), r("requests"), r("sql_text"),
                                                          r("query_plan"), keys=KEYS)),
+    "running_requests": (lambda r: activity.running_requests(r("requests"), r("sessions"), r("sql_text"),
+                                                             r("databases"), "2024-01-31 00:00:00", keys=KEYS)),
+    "session_status": (lambda r: activity.session_status(r("processes"), r("sql_text"), r("databases"), keys=KEYS)),
+    "kill_statements": (lambda r: activity.kill_statements(r("processes"), r("databases"), keys=KEYS)),
+    "requests_by_command": (lambda r: activity.requests_by_command(r("requests"), r("databases"), keys=KEYS)),
+    "tables_without_primary_key": (lambda r: schema_health.tables_without_primary_key(r("objects"), r("indexes"),
+                                                                                      keys=KEYS)),
+    "table_space": (lambda r: schema_health.table_space(r("objects"), r("objects_space"), keys=KEYS)),
+    "drop_statistics": (lambda r: schema_health.drop_statistics_statements(r("objects"), r("indexes"), keys=KEYS)),
+    "missing_index_requests": (lambda r: schema_health.requests_with_missing_indexes(
+        r("requests"), r("sql_text"), r("query_plan"), r("databases"), "2024-01-31 00:00:00", keys=KEYS)),
+    "backup_history": (lambda r: backups.backup_history(r("backupset"), r("backupmediafamily"), keys=KEYS)),
+    "last_restore": (lambda r: backups.last_restore(r("restore_history"), keys=KEYS)),
+    "file_sizes": (lambda r: storage.file_sizes(r("database_files"), r("databases"), keys=KEYS)),
+    "file_locations": (lambda r: storage.file_locations(r("database_files"), r("volume_stats"), r("databases"),
+                                                        keys=KEYS)),
+    "low_disk_space": (lambda r: storage.low_disk_space(r("database_files"), r("volume_stats"), keys=KEYS)),
+    "jobs_missing_step": (lambda r: jobs.jobs_missing_step(r("jobs"), r("job_steps"), keys=KEYS)),
+    "contention_counts": (lambda r: tempdb.contention_counts(r("waiting_tasks"), r("sessions"), keys=KEYS)),
+    "tempdb_requests": (lambda r: tempdb.tempdb_requests(r("task_space_usage"), r("requests"), keys=KEYS)),
+    "tempdb_space": (lambda r: tempdb.tempdb_space(r("file_space_usage"), keys=KEYS)),
+    "session_query": (lambda r: tempdb.session_query(r("sessions"), r("requests"), r("sql_text"), r("query_plan"),
+                                                     keys=KEYS)),
+    "orphaned_users": (lambda r: inventory.orphaned_users(r("database_principals"), r("server_principals"),
+                                                          keys=KEYS)),
+    "database_overview": (lambda r: inventory.database_overview(r("databases"), r("helpdb_output"), keys=KEYS)),
+    "mail_profiles": (lambda r: inventory.mail_profiles(r("mail_profile"), r("mail_profileaccount"),
+                                                        r("mail_account"), keys=KEYS)),
 }
 
 
