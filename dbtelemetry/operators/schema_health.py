@@ -176,22 +176,23 @@ def join_index_sets(a: DataFrame, b: DataFrame, keys: Keys = ()) -> DataFrame:
                       F.coalesce("in_b", F.lit(False)).alias("in_b"))
 
 
-def index_difference(a: DataFrame, b: DataFrame, index_name: str | None = None) -> DataFrame:
+def index_difference(a: DataFrame, b: DataFrame, index_name: str | None = None, keys: Keys = ()) -> DataFrame:
     """(table, index, key columns) rows of ``a`` not in ``b`` (``EXCEPT DISTINCT``; NULLs equal).
 
     The optional name filter applies to ``a`` only, as in the reference.
     """
-    cols = ["table_name", "index_name", "key_columns"]
+    cols = [*keys, "table_name", "index_name", "key_columns"]
     left = a if index_name is None else a.filter(F.col("index_name") == index_name)
     return left.select(*cols).subtract(b.select(*cols))
 
 
-def unused_procedures(procedures: DataFrame, procedure_stats: DataFrame) -> DataFrame:
+def unused_procedures(procedures: DataFrame, procedure_stats: DataFrame, keys: Keys = ()) -> DataFrame:
     """Names of user procedures with no cached statistics.
 
     A set difference **by name** (``EXCEPT``), so a name used in one schema
     hides the same name in another; duplicates collapse.
     """
     p = procedures.filter(F.col("is_ms_shipped") == 0)
-    used = p.join(procedure_stats.select("object_id"), "object_id").select(F.col("name").alias("sp_name"))
-    return p.select(F.col("name").alias("sp_name")).subtract(used)
+    used = (p.join(procedure_stats.select(*keys, "object_id"), on(["object_id"], keys))
+            .select(*keys, F.col("name").alias("sp_name")))
+    return p.select(*keys, F.col("name").alias("sp_name")).subtract(used)

@@ -73,6 +73,11 @@ CASES = {
     "orphaned_users": (lambda r: inventory.orphaned_users(r("database_principals"), r("server_principals"),
                                                           keys=KEYS)),
     "database_overview": (lambda r: inventory.database_overview(r("databases"), r("helpdb_output"), keys=KEYS)),
+    "unused_procedures": (lambda r: schema_health.unused_procedures(r("objects").filter("type = 'P'"),
+                                                                    r("procedure_stats"), keys=KEYS)),
+    "index_difference": (lambda r: schema_health.index_difference(
+        schema_health.index_definitions(r("indexes"), r("objects"), r("index_columns"), keys=KEYS),
+        schema_health.index_definitions(r("indexes"), r("objects"), r("index_columns_b"), keys=KEYS), keys=KEYS)),
     "mail_profiles": (lambda r: inventory.mail_profiles(r("mail_profile"), r("mail_profileaccount"),
                                                         r("mail_account"), keys=KEYS)),
 }
