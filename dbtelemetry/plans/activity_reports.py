@@ -8,31 +8,29 @@ from dbtelemetry.sources.fixtures import AS_OF_ACTIVITY
 
 
 @report("current_waits", ("waiting_tasks", "sessions", "requests", "sql_text", "query_plan"), """
-SELECT owt.session_id, owt.exec_context_id, owt.wait_duration_ms, owt.wait_type, owt.blocking_session_id,
-       owt.resource_description, es.program_name, est.text, est.dbid, eqp.query_plan, es.cpu_time, es.memory_usage
-FROM waiting_tasks owt
-JOIN sessions es ON owt.session_id = es.session_id
-JOIN requests er ON es.session_id = er.session_id
-LEFT JOIN sql_text est ON est.sql_handle = er.sql_handle
-LEFT JOIN query_plan eqp ON eqp.plan_handle = er.plan_handle
-WHERE es.is_user_process = 1
+SELECT session_id, exec_context_id, wait_duration_ms, wait_type, blocking_session_id, resource_description,
+       program_name, text, dbid, query_plan, cpu_time, memory_usage
+FROM waiting_tasks
+JOIN (SELECT session_id, program_name, cpu_time, memory_usage FROM sessions WHERE is_user_process = 1) USING (session_id)
+JOIN (SELECT session_id, sql_handle, plan_handle FROM requests) USING (session_id)
+LEFT JOIN (SELECT sql_handle, dbid, text FROM sql_text) USING (sql_handle)
+LEFT JOIN query_plan USING (plan_handle)
 """)
 def _current_waits(rel):
     """Waiting tasks of user sessions with request text and plan."""
     return activity.current_waits(rel.waiting_tasks, rel.sessions, rel.requests, rel.sql_text, rel.query_plan)
 
 
-@report("current_waits_described",
-        ("waiting_tasks", "sessions", "requests", "sql_text", "wait_type_description", "databases"), """
-SELECT owt.session_id, owt.blocking_session_id, d.name AS database_name, owt.wait_type, wtd.wait_type_desc,
-       est.text, owt.resource_description, es.program_name
-FROM waiting_tasks owt
-JOIN sessions es ON owt.session_id = es.session_id
-JOIN requests er ON es.session_id = er.session_id
-JOIN wait_type_description wtd ON owt.wait_type = wtd.wait_type
-LEFT JOIN sql_text est ON est.sql_handle = er.sql_handle
-LEFT JOIN databases d ON d.database_id = est.dbid
-WHERE es.is_user_process = 1
+@report("current_waits_described", ("waiting_tasks", "sessions", "requests", "sql_text", "wait_type_description", "databases"), """
+WITH named_db AS (SELECT database_id AS dbid, name AS database_name FROM databases)
+SELECT session_id, blocking_session_id, database_name, wait_type, wait_type_desc, text, resource_description,
+       program_name
+FROM (SELECT session_id, blocking_session_id, wait_type, resource_description FROM waiting_tasks)
+JOIN wait_type_description USING (wait_type)
+JOIN (SELECT session_id, program_name FROM sessions WHERE is_user_process = 1) USING (session_id)
+JOIN (SELECT session_id, sql_handle FROM requests) USING (session_id)
+LEFT JOIN (SELECT sql_handle, dbid, text FROM sql_text) USING (sql_handle)
+LEFT JOIN named_db USING (dbid)
 """)
 def _current_waits_described(rel):
     """Waits with wait-type description (inner) and database name."""
@@ -41,14 +39,13 @@ def _current_waits_described(rel):
 
 
 @report("active_sessions", ("sessions", "requests", "sql_text", "query_plan", "databases"), """
-SELECT es.session_id, es.host_name, es.login_name, es.status, d.name AS database_name, es.program_name,
-       est.text, eqp.query_plan
-FROM sessions es
-JOIN requests er ON es.session_id = er.session_id
-LEFT JOIN sql_text est ON est.sql_handle = er.sql_handle
-LEFT JOIN query_plan eqp ON eqp.plan_handle = er.plan_handle
-LEFT JOIN databases d ON d.database_id = es.database_id
-WHERE es.is_user_process = 1
+SELECT session_id, host_name, login_name, status, database_name, program_name, text, query_plan
+FROM (SELECT session_id, host_name, login_name, status, database_id, program_name FROM sessions
+      WHERE is_user_process = 1)
+JOIN (SELECT session_id, sql_handle, plan_handle FROM requests) USING (session_id)
+LEFT JOIN (SELECT sql_handle, text FROM sql_text) USING (sql_handle)
+LEFT JOIN query_plan USING (plan_handle)
+LEFT JOIN (SELECT database_id, name AS database_name FROM databases) USING (database_id)
 """)
 def _active_sessions(rel):
     """User sessions with a request, text and plan."""
@@ -56,21 +53,23 @@ def _active_sessions(rel):
 
 
 @report("running_requests", ("requests", "sessions", "sql_text", "databases"), f"""
+WITH live AS (
+  SELECT q.*, u.host_name, u.client_interface_name, u.program_name, u.login_name, u.status AS session_status,
+         u.last_request_start_time, t.text,
+         CASE WHEN q.statement_end_offset = -1 THEN 2 * length(t.text) ELSE q.statement_end_offset END AS end_byte
+  FROM requests q
+  JOIN sessions u ON u.session_id = q.session_id AND u.is_user_process = 1
+  JOIN sql_text t ON t.sql_handle = q.sql_handle),
+cut AS (SELECT *, statement_start_offset // 2 + 1 AS first_char,
+               (end_byte - statement_start_offset) // 2 + 1 AS n_chars FROM live)
 SELECT CAST(NULL AS VARCHAR) AS object_name,
-       CASE WHEN ((CASE req.statement_end_offset WHEN -1 THEN 2 * length(st.text) ELSE req.statement_end_offset END
-                   - req.statement_start_offset) // 2) + 1 < 0 THEN NULL
-            ELSE substring(st.text, (req.statement_start_offset // 2) + 1,
-                 ((CASE req.statement_end_offset WHEN -1 THEN 2 * length(st.text) ELSE req.statement_end_offset END
-                   - req.statement_start_offset) // 2) + 1) END AS statement_text,
-       d.name AS database_name, req.cpu_time,
-       datediff('minute', sess.last_request_start_time, TIMESTAMP '{AS_OF_ACTIVITY}') AS running_minutes,
-       req.percent_complete, sess.host_name AS running_from, left(sess.client_interface_name, 25) AS running_by,
-       sess.session_id, req.blocking_session_id AS blocking_with, req.reads, req.writes, sess.program_name,
-       sess.login_name, sess.status, sess.last_request_start_time, req.logical_reads
-FROM requests req
-JOIN sessions sess ON sess.session_id = req.session_id AND sess.is_user_process = 1
-JOIN sql_text st ON st.sql_handle = req.sql_handle
-LEFT JOIN databases d ON d.database_id = req.database_id
+       CASE WHEN n_chars < 0 THEN NULL ELSE substring(text, first_char, n_chars) END AS statement_text,
+       d.name AS database_name, cpu_time,
+       date_diff('minute', last_request_start_time, TIMESTAMP '{AS_OF_ACTIVITY}') AS running_minutes,
+       percent_complete, host_name AS running_from, left(client_interface_name, 25) AS running_by, session_id,
+       blocking_session_id AS blocking_with, reads, writes, program_name, login_name, session_status AS status,
+       last_request_start_time, logical_reads
+FROM cut LEFT JOIN databases d USING (database_id)
 """)
 def _running_requests(rel):
     """Running statements with statement text and minutes since last request start."""
@@ -78,19 +77,15 @@ def _running_requests(rel):
 
 
 @report("root_blockers", ("locks",), """
-SELECT DISTINCT l.request_session_id
-FROM locks l JOIN locks l1 ON l.resource_associated_entity_id = l1.resource_associated_entity_id
-WHERE l.request_status <> l1.request_status
-  AND (l.resource_description = l1.resource_description
-       OR (l.resource_description IS NULL AND l1.resource_description IS NULL))
-  AND l.request_status = 'GRANT'
-  AND l.request_session_id NOT IN (
-      SELECT DISTINCT l.request_session_id
-      FROM locks l JOIN locks l1 ON l.resource_associated_entity_id = l1.resource_associated_entity_id
-      WHERE l.request_status <> l1.request_status
-        AND (l.resource_description = l1.resource_description
-             OR (l.resource_description IS NULL AND l1.resource_description IS NULL))
-        AND l.request_status = 'WAIT')
+WITH clash AS (
+  SELECT x.request_session_id AS sid, x.request_status AS st
+  FROM locks x, locks y
+  WHERE x.resource_associated_entity_id = y.resource_associated_entity_id
+    AND x.resource_description IS NOT DISTINCT FROM y.resource_description
+    AND x.request_status <> y.request_status),
+holders AS (SELECT DISTINCT sid FROM clash WHERE st = 'GRANT'),
+waiters AS (SELECT DISTINCT sid FROM clash WHERE st = 'WAIT')
+SELECT sid AS request_session_id FROM holders WHERE sid NOT IN (SELECT sid FROM waiters)
 """)
 def _root_blockers(rel):
     """Sessions holding a conflicting lock while waiting on none (one-pass form)."""
@@ -98,10 +93,10 @@ def _root_blockers(rel):
 
 
 @report("session_status", ("processes", "sql_text", "databases"), """
-SELECT sp.spid, sp.loginame, sp.hostname, sp.blocked, d.name AS dbname, sp.cmd, sp.waittime, st.text
-FROM processes sp
-JOIN sql_text st ON st.sql_handle = sp.sql_handle
-LEFT JOIN databases d ON d.database_id = sp.dbid
+SELECT spid, loginame, hostname, blocked, dbname, cmd, waittime, text
+FROM processes
+JOIN (SELECT sql_handle, text FROM sql_text) USING (sql_handle)
+LEFT JOIN (SELECT database_id AS dbid, name AS dbname FROM databases) USING (dbid)
 """)
 def _session_status(rel):
     """Process rows with database name and batch text, all sessions."""
@@ -109,18 +104,16 @@ def _session_status(rel):
 
 
 @report("blocked_pairs", ("processes", "sql_text"), f"""
-WITH buf AS (SELECT p.spid, left(st.text, 255) AS event_info
-             FROM processes p JOIN sql_text st ON st.sql_handle = p.sql_handle)
-SELECT TIMESTAMP '{AS_OF_ACTIVITY}' AS creation_date, t1.spid, t1.blocked AS blocked1, t2.blocked AS blocked2,
-       t1.waittime, t1.dbid, t1.cmd, t1.loginame,
-       b0.event_info AS query_blocked, b1.event_info AS query_blocked_by1,
-       CASE WHEN t2.blocked > 0 THEN b2.event_info END AS query_blocked_by2
-FROM processes t1
-JOIN processes t2 ON t2.spid = t1.blocked
-LEFT JOIN buf b0 ON b0.spid = t1.spid
-LEFT JOIN buf b1 ON b1.spid = t1.blocked
-LEFT JOIN buf b2 ON b2.spid = t2.blocked
-WHERE t1.blocked <> 0 AND t1.waittime > 60 * 1000
+WITH buffer AS (SELECT spid, left(text, 255) AS event_info FROM processes JOIN sql_text USING (sql_handle)),
+waiting AS (SELECT spid, blocked AS blocked1, waittime, dbid, cmd, loginame FROM processes
+            WHERE blocked <> 0 AND waittime > 60000),
+chain AS (SELECT w.*, p.blocked AS blocked2 FROM waiting w JOIN processes p ON p.spid = w.blocked1)
+SELECT TIMESTAMP '{AS_OF_ACTIVITY}' AS creation_date, chain.spid, blocked1, blocked2, waittime, dbid, cmd, loginame,
+       (SELECT event_info FROM buffer WHERE buffer.spid = chain.spid) AS query_blocked,
+       (SELECT event_info FROM buffer WHERE buffer.spid = chain.blocked1) AS query_blocked_by1,
+       CASE WHEN blocked2 > 0 THEN (SELECT event_info FROM buffer WHERE buffer.spid = chain.blocked2) END
+         AS query_blocked_by2
+FROM chain
 """)
 def _blocked_pairs(rel):
     """Blocked sessions over 60 s with blocker, second-level blocker and their input buffers."""
@@ -129,10 +122,9 @@ def _blocked_pairs(rel):
 
 
 @report("requests_by_command", ("requests", "databases"), """
-SELECT r.percent_complete, r.session_id, r.command, d.name AS database_name, r.dop, r.blocking_session_id,
-       r.wait_type
-FROM requests r LEFT JOIN databases d ON d.database_id = r.database_id
-WHERE r.command ILIKE '%restore%' OR r.command ILIKE '%backup%'
+SELECT percent_complete, session_id, command, database_name, dop, blocking_session_id, wait_type
+FROM requests LEFT JOIN (SELECT database_id, name AS database_name FROM databases) USING (database_id)
+WHERE lower(command) LIKE '%restore%' OR lower(command) LIKE '%backup%'
 """)
 def _requests_by_command(rel):
     """Backup and restore requests with progress."""
@@ -140,7 +132,7 @@ def _requests_by_command(rel):
 
 
 @report("statement_of", ("processes", "sql_text"), """
-SELECT p.spid, st.text FROM processes p JOIN sql_text st ON st.sql_handle = p.sql_handle
+SELECT spid, text FROM processes JOIN (SELECT sql_handle, text FROM sql_text) USING (sql_handle)
 """)
 def _statement_of(rel):
     """Batch text of every session's handle."""
@@ -148,9 +140,8 @@ def _statement_of(rel):
 
 
 @report("kill_statements", ("processes", "databases"), """
-SELECT d.name AS database_name, p.spid, 'kill ' || left(CAST(p.spid AS VARCHAR), 5) || ' -- ' || p.loginame
-       AS kill_statement
-FROM processes p JOIN databases d ON p.dbid = d.database_id
+SELECT name AS database_name, spid, concat('kill ', left(spid::VARCHAR, 5), ' -- ') || loginame AS kill_statement
+FROM processes JOIN (SELECT database_id AS dbid, name FROM databases) USING (dbid)
 """)
 def _kill_statements(rel):
     """Kill statement text per session, for all databases."""
@@ -158,14 +149,14 @@ def _kill_statements(rel):
 
 
 def _top_sql(measure: str, with_handle: bool = False) -> str:
-    handle = "qs.sql_handle, " if with_handle else ""
+    handle = "sql_handle, " if with_handle else ""
     return f"""
-SELECT {handle}qs.{measure}, st.dbid, d.name AS db_name, st.text
-FROM query_stats qs
-JOIN sql_text st ON st.sql_handle = qs.sql_handle
-LEFT JOIN databases d ON d.database_id = st.dbid
-ORDER BY qs.{measure} DESC, qs.sql_handle, qs.plan_handle, qs.statement_start_offset, qs.statement_end_offset
-LIMIT 10
+WITH ranked AS (
+  SELECT * FROM query_stats WHERE sql_handle IN (SELECT sql_handle FROM sql_text)
+  ORDER BY {measure} DESC, sql_handle, plan_handle, statement_start_offset, statement_end_offset LIMIT 10)
+SELECT {handle}{measure}, dbid, name AS db_name, text
+FROM ranked JOIN (SELECT sql_handle, dbid, text FROM sql_text) USING (sql_handle)
+LEFT JOIN (SELECT database_id AS dbid, name FROM databases) USING (dbid)
 """
 
 
@@ -193,15 +184,16 @@ for _m, _n in _TOP_NAMES.items():
 
 
 @report("log_consumers", ("database_transactions", "session_transactions", "requests", "sql_text", "databases"), """
-SELECT t1.database_id, d.name AS db_name, t4.text, t1.begin_time, t1.log_bytes_reserved, t1.log_record_count,
-       t3.session_id, t3.request_id
-FROM database_transactions t1
-JOIN session_transactions t2 ON t2.transaction_id = t1.transaction_id
-JOIN requests t3 ON t3.session_id = t2.session_id
-JOIN sql_text t4 ON t4.sql_handle = t3.sql_handle
-LEFT JOIN databases d ON d.database_id = t1.database_id
-ORDER BY t1.log_record_count DESC, t1.transaction_id, t1.database_id, t1.begin_time, t1.log_bytes_reserved,
-         t3.session_id, t3.request_id
+WITH expanded AS (
+  SELECT dt.transaction_id, dt.database_id, dt.begin_time, dt.log_bytes_reserved, dt.log_record_count,
+         q.session_id, q.request_id, t.text
+  FROM database_transactions dt
+  JOIN session_transactions USING (transaction_id)
+  JOIN requests q USING (session_id)
+  JOIN sql_text t ON t.sql_handle = q.sql_handle)
+SELECT database_id, d.name AS db_name, text, begin_time, log_bytes_reserved, log_record_count, session_id, request_id
+FROM expanded LEFT JOIN databases d USING (database_id)
+ORDER BY log_record_count DESC, transaction_id, database_id, begin_time, log_bytes_reserved, session_id, request_id
 LIMIT 10
 """)
 def _log_consumers(rel):
