@@ -21,12 +21,11 @@ def _td(x: str) -> str:
 # ---------------------------------------------------------------- indexes, tables, procedures
 
 @report("unused_indexes", ("indexes", "index_usage_stats", "objects"), """
-SELECT CAST(NULL AS VARCHAR) AS db_name, o.name AS table_name, i.name AS index_name, i.index_id, i.type_desc,
-       i.is_primary_key
-FROM indexes i
-JOIN objects o ON o.object_id = i.object_id AND o.type = 'U'
-LEFT JOIN index_usage_stats u ON u.object_id = i.object_id AND u.index_id = i.index_id
-WHERE u.user_seeks IS NULL AND u.user_scans IS NULL AND u.user_lookups IS NULL
+WITH user_tables AS (SELECT object_id, name AS table_name FROM objects WHERE rtrim(type) = 'U'),
+usage AS (SELECT object_id, index_id, user_seeks, user_scans, user_lookups FROM index_usage_stats)
+SELECT NULL::VARCHAR AS db_name, table_name, name AS index_name, index_id, type_desc, is_primary_key
+FROM indexes JOIN user_tables USING (object_id) LEFT JOIN usage USING (object_id, index_id)
+WHERE coalesce(user_seeks, user_scans, user_lookups) IS NULL
 """)
 def _unused_indexes(rel):
     """Indexes of user tables without usage."""
@@ -40,8 +39,9 @@ def _missing_index_details(rel):
 
 
 @report("tables_without_primary_key", ("objects", "indexes"), """
-SELECT o.object_id AS id, 'dbo.' || o.name AS table_name FROM objects o
-WHERE o.type = 'U' AND NOT EXISTS (SELECT 1 FROM indexes i WHERE i.object_id = o.object_id AND i.is_primary_key = 1)
+SELECT object_id AS id, concat('dbo.', name) AS table_name FROM objects
+WHERE rtrim(type) = 'U'
+  AND object_id NOT IN (SELECT object_id FROM indexes WHERE is_primary_key = 1 AND object_id IS NOT NULL)
 """)
 def _tables_without_pk(rel):
     """User tables with no primary key."""
@@ -49,9 +49,9 @@ def _tables_without_pk(rel):
 
 
 @report("table_row_counts", ("objects", "indexes"), """
-SELECT t1.object_id AS id, 'dbo.' || t1.name AS table_name, t2.row_count AS rows
-FROM objects t1 JOIN indexes t2 ON t1.object_id = t2.object_id
-WHERE t1.type = 'U' AND t2.type_desc IN ('HEAP', 'CLUSTERED')
+SELECT object_id AS id, concat('dbo.', o.name) AS table_name, row_count AS rows
+FROM (SELECT object_id, name FROM objects WHERE rtrim(type) = 'U') o
+JOIN (SELECT object_id, row_count FROM indexes WHERE type_desc = 'HEAP' OR type_desc = 'CLUSTERED') USING (object_id)
 """)
 def _table_row_counts(rel):
     """Rows per user table from heap or clustered index."""
@@ -59,10 +59,10 @@ def _table_row_counts(rel):
 
 
 @report("table_space", ("objects", "objects_space"), """
-SELECT o.name AS table_name, CAST(SUM(s.reserved_pages) * 8 AS BIGINT) AS reserved_kb,
-       CAST(SUM(s.data_pages) * 8 AS BIGINT) AS data_kb
-FROM objects o JOIN objects_space s ON s.object_id = o.object_id
-WHERE o.type = 'U' GROUP BY o.object_id, o.name
+WITH per_object AS (SELECT object_id, sum(reserved_pages) AS r, sum(data_pages) AS d FROM objects_space
+                    GROUP BY object_id)
+SELECT name AS table_name, (r * 8)::BIGINT AS reserved_kb, (d * 8)::BIGINT AS data_kb
+FROM per_object JOIN (SELECT object_id, name FROM objects WHERE rtrim(type) = 'U') USING (object_id)
 """)
 def _table_space(rel):
     """Reserved and data space per user table."""
@@ -70,10 +70,11 @@ def _table_space(rel):
 
 
 @report("drop_statistics_statements", ("objects", "indexes"), """
-SELECT 'drop statistics ' || '[dbo]' || '.' || '[' || replace(obj.name, ']', ']]') || ']' || '.'
-       || '[' || replace(ndx.name, ']', ']]') || ']' AS drop_statement
-FROM objects obj JOIN indexes ndx ON ndx.object_id = obj.object_id
-WHERE obj.type IN ('U', 'V') AND ndx.is_statistics = 1
+WITH quoted AS (
+  SELECT '[' || replace(o.name, ']', ']]') || ']' AS q_table, '[' || replace(i.name, ']', ']]') || ']' AS q_stat
+  FROM (SELECT object_id, name FROM objects WHERE rtrim(type) IN ('U', 'V')) o
+  JOIN (SELECT object_id, name FROM indexes WHERE is_statistics = 1) i USING (object_id))
+SELECT concat('drop statistics [dbo].', q_table, '.', q_stat) AS drop_statement FROM quoted
 """)
 def _drop_statistics(rel):
     """Drop-statistics statements for tables and views."""
@@ -81,15 +82,14 @@ def _drop_statistics(rel):
 
 
 @report("requests_with_missing_indexes", ("requests", "sql_text", "query_plan", "databases"), f"""
-SELECT er.session_id, er.blocking_session_id, er.start_time, er.status, d.name AS db_name, er.wait_type,
-       er.wait_time, er.reads, er.logical_reads, er.writes, er.cpu_time, s.text, qp.query_plan,
-       CAST(TIMESTAMP '{AS_OF_ACTIVITY}' AS DATE) AS log_date,
-       strftime(TIMESTAMP '{AS_OF_ACTIVITY}', '%H:%M:%S') AS log_time
-FROM requests er
-JOIN sql_text s ON s.sql_handle = er.sql_handle
-JOIN query_plan qp ON qp.plan_handle = er.plan_handle
-LEFT JOIN databases d ON d.database_id = er.database_id
-WHERE CAST(qp.query_plan AS VARCHAR) ILIKE '%<missing%'
+WITH flagged AS (
+  SELECT plan_handle, query_plan FROM query_plan WHERE lower(query_plan::VARCHAR) LIKE '%<missing%')
+SELECT session_id, blocking_session_id, start_time, status, d.name AS db_name, wait_type, wait_time, reads,
+       logical_reads, writes, cpu_time, text, query_plan,
+       (TIMESTAMP '{AS_OF_ACTIVITY}')::DATE AS log_date, strftime(TIMESTAMP '{AS_OF_ACTIVITY}', '%H:%M:%S') AS log_time
+FROM requests JOIN flagged USING (plan_handle)
+JOIN (SELECT sql_handle, text FROM sql_text) USING (sql_handle)
+LEFT JOIN databases d USING (database_id)
 """)
 def _requests_missing_idx(rel):
     """Requests whose plan reports a missing index."""
@@ -98,15 +98,17 @@ def _requests_missing_idx(rel):
 
 
 @report("index_definitions", ("indexes", "objects", "index_columns"), """
-SELECT o.name AS table_name, i.name AS index_name,
-       (SELECT string_agg(ic.column_name || ', ', '' ORDER BY ic.index_column_id) FROM index_columns ic
-        WHERE i.object_id = ic.object_id AND i.index_id = ic.index_id AND ic.is_included_column = 0) AS key_columns,
-       (SELECT string_agg(ic.column_name || ', ', '' ORDER BY ic.index_column_id) FROM index_columns ic
-        WHERE i.object_id = ic.object_id AND i.index_id = ic.index_id AND ic.is_included_column = 1)
-        AS included_columns,
-       i.type_desc AS index_type, i.is_unique, i.is_primary_key
-FROM indexes i JOIN objects o ON i.object_id = o.object_id
-WHERE o.is_ms_shipped = 0
+WITH lists AS (
+  SELECT object_id, index_id,
+         string_agg(column_name || ', ', '' ORDER BY index_column_id) FILTER (WHERE is_included_column = 0)
+           AS key_columns,
+         string_agg(column_name || ', ', '' ORDER BY index_column_id) FILTER (WHERE is_included_column = 1)
+           AS included_columns
+  FROM index_columns GROUP BY object_id, index_id)
+SELECT o.name AS table_name, ix.name AS index_name, key_columns, included_columns, type_desc AS index_type,
+       is_unique, is_primary_key
+FROM indexes ix JOIN (SELECT object_id, name FROM objects WHERE is_ms_shipped = 0) o USING (object_id)
+LEFT JOIN lists USING (object_id, index_id)
 """)
 def _index_definitions(rel):
     """Key and included columns per index."""
@@ -114,10 +116,9 @@ def _index_definitions(rel):
 
 
 @report("unused_procedures", ("objects", "procedure_stats"), """
-SELECT p.name AS sp_name FROM objects p WHERE p.type = 'P' AND p.is_ms_shipped = 0
-EXCEPT
-SELECT p.name AS sp_name FROM objects p JOIN procedure_stats qs ON p.object_id = qs.object_id
-WHERE p.type = 'P' AND p.is_ms_shipped = 0
+WITH procs AS (SELECT object_id, name FROM objects WHERE rtrim(type) = 'P' AND is_ms_shipped = 0)
+SELECT DISTINCT name AS sp_name FROM procs
+WHERE name NOT IN (SELECT name FROM procs JOIN procedure_stats USING (object_id))
 """)
 def _unused_procedures(rel):
     """Procedures with no cached execution statistics (procedures are objects of type P)."""
@@ -128,18 +129,19 @@ def _unused_procedures(rel):
 # ---------------------------------------------------------------- backups
 
 _BACKUP_HISTORY_SQL = """
-SELECT bs.server_name AS server, bs.database_name,
-       CASE bs.compatibility_level WHEN 80 THEN 'SQL Server 2000' WHEN 90 THEN 'SQL Server 2005 '
-            WHEN 100 THEN 'SQL Server 2008' WHEN 110 THEN 'SQL Server 2011' END AS compatibility_level,
-       bs.recovery_model,
-       CASE bs.type WHEN 'D' THEN 'Full' WHEN 'I' THEN 'Differential' WHEN 'L' THEN 'Log'
-            WHEN 'F' THEN 'File or filegroup' WHEN 'G' THEN 'Differential file' WHEN 'P' THEN 'P'
-            WHEN 'Q' THEN 'Differential partial' END AS backup_type,
-       bs.backup_start_date, bs.backup_finish_date, bmf.physical_device_name AS physical_device,
-       CASE bmf.device_type WHEN 2 THEN 'Disk - Temporary' WHEN 102 THEN 'Disk - Permanent'
-            WHEN 5 THEN 'Tape - Temporary' WHEN 105 THEN 'Tape - Temporary' ELSE 'Other Device' END AS device_type,
-       bs.backup_size
-FROM backupset bs INNER JOIN backupmediafamily bmf ON bs.media_set_id = bmf.media_set_id
+WITH level_label(level, label) AS (VALUES (80, 'SQL Server 2000'), (90, 'SQL Server 2005 '), (100, 'SQL Server 2008'),
+                                          (110, 'SQL Server 2011')),
+     kind_label(code, label) AS (VALUES ('D', 'Full'), ('I', 'Differential'), ('L', 'Log'), ('F', 'File or filegroup'),
+                                        ('G', 'Differential file'), ('P', 'P'), ('Q', 'Differential partial')),
+     device_label(code, label) AS (VALUES (2, 'Disk - Temporary'), (102, 'Disk - Permanent'), (5, 'Tape - Temporary'),
+                                          (105, 'Tape - Temporary'))
+SELECT b.server_name AS server, b.database_name, lv.label AS compatibility_level, b.recovery_model,
+       kd.label AS backup_type, b.backup_start_date, b.backup_finish_date, m.physical_device_name AS physical_device,
+       coalesce(dv.label, 'Other Device') AS device_type, b.backup_size
+FROM backupset b JOIN backupmediafamily m USING (media_set_id)
+LEFT JOIN level_label lv ON lv.level = b.compatibility_level
+LEFT JOIN kind_label kd ON kd.code = b.type
+LEFT JOIN device_label dv ON dv.code = m.device_type
 """
 
 
@@ -150,12 +152,10 @@ def _backup_history(rel):
 
 
 _WEEKLY_SQL = f"""
-SELECT bs.server_name AS server, bs.database_name,
-       strftime(bs.backup_start_date, '%d %b %Y %H:%M:%S') AS backup_start,
-       datediff('minute', bs.backup_start_date, bs.backup_finish_date) AS run_time_minutes,
-       bs.backup_start_date
-FROM backupset bs INNER JOIN backupmediafamily bmf ON bs.media_set_id = bmf.media_set_id
-WHERE bs.backup_start_date > TIMESTAMP '{AS_OF_BACKUP}' - INTERVAL 6 DAY
+SELECT server_name AS server, database_name, strftime(backup_start_date, '%d %b %Y %H:%M:%S') AS backup_start,
+       date_diff('minute', backup_start_date, backup_finish_date) AS run_time_minutes, backup_start_date
+FROM (SELECT * FROM backupset WHERE backup_start_date + INTERVAL 6 DAY > TIMESTAMP '{AS_OF_BACKUP}')
+JOIN (SELECT media_set_id FROM backupmediafamily) USING (media_set_id)
 """
 
 
@@ -193,10 +193,9 @@ def _weekly_backup_html(rel):
 
 
 @report("last_restore", ("restore_history",), """
-SELECT destination_database_name, restore_id, restore_date FROM (
-  SELECT *, row_number() OVER (PARTITION BY destination_database_name
-                               ORDER BY restore_date DESC, restore_id DESC) AS rn
-  FROM restore_history) t WHERE rn = 1
+SELECT destination_database_name, arg_max(restore_id, (restore_date, restore_id)) AS restore_id,
+       max(restore_date) AS restore_date
+FROM restore_history GROUP BY destination_database_name
 """)
 def _last_restore(rel):
     """Latest restore per database."""
@@ -204,10 +203,9 @@ def _last_restore(rel):
 
 
 @report("backup_file_names", ("backupset",), f"""
-SELECT DISTINCT database_name,
-       database_name || '_' || strftime(CAST(TIMESTAMP '{AS_OF_BACKUP}' AS DATE) - INTERVAL 1 DAY, '%Y%m%d') || '.bak'
+SELECT database_name, database_name || '_' || strftime(CAST(TIMESTAMP '{AS_OF_BACKUP}' AS DATE) - 1, '%Y%m%d') || '.bak'
        AS file_name
-FROM backupset
+FROM (SELECT DISTINCT database_name FROM backupset)
 """)
 def _backup_file_names(rel):
     """Yesterday's backup file name for every backed-up database."""
@@ -219,17 +217,21 @@ def _backup_file_names(rel):
 # ---------------------------------------------------------------- files, volumes, CPU
 
 @report("file_free_space", ("database_files", "filegroups"), """
-SELECT a.type_desc AS type, a.name AS file_name, fg.name AS filegroup_name, a.physical_name AS file_location,
-       CAST(a.size / 128.0 AS DECIMAL(10,2)) AS filesize_mb,
-       CAST(a.size / 128.0 - ((a.size / 128.0) - a.used_pages / 128.0) AS DECIMAL(10,2)) AS usedspace_mb,
-       CAST(a.size / 128.0 - a.used_pages / 128.0 AS DECIMAL(10,2)) AS freespace_mb,
-       CAST(((a.size / 128.0 - a.used_pages / 128.0) / (a.size / 128.0)) * 100 AS DECIMAL(10,2)) AS freespace_pct,
-       'By ' || CASE a.is_percent_growth WHEN 0 THEN CAST(a.growth // 128 AS VARCHAR) || ' MB -'
-                 WHEN 1 THEN CAST(a.growth AS VARCHAR) || '% -' ELSE '' END
-             || CASE a.max_size WHEN 0 THEN 'DISABLED' WHEN -1 THEN ' Unrestricted'
-                 ELSE ' Restricted to ' || CAST(a.max_size // (128 * 1024) AS VARCHAR) || ' GB' END
-             || CASE a.is_percent_growth WHEN 1 THEN ' [autogrowth by percent, BAD setting!]' ELSE '' END AS autogrow
-FROM database_files a LEFT JOIN filegroups fg ON a.data_space_id = fg.data_space_id
+WITH pages AS (
+  SELECT f.*, g.name AS filegroup_name, size / 128.0 AS size_mb, used_pages / 128.0 AS used_mb
+  FROM database_files f LEFT JOIN (SELECT data_space_id, name FROM filegroups) g USING (data_space_id))
+SELECT type_desc AS type, name AS file_name, filegroup_name, physical_name AS file_location,
+       size_mb::DECIMAL(10,2) AS filesize_mb,
+       (size_mb - (size_mb - used_mb))::DECIMAL(10,2) AS usedspace_mb,
+       (size_mb - used_mb)::DECIMAL(10,2) AS freespace_mb,
+       ((size_mb - used_mb) / size_mb * 100)::DECIMAL(10,2) AS freespace_pct,
+       concat('By ',
+              CASE is_percent_growth WHEN 0 THEN printf('%d MB -', growth // 128)
+                                     WHEN 1 THEN printf('%d%% -', growth) ELSE '' END,
+              CASE max_size WHEN 0 THEN 'DISABLED' WHEN -1 THEN ' Unrestricted'
+                            ELSE printf(' Restricted to %d GB', max_size // 131072) END,
+              CASE WHEN is_percent_growth = 1 THEN ' [autogrowth by percent, BAD setting!]' ELSE '' END) AS autogrow
+FROM pages
 """)
 def _file_free_space(rel):
     """Size, used and free space per file, with autogrowth text."""
@@ -237,9 +239,9 @@ def _file_free_space(rel):
 
 
 @report("file_sizes", ("database_files", "databases"), """
-SELECT d.name AS database_name, f.name, (f.size * 8) // 1024 AS size_mb
-FROM database_files f LEFT JOIN databases d ON d.database_id = f.database_id
-WHERE d.name NOT IN ('master', 'msdb', 'model')
+SELECT database_name, name, size * 8 // 1024 AS size_mb
+FROM database_files LEFT JOIN (SELECT database_id, name AS database_name FROM databases) USING (database_id)
+WHERE database_name NOT IN ('master', 'msdb', 'model')
 """)
 def _file_sizes(rel):
     """File sizes in MB for all non-system databases."""
@@ -247,15 +249,15 @@ def _file_sizes(rel):
 
 
 _VOLUMES_SQL = """
-FROM database_files mf JOIN volume_stats dovs ON dovs.database_id = mf.database_id AND dovs.file_id = mf.file_id
+FROM (SELECT database_id, file_id, physical_name FROM database_files)
+JOIN volume_stats USING (database_id, file_id)
 """
 
 
 @report("file_locations", ("database_files", "volume_stats", "databases"), f"""
-SELECT DISTINCT d.name AS db_name, mf.physical_name AS physical_file_location,
-       dovs.logical_volume_name AS logical_name, dovs.volume_mount_point AS drive,
-       CAST(dovs.available_bytes // 1048576 AS INTEGER) AS free_space_mb
-{_VOLUMES_SQL} LEFT JOIN databases d ON d.database_id = dovs.database_id
+SELECT DISTINCT name AS db_name, physical_name AS physical_file_location, logical_volume_name AS logical_name,
+       volume_mount_point AS drive, (available_bytes // 1048576)::INTEGER AS free_space_mb
+{_VOLUMES_SQL} LEFT JOIN (SELECT database_id, name FROM databases) USING (database_id)
 """)
 def _file_locations(rel):
     """Database file locations with volume free space."""
@@ -263,9 +265,9 @@ def _file_locations(rel):
 
 
 _LOW_DISK_SQL = f"""
-SELECT * FROM (SELECT DISTINCT dovs.logical_volume_name AS logical_name, dovs.volume_mount_point AS drive,
-                      CAST(dovs.available_bytes // 1048576 AS INTEGER) AS free_space_mb {_VOLUMES_SQL}) t
-WHERE free_space_mb <= 1024
+WITH volumes AS (SELECT DISTINCT logical_volume_name AS logical_name, volume_mount_point AS drive,
+                        (available_bytes // 1048576)::INTEGER AS free_space_mb {_VOLUMES_SQL})
+SELECT * FROM volumes WHERE NOT (free_space_mb > 1024)
 """
 
 
@@ -290,7 +292,7 @@ def _low_disk_space_html(rel):
 
 
 @report("locked_page_memory", ("os_info",), """
-SELECT server_name, locked_page_allocations_kb, locked_page_allocations_kb <> 0 AS locked_pages_enabled
+SELECT server_name, locked_page_allocations_kb, NOT (locked_page_allocations_kb = 0) AS locked_pages_enabled
 FROM os_info
 """)
 def _locked_pages(rel):
@@ -299,7 +301,7 @@ def _locked_pages(rel):
 
 
 @report("scheduler_load", ("schedulers",), """
-SELECT scheduler_id, cpu_id, runnable_tasks_count, pending_disk_io_count FROM schedulers WHERE scheduler_id < 255
+SELECT scheduler_id, cpu_id, runnable_tasks_count, pending_disk_io_count FROM schedulers WHERE scheduler_id <= 254
 """)
 def _scheduler_load(rel):
     """Visible schedulers with queue lengths."""
@@ -307,9 +309,9 @@ def _scheduler_load(rel):
 
 
 @report("cpu_from_text", ("cpu_text_output",), """
-SELECT server_name, 'CPU Utilization' AS label,
-       substring(output, strpos(output, ' :') + 2, length(rtrim(output))) || ' %' AS utilization
-FROM cpu_text_output WHERE output IS NOT NULL AND output ILIKE 'Load%'
+SELECT server_name, 'CPU Utilization' AS label, substr(output, instr(output, ' :') + 2, length(rtrim(output))) || ' %'
+       AS utilization
+FROM cpu_text_output WHERE starts_with(lower(output), 'load')
 """)
 def _cpu_from_text(rel):
     """CPU load parsed from captured command output."""
@@ -317,7 +319,8 @@ def _cpu_from_text(rel):
 
 
 @report("os_info", ("os_info",), """
-SELECT server_name, cpu_count AS logical_cpu_count, hyperthread_ratio, cpu_count // hyperthread_ratio AS physical_cpu_count
+SELECT server_name, cpu_count AS logical_cpu_count, hyperthread_ratio,
+       (cpu_count // hyperthread_ratio) AS physical_cpu_count
 FROM os_info
 """)
 def _os_info(rel):
@@ -325,19 +328,25 @@ def _os_info(rel):
     return storage.os_info(rel.os_info)
 
 
-@report("average_cpu", ("cpu_load",), "SELECT server_name, avg(load_percentage) AS average FROM cpu_load GROUP BY server_name")
+@report("average_cpu", ("cpu_load",), """
+SELECT server_name, sum(load_percentage) / count(load_percentage) AS average FROM cpu_load GROUP BY ALL
+""")
 def _average_cpu(rel):
     """Average CPU load per server."""
     return storage.average_cpu(rel.cpu_load)
 
 
-@report("cpu_by_processor", ("cpu_load",), "SELECT server_name, ts, load_percentage FROM cpu_load")
+@report("cpu_by_processor", ("cpu_load",), """
+SELECT * EXCLUDE (ts), ts FROM cpu_load
+""")
 def _cpu_by_processor(rel):
     """CPU load samples."""
     return storage.cpu_by_processor(rel.cpu_load)
 
 
-@report("event_log_search", ("event_log",), "SELECT server_name, ts, message FROM event_log WHERE message ILIKE '%error%'")
+@report("event_log_search", ("event_log",), """
+SELECT server_name, ts, message FROM event_log WHERE contains(lower(message), 'error')
+""")
 def _event_log_search(rel):
     """Event-log entries mentioning errors."""
     return storage.event_log_search(rel.event_log, "%error%")
@@ -345,8 +354,8 @@ def _event_log_search(rel):
 
 @report("stale_output_files", ("output_files",), f"""
 SELECT path, modification_time FROM output_files
-WHERE starts_with(path, '/dba/backup_') AND ends_with(path, '.txt')
-  AND modification_time <= TIMESTAMP '{AS_OF_ACTIVITY}' - INTERVAL 8 DAY
+WHERE prefix(path, '/dba/backup_') AND suffix(path, '.txt')
+  AND modification_time + INTERVAL 8 DAY <= TIMESTAMP '{AS_OF_ACTIVITY}'
 """)
 def _stale_output_files(rel):
     """Backup job output files older than eight days."""
@@ -357,11 +366,11 @@ def _stale_output_files(rel):
 
 def _index_defs_sql(ic: str) -> str:
     return f"""
-SELECT o.name AS table_name, i.name AS index_name,
-       (SELECT string_agg(ic.column_name || ', ', '' ORDER BY ic.index_column_id) FROM {ic} ic
-        WHERE i.object_id = ic.object_id AND i.index_id = ic.index_id AND ic.is_included_column = 0) AS key_columns
-FROM indexes i JOIN objects o ON i.object_id = o.object_id
-WHERE o.is_ms_shipped = 0"""
+SELECT o.name AS table_name, ix.name AS index_name, k.key_columns
+FROM indexes ix JOIN (SELECT object_id, name FROM objects WHERE is_ms_shipped = 0) o USING (object_id)
+LEFT JOIN (SELECT object_id, index_id,
+                  string_agg(column_name || ', ', '' ORDER BY index_column_id) AS key_columns
+           FROM {ic} WHERE is_included_column = 0 GROUP BY object_id, index_id) k USING (object_id, index_id)"""
 
 
 _A = _index_defs_sql("index_columns")
@@ -375,7 +384,7 @@ def _catalogs(rel):
 
 
 @report("index_difference", ("indexes", "objects", "index_columns", "index_columns_b"),
-        f"SELECT * FROM ({_A}) nine EXCEPT SELECT * FROM ({_B}) ten")
+        f"SELECT * FROM ({_A}) EXCEPT SELECT * FROM ({_B})")
 def _index_difference(rel):
     """Index definitions of the first database missing from the second (EXCEPT)."""
     a, b = _catalogs(rel)
@@ -383,7 +392,7 @@ def _index_difference(rel):
 
 
 @report("index_difference_reverse", ("indexes", "objects", "index_columns", "index_columns_b"),
-        f"SELECT * FROM ({_B}) ten EXCEPT SELECT * FROM ({_A}) nine")
+        f"SELECT * FROM ({_B}) EXCEPT SELECT * FROM ({_A})")
 def _index_difference_reverse(rel):
     """Index definitions of the second database missing from the first (EXCEPT)."""
     a, b = _catalogs(rel)
@@ -391,9 +400,10 @@ def _index_difference_reverse(rel):
 
 
 @report("join_index_sets", ("indexes", "objects", "index_columns", "index_columns_b"), f"""
-SELECT nine.table_name, nine.index_name, nine.key_columns AS a_key_columns, ten.key_columns AS b_key_columns,
-       ten.index_name IS NOT NULL AS in_b
-FROM ({_A}) nine LEFT JOIN ({_B}) ten ON nine.table_name = ten.table_name AND nine.index_name = ten.index_name
+WITH first_db AS ({_A}), second_db AS ({_B})
+SELECT table_name, index_name, f.key_columns AS a_key_columns, s.key_columns AS b_key_columns,
+       s.index_name IS NOT NULL AS in_b
+FROM first_db f LEFT JOIN second_db s USING (table_name, index_name)
 """)
 def _join_index_sets(rel):
     """Both databases' key columns side by side per (table, index)."""
