@@ -255,3 +255,56 @@ def test_stream_restart_resumes_state(spark, scratch):
     expected = {r.report_id for r in bp.merge_reports(bp.reports(bp.parse_messages(msgs))).collect()}
     assert 0 < first < len(expected)
     assert inserted == expected
+
+
+REALISTIC = """<EVENT_INSTANCE>
+  <EventType>BLOCKED_PROCESS_REPORT</EventType>
+  <PostTime>2024-03-05T14:22:31.517</PostTime>
+  <SPID>5</SPID>
+  <TextData>
+    <blocked-process-report monitorLoop="171">
+      <blocked-process>
+        <process id="process2f0" taskpriority="0" logused="0" waitresource="KEY: 7:72057594045595648 (8194443284a0)"
+                 waittime="21093" ownerId="8371" transactionname="SELECT" lasttranstarted="2024-03-05T14:22:10.420"
+                 XDES="0x1f" lockMode="S" schedulerid="2" kpid="1" status="suspended" spid="57" sbid="0" ecid="0"
+                 priority="0" trancount="0" clientapp="app" hostname="h" isolationlevel="read committed (2)"
+                 xactid="8371" currentdb="7">
+          <executionStack>
+            <frame line="3" stmtstart="54" stmtend="130" sqlhandle="0x0300070051fa"/>
+            <frame line="1" sqlhandle="0x01000700aa"/>
+          </executionStack>
+          <inputbuf>
+select * from t where a &lt; 5 and b &amp; 1 = 1   </inputbuf>
+        </process>
+      </blocked-process>
+      <blocking-process>
+        <process status="sleeping" spid="54" sbid="0" ecid="0" priority="0" trancount="1" lastbatchstarted="x">
+          <executionStack>
+            <frame line="2" stmtstart="26" sqlhandle="0x02000000ff"/>
+          </executionStack>
+          <inputbuf>begin tran update t set a = 1</inputbuf>
+        </process>
+      </blocking-process>
+    </blocked-process-report>
+  </TextData>
+  <DatabaseID>7</DatabaseID>
+  <StartTime>2024-03-05T14:22:31.513</StartTime>
+</EVENT_INSTANCE>"""
+
+
+def test_realistic_report_parses(spark):
+    msgs = spark.createDataFrame([("http://schemas.microsoft.com/SQL/Notifications/EventNotification",
+                                   dt.datetime(2024, 3, 5, 14, 22, 32), REALISTIC)],
+                                 "message_type_name string, event_ts timestamp_ntz, message_body string")
+    r = bp.reports(bp.parse_messages(msgs)).first()
+    assert (r.blocked_spid, r.blocking_spid, r.wait_time, r.blocked_xact_id) == (57, 54, 21093, 8371)
+    assert r.resource == "KEY: 7:72057594045595648 (8194443284a0)"
+    assert r.blocked_isolation_level == "read committed (2)"
+    assert bytes(r.blocked_sql_handle).hex() == "0300070051fa"  # the first frame
+    assert (r.blocked_stmt_start, r.blocked_stmt_end) == (54, 130)
+    assert (r.blocking_stmt_start, r.blocking_stmt_end) == (26, -1)
+    assert "a < 5 and b & 1 = 1" in r.blocked_input_buf  # entities decoded
+    assert str(r.event_date) == "2024-03-05 14:22:31.513000"
+    assert r.blocked_process_report.startswith('<blocked-process-report monitorLoop="171">')
+    ev = bp.capture_events(bp.parse_messages(msgs)).first()
+    assert str(ev.alert_time) == "2024-03-05 14:22:31.517000" and ev.database_id == 7
