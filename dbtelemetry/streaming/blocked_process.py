@@ -7,7 +7,9 @@ output instead of stopping the job. The merge of repeated reports is the
 fold of :mod:`dbtelemetry.streaming.merge_fold`, run per merge key:
 
 * batch: hash-partition by key, sort within partitions by (key, queue
-  order), ``mapInPandas`` streams each partition through the fold;
+  order), ``mapInPandas`` streams each partition through the fold; keys
+  with very many reports are first cut into independent episodes that
+  fold in parallel;
 * streaming: ``applyInPandasWithState`` keyed by the merge key, with a
   watermark on the report time; an incident is closed (its final wait
   emitted) once the watermark passes its last report plus the allowed
@@ -416,19 +418,20 @@ def _state_fn(slack_micros: int, lateness_micros: int):
     return fn
 
 
-def merge_stream(reps: DataFrame, lateness: str = "10 minutes", lateness_seconds: int = 600,
-                 slack_ms: int = MERGE_SLACK_MS) -> DataFrame:
+def merge_stream(reps: DataFrame, lateness_seconds: int = 600, slack_ms: int = MERGE_SLACK_MS) -> DataFrame:
     """O50, streaming form: change rows (``insert`` when an incident opens,
     ``close`` with the final wait once the watermark passes its last report
-    plus ``lateness``). Reports with a NULL in the plain key are their own
-    incident and are inserted and closed at once.
+    plus the lateness). Reports with a NULL in the plain key are their own
+    incident and are inserted and closed at once. One lateness value sets
+    both the watermark delay and the state timeout, so a timeout is always
+    later than the watermark that admitted the report.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     k = _keyed(reps).withColumn("__t", _micros("event_date"))
     # Watermarks need a zone-aware TIMESTAMP: the instant with the same epoch
     # microseconds as the wall-clock report time, the clock the timeouts use.
-    k = k.withColumn("__wm", F.timestamp_micros("__t")).withWatermark("__wm", lateness)
+    k = k.withColumn("__wm", F.timestamp_micros("__t")).withWatermark("__wm", f"{int(lateness_seconds)} seconds")
     fold_in = (k.filter(~F.col("__null_key"))
                .select(F.to_json(F.struct(*_merge_key(k))).alias("__key"), "__wm", "__t",
                        F.col("wait_time").alias("__w"), F.col("report_id").alias("__rid"),
@@ -467,8 +470,8 @@ def write_changes(batch: DataFrame, batch_id: int, path: str, on_insert=None) ->
 
 
 def start_blocking_job(spark, source: str, out_dir: str, checkpoint_dir: str, fmt: str = "parquet",
-                   trigger: dict | None = None, lateness: str = "10 minutes", lateness_seconds: int = 600,
-                   source_options: dict | None = None):
+                       trigger: dict | None = None, lateness_seconds: int = 600,
+                       source_options: dict | None = None):
     """Start the blocked-process job: queue -> parse -> merge -> change log + alerts.
 
     Writes three outputs under ``out_dir``: ``changes`` (append-only change
@@ -482,7 +485,7 @@ def start_blocking_job(spark, source: str, out_dir: str, checkpoint_dir: str, fm
 
     msgs = message_source(spark, source, fmt, options=source_options)
     parsed = parse_messages(msgs)
-    changes = merge_stream(reports(parsed), lateness, lateness_seconds)
+    changes = merge_stream(reports(parsed), lateness_seconds)
 
     def on_insert(inserted: DataFrame, batch_id: int) -> None:
         rows = sinks.html_rows(inserted.select("incident_id", "event_date", "wait_time"), ["incident_id", "wait_time"],

@@ -133,8 +133,7 @@ def test_stream_inserts_equal_batch_incidents(spark, scratch):
     expected = {(r.report_id, r.wait_time) for r in batch.collect()}
 
     stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    changes = bp.merge_stream(bp.reports(bp.parse_messages(stream)), lateness="1000 days",
-                              lateness_seconds=1000 * 86400)
+    changes = bp.merge_stream(bp.reports(bp.parse_messages(stream)), lateness_seconds=1000 * 86400)
     out = scratch + "/changes"
     q = (changes.writeStream.trigger(availableNow=True).option("checkpointLocation", scratch + "/ckpt")
          .foreachBatch(lambda df, i: bp.write_changes(df, i, out)).start())
@@ -239,8 +238,7 @@ def test_stream_restart_resumes_state(spark, scratch):
 
     def run():
         stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(queue)
-        changes = bp.merge_stream(bp.reports(bp.parse_messages(stream)), lateness="1000 days",
-                                  lateness_seconds=1000 * 86400)
+        changes = bp.merge_stream(bp.reports(bp.parse_messages(stream)), lateness_seconds=1000 * 86400)
         q = (changes.writeStream.trigger(availableNow=True).option("checkpointLocation", scratch + "/ckpt")
              .foreachBatch(lambda df, i: bp.write_changes(df, i, scratch + "/changes")).start())
         q.awaitTermination()
