@@ -306,3 +306,36 @@ def test_realistic_report_parses(spark):
     assert r.blocked_process_report.startswith('<blocked-process-report monitorLoop="171">')
     ev = bp.capture_events(bp.parse_messages(msgs)).first()
     assert str(ev.alert_time) == "2024-03-05 14:22:31.517000" and ev.database_id == 7
+
+
+def test_stream_closes_incident_with_final_wait(spark, scratch):
+    """Key 1 goes quiet while key 2 moves the watermark on: key 1's incident closes with its last wait."""
+    import glob
+    import os
+    queue = scratch + "/queue"
+    batches = [
+        [_msg(1, 1000, "2024-01-01T10:00:00"), _msg(1, 6000, "2024-01-01T10:00:05")],  # key 1: one incident
+        [_msg(2, 1000, "2024-01-01T11:00:00")],
+        [_msg(2, 1000, "2024-01-01T12:00:00")],  # watermark 10:50 now passes 10:00:05 + 10 min
+        [_msg(1, 1000, "2024-01-01T13:00:00")],  # key 1 again: fresh state, a new incident
+    ]
+    seen = set()
+    for i, bodies in enumerate(batches):
+        rows = [("EventNotification", dt.datetime(2024, 1, 1, 9) + dt.timedelta(minutes=10 * i + j), b)
+                for j, b in enumerate(bodies)]
+        spark.createDataFrame(rows, "message_type_name string, event_ts timestamp_ntz, message_body string") \
+            .coalesce(1).write.mode("append").parquet(queue)
+        for f in set(glob.glob(queue + "/*.parquet")) - seen:  # the file source takes oldest first
+            os.utime(f, (1_700_000_000 + i * 60, 1_700_000_000 + i * 60))
+            seen.add(f)
+    schema = "message_type_name string, event_ts timestamp_ntz, message_body string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(queue)
+    changes = bp.merge_stream(bp.reports(bp.parse_messages(stream)), lateness_seconds=600)
+    q = (changes.writeStream.trigger(availableNow=True).option("checkpointLocation", scratch + "/ckpt")
+         .foreachBatch(lambda df, i: bp.write_changes(df, i, scratch + "/changes")).start())
+    q.awaitTermination()
+    log = spark.read.parquet(scratch + "/changes")
+    closes = {(str(r.event_date), r.wait_time) for r in log.filter("change = 'close'").collect()}
+    assert ("2024-01-01 10:00:00", 6000) in closes
+    inserts = sorted(str(r.event_date) for r in log.filter("change = 'insert'").collect())
+    assert inserts == ["2024-01-01 10:00:00", "2024-01-01 11:00:00", "2024-01-01 12:00:00", "2024-01-01 13:00:00"]
