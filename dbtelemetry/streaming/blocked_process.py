@@ -138,7 +138,9 @@ def reports(parsed: DataFrame) -> DataFrame:
     """Blocked-process reports as typed rows (the reference's ``repData``).
 
     Only event notifications are parsed as reports; other message types
-    are ignored, as the merge procedure does.
+    are ignored, as the merge procedure does. The whole message is not
+    carried on (its id is already ``report_id``); the report XML is, as
+    ``blocked_process_report``.
     """
     r = parsed.filter(F.col("message_type_name").endswith(NOTIFICATION_TYPE_SUFFIX) & F.col("parse_ok")
                       & (F.col("x.EventType") == BLOCKED_PROCESS_REPORT))
@@ -147,7 +149,7 @@ def reports(parsed: DataFrame) -> DataFrame:
     bframe = F.element_at(F.col(f"{bp}.executionStack.frame"), 1)
     kframe = F.element_at(F.col(f"{bk}.executionStack.frame"), 1)
     return r.select(
-        *_fleet(parsed), "report_id", "arrival_ts", "message_body",
+        *_fleet(parsed), "report_id", "arrival_ts",
         _ts(F.col("x.StartTime")).alias("event_date"),
         F.col("x.DatabaseID").alias("database_id"),
         F.left(F.col(f"{bp}._waitresource"), F.lit(64)).alias("resource"),
