@@ -105,6 +105,19 @@ def low_disk_space(files: DataFrame, volumes: DataFrame, threshold_mb: int = DEF
     return j.filter(F.col("free_space_mb") <= threshold_mb)
 
 
+def low_disk_space_alert(files: DataFrame, volumes: DataFrame, threshold_mb: int = DEFAULT_LOW_SPACE_MB,
+                         keys: Keys = ()) -> DataFrame:
+    """O35 gate: whether the low-space mail goes out (at least one volume at or under the threshold).
+
+    One row (per fleet key when given): the number of low volumes and the
+    send flag. The reference tests existence in one form and a count in
+    the other; both only mean "not empty".
+    """
+    low = low_disk_space(files, volumes, threshold_mb, keys)
+    return low.groupBy(*keys).agg(F.count(F.lit(1)).alias("low_volumes")).select(
+        *keys, "low_volumes", (F.col("low_volumes") > 0).alias("send_alert"))
+
+
 def locked_page_memory(process_memory: DataFrame, keys: Keys = ()) -> DataFrame:
     """Locked-page allocations per server; zero means locked pages are not in use."""
     extra = ["server_name"] if "server_name" in process_memory.columns and "server_name" not in keys else []

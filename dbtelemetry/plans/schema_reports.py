@@ -277,6 +277,14 @@ def _low_disk_space(rel):
     return storage.low_disk_space(rel.database_files, rel.volume_stats)
 
 
+@report("low_disk_space_alert", ("database_files", "volume_stats"), f"""
+SELECT count(*) AS low_volumes, count(*) > 0 AS send_alert FROM ({_LOW_DISK_SQL})
+""")
+def _low_disk_space_alert(rel):
+    """Whether the low-disk-space mail is sent, with the number of low volumes."""
+    return storage.low_disk_space_alert(rel.database_files, rel.volume_stats)
+
+
 LOW_DISK_HEADERS = ("Logical Name", "Drive", "Free Space In MB")
 _LOW_DISK_ORDER = ("free_space_mb", "logical_name", "drive")
 

@@ -33,8 +33,20 @@ def scan(spark: SparkSession, path: str, as_of: str | None = None, columns: Sequ
     return df
 
 
+def trace_rollover_glob(current_trace_path: str, exported_suffix: str = "") -> str:
+    """All rollover files of the default trace, from the path of its current file.
+
+    The folder of the current file, then ``log*.trc`` (the rollover files
+    are ``log_<n>.trc``), plus the suffix of the exported copies. Folder
+    separators may be ``\\`` (the server's) or ``/``.
+    """
+    cut = max(current_trace_path.rfind("\\"), current_trace_path.rfind("/"))
+    folder = current_trace_path[:cut] if cut >= 0 else "."
+    return folder.replace("\\", "/") + "/log*.trc" + exported_suffix
+
+
 def trace_source(spark: SparkSession, path_glob: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
-    """S3: all rollover files of an exported trace (a glob), as one relation."""
+    """S3: all rollover files of an exported trace (a glob, see :func:`trace_rollover_glob`), as one relation."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)

@@ -284,7 +284,7 @@ def _handle_key(handle: Column, key_type: T.DataType) -> Column:
 
 
 def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sql_text: DataFrame,
-           plans: DataFrame) -> DataFrame:
+           plans: DataFrame, utf16: bool = False) -> DataFrame:
     """Statement text and plans of the blocked and the blocking statement.
 
     Text: lookup by handle (an empty handle gives NULL). Blocked plan: from
@@ -343,8 +343,9 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
               .join(b_qs, "report_id", "left"))
     looked = looked.select(
         "report_id",
-        tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end").alias("blocked_sql"),
-        tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end").alias("blocking_sql"),
+        tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end", utf16=utf16).alias("blocked_sql"),
+        tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end", utf16=utf16)
+        .alias("blocking_sql"),
         F.coalesce("__er_plan", "__qs_plan").alias("blocked_query_plan"),
         "blocking_query_plan")
     return incidents.join(looked, "report_id", "left")  # report ids include the server

@@ -270,3 +270,35 @@ def test_write_html_keeps_report_order(spark, scratch):
     text = "".join(open(f).read() for f in sorted(glob.glob(scratch + "/report/part-*")))
     cells = [line for line in text.splitlines() if line]
     assert cells == [f"<tr><td>n{i}</td></tr>" for i in range(200)]
+
+
+def test_trace_rollover_glob():
+    assert readers.trace_rollover_glob(r"D:\traces\log_1234.trc", ".parquet") == "D:/traces/log*.trc.parquet"
+    assert readers.trace_rollover_glob("/data/traces/log_7.trc") == "/data/traces/log*.trc"
+
+
+def test_running_requests_utf16_cut(spark):
+    text = "\U0001F600abc def"
+    req = spark.createDataFrame([(1, 7, 4, 10, 0, 5, 0, 0, 1, 1, 1)],
+                                "session_id long, sql_handle long, statement_start_offset long, "
+                                "statement_end_offset long, database_id long, cpu_time long, percent_complete long, "
+                                "blocking_session_id long, reads long, writes long, logical_reads long")
+    ses = spark.createDataFrame([(1, "h", "c", "p", "l", "running", dt.datetime(2024, 1, 1), 1)],
+                                "session_id long, host_name string, client_interface_name string, "
+                                "program_name string, login_name string, status string, "
+                                "last_request_start_time timestamp_ntz, is_user_process int")
+    txt = spark.createDataFrame([(7, text)], "sql_handle long, text string")
+    dbs = spark.createDataFrame([(0, "db")], "database_id long, name string")
+    cut = activity.running_requests(req, ses, txt, dbs, "2024-01-01 00:10:00", utf16=True).first()
+    assert cut.statement_text == "abc " and cut.running_minutes == 10
+
+
+def test_low_disk_space_alert(spark):
+    files = spark.createDataFrame([(1, 1), (1, 2)], "database_id long, file_id long")
+    vols = spark.createDataFrame([(1, 1, "V1", "/a", 2000 * 1048576), (1, 2, "V2", "/b", 10 * 1048576)],
+                                 "database_id long, file_id long, logical_volume_name string, "
+                                 "volume_mount_point string, available_bytes long")
+    row = storage.low_disk_space_alert(files, vols).first()
+    assert (row.low_volumes, row.send_alert) == (1, True)
+    none = storage.low_disk_space_alert(files, vols, threshold_mb=5).first()
+    assert (none.low_volumes, none.send_alert) == (0, False)
