@@ -302,3 +302,16 @@ def test_low_disk_space_alert(spark):
     assert (row.low_volumes, row.send_alert) == (1, True)
     none = storage.low_disk_space_alert(files, vols, threshold_mb=5).first()
     assert (none.low_volumes, none.send_alert) == (0, False)
+
+
+def test_blocked_pairs_keeps_duplicate_rows_and_roles(spark):
+    procs = spark.createDataFrame(
+        [(1, 2, 90000, 5, "SELECT", "a"), (1, 2, 90000, 5, "SELECT", "a"),  # session 1 listed twice
+         (2, 3, 10, 5, "UPDATE", "b"), (3, 0, 0, 5, "SELECT", "c"), (4, 5, 70000, 5, "SELECT", "d"),
+         (5, 0, 0, 5, "SELECT", "e")],
+        "spid long, blocked long, waittime long, dbid int, cmd string, loginame string")
+    bufs = spark.createDataFrame([(1, "q1"), (2, "q2"), (3, "q3" * 200), (4, "q4")], "spid long, event_info string")
+    out = sorted((r.spid, r.blocked1, r.blocked2, r.query_blocked, r.query_blocked_by1, r.query_blocked_by2)
+                 for r in activity.blocked_pairs(procs, bufs, "2024-01-31 00:00:00").collect())
+    assert out == [(1, 2, 3, "q1", "q2", ("q3" * 200)[:255]), (1, 2, 3, "q1", "q2", ("q3" * 200)[:255]),
+                   (4, 5, 0, "q4", None, None)]
