@@ -49,7 +49,9 @@ def materialize(df: DataFrame, columnar: bool = False) -> DataFrame:
             return df.checkpoint(eager=True)
         finally:
             df.unpersist()
-    path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    # Grouped by application, so a retention job can drop a finished
+    # application's tables in one folder.
+    path = f"{folder.rstrip('/')}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 
