@@ -315,3 +315,38 @@ def test_blocked_pairs_keeps_duplicate_rows_and_roles(spark):
                  for r in activity.blocked_pairs(procs, bufs, "2024-01-31 00:00:00").collect())
     assert out == [(1, 2, 3, "q1", "q2", ("q3" * 200)[:255]), (1, 2, 3, "q1", "q2", ("q3" * 200)[:255]),
                    (4, 5, 0, "q4", None, None)]
+
+
+def test_index_definitions_through_column_catalog(spark):
+    idx = spark.createDataFrame([(1, 1, "ix", "NONCLUSTERED", 0, 0)],
+                                "object_id long, index_id long, name string, type_desc string, is_unique long, "
+                                "is_primary_key int")
+    objs = spark.createDataFrame([(1, "t", 0)], "object_id long, name string, is_ms_shipped int")
+    ic = spark.createDataFrame([(1, 1, 2, 20, 0), (1, 1, 1, 10, 0), (1, 1, 3, 30, 1)],
+                               "object_id long, index_id long, index_column_id int, column_id int, "
+                               "is_included_column int")
+    cols = spark.createDataFrame([(1, 10, "a"), (1, 20, "b"), (1, 30, "c")], "object_id long, column_id int, name string")
+    r = schema_health.index_definitions(idx, objs, ic, columns=cols).first()
+    assert (r.key_columns, r.included_columns) == ("a, b, ", "c, ")
+    r2 = schema_health.index_definitions(idx, objs, ic, columns=cols, trailing_separator=False).first()
+    assert (r2.key_columns, r2.included_columns) == ("a, b", "c")
+
+
+def test_unused_indexes_usage_per_database(spark):
+    idx = spark.createDataFrame([(1, 1, 7, "ix1", "NONCLUSTERED", 0), (1, 2, 7, "ix2", "NONCLUSTERED", 0)],
+                                "object_id long, index_id long, database_id long, name string, type_desc string, "
+                                "is_primary_key int")
+    objs = spark.createDataFrame([(1, "t", "U ")], "object_id long, name string, type string")
+    usage = spark.createDataFrame([(1, 1, 7, 5, None, None), (1, 2, 8, 5, None, None)],
+                                  "object_id long, index_id long, database_id long, user_seeks long, user_scans long, "
+                                  "user_lookups long")
+    names = [r.index_name for r in schema_health.unused_indexes(idx, usage, objs).collect()]
+    assert names == ["ix2"]  # ix2's usage row is for another database; 'U ' is a char(2) type
+
+
+def test_append_sink_partitions(spark, scratch):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "captured_date date, v long")
+    sinks.append(df, scratch + "/log", partition_by=["captured_date"])
+    sinks.append(df.limit(1), scratch + "/log", partition_by=["captured_date"])
+    back = spark.read.parquet(scratch + "/log")
+    assert back.count() == 3 and back.filter("captured_date = DATE '2024-01-01'").count() == 2
