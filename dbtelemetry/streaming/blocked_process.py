@@ -413,6 +413,11 @@ def _state_fn(slack_micros: int, lateness_micros: int):
             for t, w, rid in zip(pdf["__t"].tolist(), pdf["__w"].tolist(), pdf["__rid"].tolist()):
                 if fold.step(int(t), int(w), rid, slack_micros):
                     rows.append((rid, "insert", to_ts(t), int(w), None))
+        # Incidents of a busy key close one by one once untouched for the lateness.
+        watermark_ms = state.getCurrentWatermarkMs()
+        if watermark_ms and watermark_ms > 0:
+            for rid, t0, w in fold.close_before(watermark_ms * 1000 - lateness_micros):
+                rows.append((rid, "close", to_ts(t0), int(w), to_ts(watermark_ms * 1000)))
         state.update((fold.dumps(),))
         state.setTimeoutTimestamp(int(fold.last_t // 1000 + lateness_micros // 1000))
         if rows:
@@ -423,11 +428,13 @@ def _state_fn(slack_micros: int, lateness_micros: int):
 
 def merge_stream(reps: DataFrame, lateness_seconds: int = 600, slack_ms: int = MERGE_SLACK_MS) -> DataFrame:
     """O50, streaming form: change rows (``insert`` when an incident opens,
-    ``close`` with the final wait once the watermark passes its last report
-    plus the lateness). Reports with a NULL in the plain key are their own
-    incident and are inserted and closed at once. One lateness value sets
-    both the watermark delay and the state timeout, so a timeout is always
-    later than the watermark that admitted the report.
+    ``close`` with the final wait once it has been untouched for the
+    lateness, measured by the watermark: one by one while its key stays
+    busy, all of a key's when the key goes idle). Reports with a NULL in
+    the plain key are their own incident and are inserted and closed at
+    once. One lateness value sets both the watermark delay and the state
+    timeout, so a timeout is always later than the watermark that
+    admitted the report.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 

@@ -28,7 +28,7 @@ import json
 class KeyFold:
     """Fold state of one merge key."""
 
-    __slots__ = ("max_t0", "seq", "incidents", "stamp_thr", "stamp_seq", "stamp_w", "last_t")
+    __slots__ = ("max_t0", "seq", "incidents", "stamp_thr", "stamp_seq", "stamp_w", "stamp_t", "last_t")
 
     def __init__(self):
         self.max_t0 = None
@@ -37,6 +37,7 @@ class KeyFold:
         self.stamp_thr = []          # increasing
         self.stamp_seq = []          # increasing
         self.stamp_w = []
+        self.stamp_t = []            # report time of each update
         self.last_t = None
 
     def step(self, t: int, w: int, report_id, slack: int) -> bool:
@@ -49,32 +50,66 @@ class KeyFold:
                 self.stamp_thr.pop()
                 self.stamp_seq.pop()
                 self.stamp_w.pop()
+                self.stamp_t.pop()
             self.stamp_thr.append(thr)
             self.stamp_seq.append(self.seq)
             self.stamp_w.append(w)
+            self.stamp_t.append(t)
             return False
         self.incidents.append([t, w, self.seq, report_id])
         self.max_t0 = t if self.max_t0 is None else max(self.max_t0, t)
         return True
 
+    def _latest_update(self, t0: int, created: int):
+        """Index of the newest update that reached an incident, or -1."""
+        i = bisect.bisect_right(self.stamp_thr, t0) - 1
+        return i if i >= 0 and self.stamp_seq[i] > created else -1
+
     def final_waits(self):
         """Yield (report_id of the first report, t0, final wait) per incident."""
         for t0, own, created, rid in self.incidents:
-            i = bisect.bisect_right(self.stamp_thr, t0) - 1
-            if i >= 0 and self.stamp_seq[i] > created:
-                yield rid, t0, self.stamp_w[i]
+            i = self._latest_update(t0, created)
+            yield rid, t0, (self.stamp_w[i] if i >= 0 else own)
+
+    def close_before(self, limit: int):
+        """Remove and return (report_id, t0, wait) of incidents last touched before ``limit``.
+
+        An incident is touched when it opens and by every update that reaches
+        it. Under the streaming job's lateness bound (a continuing block
+        reports again within the lateness), an incident untouched for longer
+        is over. Updates that reach no open incident any more are dropped,
+        so a busy key keeps only its recent incidents. ``max_t0`` is kept,
+        so a late report still cannot open a spurious incident.
+        """
+        done, keep = [], []
+        for inc in self.incidents:
+            t0, own, created, rid = inc
+            i = self._latest_update(t0, created)
+            touched = self.stamp_t[i] if i >= 0 else t0
+            if touched < limit:
+                done.append((rid, t0, self.stamp_w[i] if i >= 0 else own))
             else:
-                yield rid, t0, own
+                keep.append(inc)
+        if done:
+            self.incidents = keep
+            oldest = min((inc[2] for inc in keep), default=self.seq + 1)
+            live = [j for j, sq in enumerate(self.stamp_seq) if sq > oldest]
+            self.stamp_thr = [self.stamp_thr[j] for j in live]
+            self.stamp_seq = [self.stamp_seq[j] for j in live]
+            self.stamp_w = [self.stamp_w[j] for j in live]
+            self.stamp_t = [self.stamp_t[j] for j in live]
+        return done
 
     # State for the streaming processor: a JSON text.
     def dumps(self) -> str:
         return json.dumps([self.max_t0, self.seq, self.incidents, self.stamp_thr, self.stamp_seq, self.stamp_w,
-                           self.last_t])
+                           self.stamp_t, self.last_t])
 
     @classmethod
     def loads(cls, text: str) -> "KeyFold":
         f = cls()
-        (f.max_t0, f.seq, f.incidents, f.stamp_thr, f.stamp_seq, f.stamp_w, f.last_t) = json.loads(text)
+        (f.max_t0, f.seq, f.incidents, f.stamp_thr, f.stamp_seq, f.stamp_w, f.stamp_t,
+         f.last_t) = json.loads(text)
         return f
 
 

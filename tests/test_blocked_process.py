@@ -339,3 +339,52 @@ def test_stream_closes_incident_with_final_wait(spark, scratch):
     assert ("2024-01-01 10:00:00", 6000) in closes
     inserts = sorted(str(r.event_date) for r in log.filter("change = 'insert'").collect())
     assert inserts == ["2024-01-01 10:00:00", "2024-01-01 11:00:00", "2024-01-01 12:00:00", "2024-01-01 13:00:00"]
+
+
+def test_close_before_matches_final_waits():
+    """Closing incidents early gives the same final waits when the key stays busy past them."""
+    rng = random.Random(11)
+    fold, whole = KeyFold(), KeyFold()
+    t, closed = 0, []
+    for i in range(300):
+        t += rng.choice([1, 2, 5, 400]) * 1_000_000
+        w = rng.choice([500, 1500, 3000, 9000])
+        fold.step(t, w, i, SLACK)
+        whole.step(t, w, i, SLACK)
+        if i % 20 == 19:  # every batch, close what is untouched for 60 s
+            closed += fold.close_before(t - 60_000_000)
+    assert len(closed) > 5 and len(fold.incidents) < len(whole.incidents)
+    assert len(fold.stamp_thr) <= len(whole.stamp_thr)
+    assert sorted(closed + list(fold.final_waits())) == sorted(whole.final_waits())
+
+
+def test_busy_key_closes_old_incidents_in_stream(spark, scratch):
+    """One key stays busy: its first incident closes while later reports keep arriving."""
+    import glob
+    import os
+    queue = scratch + "/queue"
+    batches = [
+        [_msg(1, 1000, "2024-01-01T10:00:00"), _msg(1, 6000, "2024-01-01T10:00:05")],
+        [_msg(1, 1000, "2024-01-01T11:00:00")],  # same key, new incident, watermark 10:50 after this batch
+        [_msg(1, 1000, "2024-01-01T12:00:00")],  # the 10:00 incident closes here, the key is never idle
+    ]
+    seen = set()
+    for i, bodies in enumerate(batches):
+        rows = [("EventNotification", dt.datetime(2024, 1, 1, 9) + dt.timedelta(minutes=10 * i + j), b)
+                for j, b in enumerate(bodies)]
+        spark.createDataFrame(rows, "message_type_name string, event_ts timestamp_ntz, message_body string") \
+            .coalesce(1).write.mode("append").parquet(queue)
+        for f in set(glob.glob(queue + "/*.parquet")) - seen:
+            os.utime(f, (1_700_000_000 + i * 60, 1_700_000_000 + i * 60))
+            seen.add(f)
+    schema = "message_type_name string, event_ts timestamp_ntz, message_body string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(queue)
+    changes = bp.merge_stream(bp.reports(bp.parse_messages(stream)), lateness_seconds=600)
+    q = (changes.writeStream.trigger(availableNow=True).option("checkpointLocation", scratch + "/ckpt")
+         .foreachBatch(lambda df, i: bp.write_changes(df, i, scratch + "/changes")).start())
+    q.awaitTermination()
+    log = spark.read.parquet(scratch + "/changes")
+    closes = {(str(r.event_date), r.wait_time) for r in log.filter("change = 'close'").collect()}
+    assert ("2024-01-01 10:00:00", 6000) in closes
+    assert sorted(str(r.event_date) for r in log.filter("change = 'insert'").collect()) == [
+        "2024-01-01 10:00:00", "2024-01-01 11:00:00", "2024-01-01 12:00:00"]
