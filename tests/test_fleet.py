@@ -97,3 +97,27 @@ def test_fleet_run_equals_per_server_runs(spark, name):
         part = CASES[name](lambda n, s=srv: fleet.one(s, n))
         separate = part if separate is None else separate.unionByName(part)
     assert rows(together.select(*sorted(together.columns))) == rows(separate.select(*sorted(together.columns)))
+
+
+def test_reports_on_partitioned_snapshots(spark, scratch):
+    """The README's usage: snapshots partitioned by capture date, read as of one capture."""
+    from dbtelemetry.sources import readers, sinks
+
+    snaps = ["2024-01-30 10:00:00", "2024-01-31 10:00:00"]
+    for name in ["waiting_tasks", "sessions", "requests", "sql_text", "query_plan"]:
+        base = relation(spark, SERVERS["a"], name)
+        for snap in snaps:
+            (base.withColumn("server_name", F.lit("srv1")).withColumn("captured_at", F.expr(f"TIMESTAMP_NTZ '{snap}'"))
+             .withColumn("captured_date", F.to_date("captured_at"))
+             .write.mode("append").partitionBy("captured_date").parquet(f"{scratch}/{name}"))
+    keys = ("server_name", "captured_at")
+
+    def rd(n):
+        return readers.scan(spark, f"{scratch}/{n}", as_of=snaps[1])
+
+    got = activity.current_waits(rd("waiting_tasks"), rd("sessions"), rd("requests"), rd("sql_text"),
+                                 rd("query_plan"), keys=keys)
+    sinks.append(got, f"{scratch}/report", partition_by=["server_name"])
+    plain = activity.current_waits(*(relation(spark, SERVERS["a"], n) for n in
+                                     ["waiting_tasks", "sessions", "requests", "sql_text", "query_plan"]))
+    assert spark.read.parquet(f"{scratch}/report").count() == plain.count() > 0
