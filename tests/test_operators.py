@@ -350,3 +350,16 @@ def test_append_sink_partitions(spark, scratch):
     sinks.append(df.limit(1), scratch + "/log", partition_by=["captured_date"])
     back = spark.read.parquet(scratch + "/log")
     assert back.count() == 3 and back.filter("captured_date = DATE '2024-01-01'").count() == 2
+
+
+def test_pages_to_mb_rounds_half_away_from_zero(spark):
+    df = spark.createDataFrame([(16,), (-16,), (1000,), (0,)], "p long")
+    got = [str(r.mb) for r in df.select(storage.pages_to_mb("p").alias("mb")).collect()]
+    assert got == ["0.13", "-0.13", "7.81", "0.00"]  # 0.125 -> 0.13, 7.8125 -> 7.81
+
+
+def test_pool_name_without_slash(spark):
+    from dbtelemetry.operators import inventory
+    df = spark.createDataFrame([("s1", "https://host/pools/appA"), ("s2", "appB"), ("s3", "https://host/")],
+                               "server string, url string")
+    assert [r.pool_name for r in inventory.pool_names(df).collect()] == ["appA", "appB", ""]
