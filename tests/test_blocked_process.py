@@ -388,3 +388,16 @@ def test_busy_key_closes_old_incidents_in_stream(spark, scratch):
     assert ("2024-01-01 10:00:00", 6000) in closes
     assert sorted(str(r.event_date) for r in log.filter("change = 'insert'").collect()) == [
         "2024-01-01 10:00:00", "2024-01-01 11:00:00", "2024-01-01 12:00:00"]
+
+
+def test_no_reports_gives_empty_results(spark):
+    msgs = spark.createDataFrame([("http://x/EndDialog", dt.datetime(2024, 1, 1), "")],
+                                 "message_type_name string, event_ts timestamp_ntz, message_body string")
+    assert bp.merge_reports(bp.reports(bp.parse_messages(msgs))).count() == 0
+    text = spark.createDataFrame([], "sql_handle long, text string")
+    req = spark.createDataFrame([], "session_id long, sql_handle long, statement_start_offset long, "
+                                    "statement_end_offset long, plan_handle long")
+    qs = spark.createDataFrame([], "sql_handle long, statement_start_offset long, statement_end_offset long, "
+                                   "creation_time timestamp_ntz, last_execution_time timestamp_ntz, plan_handle long")
+    plans = spark.createDataFrame([], "plan_handle long, query_plan string")
+    assert bp.event_log(msgs, req, qs, text, plans).count() == 0
