@@ -472,9 +472,9 @@ def write_changes(batch: DataFrame, batch_id: int, path: str, on_insert=None) ->
     partition overwrite, so a replayed batch replaces its own rows rather
     than duplicating them. ``on_insert`` gets the inserted incidents (O51).
     """
-    spark = batch.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    # Dynamic overwrite as a write option, not a session setting.
+    (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
     if on_insert is not None:
         on_insert(batch.filter(F.col("change") == "insert"), batch_id)
 
@@ -500,8 +500,8 @@ def start_blocking_job(spark, source: str, out_dir: str, checkpoint_dir: str, fm
     def on_insert(inserted: DataFrame, batch_id: int) -> None:
         rows = sinks.html_rows(inserted.select("incident_id", "event_date", "wait_time"), ["incident_id", "wait_time"],
                                ["event_date", "incident_id"])
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id") \
-            .parquet(f"{out_dir}/alerts")
+        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_dir}/alerts")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_changes(batch, batch_id, f"{out_dir}/changes", on_insert)
