@@ -162,8 +162,11 @@ def agent_datetime(date_int, time_int) -> Column:
     than fail. An invalid date gives NULL.
     """
     t = _c(time_int).cast("bigint")
+    d = _c(date_int).cast("bigint")
     secs = int_div(t, 10000) * 3600 + int_div(t % 10000, 100) * 60 + t % 100
-    day = F.try_to_timestamp(_c(date_int).cast("string"), F.lit("yyyyMMdd")).cast("timestamp_ntz")
+    # Built from its parts as a wall-clock value: no session time zone enters.
+    day = F.try_make_timestamp_ntz(int_div(d, 10000).cast("int"), (int_div(d, 100) % 100).cast("int"),
+                                   (d % 100).cast("int"), F.lit(0), F.lit(0), F.lit(0))
     return day + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
 
 

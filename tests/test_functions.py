@@ -85,3 +85,15 @@ def test_page_types(spark):
     got = {r.session_id: r.resource_type for r in tempdb.allocation_page_type(df).collect()}
     assert got == {1: "Is PFS Page", 2: "Is GAM Page", 3: "Is SGAM Page", 4: "Is Not PFS, GAM, or SGAM page",
                    5: "Is PFS Page", 6: "Is Not PFS, GAM, or SGAM page"}
+
+
+def test_agent_datetime_ignores_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        v = one(spark, tsql.agent_datetime(F.lit(20240310), F.lit(23000)))  # 02:30, inside the spring-forward gap
+        assert str(v) == "2024-03-10 02:30:00"
+        assert one(spark, tsql.datediff_boundaries("minute", tsql.ts_literal("2024-03-10 01:59:59"),
+                                                   tsql.ts_literal("2024-03-10 03:00:01"))) == 61
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
