@@ -7,7 +7,7 @@ output instead of stopping the job. The merge of repeated reports is the
 fold of :mod:`dbtelemetry.streaming.merge_fold`, run per merge key:
 
 * batch: hash-partition by key, sort within partitions by (key, queue
-  order), ``mapInPandas`` streams each partition through the fold; keys
+  order), ``mapInArrow`` streams each partition through the fold; keys
   with very many reports are first cut into independent episodes that
   fold in parallel;
 * streaming: ``applyInPandasWithState`` keyed by the merge key, with a
@@ -195,7 +195,7 @@ def _fold_by_key(df: DataFrame, slack: int, num_partitions: int | None) -> DataF
     """Hash-partition by ``__key``, sort by (key, queue order), stream through the fold."""
     parts = [num_partitions] if num_partitions else []
     sorted_in = df.repartition(*parts, "__key").sortWithinPartitions("__key", "__arr", "__rid")
-    return sorted_in.mapInPandas(lambda it: fold_sorted_partitions(it, slack), sorted_in.schema)
+    return sorted_in.mapInArrow(lambda it: fold_sorted_partitions(it, slack), sorted_in.schema)
 
 
 def _episodes(hot: DataFrame, slack: int, num_partitions: int | None) -> DataFrame:
@@ -244,7 +244,7 @@ def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partition
 
     Keys with up to ``hot_key_rows`` reports: one hash shuffle by merge
     key, sorted within partitions by (key, queue order) and streamed
-    through the fold in ``mapInPandas``, which emits the incident-opening
+    through the fold in ``mapInArrow``, which emits the incident-opening
     reports with their final wait. Hotter keys are first cut into
     independent episodes (exactly; see ``merge_fold``), which fold in
     parallel; only the narrow columns take that path and the incident rows

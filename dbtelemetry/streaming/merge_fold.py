@@ -114,49 +114,56 @@ class KeyFold:
 
 
 def fold_sorted_partitions(batches, slack_micros: int):
-    """``mapInPandas`` body: rows arrive sorted by (key, queue order).
-
-    Each row carries the whole report; the rows that open an incident are
-    emitted with ``__w`` replaced by the incident's final wait, so the
-    reports are read once and never joined back. State is carried across
-    Arrow batches: a key larger than one batch streams through, and only
-    the open key's incident rows are held.
+    """``mapInArrow`` body: Arrow record batches sorted by (key, queue order).
+
+    Only the four fold columns become Python values; the rest of each
+    report (its XML among them) stays in Arrow, and the rows that open an
+    incident are taken out with ``take`` and emitted with ``__w`` replaced
+    by the incident's final wait. The reports are read once and never
+    joined back. State is carried across batches: a key larger than one
+    batch streams through, and only the open key's incident rows are held.
     """
-    import pandas as pd
+    import pyarrow as pa
 
     current, fold = None, None
     finals: dict = {}
-    pending: list = []
+    pending: list = []  # Arrow tables of incident-opening rows not yet emitted
 
     def flush():
         if fold is not None:
             for rid, _t0, w in fold.final_waits():
                 finals[rid] = w
 
-    for pdf in batches:
+    def emit(table):
+        rids = table.column("__rid").to_pylist()
+        waits = pa.array([finals.pop(r) for r in rids], type=table.schema.field("__w").type)
+        return table.set_column(table.schema.get_field_index("__w"), "__w", waits)
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
         starts = []
-        for i, (k, t, w, rid) in enumerate(zip(pdf["__key"].tolist(), pdf["__t"].tolist(),
-                                                pdf["__w"].tolist(), pdf["__rid"].tolist())):
+        for i, (k, t, w, rid) in enumerate(zip(batch.column("__key").to_pylist(), batch.column("__t").to_pylist(),
+                                               batch.column("__w").to_pylist(), batch.column("__rid").to_pylist())):
             if k != current:
                 flush()
                 current, fold = k, KeyFold()
             if fold.step(int(t), int(w), rid, slack_micros):
                 starts.append(i)
         if starts:
-            pending.append(pdf.iloc[starts])
+            pending.append(pa.Table.from_batches([batch.take(pa.array(starts, type=pa.int64()))]))
         if not pending:
             continue
-        rows = pd.concat(pending, ignore_index=True) if len(pending) > 1 else pending[0]
-        open_key = rows["__key"] == current
-        done = rows[~open_key]
-        pending = [rows[open_key]] if open_key.any() else []
-        if len(done):
-            done = done.assign(__w=[finals.pop(r) for r in done["__rid"].tolist()])
-            yield done
+        rows = pa.concat_tables(pending)
+        open_mask = pa.compute.equal(rows.column("__key"), current)
+        done = rows.filter(pa.compute.invert(open_mask))
+        kept = rows.filter(open_mask)
+        pending = [kept] if kept.num_rows else []
+        if done.num_rows:
+            yield from emit(done).to_batches()
     flush()
     if pending:
-        rows = pd.concat(pending, ignore_index=True)
-        yield rows.assign(__w=[finals.pop(r) for r in rows["__rid"].tolist()])
+        yield from emit(pa.concat_tables(pending)).to_batches()
 
 
 # ---------------------------------------------------------------- hot keys: independent episodes
