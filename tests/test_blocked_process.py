@@ -401,3 +401,15 @@ def test_no_reports_gives_empty_results(spark):
                                    "creation_time timestamp_ntz, last_execution_time timestamp_ntz, plan_handle long")
     plans = spark.createDataFrame([], "plan_handle long, query_plan string")
     assert bp.event_log(msgs, req, qs, text, plans).count() == 0
+
+
+def test_streaming_job_reads_json_queue(spark, scratch):
+    msgs = _messages(spark, [_msg(1, 5000, "2024-01-01T10:00:00"), _msg(1, 9000, "2024-01-01T10:00:04"),
+                             _msg(3, 100, "2024-01-01T10:30:00")])
+    msgs.coalesce(1).write.json(scratch + "/queue")
+    q1, q2 = bp.start_blocking_job(spark, scratch + "/queue", scratch + "/out", scratch + "/ckpt", fmt="json",
+                                   trigger={"availableNow": True})
+    q1.awaitTermination()
+    q2.awaitTermination()
+    changes = spark.read.parquet(scratch + "/out/changes")
+    assert changes.filter("change = 'insert'").count() == 2
