@@ -363,3 +363,27 @@ def test_pool_name_without_slash(spark):
     df = spark.createDataFrame([("s1", "https://host/pools/appA"), ("s2", "appB"), ("s3", "https://host/")],
                                "server string, url string")
     assert [r.pool_name for r in inventory.pool_names(df).collect()] == ["appA", "appB", ""]
+
+
+def test_scan_server_filter_and_columns(spark, scratch):
+    df = spark.createDataFrame([("s1", dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), 1),
+                                ("s2", dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), 2)],
+                               "server_name string, captured_date date, captured_at timestamp_ntz, v long")
+    df.write.partitionBy("captured_date").parquet(scratch + "/snap")
+    got = readers.scan(spark, scratch + "/snap", as_of="2024-01-01 00:00:00", columns=["server_name", "v"],
+                       servers=["s2"])
+    assert [tuple(r) for r in got.collect()] == [("s2", 2)]
+
+
+def test_log_consumers_state_filter(spark):
+    dt_rows = [(1, 5, dt.datetime(2024, 1, 1), 10, 100, 4), (2, 5, dt.datetime(2024, 1, 1), 10, 900, 3)]
+    dtx = spark.createDataFrame(dt_rows, "transaction_id long, database_id long, begin_time timestamp_ntz, "
+                                         "log_bytes_reserved long, log_record_count long, state int")
+    stx = spark.createDataFrame([(1, 7), (2, 7)], "transaction_id long, session_id long")
+    req = spark.createDataFrame([(7, 70, 1)], "session_id long, request_id long, sql_handle long")
+    txt = spark.createDataFrame([(1, "update t")], "sql_handle long, text string")
+    dbs = spark.createDataFrame([(5, "db5")], "database_id long, name string")
+    everything = consumers.log_consumers(dtx, stx, req, txt, dbs).collect()
+    only_logging = consumers.log_consumers(dtx, stx, req, txt, dbs, state=4).collect()
+    assert sorted(r.log_record_count for r in everything) == [100, 900]
+    assert [(r.log_record_count, r.db_name, r.text) for r in only_logging] == [(100, "db5", "update t")]
