@@ -387,3 +387,25 @@ def test_log_consumers_state_filter(spark):
     only_logging = consumers.log_consumers(dtx, stx, req, txt, dbs, state=4).collect()
     assert sorted(r.log_record_count for r in everything) == [100, 900]
     assert [(r.log_record_count, r.db_name, r.text) for r in only_logging] == [(100, "db5", "update t")]
+
+
+def test_parameter_filters(spark):
+    from dbtelemetry.operators import inventory
+    r = lambda n: relation(spark, SF_SMALL, n)
+    sid = activity.current_waits(r("waiting_tasks"), r("sessions"), r("requests"), r("sql_text"), r("query_plan"),
+                                 session_id=2)
+    assert {x.session_id for x in sid.collect()} <= {2}
+    assert {x.spid for x in activity.statement_of(r("processes"), r("sql_text"), spid=3).collect()} <= {3}
+    restored = backups.last_restore(r("restore_history"), database="DB3").collect()
+    assert [x.destination_database_name for x in restored] == ["DB3"]
+    users = r("database_principals")
+    some = users.limit(2).collect()
+    kept = inventory.drop_user_statements(users, keep=[u.name for u in some])
+    assert kept.count() == users.count() - 2
+    cats = spark.createDataFrame([(c,) for c in range(0, 25, 2)], "category_id int")  # even categories only
+    with_cat = jobs.failed_jobs(r("jobs"), r("job_servers"), r("job_schedules"), r("schedules"), r("job_history"),
+                                categories=cats).count()
+    without = jobs.failed_jobs(r("jobs"), r("job_servers"), r("job_schedules"), r("schedules"),
+                               r("job_history")).count()
+    assert with_cat <= without
+    assert storage.event_log_search(r("event_log"), "%ERROR%", case_sensitive=True).count() == 0
