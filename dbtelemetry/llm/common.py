@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed by the contracts: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,3 +60,53 @@ def stored(df: DataFrame) -> DataFrame:
 
 def is_empty(df: DataFrame) -> bool:
     return len(df.take(1)) == 0
+
+
+BATCH_ROWS = 512
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows, unless the session has a smaller limit: whole texts make large rows."""
+    n = int(spark.conf.get(BATCH_SETTING, "10000"))
+    if n <= 0 or n > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
+def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, in batches that hold about ``size`` bytes of ``column`` or the last of them."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.column(column).nbytes
+        if n >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def with_columns(docs: DataFrame, start: Callable[[], Callable[[list[str]], dict]], fields: list[tuple[str, T.DataType]],
+                 text_col: str = "text", size: int = 6_000_000) -> DataFrame:
+    """``docs`` with columns computed from the whole text (null: empty), in place: no shuffle.
+
+    ``start`` runs once a task and gives the function from a chunk's texts
+    to a list of values for each of ``fields``.
+    """
+    small_batches(docs.sparkSession)
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in fields]])
+
+    def run(batches):
+        compute = start()
+        for batch in chunks(batches, text_col, size):
+            texts_ = [t or "" for t in batch.column(text_col).to_pylist()]
+            made = compute(texts_)
+            arrays = [*batch.columns, *[pa.array(made[n], to_arrow(t)) for n, t in fields]]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *[n for n, _ in fields]])
+
+    return docs.mapInArrow(run, schema)
+
+
+def to_arrow(t: T.DataType) -> pa.DataType:
+    return {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(), T.StringType(): pa.string(),
+            T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}[t]

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dbtelemetry.llm import exact_dedup, mixing, sharding
+from dbtelemetry.llm import bpe, exact_dedup, langid, minhash_dedup, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        bpe.op2_bpe,
+        langid.op3_language_id,
+        minhash_dedup.op5_minhash_dedup,
         exact_dedup.op6_exact_dedup,
         sharding.op8_extendible_sharding,
         mixing.op10_curriculum_mixing,
