@@ -6,20 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dbtelemetry.llm import bpe, exact_dedup, langid, minhash_dedup, mixing, sharding
+from dbtelemetry.llm import (bpe, exact_dedup, langid, line_dedup, lm, minhash_dedup, mixing, nearest, sharding,
+                             toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        nearest.op1_multiprobe_lsh,
         bpe.op2_bpe,
         langid.op3_language_id,
+        line_dedup.op4_line_dedup,
         minhash_dedup.op5_minhash_dedup,
         exact_dedup.op6_exact_dedup,
+        lm.op7_lm_scores,
         sharding.op8_extendible_sharding,
+        toxicity.op9_toxicity,
         mixing.op10_curriculum_mixing,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_extendible_sharding": sharding.ORACLE,
     "op10_curriculum_mixing": mixing.ORACLE,
