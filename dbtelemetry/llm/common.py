@@ -90,21 +90,26 @@ def with_columns(docs: DataFrame, start: Callable[[], Callable[[list[str]], dict
                  text_col: str = "text", size: int = 6_000_000) -> DataFrame:
     """``docs`` with columns computed from the whole text (null: empty), in place: no shuffle.
 
+    As with ``withColumn``, a column of the same name is replaced.
+
     ``start`` runs once a task and gives the function from a chunk's texts
     to a list of values for each of ``fields``.
     """
     small_batches(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in fields]])
+    names = {n for n, _ in fields}
+    stay = [c for c in docs.columns if c not in names]
+    read = docs.select(*stay) if text_col in stay else docs.select(*stay, text_col)
+    schema = T.StructType([*[docs.schema[c] for c in stay], *[T.StructField(n, t) for n, t in fields]])
 
     def run(batches):
         compute = start()
         for batch in chunks(batches, text_col, size):
             texts_ = [t or "" for t in batch.column(text_col).to_pylist()]
             made = compute(texts_)
-            arrays = [*batch.columns, *[pa.array(made[n], to_arrow(t)) for n, t in fields]]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *[n for n, _ in fields]])
+            arrays = [*[batch.column(c) for c in stay], *[pa.array(made[n], to_arrow(t)) for n, t in fields]]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*stay, *[n for n, _ in fields]])
 
-    return docs.mapInArrow(run, schema)
+    return read.mapInArrow(run, schema)
 
 
 def to_arrow(t: T.DataType) -> pa.DataType:

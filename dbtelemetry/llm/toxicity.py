@@ -7,8 +7,8 @@ character taken with the one before it, hashed). The network reads windows of
 ``WINDOW`` words, ``STRIDE`` apart, forwards and backwards; attention weighs
 the states into one vector a window, and that gives the window's logit.
 All overlapping windows of a text are scored. The text's score is a logistic
-function of its largest logit and its number of windows, fitted on labelled
-documents that the network did not see.
+function of its largest logit, fitted on labelled documents that the network
+did not see.
 
 The network is trained in numpy on a bounded sample: at most ``TOXIC`` toxic
 and ``CLEAN`` clean labelled training documents (by hash of the id), from
@@ -264,7 +264,7 @@ class Scorer:
 
 
 def _features(top: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return np.stack((np.ones(len(top)), np.where(n > 0, top, 0.0), np.log(np.maximum(n, 1))), axis=1)
+    return np.stack((np.ones(len(top)), np.where(n > 0, top, 0.0)), axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
