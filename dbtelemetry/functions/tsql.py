@@ -37,33 +37,33 @@ def datalength_utf16(s) -> Column:
     return F.octet_length(F.encode(_c(s), "UTF-16LE"))
 
 
-def statement_text(text, start_offset, end_offset, offset_base: int = 1, utf16: bool = False) -> Column:
-    """Current statement from byte offsets into the batch text (F1).
+def utf16_substring(s, start, length) -> Column:
+    """``SUBSTRING`` of an nvarchar: ``start`` and ``length`` count UTF-16 units, as the server does.
 
-    ``SUBSTRING(text, start/2 + offset_base, ((end = -1 ? DATALENGTH : end) - start)/2 + 1)``.
-    Offsets count UTF-16 bytes; with ``utf16=True`` the cut is made on the
-    UTF-16LE bytes so text with characters outside the BMP is cut where the
-    server would cut it. ``offset_base=0`` is the variant that starts one
-    character early (SURVEY O48d).
+    Rules for ``start < 1`` and negative lengths as in :func:`tsql_substring`.
     """
-    text, so, eo = _c(text), _c(start_offset), _c(end_offset)
-    if not utf16:
-        end_bytes = F.when(eo == -1, F.length(text) * 2).otherwise(eo)
-        start = int_div(so, 2) + offset_base
-        length = int_div(end_bytes - so, 2) + 1
-        return tsql_substring(text, start, length)
-    data = F.encode(text, "UTF-16LE")
-    end_bytes = F.when(eo == -1, F.octet_length(data)).otherwise(eo)
-    start_unit = int_div(so, 2) + offset_base
-    len_units = int_div(end_bytes - so, 2) + 1
-    eff_len = F.when(start_unit < 1, len_units + start_unit - 1).otherwise(len_units)
-    eff_start = F.greatest(start_unit, F.lit(1))
+    data, start, length = F.encode(_c(s), "UTF-16LE"), _c(start), _c(length)
+    eff_len = F.when(start < 1, length + start - 1).otherwise(length)
+    eff_start = F.greatest(start, F.lit(1))
     cut = data.substr((eff_start - 1) * 2 + 1, eff_len * 2)
-    return (F.when(len_units < 0, F.lit(None).cast("string"))
+    return (F.when(length < 0, F.lit(None).cast("string"))
             .when(eff_len <= 0, F.lit(""))
             .otherwise(F.decode(cut, "UTF-16LE")))
 
 
+def statement_text(text, start_offset, end_offset, offset_base: int = 1) -> Column:
+    """Current statement from byte offsets into the batch text (F1).
+
+    ``SUBSTRING(text, start/2 + offset_base, ((end = -1 ? DATALENGTH : end) - start)/2 + 1)``.
+    Offsets count UTF-16 bytes, so text outside the BMP is cut where the
+    server cuts it. ``offset_base=0`` is the variant that starts one
+    character early (SURVEY O48d).
+    """
+    so, eo = _c(start_offset), _c(end_offset)
+    end_bytes = F.when(eo == -1, datalength_utf16(text)).otherwise(eo)
+    return utf16_substring(text, int_div(so, 2) + offset_base, int_div(end_bytes - so, 2) + 1)
+
+
 def tsql_len(s) -> Column:
     """``LEN``: length without trailing blanks (F8)."""
     return F.length(F.rtrim(_c(s)))
@@ -112,10 +112,6 @@ def int_div(a, b) -> Column:
     return F.call_function("div", _c(a), b)
 
 
-def bit_and(a, mask) -> Column:
-    return _c(a).bitwiseAND(mask)
-
-
 # ---------------------------------------------------------------- dates
 
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"

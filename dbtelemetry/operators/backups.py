@@ -60,13 +60,13 @@ def backup_history(backupset: DataFrame, media: DataFrame, labels: str = "refere
 
 def weekly_backup_report(backupset: DataFrame, media: DataFrame, as_of, days: int = 6,
                          keys: Keys = ()) -> DataFrame:
-    """Backups started in the last ``days`` days (strict ``>``), with run time in minutes.
+    """Backups started in the ``days`` days up to ``as_of`` (strict ``>``), with run time in minutes.
 
     Start time is formatted as style 113; minutes count boundaries
     (T-SQL ``DATEDIFF``). One row per media file, as in the reference.
     """
     lower = tsql.as_ts(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-    b = backupset.filter(F.col("backup_start_date") > lower)
+    b = backupset.filter((F.col("backup_start_date") > lower) & (F.col("backup_start_date") <= tsql.as_ts(as_of)))
     j = b.join(media.select(*keys, "media_set_id"), on(["media_set_id"], keys))
     return j.select(*keys, F.col("server_name").alias("server"), "database_name",
                     tsql.format_113("backup_start_date").alias("backup_start"),

@@ -19,7 +19,7 @@ SYSTEM_DATABASE_MAX_ID = 4
 
 def default_trace_today(trace: DataFrame, subclasses: DataFrame, events: DataFrame, categories: DataFrame,
                         as_of, keys: Keys = ()) -> DataFrame:
-    """Default-trace rows since midnight of ``as_of`` with event, category and object-type names.
+    """Default-trace rows of the day of ``as_of`` (midnight to midnight) with event, category and object-type names.
 
     Event and category names are inner joins, the object-type name a left
     join on (event, subclass value). The ``<>`` tests drop rows with a NULL
@@ -29,7 +29,8 @@ def default_trace_today(trace: DataFrame, subclasses: DataFrame, events: DataFra
     """
     since = tsql.start_of_day(tsql.as_ts(as_of))
     gt = trace.filter((F.col("spid") > SYSTEM_SPID_MAX) & (F.col("object_type") != STATISTICS_OBJECT_TYPE)
-                      & (F.col("database_name") != "tempdb") & (F.col("start_time") >= since))
+                      & (F.col("database_name") != "tempdb") & (F.col("start_time") >= since)
+                      & (F.col("start_time") < since + F.expr("INTERVAL 1 DAY")))
     sv = bounded_lookup(subclasses.select(F.col("trace_event_id").alias("__sv_ev"),
                                           F.col("subclass_value").alias("__sv_val"), "subclass_name"))
     ev = bounded_lookup(events.select(F.col("trace_event_id").alias("__ev"), F.col("name").alias("event_name"),

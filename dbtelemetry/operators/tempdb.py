@@ -95,7 +95,7 @@ def tempdb_sessions(task_space: DataFrame, requests: DataFrame, sql_text: DataFr
     j = j.filter(F.col("text").isNotNull() | F.col("query_plan").isNotNull())
     so, eo = F.col("statement_start_offset"), F.col("statement_end_offset")
     length = F.when(eo < so, F.lit(0)).otherwise(tsql.int_div(eo - so, 2))
-    cut = tsql.tsql_substring("text", tsql.int_div(so, 2), length)
+    cut = tsql.utf16_substring("text", tsql.int_div(so, 2), length)
     stmt = F.coalesce(tsql.nullif_blank(cut), F.col("text"))
     return j.select(*keys, "session_id",
                     (F.col("alloc_pages") / F.lit(128.0)).alias("internal_object_mb"),

@@ -67,7 +67,7 @@ SELECT CAST(NULL AS VARCHAR) AS object_name,
        CASE WHEN n_chars < 0 THEN NULL ELSE substring(text, first_char, n_chars) END AS statement_text,
        d.name AS database_name, cpu_time,
        date_diff('minute', last_request_start_time, TIMESTAMP '{AS_OF_ACTIVITY}') AS running_minutes,
-       percent_complete, host_name AS running_from, left(client_interface_name, 25) AS running_by, session_id,
+       percent_complete, host_name AS running_from, client_interface_name AS running_by, session_id,
        blocking_session_id AS blocking_with, reads, writes, program_name, login_name, session_status AS status,
        last_request_start_time, logical_reads
 FROM cut LEFT JOIN databases d USING (database_id)
@@ -105,7 +105,7 @@ def _session_status(rel):
 
 
 @report("blocked_pairs", ("processes", "sql_text"), f"""
-WITH buffer AS (SELECT spid, left(text, 255) AS event_info FROM processes JOIN sql_text USING (sql_handle)),
+WITH buffer AS (SELECT spid, text AS event_info FROM processes JOIN sql_text USING (sql_handle)),
 waiting AS (SELECT spid, blocked AS blocked1, waittime, dbid, cmd, loginame FROM processes
             WHERE blocked <> 0 AND waittime > 60000),
 chain AS (SELECT w.*, p.blocked AS blocked2 FROM waiting w JOIN processes p ON p.spid = w.blocked1)
@@ -141,7 +141,7 @@ def _statement_of(rel):
 
 
 @report("kill_statements", ("processes", "databases"), """
-SELECT name AS database_name, spid, concat('kill ', left(spid::VARCHAR, 5), ' -- ') || loginame AS kill_statement
+SELECT name AS database_name, spid, concat('kill ', spid::VARCHAR, ' -- ') || loginame AS kill_statement
 FROM processes JOIN (SELECT database_id AS dbid, name FROM databases) USING (dbid)
 """)
 def _kill_statements(rel):

@@ -134,7 +134,7 @@ SELECT NULL::VARCHAR AS server_name, j.job_id, j.name AS job_name,
        coalesce(h.success, 0) AS success, coalesce(h.cancel, 0) AS cancel, coalesce(h.fail, 0) AS fail,
        coalesce(h.retry, 0) AS retry, coalesce(h.last_execution_id, 0) AS last_execution_id,
        h.last_execution_start, coalesce(h.last_duration, '00:00:01') AS last_duration,
-       printf('EXECUTE msdb.dbo.sp_update_job @job_id = ''%s'', @enabled = 0;', rpad(j.job_id::VARCHAR, 36, ' '))
+       printf('EXECUTE msdb.dbo.sp_update_job @job_id = ''%s'', @enabled = 0;', j.job_id::VARCHAR)
          AS disable_script
 FROM (SELECT * FROM jobs WHERE enabled = 1) j
 LEFT JOIN decoded d USING (job_id)
@@ -287,7 +287,8 @@ def _session_query(rel):
 WITH today AS (
   SELECT * FROM trace_rows
   WHERE spid > 50 AND object_type <> 21587 AND database_name <> 'tempdb'
-    AND start_time >= date_trunc('day', TIMESTAMP '{TRACE_AS_OF}'))
+    AND start_time >= date_trunc('day', TIMESTAMP '{TRACE_AS_OF}')
+    AND start_time < date_trunc('day', TIMESTAMP '{TRACE_AS_OF}') + INTERVAL 1 DAY)
 SELECT r.database_name, r.spid, r.start_time, r.object_type AS object_type_id, sub.subclass_name AS object_type,
        ev.category_id, cat.name AS category, r.event_class AS event_id, ev.name AS event_name, r.text_data
 FROM today r

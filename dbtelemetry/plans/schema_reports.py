@@ -154,7 +154,8 @@ def _backup_history(rel):
 _WEEKLY_SQL = f"""
 SELECT server_name AS server, database_name, strftime(backup_start_date, '%d %b %Y %H:%M:%S') AS backup_start,
        date_diff('minute', backup_start_date, backup_finish_date) AS run_time_minutes, backup_start_date
-FROM (SELECT * FROM backupset WHERE backup_start_date + INTERVAL 6 DAY > TIMESTAMP '{AS_OF_BACKUP}')
+FROM (SELECT * FROM backupset WHERE backup_start_date + INTERVAL 6 DAY > TIMESTAMP '{AS_OF_BACKUP}'
+        AND backup_start_date <= TIMESTAMP '{AS_OF_BACKUP}')
 JOIN (SELECT media_set_id FROM backupmediafamily) USING (media_set_id)
 """
 

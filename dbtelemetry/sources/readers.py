@@ -12,20 +12,28 @@ from dbtelemetry.functions import tsql
 
 def scan(spark: SparkSession, path: str, as_of: str | None = None, columns: Sequence[str] | None = None,
          servers: Sequence[str] | None = None) -> DataFrame:
-    """Read a snapshot relation, pruned to the capture of ``as_of``.
+    """Read a snapshot relation as it was at ``as_of``: each server's latest capture at or before it.
 
-    Tables are Parquet partitioned by ``captured_date``; a filter on it is
-    a partition filter (directories never opened), and the filter on
-    ``captured_at`` plus the column list reach the scan as pushed filters
-    and the read schema.
+    Tables are Parquet partitioned by ``captured_date``. Finding the latest
+    captures reads only the server and capture columns of the partitions up
+    to that day; the join back on server, day and capture prunes to the
+    partitions that hold them (dynamic partition pruning), and the column
+    list reaches the scan as its read schema.
     """
     df = spark.read.parquet(path)
-    if as_of is not None:
+    if as_of is not None and "captured_at" in df.columns:
         ts = tsql.as_ts(as_of)
         if "captured_date" in df.columns:
-            df = df.filter(F.col("captured_date") == F.to_date(ts))
-        if "captured_at" in df.columns:
-            df = df.filter(F.col("captured_at") == ts)
+            df = df.filter(F.col("captured_date") <= F.to_date(ts))
+        df = df.filter(F.col("captured_at") <= ts)
+        by = [c for c in ("server_name",) if c in df.columns]
+        day = [c for c in ("captured_date",) if c in df.columns]
+        last = df.groupBy(*by).agg(F.max(F.struct("captured_at", *day)).alias("last"))
+        last = last.select(*[F.col(c).alias(f"__{c}") for c in by],
+                           *[F.col(f"last.{c}").alias(f"__{c}") for c in ("captured_at", *day)])
+        cond = [df[c].eqNullSafe(last[f"__{c}"]) if c in by else df[c] == last[f"__{c}"]
+                for c in (*by, *day, "captured_at")]
+        df = df.join(last, cond, "left_semi")
     if servers is not None and "server_name" in df.columns:
         df = df.filter(F.col("server_name").isin(*servers))
     if columns is not None:

@@ -70,7 +70,7 @@ def _ts(text: Column) -> Column:
 
 def _handle(hex_text: Column) -> Column:
     """``xs:hexBinary(substring(h, 3))``: the bytes after ``0x``; empty gives NULL."""
-    digits = F.substring(hex_text, 3, 1 << 20)
+    digits = hex_text.substr(F.lit(3), F.length(hex_text))
     return F.when(F.length(digits) > 0, F.unhex(digits))
 
 
@@ -152,7 +152,7 @@ def reports(parsed: DataFrame) -> DataFrame:
         *_fleet(parsed), "report_id", "arrival_ts",
         _ts(F.col("x.StartTime")).alias("event_date"),
         F.col("x.DatabaseID").alias("database_id"),
-        F.left(F.col(f"{bp}._waitresource"), F.lit(64)).alias("resource"),
+        F.col(f"{bp}._waitresource").alias("resource"),
         F.col(f"{bp}._waittime").alias("wait_time"),
         F.col(f"{bp}._spid").alias("blocked_spid"),
         F.col(f"{bp}._xactid").alias("blocked_xact_id"),
@@ -284,7 +284,7 @@ def _handle_key(handle: Column, key_type: T.DataType) -> Column:
 
 
 def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sql_text: DataFrame,
-           plans: DataFrame, utf16: bool = False) -> DataFrame:
+           plans: DataFrame) -> DataFrame:
     """Statement text and plans of the blocked and the blocking statement.
 
     Text: lookup by handle (an empty handle gives NULL). Blocked plan: from
@@ -343,8 +343,8 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
               .join(b_qs, "report_id", "left"))
     looked = looked.select(
         "report_id",
-        tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end", utf16=utf16).alias("blocked_sql"),
-        tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end", utf16=utf16)
+        tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end").alias("blocked_sql"),
+        tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end")
         .alias("blocking_sql"),
         F.coalesce("__er_plan", "__qs_plan").alias("blocked_query_plan"),
         "blocking_query_plan")

@@ -4,6 +4,7 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from dbtelemetry.operators import activity, backups, consumers, jobs, schema_health, storage
 from dbtelemetry.sources import readers, sinks
@@ -22,14 +23,12 @@ def ids(df, col="request_session_id"):
 def test_root_blocker_null_resource_is_null_safe(spark):
     locks = spark.createDataFrame([(1, 10, None, "GRANT"), (2, 10, None, "WAIT")], LOCKS)
     assert ids(activity.root_blockers(locks)) == [1]
-    assert ids(activity.root_blockers_selfjoin(locks)) == [1]
 
 
 def test_root_blocker_null_waiting_session_empties_result(spark):
     locks = spark.createDataFrame([(1, 10, "a", "GRANT"), (None, 10, "a", "WAIT"), (3, 11, "b", "GRANT"),
                                    (4, 11, "b", "WAIT")], LOCKS)
     assert ids(activity.root_blockers(locks)) == []
-    assert ids(activity.root_blockers_selfjoin(locks)) == []
 
 
 def test_root_blocker_waiting_holder_is_not_root(spark):
@@ -38,18 +37,56 @@ def test_root_blocker_waiting_holder_is_not_root(spark):
     assert ids(activity.root_blockers(locks)) == [1]
 
 
+def root_blockers_brute(rows):
+    """Holders and waiters among rows that clash with another, then NOT IN in three-valued logic."""
+    clashing = [r for r in rows if r[1] is not None and r[3] is not None
+                and any(o[1] == r[1] and o[2] == r[2] and o[3] not in (None, r[3]) for o in rows)]
+    holders = {r[0] for r in clashing if r[3] == "GRANT"}
+    waiters = {r[0] for r in clashing if r[3] == "WAIT"}
+    if None in waiters:
+        return []
+    return sorted((h for h in holders if not waiters or (h is not None and h not in waiters)),
+                  key=lambda v: (v is None, v))
+
+
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.one_of(st.none(), st.integers(0, 3)),
                           st.sampled_from([None, "a", "b"]), st.sampled_from([None, "GRANT", "WAIT", "CONVERT"])),
                 min_size=0, max_size=14))
-def test_root_blockers_equal_self_join_form(spark, rows):
+def test_root_blockers_equal_brute_force(spark, rows):
     locks = spark.createDataFrame(rows, LOCKS)
-    assert ids(activity.root_blockers(locks)) == ids(activity.root_blockers_selfjoin(locks))
+    assert ids(activity.root_blockers(locks)) == root_blockers_brute(rows)
+
+
+def test_root_blockers_plan_has_no_nested_loop(spark):
+    plan = activity.root_blockers(relation(spark, SF_SMALL, "locks"))._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortAggregate" not in plan
+
+
+def test_kill_statement_keeps_long_ids(spark):
+    procs = spark.createDataFrame([(123456, 1, "l", "h")], "spid long, dbid long, loginame string, hostname string")
+    dbs = spark.createDataFrame([(1, "db")], "database_id long, name string")
+    assert activity.kill_statements(procs, dbs).first().kill_statement == "kill 123456 -- l"
+
+
+def test_blocked_pairs_keep_whole_texts(spark):
+    procs = spark.createDataFrame([(1, 2, 90_000, 1, "c", "l"), (2, 0, 0, 1, "c", "l")],
+                                  "spid long, blocked long, waittime long, dbid long, cmd string, loginame string")
+    bufs = spark.createDataFrame([(1, "x" * 4000), (2, "y" * 300)], "spid long, event_info string")
+    r = activity.blocked_pairs(procs, bufs, "2024-01-01 00:00:00").first()
+    assert (len(r.query_blocked), len(r.query_blocked_by1), r.query_blocked_by2) == (4000, 300, None)
 
 
-def test_root_blockers_fixture_equivalence(spark):
-    locks = relation(spark, SF_SMALL, "locks")
-    assert ids(activity.root_blockers(locks)) == ids(activity.root_blockers_selfjoin(locks))
+def test_scan_between_captures(spark, scratch):
+    """As of a moment between captures: each server's latest capture before it."""
+    rows = [("s1", "2024-01-01 10:00:00", 1), ("s1", "2024-01-02 10:00:00", 2), ("s1", "2024-01-02 12:00:00", 3),
+            ("s2", "2024-01-01 09:00:00", 4), ("s2", "2024-01-03 09:00:00", 5)]
+    df = spark.createDataFrame([(a, dt.datetime.fromisoformat(b), c) for a, b, c in rows],
+                               "server_name string, captured_at timestamp_ntz, v int")
+    df.withColumn("captured_date", F.to_date("captured_at")).write.partitionBy("captured_date").parquet(scratch + "/s")
+    at = lambda t: sorted(r.v for r in readers.scan(spark, scratch + "/s", as_of=t).collect())
+    assert at("2024-01-02 11:00:00") == [2, 4] and at("2024-01-02 12:00:00") == [3, 4]
+    assert at("2024-01-01 09:30:00") == [4] and at("2023-12-31 00:00:00") == [] and at("2024-02-01 00:00:00") == [3, 5]
 
 
 def test_current_waits_multiply_by_requests(spark):
@@ -289,7 +326,7 @@ def test_running_requests_utf16_cut(spark):
                                 "last_request_start_time timestamp_ntz, is_user_process int")
     txt = spark.createDataFrame([(7, text)], "sql_handle long, text string")
     dbs = spark.createDataFrame([(0, "db")], "database_id long, name string")
-    cut = activity.running_requests(req, ses, txt, dbs, "2024-01-01 00:10:00", utf16=True).first()
+    cut = activity.running_requests(req, ses, txt, dbs, "2024-01-01 00:10:00").first()
     assert cut.statement_text == "abc " and cut.running_minutes == 10
 
 
