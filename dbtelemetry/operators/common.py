@@ -31,8 +31,37 @@ def _keyed_lookup(df: DataFrame, lookup: DataFrame, left_col: str, right_col: st
     renamed = lookup
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__lk_{k}")
+    drop = [right_col, *[f"__lk_{k}" for k in keys]]
+    if how == "left":
+        spread = _spread(df, left_col)
+        renamed = renamed.withColumn("__lk_salt", F.lit(0))
+        cond = [spread[left_col + "__key"] == renamed[right_col], spread["__salt"] == renamed["__lk_salt"]]
+        cond += [spread[k] == renamed[f"__lk_{k}"] for k in keys]
+        return spread.join(renamed, cond, how).drop(left_col + "__key", "__salt", "__lk_salt", *drop)
     cond = [df[left_col] == renamed[right_col]] + [df[k] == renamed[f"__lk_{k}"] for k in keys]
-    return df.join(renamed, cond, how).drop(right_col, *[f"__lk_{k}" for k in keys])
+    return df.join(renamed, cond, how).drop(*drop)
+
+
+NULL_SPREAD = 256
+
+
+def _spread(df: DataFrame, col: str) -> DataFrame:
+    """``df`` with the join key ``<col>__key`` and ``__salt``: rows whose ``col`` is NULL, which no lookup
+    row matches, get a salt above 0 by their content and so do not meet in one partition."""
+    kind = df.schema[col].dataType.simpleString()
+    filler = F.lit("").cast(kind) if kind in ("string", "binary") else F.lit(0).cast(kind)
+    salt = F.when(F.col(col).isNull(), F.pmod(F.hash(*[c for c in df.columns if c != col]), F.lit(NULL_SPREAD)) + 1)
+    return df.withColumn("__salt", F.coalesce(salt, F.lit(0))).withColumn(col + "__key", F.coalesce(F.col(col), filler))
+
+
+def spread_left_join(df: DataFrame, lookup: DataFrame, cols: Sequence[str], nullable: str) -> DataFrame:
+    """Left join on equally named ``cols``; rows with a NULL in ``nullable`` are spread over the partitions."""
+    right = lookup.select(*[F.col(c).alias(f"__lk_{c}") for c in cols], *[c for c in lookup.columns if c not in cols],
+                          F.lit(0).alias("__lk_salt"))
+    left = _spread(df, nullable)
+    cond = [left[c + "__key" if c == nullable else c] == right[f"__lk_{c}"] for c in cols]
+    out = left.join(right, [*cond, left["__salt"] == right["__lk_salt"]], "left")
+    return out.drop("__salt", nullable + "__key", "__lk_salt", *[f"__lk_{c}" for c in cols])
 
 
 def db_name(df: DataFrame, databases: DataFrame, id_col: str, out: str = "database_name",

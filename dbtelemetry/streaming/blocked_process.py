@@ -6,10 +6,9 @@ a fixed schema; malformed XML yields NULL fields and goes to an error
 output instead of stopping the job. The merge of repeated reports is the
 fold of :mod:`dbtelemetry.streaming.merge_fold`, run per merge key:
 
-* batch: hash-partition by key, sort within partitions by (key, queue
-  order), ``mapInArrow`` streams each partition through the fold; keys
-  with very many reports are first cut into independent episodes that
-  fold in parallel;
+* batch: every key's reports are cut into independent episodes by window
+  passes over narrow columns; single reports are incidents at once, longer
+  episodes stream through the fold (``mapInArrow``) in parallel;
 * streaming: ``applyInPandasWithState`` keyed by the merge key, with a
   watermark on the report time; an incident is closed (its final wait
   emitted) once the watermark passes its last report plus the allowed
@@ -23,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import db_name
+from dbtelemetry.operators.common import db_name, spread_left_join
 from dbtelemetry.sources import sinks
-from dbtelemetry.streaming.merge_fold import KeyFold, fold_sorted_partitions, segment_partitions
+from dbtelemetry.streaming.merge_fold import KeyFold, fold_sorted_partitions
 
 # Fixed values of the event source and the merge.
 NOTIFICATION_TYPE_SUFFIX = "EventNotification"
@@ -186,35 +185,21 @@ def _micros(c: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col(c))
 
 
-HOT_KEY_ROWS = 1_000_000
-_SEG_SCHEMA = ("__rid string, __key string, __pid int, __t bigint, __w bigint, __arr timestamp_ntz, "
-               "__split boolean, __seg_rid string")
-
-
-def _fold_by_key(df: DataFrame, slack: int, num_partitions: int | None) -> DataFrame:
-    """Hash-partition by ``__key``, sort by (key, queue order), stream through the fold."""
-    parts = [num_partitions] if num_partitions else []
-    sorted_in = df.repartition(*parts, "__key").sortWithinPartitions("__key", "__arr", "__rid")
-    return sorted_in.mapInArrow(lambda it: fold_sorted_partitions(it, slack), sorted_in.schema)
-
-
-def _episodes(hot: DataFrame, slack: int, num_partitions: int | None) -> DataFrame:
-    """Split hot keys into independent episodes (see ``merge_fold``), as sub-keys.
+def _episodes(narrow: DataFrame, num_partitions: int | None) -> DataFrame:
+    """Split every key's reports into independent episodes (see ``merge_fold``): ``__ep``, ``__alone`` per report.
 
     The narrow columns are range-partitioned by (key, queue order), so one
-    hot key spans many partitions; a per-(partition, key) aggregate gives
-    each partition its carries (largest report time before it, smallest
-    threshold after it), at most two rows per partition, broadcast back;
-    one ``mapInPandas`` pass marks episode starts; a second small carry
-    names the episode of rows whose episode began in an earlier partition.
+    hot key spans many partitions. Running maxima of the report time and
+    minima of the threshold are windows per (partition, key); what other
+    partitions hold of the same key comes from one aggregate row per
+    (partition, key). An episode is named by the row id of its first
+    report; ``__alone`` marks episodes known to hold a single report.
     """
-    spark = hot.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    narrow = hot.select("__key", "__arr", "__rid", "__t", "__w").withColumn(
-        "__thr", F.col("__t") - (F.col("__w") * 1000 + slack))
-    srt = (narrow.repartitionByRange(n, "__key", "__arr", "__rid").sortWithinPartitions("__key", "__arr", "__rid")
-           .withColumn("__pid", F.spark_partition_id()))
-    srt = sinks.materialize(srt)  # reliable checkpoint: partitions and their order are kept
+    n = num_partitions or int(narrow.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["__arr", "__ord", "__rid"]
+    srt = narrow.repartitionByRange(n, "__key", *order).withColumn("__pid", F.spark_partition_id())
+    # Stored, so that the partition numbers stay as they are.
+    srt = sinks.materialize(srt, columnar=True)
     by_pid = Window.partitionBy("__key").orderBy("__pid")
     summ = srt.groupBy("__pid", "__key").agg(F.max("__t").alias("__mt"), F.min("__thr").alias("__mthr"))
     carries = summ.select(
@@ -223,55 +208,67 @@ def _episodes(hot: DataFrame, slack: int, num_partitions: int | None) -> DataFra
         F.min("__mthr").over(by_pid.rowsBetween(1, Window.unboundedFollowing)).alias("__thr_in"),
     ).filter(F.col("__t_in").isNotNull() | F.col("__thr_in").isNotNull())
     # Only a partition's first and last key can span partitions: <= 2 rows per partition.
-    segs = srt.join(F.broadcast(carries), ["__pid", "__key"], "left").mapInPandas(segment_partitions, _SEG_SCHEMA)
-    segs = sinks.materialize(segs)
-    needed = (segs.filter(F.col("__seg_rid").isNull()).select("__pid", "__key").distinct()
-              .withColumn("__ls", F.lit(None).cast("string")).withColumn("__kind", F.lit(0)))
-    last_split = (segs.filter("__split").groupBy("__pid", "__key")
-                  .agg(F.max_by("__rid", F.struct("__arr", "__rid")).alias("__ls")).withColumn("__kind", F.lit(1)))
-    before = Window.partitionBy("__key").orderBy("__pid", "__kind").rowsBetween(Window.unboundedPreceding, -1)
-    fills = (last_split.unionByName(needed).withColumn("__fill", F.last("__ls", ignorenulls=True).over(before))
+    rows = srt.join(F.broadcast(carries), ["__pid", "__key"], "left")
+    run = Window.partitionBy("__pid", "__key").orderBy(*order)
+    back = Window.partitionBy("__pid", "__key").orderBy(*[F.col(c).desc() for c in order])
+    before = F.greatest("__t_in", F.max("__t").over(run.rowsBetween(Window.unboundedPreceding, -1)))
+    after = F.least("__thr_in", F.min("__thr").over(back.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("__before", before).withColumn("__after", after)
+    split = F.col("__before").isNull() | (F.col("__before") < F.col("__after"))
+    rows = rows.withColumn("__split", split)
+    opener = F.when(F.col("__split"), F.col("__rid"))
+    rows = rows.withColumn("__seg", F.last(opener, ignorenulls=True).over(run.rowsBetween(Window.unboundedPreceding, 0)))
+    nxt = F.coalesce(F.lead("__split").over(run), F.col("__thr_in").isNull())
+    rows = sinks.materialize(rows.withColumn("__alone", F.col("__split") & nxt)
+                             .select("__pid", "__key", *order, "__t", "__w", "__split", "__seg", "__alone"), columnar=True)
+    needed = (rows.filter(F.col("__seg").isNull()).select("__pid", "__key").distinct()
+              .withColumn("__ls", F.lit(None).cast("long")).withColumn("__kind", F.lit(0)))
+    last_split = (rows.filter("__split").groupBy("__pid", "__key")
+                  .agg(F.max_by("__rid", F.struct(*order)).alias("__ls")).withColumn("__kind", F.lit(1)))
+    prior = Window.partitionBy("__key").orderBy("__pid", "__kind").rowsBetween(Window.unboundedPreceding, -1)
+    fills = (last_split.unionByName(needed).withColumn("__fill", F.last("__ls", ignorenulls=True).over(prior))
              .filter(F.col("__kind") == 0).select("__pid", "__key", "__fill"))
     # Rows without an episode of their own are a partition's first key: <= 1 row per partition.
-    seg = segs.join(F.broadcast(fills), ["__pid", "__key"], "left")
-    return seg.select(F.concat(F.col("__key"), F.lit("\u0001"), F.coalesce("__seg_rid", "__fill")).alias("__key"),
-                      "__t", "__w", "__rid", "__arr")
+    rows = rows.join(F.broadcast(fills), ["__pid", "__key"], "left")
+    return rows.select(F.coalesce("__seg", "__fill").alias("__ep"), *order, "__t", "__w", "__alone")
 
 
-def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partitions: int | None = None,
-                  hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def merge_reports(reps: DataFrame, slack_ms: int = MERGE_SLACK_MS, num_partitions: int | None = None) -> DataFrame:
     """O50, batch form: one row per incident, first report's fields and the final wait.
 
-    Keys with up to ``hot_key_rows`` reports: one hash shuffle by merge
-    key, sorted within partitions by (key, queue order) and streamed
-    through the fold in ``mapInArrow``, which emits the incident-opening
-    reports with their final wait. Hotter keys are first cut into
-    independent episodes (exactly; see ``merge_fold``), which fold in
-    parallel; only the narrow columns take that path and the incident rows
-    are joined back by report id. A report whose plain-equality key has a
-    NULL never matches a stored row, so it gets a key of its own.
+    Adds ``incident_id``: the first report's ``report_id``; incidents of
+    identical messages that may not merge are numbered after it.
+
+    Every report gets a unique row id when the parsed reports are stored.
+    All keys take one path on narrow columns: the reports are cut into
+    independent episodes (exactly; see ``merge_fold``), an episode of one
+    report is its incident, longer ones stream through the fold, hash
+    partitioned by episode and sorted in queue order. The opening reports'
+    wide rows are fetched once, by row id. A report whose plain-equality
+    key has a NULL never matches a stored row and is an incident itself.
     """
     k = _keyed(reps)
-    key = F.when(F.col("__null_key"), F.concat(F.lit("\u0000"), F.col("report_id"))) \
-        .otherwise(F.to_json(F.struct(*_merge_key(k))))
-    fold_in = k.select(key.alias("__key"), F.coalesce(_micros("event_date"), F.lit(0)).alias("__t"),
-                       F.coalesce(F.col("wait_time"), F.lit(0)).alias("__w"), F.col("report_id").alias("__rid"),
-                       F.col("arrival_ts").alias("__arr"), *reps.columns)
-    # Read by the key census and by the fold: parse once, keep it columnar.
-    fold_in = sinks.materialize(fold_in, columnar=True)
+    rows = sinks.materialize(k.select(
+        F.monotonically_increasing_id().alias("__rid"), F.to_json(F.struct(*_merge_key(k))).alias("__key"), "__null_key",
+        _micros("event_date").alias("__t"), F.col("wait_time").alias("__w"), *reps.columns), columnar=True)
     slack = slack_ms * 1000
-    hot_keys = fold_in.groupBy("__key").count().filter(F.col("count") > hot_key_rows).select("__key")
-    if hot_keys.isEmpty():
-        folded = _fold_by_key(fold_in, slack, num_partitions)
-    else:
-        normal = _fold_by_key(fold_in.join(hot_keys, "__key", "left_anti"), slack, num_partitions)
-        hot = fold_in.join(hot_keys, "__key", "left_semi")
-        starts = _fold_by_key(_episodes(hot, slack, num_partitions), slack, num_partitions)
-        hot_out = hot.join(starts.select("__rid", F.col("__w").alias("__final")), "__rid") \
-            .withColumn("__w", F.col("__final")).select(*fold_in.columns)
-        folded = normal.select(*fold_in.columns).unionByName(hot_out)
-    return folded.withColumn("wait_time", F.when(F.col("wait_time").isNotNull(), F.col("__w"))) \
-        .select(*reps.columns)
+    narrow = rows.filter(~F.col("__null_key")).select(
+        "__key", F.col("arrival_ts").alias("__arr"), F.col("report_id").alias("__ord"), "__rid", "__t", "__w",
+        (F.col("__t") - (F.col("__w") * 1000 + slack)).alias("__thr"))
+    episodes = _episodes(narrow, num_partitions)
+    parts = [num_partitions] if num_partitions else []
+    longer = (episodes.filter(~F.col("__alone")).withColumnRenamed("__ep", "__key")
+              .repartition(*parts, "__key").sortWithinPartitions("__key", "__arr", "__ord", "__rid")
+              .select("__key", "__rid", "__t", "__w"))
+    folded = longer.mapInArrow(lambda it: fold_sorted_partitions(it, slack), longer.schema).select("__rid", "__w")
+    finals = episodes.filter("__alone").select("__rid", "__w").unionByName(folded)
+    opened = rows.drop("__w").join(finals, "__rid").withColumn("wait_time", F.col("__w")) \
+        .withColumn("incident_id", F.col("report_id"))
+    nth = F.row_number().over(Window.partitionBy("report_id").orderBy("__rid"))
+    alone = rows.filter("__null_key").withColumn("__n", nth).withColumn(
+        "incident_id", F.when(F.col("__n") == 1, F.col("report_id"))
+        .otherwise(F.concat_ws("-", "report_id", F.col("__n").cast("string"))))
+    return opened.select(*reps.columns, "incident_id").unionByName(alone.select(*reps.columns, "incident_id"))
 
 
 def _handle_key(handle: Column, key_type: T.DataType) -> Column:
@@ -301,10 +298,10 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
     rk = requests.schema["sql_handle"].dataType
     qk = query_stats.schema["sql_handle"].dataType
     # All lookups run on a narrow projection; the wide incident rows (with
-    # the report XML) are joined to the results once, by report id.
+    # the report XML) are joined to the results once, by incident id.
     f_all = _fleet(incidents)
     nar = incidents.select(
-        *f_all, "report_id", "event_date", "blocked_spid", "blocked_stmt_start", "blocked_stmt_end",
+        *f_all, "incident_id", "event_date", "blocked_spid", "blocked_stmt_start", "blocked_stmt_end",
         "blocking_stmt_start", "blocking_stmt_end",
         _handle_key(F.col("blocked_sql_handle"), hk).alias("__bh_t"),
         _handle_key(F.col("blocking_sql_handle"), hk).alias("__kh_t"),
@@ -331,24 +328,24 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
                          F.col("statement_start_offset").alias("blocking_stmt_start"),
                          F.col("statement_end_offset").alias("blocking_stmt_end"))
               .agg(latest.alias("blocking_query_plan")))
-    b_in = nar.select(*fq, "report_id", "event_date", F.col("__bh_q").alias("sql_handle"),
+    b_in = nar.select(*fq, "incident_id", "event_date", F.col("__bh_q").alias("sql_handle"),
                       F.col("blocked_stmt_start").alias("statement_start_offset"),
                       F.col("blocked_stmt_end").alias("statement_end_offset"))
     b_qs = (b_in.join(qs, fq + ["sql_handle", "statement_start_offset", "statement_end_offset"])
             .filter(F.col("event_date").between(F.col("creation_time"), F.col("last_execution_time")))
-            .groupBy("report_id").agg(latest.alias("__qs_plan")))
-    looked = (nar.join(bt, ft + ["__bh_t"], "left").join(kt, ft + ["__kh_t"], "left")
-              .join(er_plan, er_key, "left")
-              .join(k_plan, fq + ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "left")
-              .join(b_qs, "report_id", "left"))
+            .groupBy("incident_id").agg(latest.alias("__qs_plan")))
+    looked = (spread_left_join(spread_left_join(nar, bt, ft + ["__bh_t"], "__bh_t"), kt, ft + ["__kh_t"], "__kh_t")
+              .join(er_plan, er_key, "left"))
+    looked = (spread_left_join(looked, k_plan, fq + ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "__kh_q")
+              .join(b_qs, "incident_id", "left"))
     looked = looked.select(
-        "report_id",
+        "incident_id",
         tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end").alias("blocked_sql"),
         tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end")
         .alias("blocking_sql"),
         F.coalesce("__er_plan", "__qs_plan").alias("blocked_query_plan"),
         "blocking_query_plan")
-    return incidents.join(looked, "report_id", "left")  # report ids include the server
+    return incidents.join(looked, "incident_id", "left")  # incident ids include the server
 
 
 EVENT_LOG_COLUMNS = ("incident_id", "event_date", "database_id", "resource", "wait_time", "blocked_process_report",
@@ -362,14 +359,14 @@ def event_log(messages: DataFrame, requests: DataFrame, query_stats: DataFrame,
               plans: DataFrame, **parse_args) -> DataFrame:
     """O50 end to end in batch: parse, merge, enrich; the event table of the reference.
 
-    ``incident_id`` is the first report's id (deterministic, unlike an
-    identity counter, so a re-run after a lost executor gives the same ids).
+    ``incident_id`` comes from the first report's id (deterministic, unlike
+    an identity counter, so a re-run gives the same ids).
     """
     inc = merge_reports(reports(parse_messages(messages, **parse_args)))
     # The incidents feed several lookups: materialize them once, in the
     # shared checkpoint folder, which also cuts the lineage after the merge.
-    inc = sinks.materialize(inc)
-    out = enrich(inc, requests, query_stats, sql_text, plans).withColumnRenamed("report_id", "incident_id")
+    inc = sinks.materialize(inc, columnar=True)
+    out = enrich(inc, requests, query_stats, sql_text, plans)
     return out.select(*_fleet(out), *EVENT_LOG_COLUMNS)
 
 

@@ -166,66 +166,12 @@ def fold_sorted_partitions(batches, slack_micros: int):
         yield from emit(pa.concat_tables(pending)).to_batches()
 
 
-# ---------------------------------------------------------------- hot keys: independent episodes
+# ---------------------------------------------------------------- independent episodes
 #
 # A key's reports in queue order split into independent episodes at every
 # position p with  min(thr[p:]) > max(t[:p]):  report p must open an incident
 # (the latest start is at most max(t[:p]) < thr[p]), no later report can match
 # an earlier incident (its threshold exceeds every earlier start), and later
 # decisions no longer depend on anything before p. Folding each episode on its
-# own is therefore exact, and the episodes of one hot key fold in parallel.
-
-_LOW = -(1 << 62)
-_HIGH = 1 << 62
-
-
-def segment_partitions(batches):
-    """``mapInPandas`` body over a key-sorted, range-partitioned hot-key relation.
-
-    Each row has its key's carries from the other partitions: ``__t_in``
-    (largest report time in earlier partitions) and ``__thr_in`` (smallest
-    threshold in later partitions). Emits per row whether an episode starts
-    there and the report id of the episode's first report (NULL when the
-    episode began in an earlier partition). Holds one key's narrow run of
-    one partition at a time.
-    """
-    import numpy as np
-    import pandas as pd
-
-    def finish(run):
-        t = run["__t"].to_numpy(dtype=np.int64)
-        thr = run["__thr"].to_numpy(dtype=np.int64)
-        t_in, thr_in = run["__t_in"].iloc[0], run["__thr_in"].iloc[0]
-        t_in = _LOW if pd.isna(t_in) else int(t_in)
-        thr_in = _HIGH if pd.isna(thr_in) else int(thr_in)
-        before = np.maximum.accumulate(np.concatenate(([t_in], t[:-1])))
-        after = np.minimum(np.minimum.accumulate(thr[::-1])[::-1], thr_in)
-        split = before < after
-        idx = np.maximum.accumulate(np.where(split, np.arange(len(run)), -1))
-        rids = run["__rid"].to_numpy(dtype=object)
-        seg = np.where(idx >= 0, rids[np.maximum(idx, 0)], None)
-        return run[["__rid", "__key", "__pid", "__t", "__w", "__arr"]].assign(__split=split, __seg_rid=seg)
-
-    def cat(parts):
-        return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-
-    pending: list = []  # pieces of the open run (one key), joined once when it ends
-    for pdf in batches:
-        if len(pdf) == 0:
-            continue
-        keys = pdf["__key"].to_numpy(dtype=object)
-        bounds = [0] + list(np.flatnonzero(keys[1:] != keys[:-1]) + 1) + [len(pdf)]
-        pieces = [pdf.iloc[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-        out = []
-        for i, piece in enumerate(pieces):
-            if pending and pending[0]["__key"].iloc[0] != piece["__key"].iloc[0]:
-                out.append(finish(cat(pending)))
-                pending = []
-            pending.append(piece)
-            if i < len(pieces) - 1:  # a later piece has another key: this run is complete
-                out.append(finish(cat(pending)))
-                pending = []
-        if out:
-            yield pd.concat(out, ignore_index=True)
-    if pending:
-        yield finish(cat(pending))
+# own is therefore exact, and the episodes of one key fold in parallel. The
+# cut itself is window expressions, see ``blocked_process``.

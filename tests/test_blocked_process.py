@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -163,11 +164,11 @@ def test_streaming_job_end_to_end_with_bad_message(spark, scratch):
 
 
 def test_hot_keys_split_into_episodes_exactly(spark):
-    """Every key forced through the episode split, over many small partitions."""
+    """The same incidents whatever partitions the keys are cut over."""
     msgs = relation(spark, SF_SMALL, "blocked_process_messages")
     reps = bp.reports(bp.parse_messages(msgs))
     plain = sorted((r.report_id, r.wait_time) for r in bp.merge_reports(reps).collect())
-    split = sorted((r.report_id, r.wait_time) for r in bp.merge_reports(reps, num_partitions=7, hot_key_rows=0)
+    split = sorted((r.report_id, r.wait_time) for r in bp.merge_reports(reps, num_partitions=7)
                    .collect())
     assert split == plain and len(plain) > 0
 
@@ -184,12 +185,32 @@ def test_one_hot_key_many_episodes(spark):
     rows = [("EventNotification", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), b) for i, b in enumerate(bodies)]
     msgs = spark.createDataFrame(rows, "message_type_name string, event_ts timestamp_ntz, message_body string")
     got = sorted((int((r.event_date - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000), r.wait_time)
-                 for r in bp.merge_reports(bp.reports(bp.parse_messages(msgs)), num_partitions=9, hot_key_rows=10)
+                 for r in bp.merge_reports(bp.reports(bp.parse_messages(msgs)), num_partitions=9)
                  .collect())
     want = sorted((t0, w) for _rid, t0, w in brute_force([(t, w, i) for i, (t, w) in enumerate(raw)]))
     assert got == want and len(want) > 5
 
 
+def test_identical_messages(spark):
+    """A message delivered twice is one incident; with a NULL in the key, two, with ids of their own."""
+    full = _msg(1, 5000, "2024-01-01T10:00:00")
+    null = _msg(2, 5000, "2024-01-01T10:00:00").replace('waitresource=', 'nowaitresource=')
+    rows = [("EventNotification", dt.datetime(2024, 1, 1), b) for b in (full, full, null, null)]
+    msgs = spark.createDataFrame(rows, "message_type_name string, event_ts timestamp_ntz, message_body string")
+    for n in (None, 5):
+        inc = bp.merge_reports(bp.reports(bp.parse_messages(msgs)), num_partitions=n).collect()
+        assert sorted(r.blocked_spid for r in inc) == [1, 2, 2]
+        assert len({r.incident_id for r in inc}) == 3
+
+
+def test_resources_with_a_common_prefix_stay_apart(spark):
+    a = _msg(1, 5000, "2024-01-01T10:00:00")
+    res = re.search(r'waitresource="([^"]*)"', a).group(1)
+    long = [a.replace(res, "KEY: " + "9" * 80 + end) for end in "ab"]
+    inc = bp.merge_reports(bp.reports(bp.parse_messages(_messages(spark, long)))).collect()
+    assert sorted(r.resource[-1] for r in inc) == ["a", "b"]
+
+
 def test_change_log_sink_is_idempotent_per_batch(spark, scratch):
     changes = spark.createDataFrame([("r1", "insert", dt.datetime(2024, 1, 1), 5, None),
                                      ("r2", "insert", dt.datetime(2024, 1, 1), 7, None)], bp.CHANGE_SCHEMA)
