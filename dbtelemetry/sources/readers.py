@@ -97,7 +97,7 @@ def across_tables(df: DataFrame, table_col: str = "table_name", measures: Sequen
     return df.groupBy(table_col).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-MESSAGE_SCHEMA = "message_type_name string, event_ts timestamp_ntz, message_body string"
+MESSAGE_SCHEMA = "server_name string, message_type_name string, event_ts timestamp_ntz, message_body string"
 
 
 def message_source(spark: SparkSession, path_or_topic: str, fmt: str = "parquet",
@@ -106,14 +106,21 @@ def message_source(spark: SparkSession, path_or_topic: str, fmt: str = "parquet"
 
     Files (parquet or json) exported by the queue reader, or a Kafka topic
     when the Kafka connector is on the classpath (value = message body,
-    timestamp = arrival, header-less messages are notifications).
+    timestamp = arrival; the headers ``message_type_name`` and
+    ``server_name`` give the rest, a message without a type header is a
+    notification). Files without ``server_name`` give NULL there.
     """
     reader = spark.readStream
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if fmt == "kafka":
-        raw = reader.format("kafka").option("subscribe", path_or_topic).load()
-        return raw.select(F.lit("EventNotification").alias("message_type_name"),
+        raw = reader.format("kafka").option("includeHeaders", "true").option("subscribe", path_or_topic).load()
+
+        def header(name):
+            return F.get(F.filter("headers", lambda h: h["key"] == name), F.lit(0))["value"].cast("string")
+
+        return raw.select(header("server_name").alias("server_name"),
+                          F.coalesce(header("message_type_name"), F.lit("EventNotification")).alias("message_type_name"),
                           F.col("timestamp").cast("timestamp_ntz").alias("event_ts"),
                           F.col("value").cast("string").alias("message_body"))
     return reader.schema(schema).format(fmt).load(path_or_topic)

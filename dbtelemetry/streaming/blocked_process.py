@@ -381,44 +381,48 @@ def new_incident_rows(inserted: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 
-CHANGE_SCHEMA = ("incident_id string, change string, event_date timestamp_ntz, wait_time bigint, "
+CHANGE_SCHEMA = ("server_name string, incident_id string, change string, event_date timestamp_ntz, wait_time bigint, "
                  "closed_at timestamp_ntz")
 
 
 def _state_fn(slack_micros: int, lateness_micros: int):
     import datetime as dt
+    import json
 
     import pandas as pd
 
+    columns = ["server_name", "incident_id", "change", "event_date", "wait_time", "closed_at"]
     epoch = dt.datetime(1970, 1, 1)
 
     def to_ts(us):
         return epoch + dt.timedelta(microseconds=int(us))
 
     def fn(key, pdfs, state):
+        server = json.loads(key[0]).get("server_name")
         if state.hasTimedOut:
             fold = KeyFold.loads(state.get[0])
-            rows = [(rid, "close", to_ts(t0), int(w), to_ts(fold.last_t)) for rid, t0, w in fold.final_waits()]
+            rows = [(server, rid, "close", to_ts(t0), int(w), to_ts(fold.last_t)) for rid, t0, w in fold.final_waits()]
             state.remove()
             if rows:
-                yield pd.DataFrame(rows, columns=["incident_id", "change", "event_date", "wait_time", "closed_at"])
+                yield pd.DataFrame(rows, columns=columns)
             return
         fold = KeyFold.loads(state.get[0]) if state.exists else KeyFold()
         rows = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["__arr", "__rid"])
-            for t, w, rid in zip(pdf["__t"].tolist(), pdf["__w"].tolist(), pdf["__rid"].tolist()):
-                if fold.step(int(t), int(w), rid, slack_micros):
-                    rows.append((rid, "insert", to_ts(t), int(w), None))
+        # The group's rows come in chunks in no particular order: the fold needs the queue
+        # order over all of them. Four narrow columns of one micro-batch, bounded by the trigger.
+        pdf = pd.concat(list(pdfs)).sort_values(["__arr", "__rid"])
+        for t, w, rid in zip(pdf["__t"].tolist(), pdf["__w"].tolist(), pdf["__rid"].tolist()):
+            if fold.step(int(t), int(w), rid, slack_micros):
+                rows.append((server, rid, "insert", to_ts(t), int(w), None))
         # Incidents of a busy key close one by one once untouched for the lateness.
         watermark_ms = state.getCurrentWatermarkMs()
         if watermark_ms and watermark_ms > 0:
             for rid, t0, w in fold.close_before(watermark_ms * 1000 - lateness_micros):
-                rows.append((rid, "close", to_ts(t0), int(w), to_ts(watermark_ms * 1000)))
+                rows.append((server, rid, "close", to_ts(t0), int(w), to_ts(watermark_ms * 1000)))
         state.update((fold.dumps(),))
         state.setTimeoutTimestamp(int(fold.last_t // 1000 + lateness_micros // 1000))
         if rows:
-            yield pd.DataFrame(rows, columns=["incident_id", "change", "event_date", "wait_time", "closed_at"])
+            yield pd.DataFrame(rows, columns=columns)
 
     return fn
 
@@ -447,7 +451,8 @@ def merge_stream(reps: DataFrame, lateness_seconds: int = 600, slack_ms: int = M
         _state_fn(slack_ms * 1000, lateness_seconds * 1_000_000), CHANGE_SCHEMA, "blob string", "append",
         GroupStateTimeout.EventTimeTimeout)
     singles = (k.filter(F.col("__null_key"))
-               .select(F.col("report_id").alias("incident_id"), F.explode(F.array(F.lit("insert"), F.lit("close")))
+               .select((F.col("server_name") if "server_name" in k.columns else F.lit(None).cast("string")).alias("server_name"),
+                       F.col("report_id").alias("incident_id"), F.explode(F.array(F.lit("insert"), F.lit("close")))
                        .alias("change"), "event_date", "wait_time",
                        F.lit(None).cast("timestamp_ntz").alias("closed_at")))
     return changes.unionByName(singles)
@@ -459,7 +464,7 @@ def current_incidents(change_log: DataFrame) -> DataFrame:
     return change_log.groupBy("incident_id").agg(
         F.min("event_date").alias("event_date"),
         F.max_by("wait_time", order).alias("wait_time"),
-        F.max(F.col("change") == "close").alias("closed"))
+        F.max(F.col("change") == "close").alias("closed"), F.first("server_name").alias("server_name"))
 
 
 def write_changes(batch: DataFrame, batch_id: int, path: str, on_insert=None) -> None:

@@ -211,9 +211,30 @@ def test_resources_with_a_common_prefix_stay_apart(spark):
     assert sorted(r.resource[-1] for r in inc) == ["a", "b"]
 
 
+def test_stream_keeps_servers_apart_and_queue_order(spark, scratch):
+    """Two servers, one key's reports in reverse file order, Arrow chunks of two rows: the batch result."""
+    rows = []
+    for server in ("A", "B"):
+        for i in range(12):
+            at = dt.datetime(2024, 1, 1, 10) + dt.timedelta(seconds=5 * i)
+            rows.append((server, "EventNotification", at, _msg(1, 5000 * i, at.strftime("%Y-%m-%dT%H:%M:%S"))))
+    msgs = spark.createDataFrame(rows[::-1], "server_name string, message_type_name string, event_ts timestamp_ntz, message_body string")
+    msgs.coalesce(1).write.parquet(scratch + "/queue")
+    want = sorted((r.server_name, r.incident_id) for r in bp.merge_reports(bp.reports(bp.parse_messages(msgs))).collect())
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        for q in bp.start_blocking_job(spark, scratch + "/queue", scratch + "/out", scratch + "/ckpt", trigger={"availableNow": True}):
+            q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    log = spark.read.parquet(scratch + "/out/changes").filter("change = 'insert'").collect()
+    assert sorted((r.server_name, r.incident_id) for r in log) == want and len(want) == 2
+
+
 def test_change_log_sink_is_idempotent_per_batch(spark, scratch):
-    changes = spark.createDataFrame([("r1", "insert", dt.datetime(2024, 1, 1), 5, None),
-                                     ("r2", "insert", dt.datetime(2024, 1, 1), 7, None)], bp.CHANGE_SCHEMA)
+    changes = spark.createDataFrame([("s", "r1", "insert", dt.datetime(2024, 1, 1), 5, None),
+                                     ("s", "r2", "insert", dt.datetime(2024, 1, 1), 7, None)], bp.CHANGE_SCHEMA)
     seen = []
     for _ in range(2):  # a replayed micro-batch (same id) after a failure
         bp.write_changes(changes, 4, scratch + "/log", on_insert=lambda df, i: seen.append((df.count(), i)))
