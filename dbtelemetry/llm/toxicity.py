@@ -28,7 +28,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -342,10 +342,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     known = known.withColumn("y", (F.col("y") > 0).cast("int"))
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = total.get(1, 0) / max(1, sum(total.values()))
-    pick = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    some = known.withColumn("_n", F.row_number().over(pick)).filter(
-        F.col("_n") <= F.when(F.col("y") == 1, F.lit(toxic)).otherwise(F.lit(clean)))
-    chosen = {r["id"]: r["y"] for r in some.select("id", "y").collect()}  # at most toxic + clean rows
+    # The first rows by hash, at most toxic + clean of them: each task keeps no more than that many.
+    chosen = {r["id"]: r["y"] for y, n in ((1, toxic), (0, clean))
+              for r in known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n).collect()}
     if not chosen:
         return Model(constant=0.0)
     rows = common.texts(docs, id_col, text_col).filter(F.col("doc_id").isin(sorted(chosen)))
