@@ -44,7 +44,6 @@ def backup_history(backupset: DataFrame, media: DataFrame, labels: str = "refere
     """
     m = media.select(*keys, "media_set_id", "physical_device_name", "device_type")
     j = backupset.join(m, on(["media_set_id"], keys))
-    extra = [F.col("compressed_backup_size")] if "compressed_backup_size" in backupset.columns else []
     return j.select(
         *keys,
         F.col("server_name").alias("server"),
@@ -55,7 +54,7 @@ def backup_history(backupset: DataFrame, media: DataFrame, labels: str = "refere
         "backup_start_date", "backup_finish_date",
         F.col("physical_device_name").alias("physical_device"),
         _case("device_type", DEVICE_LABELS[labels], OTHER_DEVICE).alias("device_type"),
-        "backup_size", *extra)
+        "backup_size", "compressed_backup_size")
 
 
 def weekly_backup_report(backupset: DataFrame, media: DataFrame, as_of, days: int = 6,

@@ -77,10 +77,10 @@ def log_consumers(database_transactions: DataFrame, session_transactions: DataFr
     optional filter the reference leaves commented out.
     """
     t1 = database_transactions.select(*keys, "transaction_id", "database_id", "begin_time",
-                                      "log_bytes_reserved", "log_record_count",
-                                      *(["state"] if state is not None else []))
+                                      "state", "log_bytes_used_system", "log_bytes_reserved",
+                                      "log_bytes_reserved_system", "log_record_count")
     if state is not None:
-        t1 = t1.filter(F.col("state") == state).drop("state")
+        t1 = t1.filter(F.col("state") == state)
     t2 = session_transactions.select(*keys, "transaction_id", "session_id")
     t3 = requests.select(*keys, "session_id", "request_id", "sql_handle")
     t3 = t3.join(sql_text.select(*keys, "sql_handle"), on(["sql_handle"], keys), "left_semi")
@@ -91,12 +91,13 @@ def log_consumers(database_transactions: DataFrame, session_transactions: DataFr
     with_req = t2.join(t3.select(*keys, "session_id"), on(["session_id"], keys), "left_semi")
     live = t1.join(with_req.select(*keys, "transaction_id"), on(["transaction_id"], keys), "left_semi")
     tx_order = [F.col("log_record_count").desc(), F.col("transaction_id"), F.col("database_id"),
-                F.col("begin_time"), F.col("log_bytes_reserved")]
+                F.col("begin_time"), F.col("log_bytes_reserved"), F.col("state"), F.col("log_bytes_used_system"),
+                F.col("log_bytes_reserved_system")]
     top_tx = top_k_per_group(live, keys, tx_order, k, salt_cols=["transaction_id"])
     j = top_tx.join(t2, on(["transaction_id"], keys)).join(t3, on(["session_id"], keys))
     order = tx_order + [F.col("session_id"), F.col("request_id")]
     top = top_k_per_group(j, keys, order, k, salt_cols=["transaction_id", "request_id"])
     out = lookup_text(top, sql_text, how="inner", keys=keys, cols=("text",))
     out = db_name(out, databases, "database_id", out="db_name", keys=keys)
-    return out.select(*keys, "database_id", "db_name", "text", "begin_time", "log_bytes_reserved",
-                      "log_record_count", "session_id", "request_id")
+    return out.select(*keys, "database_id", "db_name", "text", "begin_time", "state", "log_bytes_used_system",
+                      "log_bytes_reserved", "log_bytes_reserved_system", "log_record_count", "session_id", "request_id")

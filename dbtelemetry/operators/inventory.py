@@ -38,8 +38,8 @@ def default_trace_today(trace: DataFrame, subclasses: DataFrame, events: DataFra
     cat = bounded_lookup(categories.select(F.col("category_id").alias("__cat"), F.col("name").alias("category")))
     j = gt.join(sv, (gt["event_class"] == sv["__sv_ev"]) & (sv["__sv_val"] == gt["object_type"]), "left")
     j = j.join(ev, j["event_class"] == ev["__ev"]).join(cat, F.col("category_id") == cat["__cat"])
-    optional = [c for c in ("server_name", "object_name", "login_name", "application_name") if c in trace.columns]
-    return j.select(*keys, *[c for c in optional if c not in keys], "database_name", "spid", "start_time",
+    return j.select(*keys, *[c for c in ("server_name", "object_name", "login_name", "application_name")
+                             if c not in keys], "database_name", "spid", "start_time",
                     F.col("object_type").alias("object_type_id"), F.col("subclass_name").alias("object_type"),
                     "category_id", "category", F.col("event_class").alias("event_id"), "event_name", "text_data")
 
@@ -58,8 +58,7 @@ def orphaned_users(db_principals: DataFrame, server_principals: DataFrame, keys:
 
 def database_overview(databases: DataFrame, helpdb: DataFrame, keys: Keys = ()) -> DataFrame:
     """User databases (id above 4) with size and owner from the help listing."""
-    h = helpdb.select(*keys, F.col("dbid").alias("database_id"), F.col("db_size").alias("size"), "owner",
-                      *[F.col(c) for c in ("created",) if c in helpdb.columns])
+    h = helpdb.select(*keys, F.col("dbid").alias("database_id"), F.col("db_size").alias("size"), "owner", "created")
     d = databases.filter(F.col("database_id") > SYSTEM_DATABASE_MAX_ID)
     j = d.join(h, on(["database_id"], keys))
     wanted = [("name", "database_name"), ("state_desc", "database_state"), ("size", "size"), ("owner", "owner"),
@@ -68,7 +67,7 @@ def database_overview(databases: DataFrame, helpdb: DataFrame, keys: Keys = ())
               ("collation_name", "collation_name"), ("snapshot_isolation_state_desc", "snapshot_isolation_state"),
               ("is_read_committed_snapshot_on", "read_committed_snapshot"),
               ("target_recovery_time_in_seconds", "target_recovery_time_in_seconds")]
-    return j.select(*keys, *[F.col(src).alias(dst) for src, dst in wanted if src in j.columns])
+    return j.select(*keys, *[F.col(src).alias(dst) for src, dst in wanted])
 
 
 def mail_profiles(profile: DataFrame, link: DataFrame, account: DataFrame, keys: Keys = ()) -> DataFrame:
@@ -87,8 +86,8 @@ def system_views(df: DataFrame) -> DataFrame:
     pattern; ``_`` is a single-character wildcard in both.
     """
     cond = tsql.like("name", "%dm_xe%") | (tsql.like("name", "%server_event_s%") & (F.col("is_ms_shipped") == 1))
-    cols = [c for c in ("server_name", "name", "create_date", "is_ms_shipped") if c in df.columns]
-    return df.filter(cond).select(*cols)
+    extra = ["server_name"] if "server_name" in df.columns else []
+    return df.filter(cond).select(*extra, "name", "create_date", "is_ms_shipped")
 
 
 def alert_recipients(contacts: DataFrame, category: str = "DATABASE") -> DataFrame:

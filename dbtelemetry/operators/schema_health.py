@@ -29,12 +29,10 @@ def unused_indexes(indexes: DataFrame, usage: DataFrame, objects: DataFrame, dat
     """Indexes of user tables with no usage row, or a usage row whose usage columns are all NULL.
 
     A left join and NULL tests, as in the reference: with nullable usage
-    columns this is not an anti join. Only the usage columns present in the
-    input are tested (the fixture carries three of the twelve).
+    columns this is not an anti join.
     """
-    present = [c for c in USAGE_COLUMNS if c in usage.columns]
     u = usage.select(*keys, "object_id", "index_id", *(["database_id"] if "database_id" in usage.columns
-                                                       and "database_id" in indexes.columns else []), *present)
+                                                       and "database_id" in indexes.columns else []), *USAGE_COLUMNS)
     u = u.withColumn("__u", F.lit(1))
     join_cols = on(["object_id", "index_id"] + (["database_id"] if "database_id" in u.columns else []), keys)
     tables = objects.filter(F.rtrim("type") == "U").select(*keys, "object_id", F.col("name").alias("table_name"))
@@ -42,7 +40,7 @@ def unused_indexes(indexes: DataFrame, usage: DataFrame, objects: DataFrame, dat
                        "is_primary_key", *(["database_id"] if "database_id" in join_cols else []))
     j = i.join(tables, on(["object_id"], keys)).join(u, join_cols, "left")
     cond = F.lit(True)
-    for c in present:
+    for c in USAGE_COLUMNS:
         cond = cond & F.col(c).isNull()
     return j.filter(cond).select(*keys, F.lit(database_name).cast("string").alias("db_name"), "table_name",
                                  "index_name", "index_id", "type_desc", "is_primary_key")
@@ -109,10 +107,9 @@ def requests_with_missing_indexes(requests: DataFrame, sql_text: DataFrame, plan
     matched case-insensitively by default, since real plans say
     ``<MissingIndexes``. ``open_transaction_count`` is emitted once.
     """
-    wanted = ["session_id", "blocking_session_id", "start_time", "status", "database_id", "wait_type",
+    cols = ["session_id", "blocking_session_id", "start_time", "status", "database_id", "wait_type",
               "wait_time", "last_wait_type", "granted_query_memory", "reads", "logical_reads", "writes",
               "row_count", "total_elapsed_time", "cpu_time", "open_transaction_count"]
-    cols = [c for c in wanted if c in requests.columns]
     r = requests.select(*keys, *cols, "sql_handle", "plan_handle")
     r = lookup_plan(r, plans, how="inner", keys=keys).filter(tsql.like("query_plan", "%<missing%", case_sensitive))
     r = lookup_text(r, sql_text, how="inner", keys=keys)

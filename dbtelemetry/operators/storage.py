@@ -131,7 +131,7 @@ def scheduler_load(schedulers: DataFrame) -> DataFrame:
               "active_workers_count", "work_queue_count", "pending_disk_io_count"]
     extra = [c for c in ("server_name", "captured_at") if c in schedulers.columns]
     return schedulers.filter(F.col("scheduler_id") < 255).select(
-        *extra, *[c for c in wanted if c in schedulers.columns])
+        *extra, *wanted)
 
 
 def cpu_from_text(lines: DataFrame, text_col: str = "output") -> DataFrame:
@@ -151,9 +151,8 @@ def cpu_from_text(lines: DataFrame, text_col: str = "output") -> DataFrame:
 def os_info(info: DataFrame) -> DataFrame:
     """Logical CPUs, hyperthread ratio and physical CPUs (integer division)."""
     extra = [c for c in ("server_name", "captured_at") if c in info.columns]
-    start = ["sqlserver_start_time"] if "sqlserver_start_time" in info.columns else []
     return info.select(*extra, F.col("cpu_count").alias("logical_cpu_count"), "hyperthread_ratio",
-                       tsql.int_div("cpu_count", "hyperthread_ratio").alias("physical_cpu_count"), *start)
+                       tsql.int_div("cpu_count", "hyperthread_ratio").alias("physical_cpu_count"), "sqlserver_start_time")
 
 
 def average_cpu(cpu_load: DataFrame, keys: Keys = ("server_name",)) -> DataFrame:

@@ -131,8 +131,7 @@ SNAPSHOT_COLUMNS = ("transaction_id", "transaction_sequence_num", "commit_sequen
 def long_snapshot_transactions(df: DataFrame) -> DataFrame:
     """O48g: active snapshot transactions, longest running first."""
     extra = [c for c in ("server_name", "captured_at") if c in df.columns]
-    cols = [c for c in SNAPSHOT_COLUMNS if c in df.columns]
-    return df.select(*extra, *cols).orderBy(F.col("elapsed_time_seconds").desc())
+    return df.select(*extra, *SNAPSHOT_COLUMNS).orderBy(F.col("elapsed_time_seconds").desc())
 
 
 SNAPSHOT_SETTINGS = ("name", "database_id", "snapshot_isolation_state", "snapshot_isolation_state_desc",
@@ -140,9 +139,9 @@ SNAPSHOT_SETTINGS = ("name", "database_id", "snapshot_isolation_state", "snapsho
 
 
 def snapshot_settings(databases: DataFrame) -> DataFrame:
-    """O48h: row-versioning settings per database (the columns the catalog carries)."""
+    """O48h: row-versioning settings per database."""
     extra = [c for c in ("server_name", "captured_at") if c in databases.columns]
-    return databases.select(*extra, *[c for c in SNAPSHOT_SETTINGS if c in databases.columns])
+    return databases.select(*extra, *SNAPSHOT_SETTINGS)
 
 
 def session_query(sessions: DataFrame, requests: DataFrame, sql_text: DataFrame, plans: DataFrame,

@@ -94,7 +94,8 @@ def _root_blockers(rel):
 
 
 @report("session_status", ("processes", "sql_text", "databases"), """
-SELECT spid, loginame, hostname, blocked, dbname, cmd, waittime, text
+SELECT spid, status, loginame, hostname, program_name, blocked, open_tran, dbname, cmd, waittype, waittime, last_batch,
+       text
 FROM processes
 JOIN (SELECT sql_handle, text FROM sql_text) USING (sql_handle)
 LEFT JOIN (SELECT database_id AS dbid, name AS dbname FROM databases) USING (dbid)
@@ -106,10 +107,12 @@ def _session_status(rel):
 
 @report("blocked_pairs", ("processes", "sql_text"), f"""
 WITH buffer AS (SELECT spid, text AS event_info FROM processes JOIN sql_text USING (sql_handle)),
-waiting AS (SELECT spid, blocked AS blocked1, waittime, dbid, cmd, loginame FROM processes
+waiting AS (SELECT spid, blocked AS blocked1, waittype, waittime, lastwaittype, waitresource, dbid, cpu, physical_io,
+                   memusage, open_tran, cmd, loginame FROM processes
             WHERE blocked <> 0 AND waittime > 60000),
 chain AS (SELECT w.*, p.blocked AS blocked2 FROM waiting w JOIN processes p ON p.spid = w.blocked1)
-SELECT TIMESTAMP '{AS_OF_ACTIVITY}' AS creation_date, chain.spid, blocked1, blocked2, waittime, dbid, cmd, loginame,
+SELECT TIMESTAMP '{AS_OF_ACTIVITY}' AS creation_date, chain.spid, blocked1, blocked2, waittype, waittime,
+       lastwaittype, waitresource, dbid, cpu, physical_io, memusage, open_tran, cmd, loginame,
        (SELECT event_info FROM buffer WHERE buffer.spid = chain.spid) AS query_blocked,
        (SELECT event_info FROM buffer WHERE buffer.spid = chain.blocked1) AS query_blocked_by1,
        CASE WHEN blocked2 > 0 THEN (SELECT event_info FROM buffer WHERE buffer.spid = chain.blocked2) END
@@ -187,14 +190,17 @@ for _m, _n in _TOP_NAMES.items():
 @report("log_consumers", ("database_transactions", "session_transactions", "requests", "sql_text", "databases"), """
 WITH expanded AS (
   SELECT dt.transaction_id, dt.database_id, dt.begin_time, dt.log_bytes_reserved, dt.log_record_count,
+         dt.state, dt.log_bytes_used_system, dt.log_bytes_reserved_system,
          q.session_id, q.request_id, t.text
   FROM database_transactions dt
   JOIN session_transactions USING (transaction_id)
   JOIN requests q USING (session_id)
   JOIN sql_text t ON t.sql_handle = q.sql_handle)
-SELECT database_id, d.name AS db_name, text, begin_time, log_bytes_reserved, log_record_count, session_id, request_id
+SELECT database_id, d.name AS db_name, text, begin_time, state, log_bytes_used_system, log_bytes_reserved,
+       log_bytes_reserved_system, log_record_count, session_id, request_id
 FROM expanded LEFT JOIN databases d USING (database_id)
-ORDER BY log_record_count DESC, transaction_id, database_id, begin_time, log_bytes_reserved, session_id, request_id
+ORDER BY log_record_count DESC, transaction_id, database_id, begin_time, log_bytes_reserved, state,
+         log_bytes_used_system, log_bytes_reserved_system, session_id, request_id
 LIMIT 10
 """)
 def _log_consumers(rel):

@@ -255,7 +255,8 @@ def _tempdb_space(rel):
 
 
 @report("long_snapshot_transactions", ("snapshot_transactions",), """
-SELECT transaction_id, session_id, is_snapshot, elapsed_time_seconds FROM snapshot_transactions
+SELECT transaction_id, transaction_sequence_num, commit_sequence_num, session_id, is_snapshot, first_snapshot_sequence_num,
+       max_version_chain_traversed, average_version_chain_traversed, elapsed_time_seconds FROM snapshot_transactions
 ORDER BY elapsed_time_seconds DESC
 """)
 def _long_snapshot(rel):
@@ -263,7 +264,10 @@ def _long_snapshot(rel):
     return tempdb.long_snapshot_transactions(rel.snapshot_transactions)
 
 
-@report("snapshot_settings", ("databases",), "SELECT name, database_id FROM databases")
+@report("snapshot_settings", ("databases",), """
+SELECT name, database_id, snapshot_isolation_state, snapshot_isolation_state_desc, is_read_committed_snapshot_on
+FROM databases
+""")
 def _snapshot_settings(rel):
     """Row-versioning settings per database."""
     return tempdb.snapshot_settings(rel.databases)
@@ -289,7 +293,7 @@ WITH today AS (
   WHERE spid > 50 AND object_type <> 21587 AND database_name <> 'tempdb'
     AND start_time >= date_trunc('day', TIMESTAMP '{TRACE_AS_OF}')
     AND start_time < date_trunc('day', TIMESTAMP '{TRACE_AS_OF}') + INTERVAL 1 DAY)
-SELECT r.database_name, r.spid, r.start_time, r.object_type AS object_type_id, sub.subclass_name AS object_type,
+SELECT r.server_name, r.object_name, r.login_name, r.application_name, r.database_name, r.spid, r.start_time, r.object_type AS object_type_id, sub.subclass_name AS object_type,
        ev.category_id, cat.name AS category, r.event_class AS event_id, ev.name AS event_name, r.text_data
 FROM today r
 JOIN trace_events ev ON ev.trace_event_id = r.event_class
@@ -313,9 +317,11 @@ def _orphaned_users(rel):
 
 @report("database_overview", ("databases", "helpdb_output"), """
 SELECT name AS database_name, db_size AS size, owner, compatibility_level AS compatibility,
-       is_query_store_on AS query_store_on
+       is_query_store_on AS query_store_on, state_desc AS database_state, recovery_model_desc AS recovery_model,
+       created AS create_date, collation_name, snapshot_isolation_state_desc AS snapshot_isolation_state,
+       is_read_committed_snapshot_on AS read_committed_snapshot, target_recovery_time_in_seconds
 FROM (SELECT * FROM databases WHERE database_id >= 5)
-JOIN (SELECT dbid AS database_id, db_size, owner FROM helpdb_output) USING (database_id)
+JOIN (SELECT dbid AS database_id, db_size, owner, created FROM helpdb_output) USING (database_id)
 """)
 def _database_overview(rel):
     """User databases with size, owner and settings."""
@@ -334,7 +340,7 @@ def _mail_profiles(rel):
 
 
 @report("system_views", ("system_views",), """
-SELECT name, is_ms_shipped FROM system_views
+SELECT name, create_date, is_ms_shipped FROM system_views
 WHERE lower(name) LIKE '%dm_xe%' OR (is_ms_shipped = 1 AND lower(name) LIKE '%server_event_s%')
 """)
 def _system_views(rel):

@@ -22,10 +22,12 @@ def _td(x: str) -> str:
 
 @report("unused_indexes", ("indexes", "index_usage_stats", "objects"), """
 WITH user_tables AS (SELECT object_id, name AS table_name FROM objects WHERE rtrim(type) = 'U'),
-usage AS (SELECT object_id, index_id, user_seeks, user_scans, user_lookups FROM index_usage_stats)
+usage AS (SELECT * FROM index_usage_stats)
 SELECT NULL::VARCHAR AS db_name, table_name, name AS index_name, index_id, type_desc, is_primary_key
 FROM indexes JOIN user_tables USING (object_id) LEFT JOIN usage USING (object_id, index_id)
-WHERE coalesce(user_seeks, user_scans, user_lookups) IS NULL
+WHERE user_seeks IS NULL AND user_scans IS NULL AND user_lookups IS NULL AND last_user_seek IS NULL
+  AND last_user_scan IS NULL AND last_user_lookup IS NULL AND system_seeks IS NULL AND system_scans IS NULL
+  AND system_lookups IS NULL AND last_system_seek IS NULL AND last_system_scan IS NULL AND last_system_lookup IS NULL
 """)
 def _unused_indexes(rel):
     """Indexes of user tables without usage."""
@@ -84,8 +86,9 @@ def _drop_statistics(rel):
 @report("requests_with_missing_indexes", ("requests", "sql_text", "query_plan", "databases"), f"""
 WITH flagged AS (
   SELECT plan_handle, query_plan FROM query_plan WHERE lower(query_plan::VARCHAR) LIKE '%<missing%')
-SELECT session_id, blocking_session_id, start_time, status, d.name AS db_name, wait_type, wait_time, reads,
-       logical_reads, writes, cpu_time, text, query_plan,
+SELECT session_id, blocking_session_id, start_time, status, d.name AS db_name, wait_type, wait_time,
+       last_wait_type, granted_query_memory, reads, logical_reads, writes, row_count, total_elapsed_time, cpu_time,
+       open_transaction_count, text, query_plan,
        (TIMESTAMP '{AS_OF_ACTIVITY}')::DATE AS log_date, strftime(TIMESTAMP '{AS_OF_ACTIVITY}', '%H:%M:%S') AS log_time
 FROM requests JOIN flagged USING (plan_handle)
 JOIN (SELECT sql_handle, text FROM sql_text) USING (sql_handle)
@@ -137,7 +140,7 @@ WITH level_label(level, label) AS (VALUES (80, 'SQL Server 2000'), (90, 'SQL Ser
                                           (105, 'Tape - Temporary'))
 SELECT b.server_name AS server, b.database_name, lv.label AS compatibility_level, b.recovery_model,
        kd.label AS backup_type, b.backup_start_date, b.backup_finish_date, m.physical_device_name AS physical_device,
-       coalesce(dv.label, 'Other Device') AS device_type, b.backup_size
+       coalesce(dv.label, 'Other Device') AS device_type, b.backup_size, b.compressed_backup_size
 FROM backupset b JOIN backupmediafamily m USING (media_set_id)
 LEFT JOIN level_label lv ON lv.level = b.compatibility_level
 LEFT JOIN kind_label kd ON kd.code = b.type
@@ -310,7 +313,8 @@ def _locked_pages(rel):
 
 
 @report("scheduler_load", ("schedulers",), """
-SELECT scheduler_id, cpu_id, runnable_tasks_count, pending_disk_io_count FROM schedulers WHERE scheduler_id <= 254
+SELECT scheduler_id, cpu_id, current_tasks_count, runnable_tasks_count, current_workers_count, active_workers_count,
+       work_queue_count, pending_disk_io_count FROM schedulers WHERE scheduler_id <= 254
 """)
 def _scheduler_load(rel):
     """Visible schedulers with queue lengths."""
@@ -329,7 +333,7 @@ def _cpu_from_text(rel):
 
 @report("os_info", ("os_info",), """
 SELECT server_name, cpu_count AS logical_cpu_count, hyperthread_ratio,
-       (cpu_count // hyperthread_ratio) AS physical_cpu_count
+       (cpu_count // hyperthread_ratio) AS physical_cpu_count, sqlserver_start_time
 FROM os_info
 """)
 def _os_info(rel):

@@ -58,6 +58,11 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("reads", "o_orderkey * 17 % 5003"),
         ("writes", "o_orderkey * 19 % 3001"),
         ("logical_reads", "o_orderkey * 23 % 50021"),
+        ("last_wait_type", "CASE WHEN o_orderkey % 4 = 0 THEN 'PAGEIOLATCH_SH' ELSE 'LCK_M_S' END"),
+        ("granted_query_memory", "o_orderkey % 97"),
+        ("row_count", "o_orderkey * 11 % 3001"),
+        ("total_elapsed_time", "o_orderkey * 41 % 100003"),
+        ("open_transaction_count", "o_orderkey % 3"),
     ]),
     "sql_text": ("{documents}", [
         ("sql_handle", "doc_id"),
@@ -97,6 +102,16 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("loginame", "c_name"),
         ("hostname", "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'HOST' || CAST(c_nationkey AS STRING) END"),
         ("sql_handle", "c_custkey % 1000"),
+        ("status", "CASE WHEN c_custkey % 3 = 2 THEN 'sleeping' ELSE 'suspended' END"),
+        ("program_name", "c_mktsegment"),
+        ("open_tran", "c_custkey % 4"),
+        ("waittype", "c_custkey % 16"),
+        ("lastwaittype", "CASE WHEN c_custkey % 2 = 0 THEN 'LCK_M_X' ELSE 'LCK_M_S' END"),
+        ("waitresource", "'KEY: ' || CAST(c_nationkey AS STRING) || ':' || CAST(c_custkey * 7919 AS STRING)"),
+        ("cpu", "c_custkey * 37 % 10007"),
+        ("physical_io", "c_custkey * 17 % 5003"),
+        ("memusage", "c_custkey % 64"),
+        ("last_batch", "CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (c_custkey % 86400) AS TIMESTAMP)"),
     ]),
     "query_stats": ("{orders}", [
         ("sql_handle", "o_orderkey % 1000"),
@@ -122,6 +137,9 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("begin_time", "l_shipdate"),
         ("log_record_count", "l_orderkey * 8 + l_linenumber"),
         ("log_bytes_reserved", "CAST(FLOOR(l_extendedprice) AS BIGINT)"),
+        ("state", "3 + l_linenumber % 8"),
+        ("log_bytes_used_system", "l_orderkey % 4096"),
+        ("log_bytes_reserved_system", "l_orderkey % 8192"),
     ]),
     "task_space_usage": ("{lineitem} JOIN {orders} ON l_orderkey = o_orderkey", [
         ("session_id", "o_custkey"),
@@ -140,6 +158,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("backup_start_date", "o_orderdate + INTERVAL '1' SECOND * (o_orderkey * 59 % 86400)"),
         ("backup_finish_date", "o_orderdate + INTERVAL '1' SECOND * (o_orderkey * 59 % 86400 + o_orderkey % 7200)"),
         ("backup_size", "CAST(FLOOR(o_totalprice) AS BIGINT)"),
+        ("compressed_backup_size", "o_orderkey * 512"),
     ]),
     "backupmediafamily": ("{lineitem}", [
         ("media_set_id", "l_orderkey"),
@@ -199,6 +218,13 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("name", "'DB' || CAST(n_nationkey AS STRING)"),
         ("compatibility_level", "80 + 10 * (n_nationkey % 8)"),
         ("is_query_store_on", "n_nationkey % 2"),
+        ("state_desc", "CASE WHEN n_nationkey % 9 = 0 THEN 'OFFLINE' ELSE 'ONLINE' END"),
+        ("recovery_model_desc", "CASE n_nationkey % 3 WHEN 0 THEN 'FULL' WHEN 1 THEN 'SIMPLE' ELSE 'BULK_LOGGED' END"),
+        ("collation_name", "'Latin1_General_' || CASE WHEN n_nationkey % 2 = 0 THEN 'CI' ELSE 'CS' END || '_AS'"),
+        ("snapshot_isolation_state", "n_nationkey % 2"),
+        ("snapshot_isolation_state_desc", "CASE WHEN n_nationkey % 2 = 0 THEN 'OFF' ELSE 'ON' END"),
+        ("is_read_committed_snapshot_on", "n_nationkey % 4"),
+        ("target_recovery_time_in_seconds", "60 * (n_nationkey % 2)"),
     ]),
     "database_files": ("{part}", [
         ("database_id", "p_partkey % 25"),
@@ -257,6 +283,15 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("user_seeks", "l_partkey % 50"),
         ("user_scans", "l_partkey % 20"),
         ("user_lookups", "l_partkey % 5"),
+        ("last_user_seek", "CASE WHEN l_partkey % 2 = 0 THEN CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (l_partkey % 86400) AS TIMESTAMP) END"),
+        ("last_user_scan", "CASE WHEN l_partkey % 3 = 0 THEN CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (l_partkey % 86400) AS TIMESTAMP) END"),
+        ("last_user_lookup", "CASE WHEN l_partkey % 5 = 0 THEN CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (l_partkey % 86400) AS TIMESTAMP) END"),
+        ("last_system_seek", "CASE WHEN l_partkey % 4 = 0 THEN CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (l_partkey % 86400) AS TIMESTAMP) END"),
+        ("last_system_scan", "CASE WHEN l_partkey % 6 = 0 THEN CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (l_partkey % 86400) AS TIMESTAMP) END"),
+        ("last_system_lookup", "CASE WHEN l_partkey % 7 = 0 THEN CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (l_partkey % 86400) AS TIMESTAMP) END"),
+        ("system_seeks", "l_partkey % 3"),
+        ("system_scans", "l_partkey % 4"),
+        ("system_lookups", "l_partkey % 6"),
     ]),
     "procedure_stats": ("{lineitem}", [
         ("object_id", "CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey END"),
@@ -281,12 +316,20 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
                         "ELSE 8000 + event_id % 5 END"),
         ("event_class", "20 + event_id % 6"),
         ("text_data", "props"),
+        ("server_name", "'SRV' || CAST(event_id % 5 AS STRING)"),
+        ("object_name", "CASE WHEN event_id % 6 = 0 THEN NULL ELSE 'obj' || CAST(event_id % 50 AS STRING) END"),
+        ("login_name", "'login' || CAST(user_id % 30 AS STRING)"),
+        ("application_name", "'app' || CAST(user_id % 7 AS STRING)"),
     ]),
     "schedulers": ("{supplier}", [
         ("scheduler_id", "s_suppkey * 3"),
         ("cpu_id", "s_suppkey"),
         ("runnable_tasks_count", "s_suppkey % 7"),
         ("pending_disk_io_count", "s_suppkey % 3"),
+        ("current_tasks_count", "s_suppkey % 11"),
+        ("current_workers_count", "s_suppkey % 13"),
+        ("active_workers_count", "s_suppkey % 9"),
+        ("work_queue_count", "s_suppkey % 5"),
     ]),
     "blocked_process_messages": ("{events}", [
         ("message_type_name", "CASE WHEN event_id % 50 = 49 THEN 'EndDialog' ELSE 'EventNotification' END"),
@@ -320,12 +363,14 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("dbid", "n_nationkey"),
         ("db_size", "CAST(n_nationkey * 100 AS STRING) || ' MB'"),
         ("owner", "'owner' || CAST(n_regionkey AS STRING)"),
+        ("created", "'Jan ' || CAST(1 + n_nationkey AS STRING) || ' 2020'"),
     ]),
     "os_info": ("{supplier}", [
         ("server_name", "s_name"),
         ("cpu_count", "4 + s_suppkey % 61"),
         ("hyperthread_ratio", "1 + s_suppkey % 8"),
         ("locked_page_allocations_kb", "CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey * 1024 END"),
+        ("sqlserver_start_time", "CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (s_suppkey % 86400) AS TIMESTAMP)"),
     ]),
     "cpu_text_output": ("{supplier}", [
         ("server_name", "s_name"),
@@ -352,6 +397,11 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("session_id", "o_custkey"),
         ("is_snapshot", "o_orderkey % 2"),
         ("elapsed_time_seconds", "o_orderkey * 7919 % 1000003"),
+        ("transaction_sequence_num", "o_orderkey + 5"),
+        ("commit_sequence_num", "CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey + 9 END"),
+        ("first_snapshot_sequence_num", "o_orderkey - 1"),
+        ("max_version_chain_traversed", "o_orderkey % 17"),
+        ("average_version_chain_traversed", "CAST(o_orderkey % 17 AS DOUBLE) / 2"),
     ]),
     "file_space_usage": ("{part}", [
         ("file_id", "p_partkey"),
@@ -383,6 +433,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("name", "CASE p_partkey % 3 WHEN 0 THEN 'dm_xe_' WHEN 1 THEN 'server_event_s_' ELSE 'dm_os_' END "
                  "|| CAST(p_partkey AS STRING)"),
         ("is_ms_shipped", "p_size % 2"),
+        ("create_date", "CAST(TIMESTAMP '2024-01-30 00:00:00' + INTERVAL '1' SECOND * (p_partkey % 86400) AS TIMESTAMP)"),
     ]),
     "trace_events": (
         "(VALUES (20, 'Audit Login Failed', 8), (21, 'EventLog', 3), (22, 'ErrorLog', 3), "
