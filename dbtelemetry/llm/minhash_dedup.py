@@ -17,7 +17,8 @@ first compared with one hub (the smallest node of its buckets), then with
 the other buckets' hubs that are not in its component yet. What is still
 apart within a bucket is compared in blocks of bounded size, by registers
 first: pairs whose agreement is more than four standard deviations below
-the threshold are dropped, the rest is verified exactly.
+the threshold are passed over, the rest is verified there exactly, and only
+links come out.
 
 A null text counts as empty; texts without words have no shingles and are
 linked to equal texts alone. Rows that repeat an id are rows of their own.
@@ -40,6 +41,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 26
 ROWS = 5
+#: Allowed for in sums of weights that should equal the threshold.
+ROUNDING = 1e-12
 #: Rows of one bucket that are compared with one another in one task.
 BLOCK = 1024
 SLICE = 1_000_000
@@ -121,6 +124,8 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
     common_, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     if not len(common_):
         return 0.0
+    if (wa == 1.0).all() and (wb == 1.0).all():
+        return len(common_) / (len(a) + len(b) - len(common_))  # plain Jaccard, without rounding
     wa, wb = wa / wa.sum(), wb / wb.sum()
     ca, cb = wa[ia], wb[ib]
     rest_a, rest_b = 1.0 - ca.sum(), 1.0 - cb.sum()
@@ -166,6 +171,11 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return common.stored(made.select(F.monotonically_increasing_id().alias("rid"), "*"))
 
 
+def _set(packed: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(packed, "<u8")
+    return x, np.frombuffer(weights, "<f8") if weights else np.ones(len(x))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``a, b`` whose exact similarity is ``threshold`` or more."""
     left = sets.select(F.col("rid").alias("a"), F.col("set").alias("set_a"), F.col("weights").alias("weights_a"))
@@ -177,9 +187,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             cols = [batch.column(c).to_pylist() for c in batch.schema.names]
             a, b = [], []
             for i, j, sa, wa, sb, wb in zip(*cols, strict=True):
-                x, y = np.frombuffer(sa, "<u8"), np.frombuffer(sb, "<u8")
-                if similarity(x, np.frombuffer(wa, "<f8") if wa else np.ones(len(x)),
-                              y, np.frombuffer(wb, "<f8") if wb else np.ones(len(y))) >= threshold:
+                if similarity(*_set(sa, wa), *_set(sb, wb)) >= threshold - ROUNDING:
                     a.append(i)
                     b.append(j)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -208,20 +216,25 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words:
     return common.stored(found.mapInArrow(run, "rid long, set binary, weights binary").dropDuplicates(["rid"]))
 
 
-def _apart(buckets: DataFrame, registers: DataFrame, bands: int, rows: int, threshold: float, block: int) -> DataFrame:
-    """Pairs within the given buckets (``key, band, rid, label``) that lie in different components and may be similar."""
+def _apart(buckets: DataFrame, registers: DataFrame, sets: DataFrame, bands: int, rows: int, threshold: float, block: int) -> DataFrame:
+    """Links within the given buckets (``key, band, rid, label``) between nodes that lie in different components.
+
+    The rows of a bucket meet in parts of about ``block`` rows, with their
+    registers and shingle sets; a task passes on only the links that join
+    what its own links have not joined yet.
+    """
     per = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"),
                                      F.max("label").alias("hi"), F.min("rid").alias("hub")).filter("lo <> hi")
     parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    dealt = (buckets.join(per, "key").join(registers, "rid")
+    dealt = (buckets.join(per, "key").join(registers, "rid").join(sets, "rid")
              .withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")))
     # Each part meets every part, itself included, once: groups (low part, high part).
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("key", "band", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-                         "part", "rid", "label", "hub", "registers")
+    names = ("key", "band", "p", "q", "part", "rid", "label", "hub", "registers", "set", "weights")
+    dealt = dealt.withColumns({"p": F.least("part", "other"), "q": F.greatest("part", "other")}).select(*names)
     need = threshold - 4.0 * np.sqrt(threshold * (1 - threshold) / (bands * rows))
 
-    def compare(group: dict) -> tuple[np.ndarray, np.ndarray]:
+    def compare(group: dict) -> tuple[list, list]:
         reg = np.frombuffer(b"".join(group["registers"]), "<u4").reshape(-1, bands * rows)
         rid, label, part = (np.array(group[c]) for c in ("rid", "label", "part"))
         low = np.flatnonzero(part == group["p"][0])
@@ -229,24 +242,27 @@ def _apart(buckets: DataFrame, registers: DataFrame, bands: int, rows: int, thre
         own = group["p"][0] == group["q"][0]
         a, b = [], []
         for k, i in enumerate(low.tolist()):
-            to = high[k + 1:] if own else high
-            to = to[label[to] != label[i]]
-            if not len(to) or rid[i] == group["hub"][0]:
+            if rid[i] == group["hub"][0]:
                 continue  # all were compared with the hub already
-            same = reg[to] == reg[i]
-            to, same = to[near := same.mean(axis=1) >= need], same[near]
+            to = high[k + 1:] if own else high
+            to = to[(label[to] != label[i]) & (rid[to] != group["hub"][0])]
             if not len(to):
                 continue
-            # A pair may share several buckets; it is reported in the first band that it shares.
-            shared = same.reshape(len(to), bands, rows).all(axis=2)
-            to = to[(rid[to] != group["hub"][0]) & (shared.argmax(axis=1) == group["band"][0])]
-            a += [rid[i]] * len(to)
-            b += rid[to].tolist()
-        return np.array(a, np.int64), np.array(b, np.int64)
+            same = reg[to] == reg[i]
+            near = same.mean(axis=1) >= need
+            to, same = to[near], same[near]
+            # A pair may share several buckets; it is looked at in the first band that it shares.
+            to = to[same.reshape(len(to), bands, rows).all(axis=2).argmax(axis=1) == group["band"][0]]
+            for j in to.tolist():
+                if label[i] != label[j] and similarity(*_set(group["set"][i], group["weights"][i]),
+                                                       *_set(group["set"][j], group["weights"][j])) >= threshold - ROUNDING:
+                    a.append(int(rid[i]))
+                    b.append(int(rid[j]))
+                    label[label == label[j]] = label[i]
+        return a, b
 
     def run(batches):
         held: dict[str, list] = {}
-        names = ("key", "band", "p", "q", "part", "rid", "label", "hub", "registers")
 
         def finish():
             a, b = compare(held)
@@ -293,8 +309,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     links = common.stored(links.unionByName(_verified(rest, sets, threshold)))
     labels = components(links)
     open_ = common.stored(labelled(buckets.select("key", "band", "rid"), "rid", "label"))
-    pairs = _apart(open_, sig.select("rid", "registers"), bands, rows, threshold, block)
-    more = common.stored(_verified(common.stored(pairs.distinct()), sets, threshold))
+    more = common.stored(_apart(open_, sig.select("rid", "registers"), sets, bands, rows, threshold, block))
     if not common.is_empty(more):
         links = links.unionByName(more)
         labels = components(links)
@@ -311,17 +326,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows that stay, one of each class, with the input's columns."""
     keep = classes(docs, id_col, text_col, **kw).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+        F.col("doc_id").alias("__near_id"), F.col("digest").alias("__near_kept"))
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    rows = docs.withColumn("_own", digest)
-    out = rows.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi").drop("_own")
+    rows = docs.withColumn("__near_digest", digest)
+    out = rows.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__near_id")) & (F.col("__near_digest") == F.col("__near_kept")), "left_semi").drop("__near_digest")
     repeated = docs.groupBy(id_col).count().filter("count > 1")
     if common.is_empty(repeated):
         return out
     # Rows that repeat id and text: one of them.
-    one = Window.partitionBy(id_col, "_own").orderBy(F.col(text_col).isNull())
-    out = rows.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
-    return out.withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n", "_own")
+    one = Window.partitionBy(id_col, "__near_digest").orderBy(F.col(text_col).isNull())
+    out = rows.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("__near_id")) & (F.col("__near_digest") == F.col("__near_kept")), "left_semi")
+    return out.withColumn("__near_n", F.row_number().over(one)).filter("__near_n = 1").drop("__near_n", "__near_digest")
 
 
 def op5_minhash_dedup(spark, sf_dir: str) -> DataFrame:
