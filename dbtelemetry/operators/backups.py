@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import Keys, on
+from dbtelemetry.operators.common import Keys, on, with_absent
 
 # Labels of the backup-history report. "reference" keeps them
 # verbatim (a trailing blank after 2005, level 110 shown as 2011, device 105
@@ -43,7 +43,7 @@ def backup_history(backupset: DataFrame, media: DataFrame, labels: str = "refere
     are NULL (no ELSE); unknown devices are "Other Device".
     """
     m = media.select(*keys, "media_set_id", "physical_device_name", "device_type")
-    j = backupset.join(m, on(["media_set_id"], keys))
+    j = with_absent(backupset, "bigint", "compressed_backup_size").join(m, on(["media_set_id"], keys))
     return j.select(
         *keys,
         F.col("server_name").alias("server"),
@@ -54,7 +54,7 @@ def backup_history(backupset: DataFrame, media: DataFrame, labels: str = "refere
         "backup_start_date", "backup_finish_date",
         F.col("physical_device_name").alias("physical_device"),
         _case("device_type", DEVICE_LABELS[labels], OTHER_DEVICE).alias("device_type"),
-        "backup_size", "compressed_backup_size")
+        "backup_size", "compressed_backup_size").orderBy(*keys, F.col("backup_start_date").desc())
 
 
 def weekly_backup_report(backupset: DataFrame, media: DataFrame, as_of, days: int = 6,
@@ -71,7 +71,7 @@ def weekly_backup_report(backupset: DataFrame, media: DataFrame, as_of, days: in
                     tsql.format_113("backup_start_date").alias("backup_start"),
                     tsql.datediff_boundaries("minute", "backup_start_date", "backup_finish_date")
                     .alias("run_time_minutes"),
-                    "backup_start_date")
+                    "backup_start_date").orderBy(*keys, "backup_start_date")
 
 
 def last_restore(restore_history: DataFrame, database: str | None = None, keys: Keys = ()) -> DataFrame:

@@ -64,6 +64,11 @@ def spread_left_join(df: DataFrame, lookup: DataFrame, cols: Sequence[str], null
     return out.drop("__salt", nullable + "__key", "__lk_salt", *[f"__lk_{c}" for c in cols])
 
 
+def with_absent(df: DataFrame, kind: str, *cols: str) -> DataFrame:
+    """``df`` with a NULL column of type ``kind`` for each of ``cols`` that it lacks, so a report's columns never vary."""
+    return df.withColumns({c: F.lit(None).cast(kind) for c in cols if c not in df.columns})
+
+
 def db_name(df: DataFrame, databases: DataFrame, id_col: str, out: str = "database_name",
             keys: Keys = ()) -> DataFrame:
     """``DB_NAME(id)``: left join to the database catalog (F21); unknown ids give NULL.

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dbtelemetry.operators.common import Keys, db_name, lookup_text, on
+from dbtelemetry.operators.common import Keys, db_name, lookup_text, on, with_absent
 
 # The measures the reference ranks statements by, and its k.
 MEASURES = ("execution_count", "total_elapsed_time", "total_worker_time", "total_logical_reads",
@@ -76,7 +76,8 @@ def log_consumers(database_transactions: DataFrame, session_transactions: DataFr
     and the wide text is attached to the k survivors. ``state`` is the
     optional filter the reference leaves commented out.
     """
-    t1 = database_transactions.select(*keys, "transaction_id", "database_id", "begin_time",
+    t1 = with_absent(database_transactions, "bigint", "state", "log_bytes_used_system", "log_bytes_reserved_system")
+    t1 = t1.select(*keys, "transaction_id", "database_id", "begin_time",
                                       "state", "log_bytes_used_system", "log_bytes_reserved",
                                       "log_bytes_reserved_system", "log_record_count")
     if state is not None:

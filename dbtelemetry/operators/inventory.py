@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import Keys, bounded_lookup, on
+from dbtelemetry.operators.common import Keys, bounded_lookup, on, with_absent
 
 # Fixed values of the default-trace report: statistics objects and tempdb are skipped,
 # and system sessions (spid 50 and below) are ignored.
@@ -28,6 +28,7 @@ def default_trace_today(trace: DataFrame, subclasses: DataFrame, events: DataFra
     broadcast; the trace rows are never shuffled.
     """
     since = tsql.start_of_day(tsql.as_ts(as_of))
+    trace = with_absent(trace, "string", "server_name", "object_name", "login_name", "application_name")
     gt = trace.filter((F.col("spid") > SYSTEM_SPID_MAX) & (F.col("object_type") != STATISTICS_OBJECT_TYPE)
                       & (F.col("database_name") != "tempdb") & (F.col("start_time") >= since)
                       & (F.col("start_time") < since + F.expr("INTERVAL 1 DAY")))
@@ -58,8 +59,11 @@ def orphaned_users(db_principals: DataFrame, server_principals: DataFrame, keys:
 
 def database_overview(databases: DataFrame, helpdb: DataFrame, keys: Keys = ()) -> DataFrame:
     """User databases (id above 4) with size and owner from the help listing."""
-    h = helpdb.select(*keys, F.col("dbid").alias("database_id"), F.col("db_size").alias("size"), "owner", "created")
-    d = databases.filter(F.col("database_id") > SYSTEM_DATABASE_MAX_ID)
+    h = with_absent(helpdb, "string", "created").select(*keys, F.col("dbid").alias("database_id"), F.col("db_size").alias("size"), "owner", "created")
+    d = with_absent(databases, "string", "state_desc", "recovery_model_desc", "collation_name", "snapshot_isolation_state_desc")
+    d = with_absent(d, "int", "compatibility_level", "is_query_store_on", "is_read_committed_snapshot_on",
+                    "target_recovery_time_in_seconds")
+    d = d.filter(F.col("database_id") > SYSTEM_DATABASE_MAX_ID)
     j = d.join(h, on(["database_id"], keys))
     wanted = [("name", "database_name"), ("state_desc", "database_state"), ("size", "size"), ("owner", "owner"),
               ("compatibility_level", "compatibility"), ("recovery_model_desc", "recovery_model"),
@@ -87,6 +91,7 @@ def system_views(df: DataFrame) -> DataFrame:
     """
     cond = tsql.like("name", "%dm_xe%") | (tsql.like("name", "%server_event_s%") & (F.col("is_ms_shipped") == 1))
     extra = ["server_name"] if "server_name" in df.columns else []
+    df = with_absent(df, "timestamp_ntz", "create_date")
     return df.filter(cond).select(*extra, "name", "create_date", "is_ms_shipped")
 
 

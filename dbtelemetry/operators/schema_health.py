@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import Keys, db_name, lookup_plan, lookup_text, on
+from dbtelemetry.operators.common import Keys, db_name, lookup_plan, lookup_text, on, with_absent
 
 # The twelve usage columns the reference tests for NULL.
 USAGE_COLUMNS = ("user_seeks", "user_scans", "user_lookups", "last_user_seek", "last_user_scan",
@@ -31,6 +31,8 @@ def unused_indexes(indexes: DataFrame, usage: DataFrame, objects: DataFrame, dat
     A left join and NULL tests, as in the reference: with nullable usage
     columns this is not an anti join.
     """
+    usage = with_absent(usage, "timestamp_ntz", *[c for c in USAGE_COLUMNS if c.startswith("last_")])
+    usage = with_absent(usage, "bigint", *USAGE_COLUMNS)
     u = usage.select(*keys, "object_id", "index_id", *(["database_id"] if "database_id" in usage.columns
                                                        and "database_id" in indexes.columns else []), *USAGE_COLUMNS)
     u = u.withColumn("__u", F.lit(1))
@@ -110,6 +112,7 @@ def requests_with_missing_indexes(requests: DataFrame, sql_text: DataFrame, plan
     cols = ["session_id", "blocking_session_id", "start_time", "status", "database_id", "wait_type",
               "wait_time", "last_wait_type", "granted_query_memory", "reads", "logical_reads", "writes",
               "row_count", "total_elapsed_time", "cpu_time", "open_transaction_count"]
+    requests = with_absent(with_absent(requests, "string", "wait_type", "last_wait_type"), "bigint", *cols)
     r = requests.select(*keys, *cols, "sql_handle", "plan_handle")
     r = lookup_plan(r, plans, how="inner", keys=keys).filter(tsql.like("query_plan", "%<missing%", case_sensitive))
     r = lookup_text(r, sql_text, how="inner", keys=keys)

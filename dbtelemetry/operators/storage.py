@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import Keys, db_name, on
+from dbtelemetry.operators.common import Keys, db_name, on, with_absent
 
 # Text pieces of the free-space report's autogrowth column.
 AUTOGROW_PREFIX = "By "
@@ -93,7 +93,7 @@ def file_locations(files: DataFrame, volumes: DataFrame, databases: DataFrame, k
     j = db_name(_volumes(files, volumes, keys), databases, "database_id", out="db_name", keys=keys)
     return j.select(*keys, "db_name", F.col("physical_name").alias("physical_file_location"),
                     F.col("logical_volume_name").alias("logical_name"), F.col("volume_mount_point").alias("drive"),
-                    tsql.int_div("available_bytes", 1048576).cast("int").alias("free_space_mb")).distinct()
+                    tsql.int_div("available_bytes", 1048576).cast("int").alias("free_space_mb")).distinct().orderBy(*keys, "free_space_mb")
 
 
 def low_disk_space(files: DataFrame, volumes: DataFrame, threshold_mb: int = DEFAULT_LOW_SPACE_MB,
@@ -130,6 +130,7 @@ def scheduler_load(schedulers: DataFrame) -> DataFrame:
     wanted = ["scheduler_id", "cpu_id", "current_tasks_count", "runnable_tasks_count", "current_workers_count",
               "active_workers_count", "work_queue_count", "pending_disk_io_count"]
     extra = [c for c in ("server_name", "captured_at") if c in schedulers.columns]
+    schedulers = with_absent(schedulers, "bigint", *wanted)
     return schedulers.filter(F.col("scheduler_id") < 255).select(
         *extra, *wanted)
 
@@ -151,6 +152,7 @@ def cpu_from_text(lines: DataFrame, text_col: str = "output") -> DataFrame:
 def os_info(info: DataFrame) -> DataFrame:
     """Logical CPUs, hyperthread ratio and physical CPUs (integer division)."""
     extra = [c for c in ("server_name", "captured_at") if c in info.columns]
+    info = with_absent(info, "timestamp_ntz", "sqlserver_start_time")
     return info.select(*extra, F.col("cpu_count").alias("logical_cpu_count"), "hyperthread_ratio",
                        tsql.int_div("cpu_count", "hyperthread_ratio").alias("physical_cpu_count"), "sqlserver_start_time")
 

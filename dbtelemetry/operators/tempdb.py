@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import Keys, lookup_plan, lookup_text, on
+from dbtelemetry.operators.common import Keys, lookup_plan, lookup_text, on, with_absent
 
 # Allocation-page rules and labels of the contention report.
 PFS_INTERVAL = 8088
@@ -100,7 +100,8 @@ def tempdb_sessions(task_space: DataFrame, requests: DataFrame, sql_text: DataFr
     return j.select(*keys, "session_id",
                     (F.col("alloc_pages") / F.lit(128.0)).alias("internal_object_mb"),
                     (F.col("dealloc_pages") / F.lit(128.0)).alias("internal_object_dealloc_mb"),
-                    "text", stmt.alias("statement_text"), "query_plan")
+                    "text", stmt.alias("statement_text"), "query_plan").orderBy(
+        *keys, F.col("internal_object_dealloc_mb").desc(), F.col("statement_text").desc())
 
 
 def tempdb_requests(task_space: DataFrame, requests: DataFrame, keys: Keys = ()) -> DataFrame:
@@ -112,7 +113,7 @@ def tempdb_requests(task_space: DataFrame, requests: DataFrame, keys: Keys = ())
                          "statement_end_offset", "plan_handle")
     return t1.join(t2, on(["session_id", "request_id"], keys)).select(
         *keys, "session_id", "request_id", "task_alloc", "task_dealloc", "sql_handle", "statement_start_offset",
-        "statement_end_offset", "plan_handle")
+        "statement_end_offset", "plan_handle").orderBy(*keys, F.col("task_alloc").desc())
 
 
 def tempdb_space(file_space: DataFrame, keys: Keys = ()) -> DataFrame:
@@ -131,6 +132,7 @@ SNAPSHOT_COLUMNS = ("transaction_id", "transaction_sequence_num", "commit_sequen
 def long_snapshot_transactions(df: DataFrame) -> DataFrame:
     """O48g: active snapshot transactions, longest running first."""
     extra = [c for c in ("server_name", "captured_at") if c in df.columns]
+    df = with_absent(with_absent(df, "double", "average_version_chain_traversed"), "bigint", *SNAPSHOT_COLUMNS)
     return df.select(*extra, *SNAPSHOT_COLUMNS).orderBy(F.col("elapsed_time_seconds").desc())
 
 
@@ -141,6 +143,7 @@ SNAPSHOT_SETTINGS = ("name", "database_id", "snapshot_isolation_state", "snapsho
 def snapshot_settings(databases: DataFrame) -> DataFrame:
     """O48h: row-versioning settings per database."""
     extra = [c for c in ("server_name", "captured_at") if c in databases.columns]
+    databases = with_absent(with_absent(databases, "string", "snapshot_isolation_state_desc"), "int", *SNAPSHOT_SETTINGS)
     return databases.select(*extra, *SNAPSHOT_SETTINGS)
 
 

@@ -54,11 +54,14 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local
-    tests) do we create a scratch folder of our own.
+    A cluster names a shared folder there, and is refused without one:
+    executors and driver share no machine-local folder. Only a local
+    session (tests) gets a scratch folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by driver and executors")
         current = tempfile.mkdtemp(prefix="dbtelemetry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -63,6 +63,21 @@ def test_root_blockers_plan_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortAggregate" not in plan
 
 
+def test_reports_keep_their_order(spark):
+    import __spark_entry__ as entry
+
+    qs = entry.queries()
+    cases = {"current_waits": ("session_id", "exec_context_id"), "active_sessions": ("session_id",), "root_blockers": ("request_session_id",),
+             "file_locations": ("free_space_mb",), "job_report": ("next_run_date",), "tempdb_requests": ("-task_alloc",),
+             "backup_history": ("-backup_start_date",), "weekly_backup_report": ("backup_start_date",),
+             "tempdb_sessions": ("-internal_object_dealloc_mb",), "long_snapshot_transactions": ("-elapsed_time_seconds",)}
+    for name, cols in cases.items():
+        down = cols[0].startswith("-")
+        names = [c.lstrip("-") for c in cols]
+        got = [tuple(r[c] for c in names) for r in qs[name](spark, SF_SMALL).select(*names).collect()]
+        assert got and got == sorted(got, key=lambda t: tuple((v is not None, v) for v in t), reverse=down), name
+
+
 def test_kill_statement_keeps_long_ids(spark):
     procs = spark.createDataFrame([(123456, 1, "l", "h")], "spid long, dbid long, loginame string, hostname string")
     dbs = spark.createDataFrame([(1, "db")], "database_id long, name string")
@@ -350,7 +365,7 @@ def test_blocked_pairs_keeps_duplicate_rows_and_roles(spark):
     bufs = spark.createDataFrame([(1, "q1"), (2, "q2"), (3, "q3" * 200), (4, "q4")], "spid long, event_info string")
     out = sorted((r.spid, r.blocked1, r.blocked2, r.query_blocked, r.query_blocked_by1, r.query_blocked_by2)
                  for r in activity.blocked_pairs(procs, bufs, "2024-01-31 00:00:00").collect())
-    assert out == [(1, 2, 3, "q1", "q2", ("q3" * 200)[:255]), (1, 2, 3, "q1", "q2", ("q3" * 200)[:255]),
+    assert out == [(1, 2, 3, "q1", "q2", "q3" * 200), (1, 2, 3, "q1", "q2", "q3" * 200),
                    (4, 5, 0, "q4", None, None)]
 
 
