@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.operators import backups, schema_health, storage
 from dbtelemetry.plans.catalog import report
-from dbtelemetry.sources import sinks
+from dbtelemetry.sources import readers, sinks
 from dbtelemetry.sources.fixtures import AS_OF_ACTIVITY, AS_OF_BACKUP
 
 
@@ -422,3 +422,43 @@ def _join_index_sets(rel):
     """Both databases' key columns side by side per (table, index)."""
     a, b = _catalogs(rel)
     return schema_health.join_index_sets(a, b)
+
+
+# ---------------------------------------------------------------- sources
+
+@report("files_of_databases", ("database_files", "databases"), """
+SELECT d.name AS database_name, file_id, f.name, size
+FROM database_files f JOIN databases d USING (database_id)
+WHERE d.name NOT IN ('DB0', 'DB3') AND lower(d.name) LIKE 'db_'
+""")
+def _files_of_databases(rel):
+    """Files of the databases that the per-database loop visits (an exclusion list and a name pattern)."""
+    names = rel.databases.select("database_id", F.col("name").alias("database_name"))
+    files = rel.database_files.select("database_id", "file_id", "name", "size").join(names, "database_id")
+    return readers.across_databases(files, exclude=("DB0", "DB3"), like="DB_").select("database_name", "file_id", "name", "size")
+
+
+@report("pages_of_tables", ("objects_space",), """
+SELECT object_id, sum(reserved_pages)::BIGINT AS reserved_pages, sum(data_pages)::BIGINT AS data_pages
+FROM objects_space GROUP BY object_id
+""")
+def _pages_of_tables(rel):
+    """The per-table loop as one aggregation."""
+    return readers.across_tables(rel.objects_space, "object_id", ["reserved_pages", "data_pages"])
+
+
+CPU_AS_OF = "2024-01-15 06:00:00"
+
+
+@report("cpu_as_of", ("cpu_load",), f"""
+WITH latest AS (SELECT server_name, max(ts) AS ts FROM cpu_load WHERE ts <= TIMESTAMP '{CPU_AS_OF}' GROUP BY server_name)
+SELECT server_name, ts AS captured_at, load_percentage FROM cpu_load JOIN latest USING (server_name, ts)
+""")
+def _cpu_as_of(rel):
+    """Samples appended to a table by capture date, then each server's latest capture before a moment."""
+    spark = rel.cpu_load.sparkSession
+    folder = sinks.new_folder(spark)
+    samples = rel.cpu_load.select("server_name", F.col("ts").alias("captured_at"), F.to_date("ts").alias("captured_date"),
+                                  "load_percentage")
+    sinks.append(samples, folder, partition_by=["captured_date"])
+    return readers.scan(spark, folder, as_of=CPU_AS_OF, columns=["server_name", "captured_at", "load_percentage"])

@@ -24,6 +24,16 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     w.save(path)
 
 
+def new_folder(spark) -> str:
+    """A folder for one table in the shared folder, grouped by application, so a retention job
+    can drop a finished application's tables in one folder."""
+    import uuid
+
+    from dbtelemetry.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, columnar: bool = False) -> DataFrame:
     """Materialize an intermediate read more than once.
 
@@ -33,13 +43,11 @@ def materialize(df: DataFrame, columnar: bool = False) -> DataFrame:
     there (later passes read only the columns they need); otherwise a
     reliable ``checkpoint()``, which keeps partitions and their order.
     """
-    import uuid
-
     from dbtelemetry.session import ensure_checkpoint_dir
 
     spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
     if not columnar:
+        ensure_checkpoint_dir(spark)
         # Persist first: an eager checkpoint runs one job to compute and
         # another to write, which would otherwise compute the input twice.
         from pyspark import StorageLevel
@@ -49,9 +57,7 @@ def materialize(df: DataFrame, columnar: bool = False) -> DataFrame:
             return df.checkpoint(eager=True)
         finally:
             df.unpersist()
-    # Grouped by application, so a retention job can drop a finished
-    # application's tables in one folder.
-    path = f"{folder.rstrip('/')}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
