@@ -17,7 +17,7 @@ its smoothed share of that class. So the probabilities of all known tokens
 and one unknown token add up to one.
 
 Counts per token are joined to chunks of documents (by hash of id and text,
-about ``CHUNK`` bytes each), never broadcast; a chunk brings one row per
+about ``SCORE_CHUNK`` bytes each), never broadcast; a chunk brings one row per
 distinct token, so frequent tokens make no hot key.
 
 Null and empty texts are the end token alone. Without training texts the
@@ -38,16 +38,18 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.llm import common
 
-CLASSES = 1000
+CLASSES = 512
 SUFFIXES = 64
 CONTEXT = 2
-DIM = 24
-NOISE = 64
-BATCH = 2048
+DIM = 16
+NOISE = 32
+BATCH = 1024
 ROUNDS = 2
-RATE = 0.1
+RATE = 0.15
 CHUNK = 6_000_000
-FLUSH_WORDS = 400_000
+#: Text of one scoring chunk.
+SCORE_CHUNK = 12_000_000
+FLUSH_WORDS = 600_000
 SMOOTHING = 0.1  # fixed by the contract
 #: The end of a text; holds a space, as no word does.
 END = b" "
@@ -135,19 +137,18 @@ def new_model(words: list[bytes], counts: list[int], total: int, distinct: int,
     return Model(words, c, total, distinct, {k: v.astype(np.float32) for k, v in p.items()})
 
 
-def _flat(model: Model, texts: list[str | None], known: dict[bytes, tuple[int, int]]):
-    """Class and context ids of all tokens end to end, and the texts' first places."""
-    cls, ctx, begins, n = [], [], [], 0
-    for text in texts:
-        begins.append(n)
-        for w in tokens_of(text):
-            own = known.get(w)
-            if own is None:
-                own = known[w] = model.ids(w)
-            cls.append(own[0])
-            ctx.append(own[1])
-        n = len(cls)
-    return np.array(cls, np.int64), np.array(ctx, np.int64), np.array(begins, np.int64)
+def _flat(model: Model, texts: list[str | None], known: dict[bytes, int]):
+    """Class and context ids of all tokens end to end, and the texts' first places.
+
+    ``known`` remembers tokens from call to call, both ids in one number.
+    """
+    split = [tokens_of(t) for t in texts]
+    for w in set().union(*split).difference(known):
+        cls, ctx = model.ids(w)
+        known[w] = cls << 32 | ctx
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    both = np.fromiter((known[w] for own in split for w in own), np.int64, int(sizes.sum()))
+    return both >> 32, both & 0xFFFFFFFF, np.concatenate(([0], np.cumsum(sizes)[:-1]))
 
 
 def _summed(rows: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
@@ -172,7 +173,7 @@ class Trainer:
         self.noise = share / share.sum()
         self.log_noise = np.log(NOISE * self.noise).astype(np.float32)
         self.cumulative = np.cumsum(self.noise)
-        self.known: dict[bytes, tuple[int, int]] = {}
+        self.known: dict[bytes, int] = {}
         self.tokens = 0
 
     def texts(self, texts: list[str | None]) -> None:
@@ -257,7 +258,7 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, block: int = 2048) -> np.ndarray:
+def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, block: int = 512) -> np.ndarray:
     """Normalised natural log-probability of each token's class, given the two tokens before it."""
     p = model.p
     back = model.contexts(ctx, begins)
@@ -293,7 +294,7 @@ def score_chunk(model: Model | None, docs: pd.DataFrame, words: pd.DataFrame) ->
     base = np.log10((c + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))[flat]
     score = base
     if model:
-        pairs = np.array([model.ids(w) for w in place], np.int64)
+        pairs = np.array([model.ids(bytes(w)) for w in words["word"]], np.int64)  # a token's rows may repeat
         cls, ctx = pairs[flat, 0], pairs[flat, 1]
         score = log_probabilities(model, cls, ctx, begins) / LN10
         other = cls == len(model.words)
@@ -308,7 +309,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES,
-           chunk: int = CHUNK) -> DataFrame:
+           chunk: int = SCORE_CHUNK) -> DataFrame:
     """One row per input row (see ``SCORES``), learned from the rows where ``held`` is false."""
     spark = docs.sparkSession
     common.small_batches(spark)
