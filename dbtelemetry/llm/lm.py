@@ -38,14 +38,14 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.llm import common
 
-CLASSES = 512
+CLASSES = 1000
 SUFFIXES = 64
 CONTEXT = 2
-DIM = 16
-NOISE = 32
-BATCH = 1024
+DIM = 24
+NOISE = 64
+BATCH = 2048
 ROUNDS = 2
-RATE = 0.15
+RATE = 0.1
 CHUNK = 6_000_000
 #: Text of one scoring chunk.
 SCORE_CHUNK = 12_000_000

@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from llm_helpers import make  # noqa: F401
 from dbtelemetry.llm import bpe, common, langid, lm, toxicity
 
@@ -119,6 +120,19 @@ def test_lm_is_normalised():
     assert abs(total - 1) < 1e-5
 
 
+def test_lm_model_size():
+    model = lm.new_model([b"%d" % i for i in range(lm.CLASSES)], [1] * lm.CLASSES, 2 * lm.CLASSES, 2 * lm.CLASSES)
+    assert model.classes >= 1001 and model.p["word"].shape[1] >= 24 and lm.NOISE >= 64
+
+
+def test_lm_repeated_vocabulary_rows():
+    model = lm.new_model([b"a", b"b", lm.END], [5, 4, 3], 20, 6)
+    docs = pd.DataFrame({"doc_id": [1], "held_out": [False], "text": ["c a b"]})
+    words = pd.DataFrame({"word": [b"a", b"b", b"c", lm.END], "c": [5, 4, 4, 3]})
+    once = lm.score_chunk(model, docs, words)
+    assert lm.score_chunk(model, docs, pd.concat([words, words])).equals(once)
+
+
 def test_lm_without_training_rows(make):
     zero = next(i for i in range(1000) if binascii.crc32(str(i).encode()) % 10 == 0)
     r = lm.scores(make([(zero, "a b")]), common.remainder("doc_id", 10) == 0).collect()
