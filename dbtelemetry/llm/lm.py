@@ -1,20 +1,24 @@
 """LM scoring by a log-bilinear neural model with noise-contrastive estimation.
 
 Texts are tokens (words, ASCII lower case) and one end. Counts of all
-training tokens give the unigram base and the model's classes: the
-``CLASSES`` most frequent tokens, and one class for all others. A context is
-the two tokens before, each with an embedding (tokens outside the classes
-share embeddings by their last two bytes); the prediction vector is their
-sum, weighted by position, and a class's logit its product with the class
-vector plus a bias. Training contrasts each token of every training text
-with ``NOISE`` draws from the unigram distribution, in numpy: each task
-trains on its texts, the tasks' parameters are averaged by tokens, in
-``ROUNDS`` rounds over different texts.
+training tokens give the unigram base and the model's classes, in two levels:
+the ``CLASSES`` most frequent tokens and ``GROUPS`` groups of the others (by
+their last two bytes), then the buckets of a group (by a hash of the token),
+whose number grows with the square root of the distinct tokens. A context is
+the two tokens before, each with an embedding (that of its bucket for tokens
+outside the classes); the prediction vector is their sum, weighted by
+position, and a logit its product with the vector of the class or bucket
+plus a bias. Training contrasts each token of every training text with
+``NOISE`` draws from the classes and ``INNER_NOISE`` from its group's
+buckets, in numpy: each task trains on its texts, the tasks' parameters are
+averaged by tokens, in ``ROUNDS`` rounds over different texts.
 
 Scoring normalises over all classes, in batched matrix products over the
-distinct contexts of a chunk; within the class of all others a token has
-its smoothed share of that class. So the probabilities of all known tokens
-and one unknown token add up to one.
+distinct contexts of a chunk, and over the buckets of a token's group; within
+its bucket a token has its smoothed share of the counts. Empty buckets have no
+probability; an unknown token has that of the base, the known ones share the
+rest. So the probabilities of all known tokens and one unknown token add up to
+one.
 
 Counts per token are joined to chunks of documents (by hash of id and text,
 about ``SCORE_CHUNK`` bytes each), never broadcast; a chunk brings one row per
@@ -27,8 +31,9 @@ are scored alike (and count in training as often as they occur).
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -39,10 +44,13 @@ from pyspark.sql import functions as F
 from dbtelemetry.llm import common
 
 CLASSES = 1000
-SUFFIXES = 64
+GROUPS = 64
+#: Buckets for each square root of the distinct tokens.
+BUCKETS = 4
 CONTEXT = 2
 DIM = 24
 NOISE = 64
+INNER_NOISE = 8
 BATCH = 2048
 ROUNDS = 2
 RATE = 0.1
@@ -83,37 +91,80 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def group_size(distinct: int) -> int:
+    """Buckets of a group."""
+    return max(1, int(np.ceil(BUCKETS * np.sqrt(distinct) / GROUPS)))
+
+
+def bucket(word: bytes, groups: int, size: int) -> int:
+    tail = word[-2:]
+    return (tail[0] * 31 + tail[-1]) % groups * size + zlib.crc32(word) % size
+
+
+def count_buckets(counts: DataFrame, words: list[bytes], size: int) -> np.ndarray:
+    """Smoothed counts by bucket of the tokens that are not ``words``."""
+    top = frozenset(words)
+
+    def run(batches):
+        mass = np.zeros(GROUPS * size)
+        for batch in batches:
+            rest = [(bucket(w, GROUPS, size), c) for w, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(), strict=True)
+                    if w not in top]
+            if rest:
+                at, c = np.array(rest, np.int64).T
+                mass += np.bincount(at, c + SMOOTHING, len(mass))
+        at = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int64()), "mass": pa.array(mass[at], pa.float64())})
+
+    found = counts.mapInArrow(run, "bucket long, mass double").groupBy("bucket").agg(F.sum("mass").alias("mass")).collect()
+    out = np.zeros(GROUPS * size)
+    for r in found:  # grows with the square root of the distinct tokens
+        out[r["bucket"]] = r["mass"]
+    return out
+
+
 @dataclass
 class Model:
-    """``words`` are the classes' tokens; parameters in ``p``; totals of the counts."""
+    """``words`` are the classes' tokens; parameters in ``p``; totals of the counts; smoothed counts by group and bucket."""
 
     words: list[bytes]
     counts: np.ndarray
     total: int
     distinct: int
     p: dict[str, np.ndarray]
+    mass: np.ndarray
 
     def __post_init__(self):
         self.place = {w: i for i, w in enumerate(self.words)}
         self.base_mass = self.total + SMOOTHING * (self.distinct + 1)
         self.other_mass = self.base_mass - float((self.counts + SMOOTHING).sum())
+        shut = lambda m: np.where(m > 0, 0, -1e30).astype(np.float32)
+        self.shut = np.append(np.zeros(len(self.words), np.float32), shut(self.mass.sum(axis=1)))
+        self.inner_shut = shut(self.mass)
 
     @property
     def classes(self) -> int:
-        return len(self.words) + 1
+        return len(self.words) + len(self.mass)
 
     @property
     def start(self) -> int:
         """Context id before a text's first token."""
-        return len(self.words) + SUFFIXES
+        return len(self.words) + self.mass.size
 
     def ids(self, word: bytes) -> tuple[int, int]:
-        """Class and context id of a token."""
+        """Output id (class, or the number of classes' tokens plus the bucket) and context id of a known token."""
         k = self.place.get(word)
-        if k is not None:
-            return k, k
-        tail = word[-2:]
-        return len(self.words), len(self.words) + (tail[0] * 31 + tail[-1]) % SUFFIXES
+        if k is None:
+            k = len(self.words) + bucket(word, *self.mass.shape)
+        return k, k
+
+    def levels(self, out: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Classes of output ids; the places of those in groups, and their buckets."""
+        inner = np.flatnonzero(out >= len(self.words))
+        buckets = out[inner] - len(self.words)
+        cls = out.copy()
+        cls[inner] = len(self.words) + buckets // self.mass.shape[1]
+        return cls, inner, buckets
 
     def contexts(self, ctx: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
         """Context ids one, two ... tokens back; ``begins`` are the texts' first places."""
@@ -128,13 +179,19 @@ class Model:
         return sum(self.p["at"][j] * self.p["context"][c] for j, c in enumerate(back))
 
 
-def new_model(words: list[bytes], counts: list[int], total: int, distinct: int, seed: int = 0) -> Model:
+def new_model(words: list[bytes], counts: list[int], total: int, distinct: int, seed: int = 0, mass: np.ndarray | None = None) -> Model:
+    """``mass``: of ``count_buckets``; without it all other tokens are one bucket."""
     rng = np.random.default_rng(seed)
     c = np.array(counts, float)
-    share = np.append(c, max(total - c.sum(), 0.5)) / max(total, 1)
-    p = {"context": rng.normal(0, 0.2, (len(words) + SUFFIXES + 1, DIM)), "at": np.ones((CONTEXT, DIM)),
-         "word": rng.normal(0, 0.2, (len(words) + 1, DIM)), "bias": np.log(share)}
-    return Model(words, c, total, distinct, {k: v.astype(np.float32) for k, v in p.items()})
+    if mass is None:
+        mass = np.array([total + SMOOTHING * distinct - (c + SMOOTHING).sum()])
+    mass = mass.reshape(min(GROUPS, len(mass)), -1)
+    share = np.append(c, np.maximum(mass.sum(axis=1), 0.5)) / max(total, 1)
+    inner = np.maximum(mass, SMOOTHING) / np.maximum(mass, SMOOTHING).sum(axis=1, keepdims=True)
+    p = {"context": rng.normal(0, 0.2, (len(words) + mass.size + 1, DIM)), "at": np.ones((CONTEXT, DIM)),
+         "word": rng.normal(0, 0.2, (len(words) + len(mass), DIM)), "bias": np.log(share),
+         "inner": rng.normal(0, 0.2, (mass.size, DIM)), "inner_bias": np.log(inner).reshape(-1)}
+    return Model(words, c, total, distinct, {k: v.astype(np.float32) for k, v in p.items()}, mass)
 
 
 def _flat(model: Model, texts: list[str | None], known: dict[bytes, int]):
@@ -151,14 +208,12 @@ def _flat(model: Model, texts: list[str | None], known: dict[bytes, int]):
     return both >> 32, both & 0xFFFFFFFF, np.concatenate(([0], np.cumsum(sizes)[:-1]))
 
 
-def _summed(rows: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
-    """Sums of ``rows`` by id."""
+def _summed(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids and the sums of ``rows`` by them."""
     order = np.argsort(ids, kind="stable")
     own = ids[order]
     first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    out = np.zeros((size, rows.shape[1]), rows.dtype)
-    out[own[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+    return own[first], np.add.reduceat(rows[order], first, axis=0)
 
 
 class Trainer:
@@ -169,10 +224,14 @@ class Trainer:
         self.p = model.p = {k: v.copy() for k, v in model.p.items()}
         self.square = {k: np.full_like(v, 0.1) for k, v in self.p.items()}
         self.rng = np.random.default_rng(seed)
-        share = np.append(model.counts, max(model.total - model.counts.sum(), 0.5))
+        share = np.append(model.counts, model.mass.sum(axis=1))
         self.noise = share / share.sum()
-        self.log_noise = np.log(NOISE * self.noise).astype(np.float32)
+        self.log_noise = np.log(NOISE * np.maximum(self.noise, 1e-30)).astype(np.float32)
         self.cumulative = np.cumsum(self.noise)
+        # Group g's buckets fill the places from g to g + 1.
+        mass = model.mass / np.maximum(model.mass.sum(axis=1, keepdims=True), 1e-30)
+        self.inner_cumulative = (np.cumsum(mass, axis=1) + np.arange(len(mass))[:, None]).reshape(-1)
+        self.inner_log_noise = np.log(INNER_NOISE * np.maximum(mass, 1e-30)).reshape(-1).astype(np.float32)
         self.known: dict[bytes, int] = {}
         self.tokens = 0
 
@@ -189,7 +248,8 @@ class Trainer:
 
     def step(self, target: np.ndarray, back: list[np.ndarray]) -> None:
         p, n = self.p, len(target)
-        drawn = np.searchsorted(self.cumulative, self.rng.random(NOISE)).clip(max=len(self.noise) - 1)
+        target, inner, buckets = self.model.levels(target)
+        drawn = np.searchsorted(self.cumulative, self.rng.random(NOISE), side="right").clip(max=len(self.noise) - 1)
         r = self.model.predict(back)
         wt, wn = p["word"][target], p["word"][drawn]
         st = (r * wt).sum(axis=1) + p["bias"][target] - self.log_noise[target]
@@ -198,16 +258,42 @@ class Trainer:
         gt = (1.0 / (1.0 + np.exp(np.clip(st, -30, 30)))) / n
         gn = (-1.0 / (1.0 + np.exp(-np.clip(sn, -30, 30)))) / n
         dr = gt[:, None] * wt + gn @ wn
-        g = {"word": _summed(gt[:, None] * r, target, len(p["word"])), "bias": np.bincount(target, gt, len(p["bias"])),
-             "context": np.zeros_like(p["context"]), "at": np.zeros_like(p["at"])}
+        g = {"word": np.zeros_like(p["word"]), "bias": np.bincount(target, gt, len(p["bias"])), "at": np.zeros_like(p["at"])}
+        found, sums = _summed(gt[:, None] * r, target)
+        g["word"][found] = sums
         np.add.at(g["word"], drawn, gn.T @ r)
         np.add.at(g["bias"], drawn, gn.sum(axis=0))
+        if len(inner) and self.model.mass.shape[1] > 1:
+            dr[inner] += self.inner_step(r[inner], buckets, n)
         for j, c in enumerate(back):
-            g["context"] += _summed(dr * p["at"][j], c, len(p["context"]))
             g["at"][j] = (dr * p["context"][c]).sum(axis=0)
+        self.add("context", *_summed(np.concatenate([dr * p["at"][j] for j in range(len(back))]), np.concatenate(back)), n)
         for k, v in g.items():
-            self.square[k] += (v * v * n).astype(np.float32)
-            p[k] += (RATE * v * np.sqrt(n) / np.sqrt(self.square[k])).astype(np.float32)
+            self.add(k, slice(None), v, n)
+
+    def inner_step(self, r: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
+        """The step of the buckets within their groups; the derivative by ``r``."""
+        p, size = self.p, self.model.mass.shape[1]
+        first = buckets // size
+        at = first[:, None] + self.rng.random((len(buckets), INNER_NOISE))
+        drawn = np.searchsorted(self.inner_cumulative, at, side="right").clip(first[:, None] * size, first[:, None] * size + size - 1)
+        # The data column first, then the noise columns.
+        both = np.concatenate([buckets[:, None], drawn], axis=1)
+        w = p["inner"][both]
+        s = np.einsum("nd,nkd->nk", r, w) + p["inner_bias"][both] - self.inner_log_noise[both]
+        g = -1.0 / (1.0 + np.exp(-np.clip(s, -30, 30)))
+        g[:, 0] += 1.0
+        g /= n
+        rows = np.concatenate([g[:, :, None] * r[:, None, :], g[:, :, None]], axis=2).reshape(-1, r.shape[1] + 1)
+        found, sums = _summed(rows, both.reshape(-1))
+        out = np.einsum("nk,nkd->nd", g, w)
+        self.add("inner", found, sums[:, :-1], n)
+        self.add("inner_bias", found, sums[:, -1], n)
+        return out
+
+    def add(self, name: str, rows, v: np.ndarray, n: int) -> None:
+        self.square[name][rows] += (v * v * n).astype(np.float32)
+        self.p[name][rows] += (RATE * v * np.sqrt(n) / np.sqrt(self.square[name][rows])).astype(np.float32)
 
 
 def _packed(p: dict[str, np.ndarray]) -> bytes:
@@ -226,11 +312,11 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     """Train on every text once: round r takes the rows whose ``part`` column modulo ``rounds`` is r."""
     spark = texts.sparkSession
     for r in range(rounds):
-        shipped = spark.sparkContext.broadcast(model)  # bounded by the number of classes
+        shipped = spark.sparkContext.broadcast(model)  # bounded by the number of classes and buckets
 
         def run(batches, shipped=shipped, r=r):
             own = shipped.value
-            trainer = Trainer(Model(own.words, own.counts, own.total, own.distinct, own.p), seed=r)
+            trainer = Trainer(replace(own), seed=r)
             for batch in common.chunks(batches, "text", CHUNK):
                 trainer.texts(batch.column("text").to_pylist())
             if trainer.tokens:
@@ -254,13 +340,15 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
         tokens = sum(x["tokens"] for x in rows)
         if tokens:
             mean = sum(np.frombuffer(x["sums"], "<f8") for x in rows) / tokens
-            model = Model(model.words, model.counts, model.total, model.distinct, _unpacked(mean, model.p))
+            model = replace(model, p=_unpacked(mean, model.p))
     return model
 
 
 def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, block: int = 512) -> np.ndarray:
-    """Normalised natural log-probability of each token's class, given the two tokens before it."""
+    """Normalised natural log-probability of each token's class (and bucket in it), given the two tokens before it."""
     p = model.p
+    cls, inner, buckets = model.levels(cls)
+    bias = p["bias"] + model.shut
     back = model.contexts(ctx, begins)
     size = model.start + 1
     key = sum(c * size**j for j, c in enumerate(back))
@@ -268,14 +356,27 @@ def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np
     vectors = model.predict([found // size**j % size for j in range(CONTEXT)])
     norm = np.empty(len(found))
     for k in range(0, len(found), block):
-        logit = vectors[k:k + block] @ p["word"].T + p["bias"]
+        logit = vectors[k:k + block] @ p["word"].T + bias
         top = logit.max(axis=1, keepdims=True)
         norm[k:k + block] = top[:, 0] + np.log(np.exp(logit - top).sum(axis=1, dtype=np.float64))
     out = np.empty(len(cls))
     step = block * 64
     for k in range(0, len(cls), step):
         own, at = cls[k:k + step], inverse[k:k + step]
-        out[k:k + step] = np.einsum("ij,ij->i", vectors[at], p["word"][own]) + p["bias"][own] - norm[at]
+        out[k:k + step] = np.einsum("ij,ij->i", vectors[at], p["word"][own]) + bias[own] - norm[at]
+    size = model.mass.shape[1]
+    if size == 1:
+        return out
+    vectors_of, inner_bias = p["inner"].reshape(-1, size, DIM), p["inner_bias"].reshape(-1, size) + model.inner_shut
+    order = np.argsort(buckets, kind="stable")
+    ends = np.searchsorted(buckets[order], np.arange(len(model.mass) + 1) * size)
+    for g in range(len(model.mass)):
+        for k in range(ends[g], ends[g + 1], step):
+            some = order[k:min(k + step, ends[g + 1])]
+            logit = vectors[inverse[inner[some]]] @ vectors_of[g].T + inner_bias[g]
+            top = logit.max(axis=1, keepdims=True)
+            own = logit[np.arange(len(some)), buckets[some] - g * size]
+            out[inner[some]] += own - top[:, 0] - np.log(np.exp(logit - top).sum(axis=1, dtype=np.float64))
     return out
 
 
@@ -295,10 +396,12 @@ def score_chunk(model: Model | None, docs: pd.DataFrame, words: pd.DataFrame) ->
     score = base
     if model:
         pairs = np.array([model.ids(bytes(w)) for w in words["word"]], np.int64)  # a token's rows may repeat
-        cls, ctx = pairs[flat, 0], pairs[flat, 1]
+        unknown = c[flat] == 0
+        cls, ctx = np.where(unknown, 0, pairs[flat, 0]), pairs[flat, 1]
         score = log_probabilities(model, cls, ctx, begins) / LN10
-        other = cls == len(model.words)
-        score[other] += np.log10((c[flat[other]] + SMOOTHING) / model.other_mass)
+        other = cls >= len(model.words)
+        score[other] += np.log10((c[flat[other]] + SMOOTHING) / model.mass.reshape(-1)[cls[other] - len(model.words)])
+        score = np.where(unknown, base, score + np.log10(1 - SMOOTHING / model.base_mass))
     return pd.DataFrame({
         "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": np.diff(np.append(begins, n)),
         "n_known": np.add.reduceat((c > 0).astype(np.int64)[flat], begins), "train_tokens": np.int64(total),
@@ -321,7 +424,9 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
     model = None
     if total:
         top = counts.orderBy(F.col("c").desc(), "word").limit(classes).collect()
-        model = train(learn, new_model([bytes(r["word"]) for r in top], [r["c"] for r in top], total, distinct))
+        words = [bytes(r["word"]) for r in top]
+        mass = count_buckets(counts, words, group_size(distinct))
+        model = train(learn, new_model(words, [r["c"] for r in top], total, distinct, mass=mass))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // chunk))
     dealt = rows.select("doc_id", "held_out", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"))

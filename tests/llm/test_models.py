@@ -133,6 +133,39 @@ def test_lm_repeated_vocabulary_rows():
     assert lm.score_chunk(model, docs, pd.concat([words, words])).equals(once)
 
 
+def test_lm_buckets_are_normalised_and_learn(spark):
+    assert lm.group_size(4_000_000) > lm.group_size(400_000) > 1
+    count = {b"w%d" % i: 1 + i % 7 for i in range(3000)} | {lm.END: 500, b"the": 900}
+    table = spark.createDataFrame(list(count.items()), "word binary, c long")
+    words = [b"the", lm.END]
+    mass = lm.count_buckets(table, words, lm.group_size(10_000))
+    model = lm.new_model(words, [900, 500], sum(count.values()), len(count), mass=mass)
+    assert abs(mass.sum() - (model.other_mass - 0.1)) < 1e-6 and (mass == 0).any()
+
+    def chances(model, before):
+        known = pd.DataFrame({"word": [*count], "c": [*count.values()]})
+        both = np.array([model.ids(w)[0] for w in count], np.int64)
+        first = model.ids(before.encode())
+        flat = np.stack([np.full(len(both), first[0]), both], axis=1).reshape(-1)
+        ctx = np.stack([np.full(len(both), first[1]), both], axis=1).reshape(-1)
+        lp = lm.log_probabilities(model, flat, ctx, np.arange(len(both)) * 2)[1::2]
+        inner = both >= len(words)
+        lp[inner] += np.log((known["c"].to_numpy()[inner] + 0.1) / mass[both[inner] - len(words)])
+        return dict(zip(known["word"], np.exp(lp)))
+
+    before = chances(model, "the")
+    assert abs(sum(before.values()) - 1) < 1e-4
+    trainer = lm.Trainer(model, 0)
+    for _ in range(10):
+        trainer.texts(["the w17 w1234"] * 300)
+    known = pd.DataFrame({"word": [b"the", b"w17", b"never", lm.END], "c": [900, count[b"w17"], 0, 500]})
+    one = lambda text: lm.score_chunk(trainer.model, pd.DataFrame({"doc_id": [1], "held_out": [True], "text": [text]}), known).iloc[0]
+    assert one("the w17").score > one("the w17").base_score and one("never").n_known == 1
+    after = chances(trainer.model, "the")
+    assert abs(sum(after.values()) - 1) < 1e-4
+    assert after[b"w17"] > 3 * before[b"w17"] and after[b"w17"] > 3 * after[b"w1234"]  # rare tokens are told apart by context
+
+
 def test_lm_without_training_rows(make):
     zero = next(i for i in range(1000) if binascii.crc32(str(i).encode()) % 10 == 0)
     r = lm.scores(make([(zero, "a b")]), common.remainder("doc_id", 10) == 0).collect()
