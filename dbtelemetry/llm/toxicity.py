@@ -348,7 +348,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     if not chosen:
         return Model(constant=0.0)
     rows = common.texts(docs, id_col, text_col).filter(F.col("doc_id").isin(sorted(chosen)))
-    texts = dict(rows.select("doc_id", "text").collect())
+    # One row an id, reduced in the map tasks: repeated rows do not come to the driver.
+    texts = dict(rows.groupBy("doc_id").agg(F.min("text").alias("text")).collect())
     order = sorted(texts)
     return fit([texts[i] for i in order], [chosen[i] for i in order], share)
 

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 from llm_helpers import make  # noqa: F401
+from pyspark.sql import functions as F
 from dbtelemetry.llm import bpe, common, langid, lm, toxicity
 
 EN = "the of and that this nation reading with from thing".split()
@@ -226,6 +227,14 @@ def test_toxicity(spark, make):
     assert {r.score for r in toxicity.with_toxicity(docs, none).collect()} == {0.0}
 
 
+def test_toxicity_sample_has_one_row_an_id(spark, make, monkeypatch):
+    rows = [(1, "b vile"), (1, "a vile"), (1, "c vile"), (2, "the of"), (2, "the and")] + [(1, "b vile")] * 50
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, share: (texts, y))
+    for own in (rows, rows[::-1]):
+        assert toxicity.train(make(own), labels, F.lit(True)) == (["a vile", "the and"], [1, 0])
+
+
 TEXTS = ["aaaaaaa aaaa", "<|endoftext|>x<|endoftext|>", " \n\n  a  \t b", "", "hello'sworld'll 12 345", "x" * 20_000, "é" * 5000,
          "日本語 текст \U0001f600‍\U0001f600", "a\x1cb\x85c d e", " " * 300, "ab " * 5000]
 
