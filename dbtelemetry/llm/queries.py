@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dbtelemetry.llm import (bpe, exact_dedup, langid, line_dedup, lm, minhash_dedup, mixing, nearest, sharding,
+from dbtelemetry.llm import (bpe, exact_dedup, langid, line_dedup, lm, minhash_dedup, mixing, nearest, runs, sharding,
                              toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sharding.op8_extendible_sharding,
         toxicity.op9_toxicity,
         mixing.op10_curriculum_mixing,
+        runs.op12_periodic_runs,
     )
 }
 
