@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dbtelemetry.llm import (bpe, exact_dedup, langid, line_dedup, lm, minhash_dedup, mixing, nearest, runs, sharding,
-                             toxicity)
+                             toxicity, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         toxicity.op9_toxicity,
         mixing.op10_curriculum_mixing,
         runs.op12_periodic_runs,
+        whitening.op13_embedding_whitening,
     )
 }
 
