@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dbtelemetry.llm import (bpe, exact_dedup, langid, line_dedup, lm, minhash_dedup, mixing, nearest, runs, sharding,
-                             toxicity, whitening)
+from dbtelemetry.llm import (bpe, decontamination, exact_dedup, langid, line_dedup, lm, minhash_dedup, mixing, nearest, runs,
+                             sharding, toxicity, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sharding.op8_extendible_sharding,
         toxicity.op9_toxicity,
         mixing.op10_curriculum_mixing,
+        decontamination.op11_suffix_decontamination,
         runs.op12_periodic_runs,
         whitening.op13_embedding_whitening,
     )
@@ -31,4 +32,5 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_extendible_sharding": sharding.ORACLE,
     "op10_curriculum_mixing": mixing.ORACLE,
+    "op11_suffix_decontamination": decontamination.ORACLE,
 }

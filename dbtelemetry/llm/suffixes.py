@@ -29,7 +29,7 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 
 def split(texts: pa.Array, inside: np.ndarray, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """All words (runs of ``inside`` bytes) of all texts, in order, and each text's first word (one more entry at the end)."""
-    texts = texts.fill_null("").cast(pa.large_string())
+    texts = texts.cast(pa.large_string()).fill_null("")
     raw = texts.buffers()
     at = np.frombuffer(raw[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(raw[2], np.uint8)[at[0]:at[-1]] if raw[2] is not None else np.zeros(0, np.uint8)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from llm_helpers import by_id, make  # noqa: F401
-from dbtelemetry.llm import runs, suffixes
+from dbtelemetry.llm import decontamination, runs, suffixes
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -134,3 +134,72 @@ def test_registered_runs_against_brute_force(spark):
     got = by_id(runs.op12_periodic_runs(spark, SF_SMALL), "n_runs", "start", "length", "period", "exponent_milli",
                 "runs_sha256", "collapsed_sha256")
     assert got == want and sum(v[0] > 0 for v in want.values()) > 5
+
+
+def brute_contaminated(text, items, window=10):
+    words_of = lambda t: [w.decode() for w in suffixes.split(pa.array([t]), suffixes.ALPHANUMERIC, lower=True)[0].to_pylist()]
+    words, hit, names = words_of(text), set(), set()
+    for item, body in items:
+        own = words_of(body)
+        k = min(window, len(own))
+        for s in range(len(own) - k + 1) if k else ():
+            for i in range(len(words) - k + 1):
+                if words[i:i + k] == own[s:s + k]:
+                    hit.update(range(i, i + k))
+                    if item is not None:
+                        names.add(item)
+    return len(words), len(hit), sorted(names)
+
+
+def items_frame(spark, rows):
+    return spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "item_id long, text string, rid string, n int")
+
+
+def test_contaminated_against_brute_force(spark, make):
+    rng = random.Random(2)
+    for size, window in ((2, 3), (5, 4), (40, 10)):
+        word = lambda: rng.choice(["Ab", "c'", "dé", "9", "e-f"] + [f"w{k}" for k in range(size)])  # noqa: B023, E731
+        items = [(i % 17, " ".join(word() for _ in range(rng.choice([0, 1, 3, 12, 30])))) for i in range(20)]
+        items += [(30, None), (31, " - "), (None, "alpha beta gamma"), (32, "w1 " * 40)]
+        docs = [(1, None), (2, ""), (3, "W1 " * 60), (None, "x Alpha, beta; gamma"), (7, "dup " + (items[3][1] or "z")), (7, "dup " + (items[3][1] or "z"))]
+        for d in range(10, 60):
+            words = [word() for _ in range(rng.randint(0, 60))]
+            if rng.random() < 0.5:
+                body = rng.choice(items)[1] or ""
+                words[3:3] = body.split()
+            docs.append((d, " ".join(words)))
+        want = sorted((str(d), *brute_contaminated(t or "", items, window)) for d, t in docs)
+        for shard, block in ((1_000_000, 1_000_000), (50, 150)):
+            out = decontamination.contaminated(make(docs), items_frame(spark, items), window=window, shard=shard, block=block)
+            got = sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in out.collect())
+            assert got == want
+    kept = decontamination.clean(make(docs), items_frame(spark, items), window=window)
+    assert kept.columns == make(docs).columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(w[0] for w in want if not w[2])
+
+
+def test_long_texts_are_cut_with_overlap(spark, make):
+    rng = random.Random(4)
+    long = [f"a{rng.randint(0, 30)}" for _ in range(400)]
+    items = [(1, " ".join(long[90:300])), (2, "zz " * 50)]
+    docs = [(1, " ".join(long)), (2, " ".join(long[:95] + ["b"] * 30 + long[200:214])), (3, "zz " * 9), (4, "zz " * 33)]
+    # The first window that crosses a cut must still be found, and nothing counted twice.
+    out = decontamination.contaminated(make(docs), items_frame(spark, items), shard=30, block=35, piece=40, overlap=12)
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in out.collect()}
+    assert got == {d: brute_contaminated(t, items) for d, t in docs}
+
+
+def test_longest_matches(spark, make):
+    docs = [(1, "p q r s t u"), (2, "x q r s y"), (3, "no"), (4, None), (5, "q r s x q r s")]
+    items = [(1, "a Q R s z"), (2, "no yes"), (3, "absent"), (4, None)]
+    got = sorted(tuple(r) for r in decontamination.longest_matches(make(docs), items_frame(spark, items)).collect())
+    assert got == [(1, 1, 3, 1, 1), (1, 1, 3, 2, 1), (1, 1, 3, 5, 0), (1, 1, 3, 5, 4), (2, 0, 1, 3, 0)]
+
+
+def test_contamination_of_empty_tables(spark, make):
+    docs, items = make([(1, "a b"), (2, None)]), items_frame(spark, [(1, "a b")])
+    assert decontamination.contaminated(make([]), items).count() == 0
+    got = by_id(decontamination.contaminated(docs, items.limit(0)), "n_words", "n_hit", "items")
+    assert got == {1: (2, 0, []), 2: (0, 0, [])}
+    assert decontamination.clean(make([]), items.limit(0)).count() == 0
+    assert decontamination.longest_matches(docs, items.limit(0)).count() == 0

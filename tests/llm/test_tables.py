@@ -152,7 +152,7 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     qs = entry.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in qs) for n in range(1, 11)) and "pipeline" in qs
+    assert all(any(q.startswith(f"op{n}_") for q in qs) for n in range(1, 14)) and "pipeline" in qs
 
 
 def test_pipeline_against_its_stages(spark):
