@@ -45,6 +45,7 @@ def _squares(words: suffixes.Suffixes, times: int) -> tuple[np.ndarray, np.ndarr
     order, place, n = words.order, words.place, words.n
     lcp = np.full(n + 1, -1, np.int64)
     lcp[1:n] = words.common_prefix(order[:-1], order[1:])
+    lcp[lcp == 0] = -1  # no interval of depth 0: borders end the search of the nearest smaller value
     left, right = suffixes.smaller_before(lcp), suffixes.smaller_after(lcp)
     # Interval [left, right) of every border between two children; a run's interval holds one suffix a period.
     border = np.flatnonzero((lcp >= 1) & (right - left >= times))

@@ -128,15 +128,15 @@ class Suffixes:
 
 
 def smaller_before(values: np.ndarray) -> np.ndarray:
-    """For each entry the nearest earlier one that is smaller, by pointer jumps (the first entry, if there is none)."""
+    """For each entry above the least value the nearest earlier one that is smaller, by pointer jumps; the first has the least."""
     p = np.maximum(np.arange(-1, len(values) - 1), 0)
-    active = np.flatnonzero((values[p] >= values) & (p > 0))
+    active = np.flatnonzero((values > values[0]) & (values[p] >= values))
     while len(active):
         p[active] = p[p[active]]
-        active = active[(values[p[active]] >= values[active]) & (p[active] > 0)]
+        active = active[values[p[active]] >= values[active]]
     return p
 
 
 def smaller_after(values: np.ndarray) -> np.ndarray:
-    """As ``smaller_before``, towards the end (the last entry, if there is none)."""
+    """As ``smaller_before``, towards the end; the last has the least."""
     return len(values) - 1 - smaller_before(values[::-1])[::-1]
