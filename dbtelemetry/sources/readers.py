@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
+from dbtelemetry.sources.queue import stream_queue
 
 
 def scan(spark: SparkSession, path: str, as_of: str | None = None, columns: Sequence[str] | None = None,
@@ -97,30 +98,33 @@ def across_tables(df: DataFrame, table_col: str = "table_name", measures: Sequen
     return df.groupBy(table_col).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-MESSAGE_SCHEMA = "server_name string, message_type_name string, event_ts timestamp_ntz, message_body string"
+def message_source(spark: SparkSession, path_or_topic: str, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
+    """The blocked-process queue as a streaming DataFrame, with a unique ``message_id`` that follows the queue's order.
 
-
-def message_source(spark: SparkSession, path_or_topic: str, fmt: str = "parquet",
-                   schema: str = MESSAGE_SCHEMA, options: dict | None = None) -> DataFrame:
-    """The blocked-process queue as a streaming DataFrame.
-
-    Files (parquet or json) exported by the queue reader, or a Kafka topic
-    when the Kafka connector is on the classpath (value = message body,
-    timestamp = arrival; the headers ``message_type_name`` and
-    ``server_name`` give the rest, a message without a type header is a
-    notification). Files without ``server_name`` give NULL there.
+    Files (parquet or json) exported by the queue reader
+    (:mod:`dbtelemetry.sources.queue`), or a Kafka topic when the Kafka
+    connector is on the classpath (value = message body, timestamp =
+    arrival; the headers ``message_type_name`` and ``server_name`` give the
+    rest, a message without a type header is a notification). Files without
+    ``server_name`` give NULL there.
     """
-    reader = spark.readStream
+    if fmt != "kafka":
+        return stream_queue(spark, path_or_topic, fmt)
+    reader = spark.readStream.format("kafka").option("includeHeaders", "true").option("subscribe", path_or_topic)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    if fmt == "kafka":
-        raw = reader.format("kafka").option("includeHeaders", "true").option("subscribe", path_or_topic).load()
+    return kafka_messages(reader.load())
+
+
+def kafka_messages(records: DataFrame) -> DataFrame:
+    """The messages in Kafka records; their id is topic, partition and offset."""
 
-        def header(name):
-            return F.get(F.filter("headers", lambda h: h["key"] == name), F.lit(0))["value"].cast("string")
+    def header(name):
+        return F.get(F.filter("headers", lambda h: h["key"] == name), F.lit(0))["value"].cast("string")
 
-        return raw.select(header("server_name").alias("server_name"),
+    place = F.concat_ws("#", F.col("topic"), F.lpad(F.col("partition").cast("string"), 6, "0"),
+                        F.lpad(F.col("offset").cast("string"), 20, "0"))
+    return records.select(place.alias("message_id"), header("server_name").alias("server_name"),
                           F.coalesce(header("message_type_name"), F.lit("EventNotification")).alias("message_type_name"),
                           F.col("timestamp").cast("timestamp_ntz").alias("event_ts"),
                           F.col("value").cast("string").alias("message_body"))
-    return reader.schema(schema).format(fmt).load(path_or_topic)

@@ -9,10 +9,11 @@ fold of :mod:`dbtelemetry.streaming.merge_fold`, run per merge key:
 * batch: every key's reports are cut into independent episodes by window
   passes over narrow columns; single reports are incidents at once, longer
   episodes stream through the fold (``mapInArrow``) in parallel;
-* streaming: ``applyInPandasWithState`` keyed by the merge key, with a
-  watermark on the report time; an incident is closed (its final wait
-  emitted) once the watermark passes its last report plus the allowed
-  lateness, which is the stated bound the reference does not have.
+* streaming: incident state with event-time timers per merge key
+  (:mod:`dbtelemetry.streaming.incidents`), with a watermark on the report
+  time; an incident is closed (its final wait emitted) once the watermark
+  passes its last report plus the server's reporting interval, and opened
+  again by a later report that reaches back to it.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from dbtelemetry.functions import tsql
 from dbtelemetry.operators.common import db_name, spread_left_join
 from dbtelemetry.sources import sinks
-from dbtelemetry.streaming.merge_fold import KeyFold, fold_sorted_partitions
+from dbtelemetry.streaming.merge_fold import fold_sorted_partitions
 
 # Fixed values of the event source and the merge.
 NOTIFICATION_TYPE_SUFFIX = "EventNotification"
@@ -73,6 +74,13 @@ def _handle(hex_text: Column) -> Column:
     return F.when(F.length(digits) > 0, F.unhex(digits))
 
 
+def _report_id(messages: DataFrame, arrival_col: str, body_col: str) -> Column:
+    """The queue's message id; for messages without one, a hash of server, arrival time and body."""
+    by_content = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in _fleet(messages)],
+                                    F.col(arrival_col).cast("string"), F.col(body_col)), 256)
+    return F.coalesce("message_id", by_content) if "message_id" in messages.columns else by_content
+
+
 def parse_messages(messages: DataFrame, body_col: str = "message_body", type_col: str = "message_type_name",
                    arrival_col: str = "event_ts") -> DataFrame:
     """Route by message type and parse notification bodies.
@@ -89,8 +97,7 @@ def parse_messages(messages: DataFrame, body_col: str = "message_body", type_col
     return m.select(*_fleet(messages), F.col(arrival_col).alias("arrival_ts"),
                     F.col(type_col).alias("message_type_name"),
                     F.col(body_col).alias("message_body"), x.alias("x"),
-                    F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in _fleet(messages)],
-                                       F.col(arrival_col).cast("string"), F.col(body_col)), 256).alias("report_id")) \
+                    _report_id(messages, arrival_col, body_col).alias("report_id")) \
         .withColumn("parse_ok", F.col("x.EventType").isNotNull())
 
 
@@ -143,12 +150,17 @@ def reports(parsed: DataFrame) -> DataFrame:
     """
     r = parsed.filter(F.col("message_type_name").endswith(NOTIFICATION_TYPE_SUFFIX) & F.col("parse_ok")
                       & (F.col("x.EventType") == BLOCKED_PROCESS_REPORT))
+    return r.select(*_report_columns(_fleet(parsed)))
+
+
+def _report_columns(fleet: list[str]) -> list:
+    """The typed columns of a parsed report."""
     bp = "x.TextData.`blocked-process-report`.`blocked-process`.process"
     bk = "x.TextData.`blocked-process-report`.`blocking-process`.process"
-    bframe = F.element_at(F.col(f"{bp}.executionStack.frame"), 1)
-    kframe = F.element_at(F.col(f"{bk}.executionStack.frame"), 1)
-    return r.select(
-        *_fleet(parsed), "report_id", "arrival_ts",
+    bframe = F.get(F.col(f"{bp}.executionStack.frame"), F.lit(0))
+    kframe = F.get(F.col(f"{bk}.executionStack.frame"), F.lit(0))
+    return [
+        *fleet, "report_id", "arrival_ts",
         _ts(F.col("x.StartTime")).alias("event_date"),
         F.col("x.DatabaseID").alias("database_id"),
         F.col(f"{bp}._waitresource").alias("resource"),
@@ -169,7 +181,7 @@ def reports(parsed: DataFrame) -> DataFrame:
         F.coalesce(kframe["_stmtstart"], F.lit(DEFAULT_STMT_START)).alias("blocking_stmt_start"),
         F.coalesce(kframe["_stmtend"], F.lit(DEFAULT_STMT_END)).alias("blocking_stmt_end"),
         _report_fragment(F.col("message_body")).alias("blocked_process_report"),
-    )
+    ]
 
 
 def _keyed(reps: DataFrame) -> DataFrame:
@@ -383,134 +395,206 @@ def new_incident_rows(inserted: DataFrame) -> DataFrame:
 
 CHANGE_SCHEMA = ("server_name string, incident_id string, change string, event_date timestamp_ntz, wait_time bigint, "
                  "closed_at timestamp_ntz")
-
-
-def _state_fn(slack_micros: int, lateness_micros: int):
-    import datetime as dt
-    import json
-
-    import pandas as pd
-
-    columns = ["server_name", "incident_id", "change", "event_date", "wait_time", "closed_at"]
-    epoch = dt.datetime(1970, 1, 1)
-
-    def to_ts(us):
-        return epoch + dt.timedelta(microseconds=int(us))
-
-    def fn(key, pdfs, state):
-        server = json.loads(key[0]).get("server_name")
-        if state.hasTimedOut:
-            fold = KeyFold.loads(state.get[0])
-            rows = [(server, rid, "close", to_ts(t0), int(w), to_ts(fold.last_t)) for rid, t0, w in fold.final_waits()]
-            state.remove()
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
-            return
-        fold = KeyFold.loads(state.get[0]) if state.exists else KeyFold()
-        rows = []
-        # The group's rows come in chunks in no particular order: the fold needs the queue
-        # order over all of them. Four narrow columns of one micro-batch, bounded by the trigger.
-        pdf = pd.concat(list(pdfs)).sort_values(["__arr", "__rid"])
-        for t, w, rid in zip(pdf["__t"].tolist(), pdf["__w"].tolist(), pdf["__rid"].tolist()):
-            if fold.step(int(t), int(w), rid, slack_micros):
-                rows.append((server, rid, "insert", to_ts(t), int(w), None))
-        # Incidents of a busy key close one by one once untouched for the lateness.
-        watermark_ms = state.getCurrentWatermarkMs()
-        if watermark_ms and watermark_ms > 0:
-            for rid, t0, w in fold.close_before(watermark_ms * 1000 - lateness_micros):
-                rows.append((server, rid, "close", to_ts(t0), int(w), to_ts(watermark_ms * 1000)))
-        state.update((fold.dumps(),))
-        state.setTimeoutTimestamp(int(fold.last_t // 1000 + lateness_micros // 1000))
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
-
-    return fn
-
-
-def merge_stream(reps: DataFrame, lateness_seconds: int = 600, slack_ms: int = MERGE_SLACK_MS) -> DataFrame:
-    """O50, streaming form: change rows (``insert`` when an incident opens,
-    ``close`` with the final wait once it has been untouched for the
-    lateness, measured by the watermark: one by one while its key stays
-    busy, all of a key's when the key goes idle). Reports with a NULL in
-    the plain key are their own incident and are inserted and closed at
-    once. One lateness value sets both the watermark delay and the state
-    timeout, so a timeout is always later than the watermark that
-    admitted the report.
+STREAM_SCHEMA = CHANGE_SCHEMA + ", arrival_date date"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CLOCK_KEYS = 64
+LATENESS_SECONDS = 600
+RETAIN_SECONDS = 7 * 86400
+# Fixed value: the option that sets how often a block is reported, in seconds.
+INTERVAL_OPTION = "blocked process threshold%"
+
+
+def report_interval(server_config: DataFrame) -> int:
+    """The longest reporting interval in use on any server, in seconds (0: none is set)."""
+    row = server_config.filter(F.col("name").like(INTERVAL_OPTION)).agg(F.max("value_in_use")).first()
+    return int(row[0] or 0)
+
+
+def merge_stream(reps: DataFrame, lateness_seconds: int = LATENESS_SECONDS, slack_ms: int = MERGE_SLACK_MS,
+                 interval_seconds: int | None = None, retain_seconds: int = RETAIN_SECONDS) -> DataFrame:
+    """O50, streaming form: change rows from the incident state (:mod:`dbtelemetry.streaming.incidents`).
+
+    ``insert`` when an incident opens and ``update`` when a later batch
+    changes its wait (or opens it again), both with the wait at the end of
+    the batch; ``close`` once it has been untouched for the reporting
+    interval plus slack (``interval_seconds``; the lateness where none is
+    given). ``late`` rows are the side output: reports older than the
+    watermark, which is the latest report time less the lateness.
+
+    The state lives in RocksDB, an entry an incident; Spark requires that
+    provider for map state and timers, so the session is switched to it.
     """
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    k = _keyed(reps).withColumn("__t", _micros("event_date"))
-    # Watermarks need a zone-aware TIMESTAMP: the instant with the same epoch
-    # microseconds as the wall-clock report time, the clock the timeouts use.
-    k = k.withColumn("__wm", F.timestamp_micros("__t")).withWatermark("__wm", f"{int(lateness_seconds)} seconds")
-    fold_in = (k.filter(~F.col("__null_key"))
-               .select(F.to_json(F.struct(*_merge_key(k))).alias("__key"), "__wm", "__t",
-                       F.col("wait_time").alias("__w"), F.col("report_id").alias("__rid"),
-                       F.col("arrival_ts").alias("__arr")))
-    changes = fold_in.groupBy("__key").applyInPandasWithState(
-        _state_fn(slack_ms * 1000, lateness_seconds * 1_000_000), CHANGE_SCHEMA, "blob string", "append",
-        GroupStateTimeout.EventTimeTimeout)
-    singles = (k.filter(F.col("__null_key"))
-               .select((F.col("server_name") if "server_name" in k.columns else F.lit(None).cast("string")).alias("server_name"),
-                       F.col("report_id").alias("incident_id"), F.explode(F.array(F.lit("insert"), F.lit("close")))
-                       .alias("change"), "event_date", "wait_time",
-                       F.lit(None).cast("timestamp_ntz").alias("closed_at")))
-    return changes.unionByName(singles)
+    from dbtelemetry.streaming.incidents import IncidentProcessor
+
+    spark = reps.sparkSession
+    if spark.conf.get(STATE_STORE, "") != ROCKSDB:
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    k = _keyed(reps)
+    server = (F.col("server_name") if "server_name" in k.columns else F.lit(None)).cast("string")
+    alone = F.to_json(F.struct(F.col("report_id")))  # a NULL key has no state
+    t = _micros("event_date")
+    row = k.select(
+        F.when(F.col("__null_key"), alone).otherwise(F.to_json(F.struct(*_merge_key(k)))).alias("merge_key"),
+        server.alias("server_name"), "report_id", t.alias("t"), F.col("wait_time").alias("w"),
+        F.col("arrival_ts").alias("arrived"), F.to_date("arrival_ts").alias("arrival_date"), F.col("__null_key").alias("alone"))
+    # Each report and its clock: watermarks need a zone-aware TIMESTAMP, the instant with the
+    # same epoch microseconds as the wall-clock report time.
+    clock = F.struct(F.concat(F.lit("clock"), F.pmod(F.hash("report_id"), F.lit(CLOCK_KEYS)).cast("string")).alias("k"),
+                     F.timestamp_micros("t").alias("wm"), F.lit(None).cast("string").alias("rid"))
+    own = F.struct(F.col("merge_key").alias("k"), F.lit(None).cast("timestamp").alias("wm"), F.col("report_id").alias("rid"))
+    both = row.withColumn("two", F.explode(F.array(own, clock)))
+    fed = both.select(F.col("two.k").alias("merge_key"), F.col("two.wm").alias("clock"), F.col("two.rid").alias("report_id"),
+                      "server_name", "t", "w", "arrived", "arrival_date", "alone")
+    fed = fed.withWatermark("clock", f"{int(lateness_seconds)} seconds")
+    idle = (lateness_seconds if interval_seconds is None else interval_seconds) * 1000 + slack_ms
+    proc = IncidentProcessor(slack_ms * 1000, idle, max(idle, retain_seconds * 1000), lateness_seconds * 1000)
+    return fed.groupBy("merge_key").transformWithStateInPandas(proc, STREAM_SCHEMA, "Append", "EventTime")
 
 
 def current_incidents(change_log: DataFrame) -> DataFrame:
-    """Current view of the append-only change log: the latest row per incident."""
-    order = F.struct(F.when(F.col("change") == "close", 1).otherwise(0), F.col("wait_time"))
-    return change_log.groupBy("incident_id").agg(
+    """Current view of the append-only change log: the latest row per incident (by batch, then by kind of change)."""
+    rank = F.when(F.col("change") == "insert", 0).when(F.col("change") == "update", 1).otherwise(2)
+    batch = F.col("batch_id") if "batch_id" in change_log.columns else F.lit(0)
+    order = F.struct(batch, rank, F.col("wait_time"))
+    return change_log.filter("change <> 'late'").groupBy("incident_id").agg(
         F.min("event_date").alias("event_date"),
         F.max_by("wait_time", order).alias("wait_time"),
-        F.max(F.col("change") == "close").alias("closed"), F.first("server_name").alias("server_name"))
+        (F.max_by("change", order) == "close").alias("closed"), F.first("server_name").alias("server_name"))
+
+
+def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    # Its own ``batch_id=`` partition with dynamic overwrite (a write option, not a session
+    # setting): a replayed batch replaces its own rows.
+    (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
 def write_changes(batch: DataFrame, batch_id: int, path: str, on_insert=None) -> None:
     """``foreachBatch`` sink: append a micro-batch to the change log, idempotently.
 
-    Each batch lands in its own ``batch_id=`` partition with dynamic
-    partition overwrite, so a replayed batch replaces its own rows rather
-    than duplicating them. ``on_insert`` gets the inserted incidents (O51).
+    ``on_insert`` gets the inserted incidents (O51).
     """
-    # Dynamic overwrite as a write option, not a session setting.
-    (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    _write_batch(batch, batch_id, path)
     if on_insert is not None:
         on_insert(batch.filter(F.col("change") == "insert"), batch_id)
 
 
-def start_blocking_job(spark, source: str, out_dir: str, checkpoint_dir: str, fmt: str = "parquet",
-                       trigger: dict | None = None, lateness_seconds: int = 600,
-                       source_options: dict | None = None):
-    """Start the blocked-process job: queue -> parse -> merge -> change log + alerts.
-
-    Writes three outputs under ``out_dir``: ``changes`` (append-only change
-    log, one partition per micro-batch), ``alerts`` (HTML rows of newly
-    inserted incidents, O51) and ``errors`` (unparseable messages). Each
-    sink is idempotent per batch id, and the checkpoint makes the job
-    restart where it stopped. ``trigger`` defaults to every 10 seconds
-    (the reference's queue wait); tests pass ``{"availableNow": True}``.
+def late_reports(batch: DataFrame) -> DataFrame:
+    """The side output of a batch: reports that came too late, with reason and delay."""
+    return batch.filter("change = 'late'").select(
+        "server_name", F.col("incident_id").alias("report_id"), "event_date", "wait_time",
+        F.lit("older than the high-water mark less the lateness, or than the incidents kept").alias("reason"),
+        F.timestamp_diff("MILLISECOND", F.col("event_date"), F.col("closed_at")).alias("delay_ms"))
+
+
+def captured(messages: DataFrame, **parse_args) -> DataFrame:
+    """O49 and the input of O50 in one parse: every message as one row.
+
+    ``kind`` is ``report``, ``event`` (any other notification) or ``error``
+    (unparseable); the row holds the whole message, its audit time, the
+    event columns and, for reports, the typed report columns.
     """
-    from dbtelemetry.sources.readers import message_source
+    parsed = parse_messages(messages, **parse_args)
+    report = (F.col("message_type_name").endswith(NOTIFICATION_TYPE_SUFFIX) & F.col("parse_ok")
+              & (F.col("x.EventType") == BLOCKED_PROCESS_REPORT))
+    kind = F.when(~F.col("parse_ok"), "error").when(report, "report").otherwise("event")
+    server = [] if "server_name" in parsed.columns else [F.lit(None).cast("string").alias("server_name")]
+    return parsed.select("*", *server).select(
+        *[c for c in _report_columns(["server_name"])], "message_type_name",
+        F.col("x.EventType").alias("event_type"), _ts(F.col("x.PostTime")).alias("alert_time"),
+        F.col("message_body").alias("blocking_event_data"), F.coalesce(kind, F.lit("event")).alias("kind"),
+        F.to_date("arrival_ts").alias("arrival_date"))
+
+
+def captured_events(capture: DataFrame, databases: DataFrame | None = None) -> DataFrame:
+    """O49 from the capture table of the streaming job: the columns of :func:`capture_events`."""
+    out = capture.filter("kind <> 'error'").select(
+        "event_type", "alert_time", "event_date", "database_id", "blocked_process_report", "blocking_event_data",
+        F.col("arrival_ts").alias("audit_date"))
+    return out if databases is None else db_name(out, databases, "database_id", out="database_name")
 
-    msgs = message_source(spark, source, fmt, options=source_options)
-    parsed = parse_messages(msgs)
-    changes = merge_stream(reports(parsed), lateness_seconds)
 
-    def on_insert(inserted: DataFrame, batch_id: int) -> None:
-        rows = sinks.html_rows(inserted.select("incident_id", "event_date", "wait_time"), ["incident_id", "wait_time"],
-                               ["event_date", "incident_id"])
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out_dir}/alerts")
+def current_event_log(events: DataFrame, change_log: DataFrame) -> DataFrame:
+    """The event table as it is now: the rows of inserted incidents with their latest wait."""
+    now = current_incidents(change_log).select("incident_id", F.col("wait_time").alias("__wait"))
+    out = events.join(now, "incident_id").withColumn("wait_time", F.col("__wait"))
+    return out.select("server_name", *EVENT_LOG_COLUMNS)
+
+
+def _make_folder(spark, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_changes(batch, batch_id, f"{out_dir}/changes", on_insert)
 
+def start_blocking_job(spark, source: str, out_dir: str, checkpoint_dir: str, fmt: str = "parquet",
+                       trigger: dict | None = None, lateness_seconds: int = LATENESS_SECONDS,
+                       source_options: dict | None = None, interval_seconds: int | None = None,
+                       retain_seconds: int = RETAIN_SECONDS, lookups: dict[str, DataFrame] | None = None):
+    """Start the blocked-process job: two queries, each message parsed once.
+
+    The first reads the queue and appends every message, parsed, to the
+    table ``capture`` (partitioned by kind and day of arrival) with Spark's
+    own exactly-once file sink. The second reads the narrow report columns
+    of that table as a stream, merges them in the incident state and
+    writes, each under its batch id:
+
+    * ``changes``: the change log;
+    * ``events``: the event table's rows of new incidents, all columns; text
+      and plans are looked up if ``lookups`` names the relations
+      ``requests``, ``query_stats``, ``sql_text`` and ``plans``;
+    * ``alerts``: HTML rows of new incidents with resource, blocker and
+      report (O51);
+    * ``errors`` of the first kind stay in ``capture``; reports that came
+      too late are in ``late``.
+
+    A batch that is replayed replaces its own rows in all of them.
+    ``trigger`` defaults to every 10 seconds (the reference's queue wait);
+    with ``{"availableNow": True}`` the second query starts when the first
+    has ended. Returns both queries.
+    """
+    from dbtelemetry.sources.readers import message_source
+
+    capture = f"{out_dir}/capture"
+    rows = captured(message_source(spark, source, fmt, options=source_options))
     trig = trigger or {"processingTime": "10 seconds"}
-    q1 = (changes.writeStream.trigger(**trig).option("checkpointLocation", f"{checkpoint_dir}/changes")
+    _make_folder(spark, capture)
+    q1 = (rows.writeStream.trigger(**trig).option("checkpointLocation", f"{checkpoint_dir}/capture")
+          .partitionBy("kind", "arrival_date").format("parquet").option("path", capture).start())
+    if "availableNow" in trig:
+        q1.awaitTermination()
+    stream = spark.readStream.schema(rows.schema).parquet(capture).filter("kind = 'report'")
+    changes = merge_stream(stream, lateness_seconds, interval_seconds=interval_seconds, retain_seconds=retain_seconds)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # one pass of the incident state feeds all tables
+        try:
+            write_changes(batch.filter("change <> 'late'").drop("arrival_date"), batch_id, f"{out_dir}/changes")
+            _write_batch(late_reports(batch), batch_id, f"{out_dir}/late")
+            new = batch.filter("change = 'insert'").select("incident_id", F.col("wait_time").alias("__w"), "arrival_date")
+            first, last = new.agg(F.min("arrival_date"), F.max("arrival_date")).first()
+            if first is None:
+                return
+            # Only the days on which the batch's new incidents arrived are read.
+            days = (spark.read.schema(rows.schema).parquet(capture)
+                    .filter((F.col("kind") == "report") & F.col("arrival_date").between(F.lit(first), F.lit(last))))
+            full = days.withColumnRenamed("report_id", "incident_id").join(new.drop("arrival_date"), "incident_id")
+            full = full.withColumn("wait_time", F.col("__w")).persist()
+            try:
+                alerts = sinks.html_rows(full, ["incident_id", "resource", "blocking_spid", "blocked_process_report"],
+                                         ["event_date", "incident_id"])
+                _write_batch(alerts, batch_id, f"{out_dir}/alerts")
+                if lookups is None:
+                    seen = full.withColumns({c: F.lit(None).cast("string") for c in
+                                             ("blocked_sql", "blocking_sql", "blocked_query_plan", "blocking_query_plan")})
+                else:
+                    seen = enrich(full, **lookups)
+                _write_batch(seen.select("server_name", *EVENT_LOG_COLUMNS), batch_id, f"{out_dir}/events")
+            finally:
+                full.unpersist()
+        finally:
+            batch.unpersist()
+
+    q2 = (changes.writeStream.trigger(**trig).option("checkpointLocation", f"{checkpoint_dir}/changes")
           .foreachBatch(sink).start())
-    q2 = (parse_errors(parsed).writeStream.trigger(**trig).option("checkpointLocation", f"{checkpoint_dir}/errors")
-          .format("parquet").option("path", f"{out_dir}/errors").start())
-    return q1, q2
+    return q2, q1
