@@ -25,11 +25,13 @@ def _owner_name(objects: DataFrame, owner: str) -> "F.Column":
 
 
 def unused_indexes(indexes: DataFrame, usage: DataFrame, objects: DataFrame, database_name: str | None = None,
-                   keys: Keys = ()) -> DataFrame:
+                   keys: Keys = (), databases: DataFrame | None = None) -> DataFrame:
     """Indexes of user tables with no usage row, or a usage row whose usage columns are all NULL.
 
     A left join and NULL tests, as in the reference: with nullable usage
-    columns this is not an anti join.
+    columns this is not an anti join. The database is the one that the
+    rows were captured in: ``database_name``, or each row's
+    ``database_id`` looked up in ``databases``.
     """
     usage = with_absent(usage, "timestamp_ntz", *[c for c in USAGE_COLUMNS if c.startswith("last_")])
     usage = with_absent(usage, "bigint", *USAGE_COLUMNS)
@@ -39,13 +41,17 @@ def unused_indexes(indexes: DataFrame, usage: DataFrame, objects: DataFrame, dat
     join_cols = on(["object_id", "index_id"] + (["database_id"] if "database_id" in u.columns else []), keys)
     tables = objects.filter(F.rtrim("type") == "U").select(*keys, "object_id", F.col("name").alias("table_name"))
     i = indexes.select(*keys, "object_id", "index_id", F.col("name").alias("index_name"), "type_desc",
-                       "is_primary_key", *(["database_id"] if "database_id" in join_cols else []))
+                       "is_primary_key", *(["database_id"] if "database_id" in indexes.columns else []))
     j = i.join(tables, on(["object_id"], keys)).join(u, join_cols, "left")
     cond = F.lit(True)
     for c in USAGE_COLUMNS:
         cond = cond & F.col(c).isNull()
-    return j.filter(cond).select(*keys, F.lit(database_name).cast("string").alias("db_name"), "table_name",
-                                 "index_name", "index_id", "type_desc", "is_primary_key")
+    j = j.filter(cond)
+    if databases is not None and "database_id" in j.columns:
+        j = db_name(j, databases, "database_id", out="db_name", keys=keys)
+    else:
+        j = j.withColumn("db_name", F.lit(database_name).cast("string"))
+    return j.select(*keys, "db_name", "table_name", "index_name", "index_id", "type_desc", "is_primary_key")
 
 
 def missing_index_details(df: DataFrame) -> DataFrame:

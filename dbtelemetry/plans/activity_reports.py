@@ -53,17 +53,17 @@ def _active_sessions(rel):
     return activity.active_sessions(rel.sessions, rel.requests, rel.sql_text, rel.query_plan, rel.databases)
 
 
-@report("running_requests", ("requests", "sessions", "sql_text", "databases"), f"""
+@report("running_requests", ("requests", "sessions", "sql_text", "databases", "objects"), f"""
 WITH live AS (
   SELECT q.*, u.host_name, u.client_interface_name, u.program_name, u.login_name, u.status AS session_status,
-         u.last_request_start_time, t.text,
+         u.last_request_start_time, t.text, t.objectid,
          CASE WHEN q.statement_end_offset = -1 THEN 2 * length(t.text) ELSE q.statement_end_offset END AS end_byte
   FROM requests q
   JOIN sessions u ON u.session_id = q.session_id AND u.is_user_process = 1
   JOIN sql_text t ON t.sql_handle = q.sql_handle),
 cut AS (SELECT *, statement_start_offset // 2 + 1 AS first_char,
                (end_byte - statement_start_offset) // 2 + 1 AS n_chars FROM live)
-SELECT CAST(NULL AS VARCHAR) AS object_name,
+SELECT (SELECT o.name FROM objects o WHERE o.object_id = cut.objectid) AS object_name,
        CASE WHEN n_chars < 0 THEN NULL ELSE substring(text, first_char, n_chars) END AS statement_text,
        d.name AS database_name, cpu_time,
        date_diff('minute', last_request_start_time, TIMESTAMP '{AS_OF_ACTIVITY}') AS running_minutes,
@@ -74,7 +74,7 @@ FROM cut LEFT JOIN databases d USING (database_id)
 """)
 def _running_requests(rel):
     """Running statements with statement text and minutes since last request start."""
-    return activity.running_requests(rel.requests, rel.sessions, rel.sql_text, rel.databases, AS_OF_ACTIVITY)
+    return activity.running_requests(rel.requests, rel.sessions, rel.sql_text, rel.databases, AS_OF_ACTIVITY, rel.objects)
 
 
 @report("root_blockers", ("locks",), """

@@ -12,8 +12,8 @@ TRACE_AS_OF = "2024-01-30 00:00:00"
 # ---------------------------------------------------------------- jobs
 
 _FAILED_SQL = """
-SELECT NULL::VARCHAR AS server_name, j.name AS job_name, srv.last_run_date, h.step_id
-FROM (SELECT job_id, name FROM jobs WHERE enabled = 1) j
+SELECT j.server_name, j.name AS job_name, srv.last_run_date, h.step_id
+FROM (SELECT server_name, job_id, name FROM jobs SEMI JOIN categories USING (category_id) WHERE enabled = 1) j
 JOIN (SELECT job_id, last_run_date FROM job_servers WHERE last_run_outcome = 0) srv USING (job_id)
 JOIN (SELECT job_id FROM job_schedules JOIN (SELECT schedule_id FROM schedules WHERE enabled = 1) USING (schedule_id))
   USING (job_id)
@@ -21,48 +21,40 @@ JOIN (SELECT job_id, step_id FROM job_history WHERE run_status = 0 AND step_id <
 """
 
 
-@report("failed_jobs", ("jobs", "job_servers", "job_schedules", "schedules", "job_history"), _FAILED_SQL)
+@report("failed_jobs", ("jobs", "job_servers", "job_schedules", "schedules", "job_history", "categories"), _FAILED_SQL)
 def _failed_jobs(rel):
     """Failed steps of enabled scheduled jobs whose last run failed."""
-    return jobs.failed_jobs(rel.jobs, rel.job_servers, rel.job_schedules, rel.schedules, rel.job_history)
+    return jobs.failed_jobs(rel.jobs, rel.job_servers, rel.job_schedules, rel.schedules, rel.job_history, rel.categories)
 
 
-@report("failed_jobs_status", ("jobs", "job_servers", "job_schedules", "schedules", "job_history"), f"""
+@report("failed_jobs_status", ("jobs", "job_servers", "job_schedules", "schedules", "job_history", "categories"), f"""
 SELECT CAST(count(*) AS BIGINT) AS failed_rows,
        CASE WHEN count(*) > 0 THEN 'Failed SQL Agent Jobs' ELSE 'All Jobs Completed Successfully' END AS subject
 FROM ({_FAILED_SQL}) t
 """)
 def _failed_jobs_status(rel):
     """The alert gate: one row with the failed-row count and the mail subject."""
-    f = jobs.failed_jobs(rel.jobs, rel.job_servers, rel.job_schedules, rel.schedules, rel.job_history)
+    f = jobs.failed_jobs(rel.jobs, rel.job_servers, rel.job_schedules, rel.schedules, rel.job_history, rel.categories)
     return f.agg(F.count(F.lit(1)).alias("failed_rows")).select(
         "failed_rows", F.when(F.col("failed_rows") > 0, F.lit("Failed SQL Agent Jobs"))
         .otherwise(F.lit("All Jobs Completed Successfully")).alias("subject"))
 
 
 _SUMMARY_SQL = """
-last_run AS (SELECT job_id, max(instance_id) AS instance_id FROM job_history WHERE step_id = 0 GROUP BY job_id),
-marked AS (
-  SELECT h.*, l.instance_id IS NOT NULL AS is_last,
-         strptime(h.run_date::VARCHAR, '%Y%m%d')
-           + to_seconds(h.run_time // 10000 * 3600 + h.run_time // 100 % 100 * 60 + h.run_time % 100) AS started
-  FROM job_history h LEFT JOIN last_run l USING (job_id, instance_id)),
-per_job AS (
-  SELECT job_id,
-         count(*) FILTER (WHERE run_status = 1 AND step_id = 0) AS success,
-         count(*) FILTER (WHERE run_status = 3 AND step_id = 0) AS cancel,
-         count(*) FILTER (WHERE run_status = 0 AND step_id = 0) AS fail,
-         count(*) FILTER (WHERE run_status = 2) AS retry,
-         max(instance_id) FILTER (WHERE step_id = 0) AS last_execution_id,
-         max(run_duration) FILTER (WHERE is_last) AS dur,
-         coalesce(max(started) FILTER (WHERE is_last), TIMESTAMP '1900-01-01 00:00:00') AS last_execution_start
-  FROM marked GROUP BY job_id),
+outcomes AS (
+  SELECT job_id, map_from_entries(list({k: run_status, v: n})) AS n_of, arg_max(newest, newest.instance_id) AS newest
+  FROM (SELECT job_id, run_status, count(*) AS n,
+               max({instance_id: instance_id, dur: run_duration, d: run_date, t: run_time}) AS newest
+        FROM job_history WHERE step_id = 0 GROUP BY job_id, run_status) GROUP BY job_id),
+retries AS (SELECT job_id, sum((run_status = 2)::INTEGER)::BIGINT AS retry FROM job_history GROUP BY job_id),
 job_summary AS (
-  SELECT job_id, success, cancel, fail, retry, last_execution_id,
-         CASE WHEN dur IS NOT NULL THEN printf('%02d:%02d:%02d', dur // 10000, dur // 100 % 100, dur % 100) END
-           AS last_duration,
-         last_execution_start
-  FROM per_job)"""
+  SELECT r.job_id, coalesce(n_of[1], 0) AS success, coalesce(n_of[3], 0) AS cancel, coalesce(n_of[0], 0) AS fail, r.retry,
+         newest.instance_id AS last_execution_id,
+         nullif(concat_ws(':', lpad((newest.dur // 10000)::VARCHAR, 2, '0'), lpad((newest.dur // 100 % 100)::VARCHAR, 2, '0'),
+                          lpad((newest.dur % 100)::VARCHAR, 2, '0')), '') AS last_duration,
+         coalesce(make_timestamp(newest.d // 10000, newest.d // 100 % 100, newest.d % 100, newest.t // 10000,
+                                 newest.t // 100 % 100, (newest.t % 100)::DOUBLE), TIMESTAMP '1900-01-01') AS last_execution_start
+  FROM retries r LEFT JOIN outcomes o USING (job_id))"""
 
 
 @report("job_history_summary", ("job_history",), "WITH " + _SUMMARY_SQL + "\nSELECT * FROM job_summary")
@@ -123,7 +115,7 @@ def _decode_schedules(rel):
 
 @report("job_report", ("jobs", "schedules", "job_schedules", "job_history"), "WITH " + _SUMMARY_SQL + ",\n"
         + _DECODE_SQL + """
-SELECT NULL::VARCHAR AS server_name, j.job_id, j.name AS job_name,
+SELECT j.server_name, j.job_id, j.name AS job_name,
        CASE j.enabled WHEN 1 THEN 'Enabled' ELSE 'Disabled' END AS job_status,
        coalesce(d.schedule_name, '(unscheduled)') AS schedule_name,
        coalesce(d.frequency, '') AS frequency, coalesce(d.sub_frequency, '') AS sub_frequency,
@@ -394,7 +386,7 @@ def _server_settings(rel):
 
 
 @report("running_jobs", ("jobs", "job_activity"), """
-SELECT job_id, name, enabled, category_id, notify_page_operator_id, execution_status
+SELECT server_name, job_id, name, enabled, category_id, notify_page_operator_id, execution_status
 FROM jobs JOIN (SELECT * FROM job_activity WHERE execution_status = 1) USING (job_id)
 """)
 def _running_jobs(rel):

@@ -20,18 +20,19 @@ def _td(x: str) -> str:
 
 # ---------------------------------------------------------------- indexes, tables, procedures
 
-@report("unused_indexes", ("indexes", "index_usage_stats", "objects"), """
+@report("unused_indexes", ("indexes", "index_usage_stats", "objects", "databases"), """
 WITH user_tables AS (SELECT object_id, name AS table_name FROM objects WHERE rtrim(type) = 'U'),
 usage AS (SELECT * FROM index_usage_stats)
-SELECT NULL::VARCHAR AS db_name, table_name, name AS index_name, index_id, type_desc, is_primary_key
+SELECT d.name AS db_name, table_name, indexes.name AS index_name, index_id, type_desc, is_primary_key
 FROM indexes JOIN user_tables USING (object_id) LEFT JOIN usage USING (object_id, index_id)
+LEFT JOIN databases d ON d.database_id = indexes.database_id
 WHERE user_seeks IS NULL AND user_scans IS NULL AND user_lookups IS NULL AND last_user_seek IS NULL
   AND last_user_scan IS NULL AND last_user_lookup IS NULL AND system_seeks IS NULL AND system_scans IS NULL
   AND system_lookups IS NULL AND last_system_seek IS NULL AND last_system_scan IS NULL AND last_system_lookup IS NULL
 """)
 def _unused_indexes(rel):
     """Indexes of user tables without usage."""
-    return schema_health.unused_indexes(rel.indexes, rel.index_usage_stats, rel.objects)
+    return schema_health.unused_indexes(rel.indexes, rel.index_usage_stats, rel.objects, databases=rel.databases)
 
 
 @report("missing_index_details", ("missing_index_details",), "SELECT * FROM missing_index_details")

@@ -67,6 +67,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "sql_text": ("{documents}", [
         ("sql_handle", "doc_id"),
         ("dbid", "doc_id % 25"),
+        ("objectid", "CASE WHEN doc_id % 4 <> 0 THEN doc_id % 150 END"),
         ("text", "text"),
     ]),
     "query_plan": ("{part}", [
@@ -166,6 +167,7 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("device_type", "CASE l_linenumber % 5 WHEN 0 THEN 2 WHEN 1 THEN 102 WHEN 2 THEN 5 WHEN 3 THEN 105 ELSE 7 END"),
     ]),
     "jobs": ("{supplier}", [
+        ("server_name", "'SRV' || CAST(s_suppkey % 3 AS STRING)"),
         ("job_id", "s_suppkey"),
         ("name", "CASE WHEN s_suppkey % 4 = 0 THEN 'backup ' || s_name ELSE s_name END"),
         ("enabled", "CASE WHEN s_suppkey % 7 = 0 THEN 0 ELSE 1 END"),
@@ -208,6 +210,10 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("next_run_date", "20240101 + p_partkey % 28"),
         ("next_run_time", "(p_partkey % 24) * 10000 + (p_partkey % 60) * 100"),
     ]),
+    "categories": ("(SELECT * FROM {nation} WHERE n_nationkey % 6 <> 5) t", [
+        ("category_id", "n_nationkey"),
+        ("name", "'category ' || n_name"),
+    ]),
     "job_servers": ("{supplier}", [
         ("job_id", "s_suppkey"),
         ("last_run_outcome", "s_suppkey % 3"),
@@ -260,7 +266,8 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("object_id", "p_partkey % 100"),
         ("index_id", "p_partkey"),
         ("name", "'ix_' || p_brand || '_' || CAST(p_partkey AS STRING)"),
-        ("type_desc", "CASE WHEN p_partkey % 10 = 0 THEN 'CLUSTERED' ELSE 'NONCLUSTERED' END"),
+        ("type_desc", "CASE WHEN p_partkey % 7 = 0 THEN 'CLUSTERED' ELSE 'NONCLUSTERED' END"),
+        ("database_id", "p_partkey % 30"),
         ("is_unique", "p_partkey % 2"),
         ("is_primary_key", "CASE WHEN p_partkey % 20 = 0 THEN 1 ELSE 0 END"),
         ("is_statistics", "CASE WHEN p_partkey % 6 = 0 THEN 1 ELSE 0 END"),
@@ -337,7 +344,8 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("message_body",
          "'<EVENT_INSTANCE><EventType>' || CASE WHEN event_type = 'signup' THEN 'OTHER' "
          "ELSE 'BLOCKED_PROCESS_REPORT' END || '</EventType><DatabaseID>' || CAST(user_id % 25 AS STRING) "
-         "|| '</DatabaseID><StartTime>' || SUBSTRING(CAST(ts AS STRING), 1, 19) || '</StartTime><TextData>"
+         "|| '</DatabaseID><PostTime>' || SUBSTRING(CAST(ts AS STRING), 1, 19) || '</PostTime><StartTime>' "
+         "|| SUBSTRING(CAST(ts AS STRING), 1, 19) || '</StartTime><TextData>"
          "<blocked-process-report><blocked-process><process spid=\"' || CAST(user_id AS STRING) "
          "|| '\" waittime=\"' || CAST(CAST(FLOOR(value * 1000000) AS BIGINT) AS STRING) "
          "|| '\" waitresource=\"KEY: ' || CAST(user_id % 5 AS STRING) || '\" xactid=\"' "

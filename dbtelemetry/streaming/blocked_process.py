@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dbtelemetry.functions import tsql
+from dbtelemetry.operators.asof import latest_covering
 from dbtelemetry.operators.common import db_name, spread_left_join
 from dbtelemetry.sources import sinks
 from dbtelemetry.streaming.merge_fold import fold_sorted_partitions
@@ -301,62 +302,64 @@ def enrich(incidents: DataFrame, requests: DataFrame, query_stats: DataFrame, sq
     latest statistics row whose validity covers the event time. Blocking
     plan: latest statistics row for its handle and offsets.
 
-    The two plan lookups without a time test are aggregated per lookup key
-    first (one row per key), so several candidates never multiply
-    incidents; the time-tested lookup keeps the latest row per incident
-    with ``max_by``.
+    The lookups by statement give plan handles, never plan texts: one row
+    per statement for the two without a time test, the as-of lookup
+    :func:`~dbtelemetry.operators.asof.latest_covering` for the other, so a
+    statement with many versions and many incidents costs their sum. Texts
+    and plans are attached by handle at the end.
     """
     hk = sql_text.schema["sql_handle"].dataType
     rk = requests.schema["sql_handle"].dataType
     qk = query_stats.schema["sql_handle"].dataType
     # All lookups run on a narrow projection; the wide incident rows (with
     # the report XML) are joined to the results once, by incident id.
-    f_all = _fleet(incidents)
     nar = incidents.select(
-        *f_all, "incident_id", "event_date", "blocked_spid", "blocked_stmt_start", "blocked_stmt_end",
+        *_fleet(incidents), "incident_id", "event_date", "blocked_spid", "blocked_stmt_start", "blocked_stmt_end",
         "blocking_stmt_start", "blocking_stmt_end",
         _handle_key(F.col("blocked_sql_handle"), hk).alias("__bh_t"),
         _handle_key(F.col("blocking_sql_handle"), hk).alias("__kh_t"),
         _handle_key(F.col("blocked_sql_handle"), rk).alias("__bh_r"),
         _handle_key(F.col("blocked_sql_handle"), qk).alias("__bh_q"),
         _handle_key(F.col("blocking_sql_handle"), qk).alias("__kh_q"))
-    ft, fr, fq, fp = _fleet(nar, sql_text), _fleet(nar, requests, plans), _fleet(nar, query_stats, plans), \
-        _fleet(requests, plans)
+    ft, fr, fq = _fleet(nar, sql_text), _fleet(nar, requests, plans), _fleet(nar, query_stats, plans)
+    fp = _fleet(nar, plans)
     txt = sql_text.select(*ft, F.col("sql_handle").alias("__h"), F.col("text").alias("__text"))
     bt = txt.withColumnRenamed("__h", "__bh_t").withColumnRenamed("__text", "__btext")
     kt = txt.withColumnRenamed("__h", "__kh_t").withColumnRenamed("__text", "__ktext")
-    plan = plans.select(*_fleet(plans), "plan_handle", "query_plan")
+    # Only handles that have a plan count.
+    there = plans.filter(F.col("query_plan").isNotNull()).select(*_fleet(plans), "plan_handle")
+    running = requests.join(there, _fleet(requests, plans) + ["plan_handle"], "left_semi")
     er_key = fr + ["blocked_spid", "__bh_r", "blocked_stmt_start", "blocked_stmt_end"]
-    er_plan = (requests.select(*_fleet(requests), F.col("session_id").alias("blocked_spid"),
-                               F.col("sql_handle").alias("__bh_r"),
-                               F.col("statement_start_offset").alias("blocked_stmt_start"),
-                               F.col("statement_end_offset").alias("blocked_stmt_end"), "plan_handle")
-               .join(plan, fp + ["plan_handle"]).groupBy(*er_key).agg(F.min("query_plan").alias("__er_plan")))
+    er = (running.select(*fr, F.col("session_id").alias("blocked_spid"), F.col("sql_handle").alias("__bh_r"),
+                         F.col("statement_start_offset").alias("blocked_stmt_start"),
+                         F.col("statement_end_offset").alias("blocked_stmt_end"), "plan_handle")
+          .groupBy(*er_key).agg(F.min("plan_handle").alias("__er_plan")))
     qs = (query_stats.select(*_fleet(query_stats), "sql_handle", "statement_start_offset", "statement_end_offset",
                              "creation_time", "last_execution_time", "plan_handle")
-          .join(plan, _fleet(query_stats, plans) + ["plan_handle"]))
-    latest = F.max_by("query_plan", F.struct("last_execution_time", "plan_handle"))
+          .join(there, _fleet(query_stats, plans) + ["plan_handle"], "left_semi"))
     k_plan = (qs.groupBy(*fq, F.col("sql_handle").alias("__kh_q"),
                          F.col("statement_start_offset").alias("blocking_stmt_start"),
                          F.col("statement_end_offset").alias("blocking_stmt_end"))
-              .agg(latest.alias("blocking_query_plan")))
+              .agg(F.max(F.struct("last_execution_time", "plan_handle"))["plan_handle"].alias("__k_plan")))
+    statement = ["sql_handle", "statement_start_offset", "statement_end_offset"]
     b_in = nar.select(*fq, "incident_id", "event_date", F.col("__bh_q").alias("sql_handle"),
-                      F.col("blocked_stmt_start").alias("statement_start_offset"),
-                      F.col("blocked_stmt_end").alias("statement_end_offset"))
-    b_qs = (b_in.join(qs, fq + ["sql_handle", "statement_start_offset", "statement_end_offset"])
-            .filter(F.col("event_date").between(F.col("creation_time"), F.col("last_execution_time")))
-            .groupBy("incident_id").agg(latest.alias("__qs_plan")))
+                      F.col("blocked_stmt_start").cast(qs.schema["statement_start_offset"].dataType).alias("statement_start_offset"),
+                      F.col("blocked_stmt_end").cast(qs.schema["statement_end_offset"].dataType).alias("statement_end_offset"))
+    b_qs = latest_covering(b_in, qs, fq + statement, "incident_id", "event_date", "creation_time", "last_execution_time",
+                           ["plan_handle"]).withColumnRenamed("plan_handle", "__qs_plan")
     looked = (spread_left_join(spread_left_join(nar, bt, ft + ["__bh_t"], "__bh_t"), kt, ft + ["__kh_t"], "__kh_t")
-              .join(er_plan, er_key, "left"))
+              .join(er, er_key, "left"))
     looked = (spread_left_join(looked, k_plan, fq + ["__kh_q", "blocking_stmt_start", "blocking_stmt_end"], "__kh_q")
-              .join(b_qs, "incident_id", "left"))
+              .join(b_qs, "incident_id", "left").withColumn("__b_plan", F.coalesce("__er_plan", "__qs_plan")))
+    for handle, out in (("__b_plan", "blocked_query_plan"), ("__k_plan", "blocking_query_plan")):
+        text = (plans.select(*fp, F.col("plan_handle").alias(handle), F.col("query_plan").alias(out))
+                .groupBy(*fp, handle).agg(F.min(out).alias(out)))
+        looked = spread_left_join(looked, text, fp + [handle], handle)
     looked = looked.select(
         "incident_id",
         tsql.statement_text("__btext", "blocked_stmt_start", "blocked_stmt_end").alias("blocked_sql"),
         tsql.statement_text("__ktext", "blocking_stmt_start", "blocking_stmt_end")
-        .alias("blocking_sql"),
-        F.coalesce("__er_plan", "__qs_plan").alias("blocked_query_plan"),
-        "blocking_query_plan")
+        .alias("blocking_sql"), "blocked_query_plan", "blocking_query_plan")
     return incidents.join(looked, "incident_id", "left")  # incident ids include the server
 
 
