@@ -20,9 +20,12 @@ probability; an unknown token has that of the base, the known ones share the
 rest. So the probabilities of all known tokens and one unknown token add up to
 one.
 
-Counts per token are joined to chunks of documents (by hash of id and text,
-about ``SCORE_CHUNK`` bytes each), never broadcast; a chunk brings one row per
-distinct token, so frequent tokens make no hot key.
+One pass turns the texts, in place, into chunks of about ``SCORE_CHUNK`` bytes:
+their token numbers, compressed, and one row per distinct token with its
+occurrences in training texts. These rows give the counts, the counts are
+joined to them, and both meet the chunk's numbers again, so text is shuffled
+never, counts are never broadcast, and a frequent token brings one row a chunk.
+A text longer than a chunk is a chunk by itself, scored in steps.
 
 Null and empty texts are the end token alone. Without training texts the
 base is 0 for every token and the model's score equals it. Rows that repeat
@@ -32,16 +35,16 @@ are scored alike (and count in training as often as they occur).
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dbtelemetry.llm import common
+from dbtelemetry.llm import common, suffixes
 
 CLASSES = 1000
 GROUPS = 64
@@ -50,45 +53,25 @@ BUCKETS = 4
 CONTEXT = 2
 DIM = 24
 NOISE = 64
-INNER_NOISE = 8
-BATCH = 2048
+INNER_NOISE = 16
+BATCH = 4096
 ROUNDS = 2
-RATE = 0.1
+RATE = 0.15
 CHUNK = 6_000_000
 #: Text of one scoring chunk.
-SCORE_CHUNK = 12_000_000
-FLUSH_WORDS = 600_000
+SCORE_CHUNK = 8_000_000
 SMOOTHING = 0.1  # fixed by the contract
 #: The end of a text; holds a space, as no word does.
 END = b" "
 LN10 = float(np.log(10.0))
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    # bytes.lower() and bytes.split() know ASCII letters and ASCII white space only.
-    out = (text or "").encode().lower().split()
-    out.append(END)
-    return out
-
-
-def count_tokens(texts: DataFrame) -> DataFrame:
-    """``word, c``: occurrences of each token in the column ``text``."""
-
-    def run(batches):
-        tally: Counter = Counter()
-
-        def rows():
-            return pa.RecordBatch.from_pydict({"word": pa.array(tally.keys(), pa.binary()), "c": pa.array(tally.values(), pa.int64())})
-
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                tally.update(tokens_of(text))
-            if len(tally) > FLUSH_WORDS:
-                yield rows()
-                tally.clear()
-        yield rows()
-
-    return texts.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Token numbers of all texts end to end, each text's first place (one more at the end), and the distinct tokens."""
+    words, at = suffixes.split(texts, suffixes.PRINTED, lower=True)
+    numbers, distinct = suffixes.numbered(words)
+    numbers, bounds = suffixes.closed(numbers, at, np.full(len(at) - 1, len(distinct)))
+    return numbers, bounds, pa.concat_arrays([distinct, pa.array([END], pa.large_binary())])
 
 
 def group_size(distinct: int) -> int:
@@ -136,6 +119,7 @@ class Model:
 
     def __post_init__(self):
         self.place = {w: i for i, w in enumerate(self.words)}
+        self.listed = pa.array(self.words, pa.large_binary())
         self.base_mass = self.total + SMOOTHING * (self.distinct + 1)
         self.other_mass = self.base_mass - float((self.counts + SMOOTHING).sum())
         shut = lambda m: np.where(m > 0, 0, -1e30).astype(np.float32)
@@ -158,6 +142,14 @@ class Model:
             k = len(self.words) + bucket(word, *self.mass.shape)
         return k, k
 
+    def ids_of(self, words: pa.Array) -> np.ndarray:
+        """``ids`` of many tokens; output and context id are the same."""
+        out = pc.index_in(words, value_set=self.listed).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        rest = np.flatnonzero(out < 0)
+        groups, size = self.mass.shape
+        out[rest] = [len(self.words) + bucket(w, groups, size) for w in words.take(pa.array(rest)).to_pylist()]
+        return out
+
     def levels(self, out: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Classes of output ids; the places of those in groups, and their buckets."""
         inner = np.flatnonzero(out >= len(self.words))
@@ -194,26 +186,23 @@ def new_model(words: list[bytes], counts: list[int], total: int, distinct: int,
     return Model(words, c, total, distinct, {k: v.astype(np.float32) for k, v in p.items()}, mass)
 
 
-def _flat(model: Model, texts: list[str | None], known: dict[bytes, int]):
-    """Class and context ids of all tokens end to end, and the texts' first places.
+def _summed(rows: np.ndarray, ids: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids and the sums of ``rows`` by them; ``slot`` is scratch space with a place for every id."""
+    each = np.arange(len(ids))
+    slot[ids] = each
+    found = ids[slot[ids] == each]
+    slot[found] = np.arange(len(found))
+    at = slot[ids]
+    return found, np.stack([np.bincount(at, column, len(found)) for column in rows.T], axis=1)
 
-    ``known`` remembers tokens from call to call, both ids in one number.
-    """
-    split = [tokens_of(t) for t in texts]
-    for w in set().union(*split).difference(known):
-        cls, ctx = model.ids(w)
-        known[w] = cls << 32 | ctx
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    both = np.fromiter((known[w] for own in split for w in own), np.int64, int(sizes.sum()))
-    return both >> 32, both & 0xFFFFFFFF, np.concatenate(([0], np.cumsum(sizes)[:-1]))
 
-
-def _summed(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids and the sums of ``rows`` by them."""
-    order = np.argsort(ids, kind="stable")
-    own = ids[order]
-    first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    return own[first], np.add.reduceat(rows[order], first, axis=0)
+def _chance(logit: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-logit)), in place."""
+    np.maximum(logit, -30, out=logit)
+    np.negative(logit, out=logit)
+    np.exp(logit, out=logit)
+    logit += 1.0
+    return np.reciprocal(logit, out=logit)
 
 
 class Trainer:
@@ -232,68 +221,83 @@ class Trainer:
         mass = model.mass / np.maximum(model.mass.sum(axis=1, keepdims=True), 1e-30)
         self.inner_cumulative = (np.cumsum(mass, axis=1) + np.arange(len(mass))[:, None]).reshape(-1)
         self.inner_log_noise = np.log(INNER_NOISE * np.maximum(mass, 1e-30)).reshape(-1).astype(np.float32)
-        self.known: dict[bytes, int] = {}
+        self.slot = {k: np.zeros(len(self.p[k]), np.int64) for k in ("context", "inner")}
         self.tokens = 0
 
-    def texts(self, texts: list[str | None]) -> None:
-        if len(self.known) > FLUSH_WORDS:
-            self.known.clear()
-        cls, ctx, begins = _flat(self.model, texts, self.known)
-        back = self.model.contexts(ctx, begins)
-        order = self.rng.permutation(len(cls))
+    def texts(self, texts: pa.Array | list[str | None]) -> None:
+        numbers, bounds, distinct = coded(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        ids = self.model.ids_of(distinct)[numbers]
+        back = self.model.contexts(ids, bounds[:-1])
+        order = self.rng.permutation(len(ids))
         for k in range(0, len(order), BATCH):
             some = order[k:k + BATCH]
-            self.step(cls[some], [b[some] for b in back])
-        self.tokens += len(cls)
+            self.step(ids[some], [b[some] for b in back])
+        self.tokens += len(ids)
 
     def step(self, target: np.ndarray, back: list[np.ndarray]) -> None:
         p, n = self.p, len(target)
         target, inner, buckets = self.model.levels(target)
         drawn = np.searchsorted(self.cumulative, self.rng.random(NOISE), side="right").clip(max=len(self.noise) - 1)
-        r = self.model.predict(back)
+        parts = [p["context"][c] for c in back]
+        r = sum(p["at"][j] * c for j, c in enumerate(parts))
         wt, wn = p["word"][target], p["word"][drawn]
-        st = (r * wt).sum(axis=1) + p["bias"][target] - self.log_noise[target]
+        st = np.einsum("nd,nd->n", r, wt) + p["bias"][target] - self.log_noise[target]
         sn = r @ wn.T + (p["bias"][drawn] - self.log_noise[drawn])
         # Derivatives of the objective by the logits: data rows up, noise rows down.
-        gt = (1.0 / (1.0 + np.exp(np.clip(st, -30, 30)))) / n
-        gn = (-1.0 / (1.0 + np.exp(-np.clip(sn, -30, 30)))) / n
+        gt, gn = (1.0 - _chance(st)) / n, _chance(sn) / -n
         dr = gt[:, None] * wt + gn @ wn
-        g = {"word": np.zeros_like(p["word"]), "bias": np.bincount(target, gt, len(p["bias"])), "at": np.zeros_like(p["at"])}
-        found, sums = _summed(gt[:, None] * r, target)
-        g["word"][found] = sums
+        rows = (gt[:, None] * r).T
+        g = {"word": np.stack([np.bincount(target, c, len(p["word"])) for c in rows], axis=1),
+             "bias": np.bincount(target, gt, len(p["bias"])), "at": np.zeros_like(p["at"])}
         np.add.at(g["word"], drawn, gn.T @ r)
         np.add.at(g["bias"], drawn, gn.sum(axis=0))
         if len(inner) and self.model.mass.shape[1] > 1:
             dr[inner] += self.inner_step(r[inner], buckets, n)
-        for j, c in enumerate(back):
-            g["at"][j] = (dr * p["context"][c]).sum(axis=0)
-        self.add("context", *_summed(np.concatenate([dr * p["at"][j] for j in range(len(back))]), np.concatenate(back)), n)
+        for j, c in enumerate(parts):
+            g["at"][j] = np.einsum("nd,nd->d", dr, c)
+        self.add("context", *_summed(np.concatenate([dr * p["at"][j] for j in range(len(back))]), np.concatenate(back),
+                                     self.slot["context"]), n)
         for k, v in g.items():
             self.add(k, slice(None), v, n)
 
     def inner_step(self, r: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
-        """The step of the buckets within their groups; the derivative by ``r``."""
-        p, size = self.p, self.model.mass.shape[1]
-        first = buckets // size
-        at = first[:, None] + self.rng.random((len(buckets), INNER_NOISE))
-        drawn = np.searchsorted(self.inner_cumulative, at, side="right").clip(first[:, None] * size, first[:, None] * size + size - 1)
-        # The data column first, then the noise columns.
-        both = np.concatenate([buckets[:, None], drawn], axis=1)
-        w = p["inner"][both]
-        s = np.einsum("nd,nkd->nk", r, w) + p["inner_bias"][both] - self.inner_log_noise[both]
-        g = -1.0 / (1.0 + np.exp(-np.clip(s, -30, 30)))
-        g[:, 0] += 1.0
-        g /= n
-        rows = np.concatenate([g[:, :, None] * r[:, None, :], g[:, :, None]], axis=2).reshape(-1, r.shape[1] + 1)
-        found, sums = _summed(rows, both.reshape(-1))
-        out = np.einsum("nk,nkd->nd", g, w)
+        """The step of the buckets within their groups, with noise drawn once a group; the derivative by ``r``."""
+        p, (groups, size) = self.p, self.model.mass.shape
+        order = np.argsort((buckets // size).astype(np.uint16), kind="stable")
+        ends = np.searchsorted(buckets[order], np.arange(groups + 1) * size) if groups == 1 else np.append(
+            0, np.cumsum(np.bincount(buckets // size, minlength=groups)))
+        r, buckets = r[order], buckets[order]
+        wt = p["inner"][buckets]
+        gt = (1.0 - _chance(np.einsum("nd,nd->n", r, wt) + p["inner_bias"][buckets] - self.inner_log_noise[buckets])) / n
+        first = np.arange(groups)[:, None]
+        drawn = np.searchsorted(self.inner_cumulative, first + self.rng.random((groups, INNER_NOISE)), side="right")
+        drawn = drawn.clip(first * size, first * size + size - 1)
+        wn, bn = p["inner"][drawn], p["inner_bias"][drawn] - self.inner_log_noise[drawn]
+        out = gt[:, None] * wt
+        noise, noise_bias = np.zeros_like(wn), np.zeros_like(bn)
+        for g in np.flatnonzero(np.diff(ends)):
+            own = slice(ends[g], ends[g + 1])
+            gn = _chance(r[own] @ wn[g].T + bn[g]) / -n
+            out[own] += gn @ wn[g]
+            noise[g], noise_bias[g] = gn.T @ r[own], gn.sum(axis=0)
+        ids = np.concatenate([buckets, drawn.reshape(-1)])
+        rows = np.concatenate([np.column_stack([gt[:, None] * r, gt]),
+                               np.column_stack([noise.reshape(-1, r.shape[1]), noise_bias.reshape(-1)])])
+        found, sums = _summed(rows, ids, self.slot["inner"])
         self.add("inner", found, sums[:, :-1], n)
         self.add("inner_bias", found, sums[:, -1], n)
-        return out
+        back = np.empty_like(out)
+        back[order] = out
+        return back
 
     def add(self, name: str, rows, v: np.ndarray, n: int) -> None:
-        self.square[name][rows] += (v * v * n).astype(np.float32)
-        self.p[name][rows] += (RATE * v * np.sqrt(n) / np.sqrt(self.square[name][rows])).astype(np.float32)
+        v = v.astype(np.float32)
+        square = self.square[name][rows] + v * v * np.float32(n)
+        self.square[name][rows] = square
+        square = np.sqrt(square)
+        v *= np.float32(RATE * np.sqrt(n))
+        v /= square
+        self.p[name][rows] += v
 
 
 def _packed(p: dict[str, np.ndarray]) -> bytes:
@@ -318,7 +322,7 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
             own = shipped.value
             trainer = Trainer(replace(own), seed=r)
             for batch in common.chunks(batches, "text", CHUNK):
-                trainer.texts(batch.column("text").to_pylist())
+                trainer.texts(batch.column("text"))
             if trainer.tokens:
                 weighted = np.frombuffer(_packed(trainer.p), "<f8") * trainer.tokens
                 yield pa.RecordBatch.from_pydict({"tokens": pa.array([trainer.tokens], pa.int64()),
@@ -344,71 +348,111 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, block: int = 512) -> np.ndarray:
+def _log_sums(vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray, block: int = 512) -> np.ndarray:
+    """Logarithm of the sum over all classes of exp(logit), for each vector."""
+    out = np.empty(len(vectors))
+    columns, ones = np.ascontiguousarray(weights.T), np.ones(len(weights), np.float32)
+    live = bias[bias > -1e29]
+    reach = np.sqrt((vectors * vectors).sum(axis=1).max(initial=0)) * np.sqrt((weights * weights).sum(axis=1).max())
+    # No logit can leave the range of exp in single precision: no need to find each row's largest.
+    safe = reach + np.abs(live).max(initial=0) < 60
+    space = np.empty((block, len(weights)), np.float32)
+    for k in range(0, len(vectors), block):
+        own = vectors[k:k + block]
+        logit = np.matmul(own, columns, out=space[:len(own)])
+        logit += bias
+        top = 0.0
+        if not safe:
+            top = logit.max(axis=1)
+            logit -= top[:, None]
+        out[k:k + block] = top + np.log((np.exp(logit, out=logit) @ ones).astype(np.float64))
+    return out
+
+
+def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, step: int = 100_000) -> np.ndarray:
     """Normalised natural log-probability of each token's class (and bucket in it), given the two tokens before it."""
     p = model.p
     cls, inner, buckets = model.levels(cls)
     bias = p["bias"] + model.shut
     back = model.contexts(ctx, begins)
     size = model.start + 1
-    key = sum(c * size**j for j, c in enumerate(back))
-    found, inverse = np.unique(key, return_inverse=True)
-    vectors = model.predict([found // size**j % size for j in range(CONTEXT)])
-    norm = np.empty(len(found))
-    for k in range(0, len(found), block):
-        logit = vectors[k:k + block] @ p["word"].T + bias
-        top = logit.max(axis=1, keepdims=True)
-        norm[k:k + block] = top[:, 0] + np.log(np.exp(logit - top).sum(axis=1, dtype=np.float64))
+    found, inverse = np.unique(sum(c * size**j for j, c in enumerate(back)), return_inverse=True)
+    vectors = np.empty((len(found), DIM), np.float32)
+    for k in range(0, len(found), step):
+        vectors[k:k + step] = model.predict([found[k:k + step] // size**j % size for j in range(CONTEXT)])
+    norm = _log_sums(vectors, p["word"], bias)
     out = np.empty(len(cls))
-    step = block * 64
     for k in range(0, len(cls), step):
         own, at = cls[k:k + step], inverse[k:k + step]
         out[k:k + step] = np.einsum("ij,ij->i", vectors[at], p["word"][own]) + bias[own] - norm[at]
-    size = model.mass.shape[1]
+    groups, size = model.mass.shape
     if size == 1:
         return out
     vectors_of, inner_bias = p["inner"].reshape(-1, size, DIM), p["inner_bias"].reshape(-1, size) + model.inner_shut
-    order = np.argsort(buckets, kind="stable")
-    ends = np.searchsorted(buckets[order], np.arange(len(model.mass) + 1) * size)
-    for g in range(len(model.mass)):
+    order = np.argsort(buckets // size, kind="stable")
+    ends = np.append(0, np.cumsum(np.bincount(buckets // size, minlength=groups)))
+    for g in np.flatnonzero(np.diff(ends)):
         for k in range(ends[g], ends[g + 1], step):
             some = order[k:min(k + step, ends[g + 1])]
-            logit = vectors[inverse[inner[some]]] @ vectors_of[g].T + inner_bias[g]
-            top = logit.max(axis=1, keepdims=True)
-            own = logit[np.arange(len(some)), buckets[some] - g * size]
-            out[inner[some]] += own - top[:, 0] - np.log(np.exp(logit - top).sum(axis=1, dtype=np.float64))
+            own, at = vectors[inverse[inner[some]]], buckets[some] - g * size
+            logit = np.einsum("ij,ij->i", own, vectors_of[g][at]) + inner_bias[g][at]
+            out[inner[some]] += logit - _log_sums(own, vectors_of[g], inner_bias[g])
     return out
 
 
-def score_chunk(model: Model | None, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    """Scores of a chunk's documents; ``words`` holds the count of each of their tokens."""
-    place = {w: i for i, w in enumerate(map(bytes, words["word"]))}
-    c = words["c"].to_numpy(np.float64)
-    ids, begins, n = [], [], 0
-    for text in docs["text"]:
-        begins.append(n)
-        own = np.fromiter(map(place.__getitem__, tokens_of(text)), np.int64)
-        ids.append(own)
-        n += len(own)
-    flat, begins = np.concatenate(ids), np.array(begins, np.int64)
+def score_tokens(model: Model | None, numbers: np.ndarray, bounds: np.ndarray, words: pa.Array, c: np.ndarray) -> dict[str, np.ndarray]:
+    """Scores of texts given as token numbers; ``words`` are the distinct tokens and ``c`` their counts."""
+    begins = bounds[:-1]
     total, distinct = (model.total, model.distinct) if model else (0, 0)
-    base = np.log10((c + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))[flat]
+    base = np.log10((c + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))[numbers]
     score = base
     if model:
-        pairs = np.array([model.ids(bytes(w)) for w in words["word"]], np.int64)  # a token's rows may repeat
-        unknown = c[flat] == 0
-        cls, ctx = np.where(unknown, 0, pairs[flat, 0]), pairs[flat, 1]
-        score = log_probabilities(model, cls, ctx, begins) / LN10
-        other = cls >= len(model.words)
-        score[other] += np.log10((c[flat[other]] + SMOOTHING) / model.mass.reshape(-1)[cls[other] - len(model.words)])
-        score = np.where(unknown, base, score + np.log10(1 - SMOOTHING / model.base_mass))
-    return pd.DataFrame({
-        "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": np.diff(np.append(begins, n)),
-        "n_known": np.add.reduceat((c > 0).astype(np.int64)[flat], begins), "train_tokens": np.int64(total),
-        "base_score": np.add.reduceat(base, begins), "score": np.add.reduceat(score, begins)})
+        ids = model.ids_of(words)
+        unknown = c == 0
+        share = np.zeros(len(c))  # of a token in its bucket
+        other = ~unknown & (ids >= len(model.words))
+        share[other] = np.log10((c[other] + SMOOTHING) / model.mass.reshape(-1)[ids[other] - len(model.words)])
+        score = log_probabilities(model, np.where(unknown, 0, ids)[numbers], ids[numbers], begins) / LN10 + share[numbers]
+        score = np.where(unknown[numbers], base, score + np.log10(1 - SMOOTHING / model.base_mass))
+    return {"n_tokens": np.diff(bounds), "n_known": np.add.reduceat((c > 0).astype(np.int64)[numbers], begins),
+            "train_tokens": np.full(len(begins), total, np.int64),
+            "base_score": np.add.reduceat(base, begins), "score": np.add.reduceat(score, begins)}
+
+
+def score_chunk(model: Model | None, docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+    """Scores of documents; ``words`` holds the count of each of their tokens."""
+    numbers, bounds, distinct = coded(pa.array(docs["text"], pa.string()))
+    known = dict(zip(map(bytes, words["word"]), words["c"], strict=True))
+    c = np.array([known[w] for w in distinct.to_pylist()], np.float64)
+    return pd.DataFrame({"doc_id": docs["doc_id"], "held_out": docs["held_out"], **score_tokens(model, numbers, bounds, distinct, c)})
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+#: A chunk's row holds its documents and compressed token numbers; its other rows a distinct token each.
+_CHUNKS = "chunk long, at int, word binary, n long, ids array<long>, held array<boolean>, bounds array<long>, numbers binary"
+_TOKEN = {"at": pa.int32(), "word": pa.binary(), "n": pa.int64()}
+_CHUNK = {"ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "bounds": pa.list_(pa.int64()), "numbers": pa.binary()}
+
+
+def chunked(rows: DataFrame, chunk: int) -> DataFrame:
+    """The texts of ``rows`` as chunks of token numbers and their distinct tokens, as a table in the shared folder."""
+
+    def run(batches):
+        for k, batch in enumerate(common.chunks(batches, "text", chunk)):
+            name = batch.column("pid")[0].as_py() << 32 | k
+            numbers, bounds, words = coded(batch.column("text"))
+            learn = ~np.array(batch.column("held_out").to_pylist(), bool)
+            n = np.bincount(numbers[np.repeat(learn, np.diff(bounds))], minlength=len(words))
+            packed = pa.compress(numbers.astype("<i4").tobytes(), "zstd", asbytes=True)
+            one = {"ids": [batch.column("doc_id").to_pylist()], "held": [batch.column("held_out").to_pylist()],
+                   "bounds": [bounds.tolist()], "numbers": [packed]}
+            for fields, size in (({"at": np.arange(len(words), dtype=np.int32), "word": words.cast(pa.binary()), "n": n}, len(words)), (one, 1)):
+                columns = {"chunk": pa.array(np.full(size, name, np.int64))}
+                for c, t in (_TOKEN | _CHUNK).items():
+                    columns[c] = pa.array(fields[c], t) if c in fields else pa.nulls(size, t)
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return common.stored(rows.withColumn("pid", F.spark_partition_id()).mapInArrow(run, _CHUNKS))
 
 
 def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES,
@@ -418,47 +462,30 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
     common.small_batches(spark)
     rows = common.texts(docs, id_col, text_col, held.alias("held_out"), F.crc32(F.col(id_col).cast("string")).alias("part"))
     rows = rows.withColumn("part", F.floor(F.coalesce("part", F.lit(0)) / 16))
-    learn = rows.filter(~F.col("held_out"))
-    counts = common.stored(count_tokens(learn))
+    table = chunked(rows.select("doc_id", "held_out", "text"), chunk)
+    tokens = table.filter(F.col("at").isNotNull())
+    counts = common.stored(tokens.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     model = None
     if total:
         top = counts.orderBy(F.col("c").desc(), "word").limit(classes).collect()
         words = [bytes(r["word"]) for r in top]
         mass = count_buckets(counts, words, group_size(distinct))
-        model = train(learn, new_model(words, [r["c"] for r in top], total, distinct, mass=mass))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-size // chunk))
-    dealt = rows.select("doc_id", "held_out", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"))
-
-    def vocabulary(batches):
-        seen: dict[int, set] = {}
-        n = 0
-
-        def flush():
-            return pa.RecordBatch.from_pydict({
-                "chunk": pa.array([k for k, ws in seen.items() for _ in ws], pa.int64()),
-                "word": pa.array([w for ws in seen.values() for w in ws], pa.binary())})
-
-        for batch in batches:
-            for k, text in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own = seen.setdefault(k, set())
-                n -= len(own)
-                own.update(tokens_of(text))
-                n += len(own)
-            if n > FLUSH_WORDS:
-                yield flush()
-                seen, n = {}, 0
-        yield flush()
-
-    words = dealt.select("chunk", "text").repartition("chunk").mapInArrow(vocabulary, "chunk long, word binary")
-    words = words.join(counts, "word", "left").select("chunk", "word", F.coalesce("c", F.lit(0)).alias("c"))
+        model = train(rows.filter(~F.col("held_out")), new_model(words, [r["c"] for r in top], total, distinct, mass=mass))
+    known = tokens.select(F.col("chunk").alias("of_chunk"), "at", "word").join(counts, "word", "left")
+    known = known.select("of_chunk", "at", "word", F.coalesce("c", F.lit(0)).alias("c"))
+    bodies = table.filter(F.col("at").isNull()).select("chunk", "ids", "held", "bounds", "numbers")
     shipped = spark.sparkContext.broadcast(model)
 
-    def score(own_docs, own_words):
-        return score_chunk(shipped.value, own_docs, own_words)
+    def score(body: pa.Table, words: pa.Table) -> pa.Table:
+        words = words.sort_by("at").combine_chunks()
+        bounds = np.array(body["bounds"][0].as_py(), np.int64)
+        numbers = np.frombuffer(pa.decompress(body["numbers"][0].as_py(), int(bounds[-1]) * 4, "zstd"), "<i4")
+        made = score_tokens(shipped.value, numbers, bounds, pa.concat_arrays(words["word"].chunks).cast(pa.large_binary()),
+                            words["c"].to_numpy().astype(np.float64))
+        return pa.table({"doc_id": pa.array(body["ids"][0].as_py(), pa.int64()), "held_out": pa.array(body["held"][0].as_py(), pa.bool_()), **made})
 
-    return dealt.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInPandas(score, SCORES)
+    return bodies.groupBy("chunk").cogroup(known.groupBy("of_chunk")).applyInArrow(score, SCORES)
 
 
 def op7_lm_scores(spark, sf_dir: str) -> DataFrame:
