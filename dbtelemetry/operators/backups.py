@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
 from dbtelemetry.operators.common import Keys, on, with_absent
+from dbtelemetry.operators.ordering import in_order
 
 # Labels of the backup-history report. "reference" keeps them
 # verbatim (a trailing blank after 2005, level 110 shown as 2011, device 105
@@ -43,18 +44,19 @@ def backup_history(backupset: DataFrame, media: DataFrame, labels: str = "refere
     are NULL (no ELSE); unknown devices are "Other Device".
     """
     m = media.select(*keys, "media_set_id", "physical_device_name", "device_type")
-    j = with_absent(backupset, "bigint", "compressed_backup_size").join(m, on(["media_set_id"], keys))
+    sets = with_absent(backupset, "bigint", "compressed_backup_size").select(
+        *keys, F.col("server_name").alias("server"), "database_name", "compatibility_level", "recovery_model", "type",
+        "backup_start_date", "backup_finish_date", "backup_size", "compressed_backup_size", "media_set_id")
+    j = in_order(sets, [*keys, F.col("backup_start_date").desc()], lambda rows: rows.join(m, on(["media_set_id"], keys)))
     return j.select(
-        *keys,
-        F.col("server_name").alias("server"),
-        "database_name",
+        *keys, "server", "database_name",
         _case("compatibility_level", COMPATIBILITY_LABELS[labels]).alias("compatibility_level"),
         "recovery_model",
         _case("type", BACKUP_TYPE_LABELS).alias("backup_type"),
         "backup_start_date", "backup_finish_date",
         F.col("physical_device_name").alias("physical_device"),
         _case("device_type", DEVICE_LABELS[labels], OTHER_DEVICE).alias("device_type"),
-        "backup_size", "compressed_backup_size").orderBy(*keys, F.col("backup_start_date").desc())
+        "backup_size", "compressed_backup_size")
 
 
 def weekly_backup_report(backupset: DataFrame, media: DataFrame, as_of, days: int = 6,
@@ -75,19 +77,19 @@ def weekly_backup_report(backupset: DataFrame, media: DataFrame, as_of, days: in
 
 
 def last_restore(restore_history: DataFrame, database: str | None = None, keys: Keys = ()) -> DataFrame:
-    """The latest restore per database (``TOP 1 ... ORDER BY restore_date DESC``).
+    """The latest restore per database, all columns (``TOP 1 * ... ORDER BY restore_date DESC``).
 
-    For a fleet this is a ``max_by`` per (keys, database), a partial
-    aggregation that stays cheap on a database with many restores. Ties on
-    the date go to the highest restore id.
+    One aggregation: the whole row travels in the maximum of (date, id), so
+    a database with many restores is reduced in the map tasks. Ties on the
+    date go to the highest restore id.
     """
     r = restore_history
     if database is not None:
         r = r.filter(F.col("destination_database_name") == database)
-    best = F.max_by(F.struct("restore_date", "restore_id"), F.struct("restore_date", "restore_id"))
-    return (r.groupBy(*keys, "destination_database_name").agg(best.alias("__b"))
-            .select(*keys, "destination_database_name", F.col("__b.restore_id").alias("restore_id"),
-                    F.col("__b.restore_date").alias("restore_date")))
+    rest = [c for c in r.columns if c not in (*keys, "destination_database_name", "restore_date", "restore_id")]
+    newest = F.max(F.struct("restore_date", "restore_id", *rest)).alias("newest")
+    per = r.groupBy(*keys, "destination_database_name").agg(newest)
+    return per.select(*[c if c in (*keys, "destination_database_name") else F.col("newest").getField(c).alias(c) for c in r.columns])
 
 
 def backup_file_name(prefix, as_of, suffix: str = ".bak"):

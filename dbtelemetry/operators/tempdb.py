@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
 from dbtelemetry.operators.common import Keys, lookup_plan, lookup_text, on, with_absent
+from dbtelemetry.operators.ordering import in_order
 
 # Allocation-page rules and labels of the contention report.
 PFS_INTERVAL = 8088
@@ -76,6 +77,9 @@ def _task_totals(task_space: DataFrame, keys: Keys, exclude_session: int | None
         F.sum("dealloc_pages").cast("bigint").alias("dealloc_pages"))
 
 
+HEAD = 32
+
+
 def tempdb_sessions(task_space: DataFrame, requests: DataFrame, sql_text: DataFrame, plans: DataFrame,
                     exclude_session: int | None = None, keys: Keys = ()) -> DataFrame:
     """O48d: internal-object space per request, with text, current statement and plan.
@@ -90,18 +94,24 @@ def tempdb_sessions(task_space: DataFrame, requests: DataFrame, sql_text: DataFr
     tsu = _task_totals(task_space, keys, exclude_session)
     r = requests.select(*keys, "session_id", "request_id", "sql_handle", "plan_handle",
                         "statement_start_offset", "statement_end_offset")
-    j = tsu.join(r, on(["session_id", "request_id"], keys))
-    j = lookup_plan(lookup_text(j, sql_text, keys=keys), plans, keys=keys)
-    j = j.filter(F.col("text").isNotNull() | F.col("query_plan").isNotNull())
     so, eo = F.col("statement_start_offset"), F.col("statement_end_offset")
     length = F.when(eo < so, F.lit(0)).otherwise(tsql.int_div(eo - so, 2))
     cut = tsql.utf16_substring("text", tsql.int_div(so, 2), length)
     stmt = F.coalesce(tsql.nullif_blank(cut), F.col("text"))
-    return j.select(*keys, "session_id",
-                    (F.col("alloc_pages") / F.lit(128.0)).alias("internal_object_mb"),
-                    (F.col("dealloc_pages") / F.lit(128.0)).alias("internal_object_dealloc_mb"),
-                    "text", stmt.alias("statement_text"), "query_plan").orderBy(
-        *keys, F.col("internal_object_dealloc_mb").desc(), F.col("statement_text").desc())
+    narrow = tsu.join(r, on(["session_id", "request_id"], keys)).withColumn(
+        "internal_object_dealloc_mb", F.col("dealloc_pages") / F.lit(128.0))
+    # Rows of equal size are placed by the head of their statement, so they need not share a partition.
+    head = lookup_text(narrow, sql_text, keys=keys).select(*narrow.columns, F.substring(stmt, 1, HEAD).alias("__head"))
+    order = [*keys, F.col("internal_object_dealloc_mb").desc(), F.col("__head").desc()]
+
+    def attach(rows: DataFrame) -> DataFrame:
+        wide = lookup_plan(lookup_text(rows, sql_text, keys=keys), plans, keys=keys)
+        wide = wide.filter(F.col("text").isNotNull() | F.col("query_plan").isNotNull())
+        return wide.withColumn("statement_text", stmt)
+
+    out = in_order(head, order, attach, within=[F.col("statement_text").desc()])
+    return out.select(*keys, "session_id", (F.col("alloc_pages") / F.lit(128.0)).alias("internal_object_mb"),
+                      "internal_object_dealloc_mb", "text", "statement_text", "query_plan")
 
 
 def tempdb_requests(task_space: DataFrame, requests: DataFrame, keys: Keys = ()) -> DataFrame:

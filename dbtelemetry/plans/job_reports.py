@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.operators import inventory, jobs, tempdb
 from dbtelemetry.plans.catalog import report
+from dbtelemetry.plans.schema_reports import html_oracle
+from dbtelemetry.sources import html
 # The trace report covers "today"; the last captured day of the event fixtures.
 TRACE_AS_OF = "2024-01-30 00:00:00"
 
@@ -27,17 +29,29 @@ def _failed_jobs(rel):
     return jobs.failed_jobs(rel.jobs, rel.job_servers, rel.job_schedules, rel.schedules, rel.job_history, rel.categories)
 
 
+_FAILED_ORDER = ("server_name", "job_name", "step_id", "last_run_date")
+
+
+@report("failed_jobs_html", ("jobs", "job_servers", "job_schedules", "schedules", "job_history", "categories"),
+        html_oracle(_FAILED_SQL, ("server_name", "job_name", "last_run_date", "step_id"), jobs.FAILED_HEADERS, _FAILED_ORDER,
+                    "100%", "blue", title=jobs.FAILED_TITLE))
+def _failed_jobs_html(rel):
+    """The failed-jobs mail as an HTML table in ordered parts."""
+    failed = jobs.failed_jobs(rel.jobs, rel.job_servers, rel.job_schedules, rel.schedules, rel.job_history, rel.categories)
+    return html.document_parts(jobs.failed_jobs_rows(failed), jobs.FAILED_HEADERS, _FAILED_ORDER, title=jobs.FAILED_TITLE)
+
+
 @report("failed_jobs_status", ("jobs", "job_servers", "job_schedules", "schedules", "job_history", "categories"), f"""
 SELECT CAST(count(*) AS BIGINT) AS failed_rows,
-       CASE WHEN count(*) > 0 THEN 'Failed SQL Agent Jobs' ELSE 'All Jobs Completed Successfully' END AS subject
+       CASE WHEN count(*) > 0 THEN '{jobs.FAILED_TITLE}' ELSE '{jobs.FAILED_NONE}' END AS subject
 FROM ({_FAILED_SQL}) t
 """)
 def _failed_jobs_status(rel):
     """The alert gate: one row with the failed-row count and the mail subject."""
     f = jobs.failed_jobs(rel.jobs, rel.job_servers, rel.job_schedules, rel.schedules, rel.job_history, rel.categories)
     return f.agg(F.count(F.lit(1)).alias("failed_rows")).select(
-        "failed_rows", F.when(F.col("failed_rows") > 0, F.lit("Failed SQL Agent Jobs"))
-        .otherwise(F.lit("All Jobs Completed Successfully")).alias("subject"))
+        "failed_rows", F.when(F.col("failed_rows") > 0, F.lit(jobs.FAILED_TITLE))
+        .otherwise(F.lit(jobs.FAILED_NONE)).alias("subject"))
 
 
 _SUMMARY_SQL = """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.operators import backups, schema_health, storage
 from dbtelemetry.plans.catalog import report
-from dbtelemetry.sources import readers, sinks
+from dbtelemetry.sources import html, readers, sinks
 from dbtelemetry.sources.fixtures import AS_OF_ACTIVITY, AS_OF_BACKUP
 
 
@@ -174,33 +174,37 @@ WEEKLY_HEADERS = ("Server Name", "Database Name", "Backup Start Time", "Backup R
 _WEEKLY_ORDER = ("backup_start_date", "server", "database_name", "run_time_minutes")
 
 
-def _html_oracle(inner: str, cols, headers, order, width, color, title="", keys=()) -> str:
+def html_oracle(inner: str, cols, headers, order, width, color, title="", keys=()) -> str:
     head = title + sinks.html_header(headers, width, color)
     tds = " || ".join(_td(c) for c in cols)
     key_cols = "".join(f"{k}, " for k in keys)
     group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    over = f"PARTITION BY {', '.join(keys)}" if keys else ""
     return f"""
-SELECT {key_cols}'{head}' || coalesce(string_agg('<tr>' || {tds} || '</tr>', '' ORDER BY {", ".join(order)}), '')
-       || '</table>' AS html
-FROM ({inner}) t {group}
+WITH lines AS (SELECT *, '<tr>' || {tds} || '</tr>' AS line FROM ({inner}) t),
+placed AS (SELECT *, row_number() OVER ({over} ORDER BY {", ".join(order)}, line) - 1 AS place FROM lines),
+blocks AS (SELECT {key_cols}place // {html.PART_ROWS} + 1 AS part, string_agg(line, '' ORDER BY place) AS html FROM placed GROUP BY ALL),
+sizes AS (SELECT {key_cols}count(*) AS n FROM placed {group})
+SELECT {key_cols}part, html FROM blocks
+UNION ALL SELECT {key_cols}0, '{head}' FROM sizes
+UNION ALL SELECT {key_cols}CASE WHEN n = 0 THEN 1 ELSE (n - 1) // {html.PART_ROWS} + 2 END, '</table>' FROM sizes
 """
 
 
 @report("weekly_backup_report_html", ("backupset", "backupmediafamily"),
-        _html_oracle(_WEEKLY_SQL, ("server", "database_name", "backup_start", "run_time_minutes"), WEEKLY_HEADERS,
+        html_oracle(_WEEKLY_SQL, ("server", "database_name", "backup_start", "run_time_minutes"), WEEKLY_HEADERS,
                      _WEEKLY_ORDER, "100%", "blue", keys=("server",)))
 def _weekly_backup_html(rel):
-    """The weekly backup report as one HTML table (mail body) per server."""
+    """The weekly backup report as HTML tables, one per server, in ordered parts."""
     rows = backups.weekly_backup_report(rel.backupset, rel.backupmediafamily, AS_OF_BACKUP)
     frags = sinks.html_rows(rows, ["server", "database_name", "backup_start", "run_time_minutes"], _WEEKLY_ORDER,
                             keys=("server",))
-    return sinks.html_document(frags, WEEKLY_HEADERS, _WEEKLY_ORDER, keys=("server",), width="100%", color="blue")
+    return html.document_parts(frags, WEEKLY_HEADERS, _WEEKLY_ORDER, keys=("server",), width="100%", color="blue")
 
 
 @report("last_restore", ("restore_history",), """
-SELECT destination_database_name, arg_max(restore_id, (restore_date, restore_id)) AS restore_id,
-       max(restore_date) AS restore_date
-FROM restore_history GROUP BY destination_database_name
+SELECT * FROM restore_history
+QUALIFY row_number() OVER (PARTITION BY destination_database_name ORDER BY restore_date DESC, restore_id DESC) = 1
 """)
 def _last_restore(rel):
     """Latest restore per database."""
@@ -295,13 +299,13 @@ _LOW_DISK_ORDER = ("free_space_mb", "logical_name", "drive")
 
 
 @report("low_disk_space_html", ("database_files", "volume_stats"),
-        _html_oracle(_LOW_DISK_SQL, ("logical_name", "drive", "free_space_mb"), LOW_DISK_HEADERS, _LOW_DISK_ORDER,
+        html_oracle(_LOW_DISK_SQL, ("logical_name", "drive", "free_space_mb"), LOW_DISK_HEADERS, _LOW_DISK_ORDER,
                      "50%", "blue"))
 def _low_disk_space_html(rel):
-    """The low-disk-space alert as one HTML table (mail body)."""
+    """The low-disk-space alert as an HTML table in ordered parts."""
     rows = storage.low_disk_space(rel.database_files, rel.volume_stats)
     frags = sinks.html_rows(rows, ["logical_name", "drive", "free_space_mb"], _LOW_DISK_ORDER)
-    return sinks.html_document(frags, LOW_DISK_HEADERS, _LOW_DISK_ORDER, width="50%", color="blue")
+    return html.document_parts(frags, LOW_DISK_HEADERS, _LOW_DISK_ORDER, width="50%", color="blue")
 
 
 @report("locked_page_memory", ("os_info",), """

@@ -399,6 +399,10 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("destination_database_name", "'DB' || CAST(o_custkey % 25 AS STRING)"),
         ("restore_id", "o_orderkey"),
         ("restore_date", "o_orderdate"),
+        ("user_name", "'login ' || CAST(o_custkey % 10 AS STRING)"),
+        ("backup_set_id", "o_orderkey * 3"),
+        ("restore_type", "CASE o_orderkey % 3 WHEN 0 THEN 'D' WHEN 1 THEN 'L' ELSE 'I' END"),
+        ("replace", "o_orderkey % 2"),
     ]),
     "snapshot_transactions": ("{orders}", [
         ("transaction_id", "o_orderkey"),
