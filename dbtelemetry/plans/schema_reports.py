@@ -463,7 +463,6 @@ def _cpu_as_of(rel):
     """Samples appended to a table by capture date, then each server's latest capture before a moment."""
     spark = rel.cpu_load.sparkSession
     folder = sinks.new_folder(spark)
-    samples = rel.cpu_load.select("server_name", F.col("ts").alias("captured_at"), F.to_date("ts").alias("captured_date"),
-                                  "load_percentage")
-    sinks.append(samples, folder, partition_by=["captured_date"])
+    samples = rel.cpu_load.select("server_name", F.col("ts").alias("captured_at"), "load_percentage")
+    sinks.append_captures(samples, folder)
     return readers.scan(spark, folder, as_of=CPU_AS_OF, columns=["server_name", "captured_at", "load_percentage"])

@@ -4,30 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
 from dbtelemetry.sources.queue import stream_queue
+from dbtelemetry.sources.sinks import CAPTURE_INDEX
 
 
 def scan(spark: SparkSession, path: str, as_of: str | None = None, columns: Sequence[str] | None = None,
          servers: Sequence[str] | None = None) -> DataFrame:
     """Read a snapshot relation as it was at ``as_of``: each server's latest capture at or before it.
 
-    Tables are Parquet partitioned by ``captured_date``. Finding the latest
-    captures reads only the server and capture columns of the partitions up
-    to that day; the join back on server, day and capture prunes to the
-    partitions that hold them (dynamic partition pruning), and the column
-    list reaches the scan as its read schema.
+    Tables are Parquet partitioned by ``captured_date``. Where the table has
+    a capture index (:func:`~dbtelemetry.sources.sinks.append_captures`),
+    the days that hold each server's latest capture come from it and are
+    the scan's partition filter: a moment's scan lists one or two days of
+    any history. Without an index, the server and capture columns of all
+    partitions up to that day are read. The column list reaches the scan as
+    its read schema.
     """
     df = spark.read.parquet(path)
     if as_of is not None and "captured_at" in df.columns:
         ts = tsql.as_ts(as_of)
         if "captured_date" in df.columns:
             df = df.filter(F.col("captured_date") <= F.to_date(ts))
-        df = df.filter(F.col("captured_at") <= ts)
         by = [c for c in ("server_name",) if c in df.columns]
+        days = captured_days(spark, path, ts, servers)
+        if days is not None:
+            df = df.filter(F.col("captured_date").isin(days))
+        df = df.filter(F.col("captured_at") <= ts)
         day = [c for c in ("captured_date",) if c in df.columns]
         last = df.groupBy(*by).agg(F.max(F.struct("captured_at", *day)).alias("last"))
         last = last.select(*[F.col(c).alias(f"__{c}") for c in by],
@@ -42,6 +49,21 @@ def scan(spark: SparkSession, path: str, as_of: str | None = None, columns: Sequ
     return df
 
 
+def captured_days(spark: SparkSession, path: str, moment, servers: Sequence[str] | None = None) -> list | None:
+    """The days that hold the servers' latest captures before a moment, from the capture index; None without an index."""
+    try:
+        index = spark.read.parquet(f"{path.rstrip('/')}/{CAPTURE_INDEX}")
+    except AnalysisException:
+        return None
+    index = index.filter((F.col("captured_date") <= F.to_date(moment)) & (F.col("first_capture") <= moment))
+    by = [c for c in ("server_name",) if c in index.columns]
+    if servers is not None and by:
+        index = index.filter(F.col("server_name").isin(*servers))
+    last = index.groupBy(*by).agg(F.max("captured_date").alias("day")).filter(F.col("day").isNotNull())
+    # At most one row for each day of the table.
+    return sorted(r["day"] for r in last.select("day").distinct().collect())
+
+
 def trace_rollover_glob(current_trace_path: str, exported_suffix: str = "") -> str:
     """All rollover files of the default trace, from the path of its current file.
 

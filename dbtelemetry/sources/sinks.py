@@ -24,6 +24,26 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     w.save(path)
 
 
+#: Folder of a capture table's index; readers of the table do not see it.
+CAPTURE_INDEX = "_captures"
+
+
+def append_captures(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """S10 for snapshot relations: append captures by day, and to the capture index one row per server and day.
+
+    ``df`` has ``captured_at``; the day is added. The index holds the first
+    and the last capture of a server's day, so a scan as of some moment
+    finds the days that it needs without listing the table's history. It is
+    written after the rows: a capture without an index row is one whose
+    append did not end.
+    """
+    df = df.withColumn("captured_date", F.to_date("captured_at"))
+    append(df, path, ["captured_date"], fmt)
+    by = [c for c in ("server_name",) if c in df.columns]
+    days = df.groupBy(*by, "captured_date").agg(F.min("captured_at").alias("first_capture"), F.max("captured_at").alias("last_capture"))
+    append(days.coalesce(1), f"{path.rstrip('/')}/{CAPTURE_INDEX}")
+
+
 def new_folder(spark) -> str:
     """A folder for one table in the shared folder, grouped by application, so a retention job
     can drop a finished application's tables in one folder."""
