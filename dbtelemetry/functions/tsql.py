@@ -97,10 +97,31 @@ def html_escape(x) -> Column:
     return F.replace(c, F.lit(">"), F.lit("&gt;"))
 
 
+# Collations (F20): how the server compares text. Both ignore trailing blanks, as ``=``,
+# joins, grouping and EXCEPT do there; the first ignores case as well and is the default.
+CASE_BLIND = "UTF8_LCASE_RTRIM"
+CASE_AWARE = "UTF8_BINARY_RTRIM"
+
+
+def text(col, case_sensitive: bool = False) -> Column:
+    """A string under a server collation: comparisons, joins, grouping and ``isin`` on it follow the collation."""
+    return F.collate(_c(col), CASE_AWARE if case_sensitive else CASE_BLIND)
+
+
+def same(col, value, case_sensitive: bool = False) -> Column:
+    """``col = value`` under the collation."""
+    return text(col, case_sensitive) == (text(value, case_sensitive) if isinstance(value, Column) else F.lit(value))
+
+
+def one_of(col, values, case_sensitive: bool = False) -> Column:
+    """``col IN (values)`` under the collation."""
+    return text(col, case_sensitive).isin(*values)
+
+
 def like(col, pattern: str, case_sensitive: bool = False) -> Column:
-    """``LIKE`` under the server collation (F20); case-insensitive by default."""
-    c = _c(col)
-    return c.like(pattern) if case_sensitive else c.ilike(pattern)
+    """``LIKE`` under the collation: blanks at the end of the value need not match, those of the pattern must."""
+    c = F.collate(_c(col), "UTF8_BINARY" if case_sensitive else "UTF8_LCASE")
+    return c.like(pattern) | F.rtrim(c).like(pattern)
 
 
 # ---------------------------------------------------------------- numbers

@@ -12,6 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dbtelemetry.functions import tsql
 
 Keys = Sequence[str]
 
@@ -99,3 +102,20 @@ def bounded_lookup(df: DataFrame) -> DataFrame:
     """Broadcast a lookup whose size is fixed by its definition (a constant
     catalog such as wait-type or trace-event names), never data-sized."""
     return F.broadcast(df)
+
+
+def except_rows(a: DataFrame, b: DataFrame, cols: Sequence[str], case_sensitive: bool = False) -> DataFrame:
+    """``SELECT cols FROM a EXCEPT SELECT cols FROM b`` with the string columns under the collation; NULLs are equal.
+
+    Of rows that the collation holds for equal, the smallest by code point is returned.
+    """
+    kinds = a.schema
+
+    def keyed(df: DataFrame, mark: str) -> DataFrame:
+        key = [(tsql.text(c, case_sensitive) if kinds[c].dataType == T.StringType() else F.col(c)).alias(f"{mark}{c}") for c in cols]
+        return df.select(*cols, *key)
+
+    left = keyed(a, "__l_").groupBy(*[f"__l_{c}" for c in cols]).agg(F.min(F.struct(*cols)).alias("__row"))
+    right = keyed(b, "__r_").select(*[f"__r_{c}" for c in cols])
+    same_row = [left[f"__l_{c}"].eqNullSafe(right[f"__r_{c}"]) for c in cols]
+    return left.join(right, same_row, "left_anti").select(*[F.col("__row").getField(c).alias(c) for c in cols])

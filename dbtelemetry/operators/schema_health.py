@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import Keys, db_name, lookup_plan, lookup_text, on, with_absent
+from dbtelemetry.operators.common import Keys, db_name, except_rows, lookup_plan, lookup_text, on, with_absent
 
 # The twelve usage columns the reference tests for NULL.
 USAGE_COLUMNS = ("user_seeks", "user_scans", "user_lookups", "last_user_seek", "last_user_scan",
@@ -14,8 +14,8 @@ USAGE_COLUMNS = ("user_seeks", "user_scans", "user_lookups", "last_user_seek", "
                  "last_system_scan", "last_system_lookup")
 
 
-# Catalog object types are char(2) ('U ', 'V ', 'P '); T-SQL '=' ignores trailing
-# blanks, so every type test below trims them.
+# Catalog object types are char(2) ('U ', 'V ', 'P '); the tests below compare
+# them under the server collation, which ignores trailing blanks.
 
 
 def _owner_name(objects: DataFrame, owner: str) -> "F.Column":
@@ -39,7 +39,7 @@ def unused_indexes(indexes: DataFrame, usage: DataFrame, objects: DataFrame, dat
                                                        and "database_id" in indexes.columns else []), *USAGE_COLUMNS)
     u = u.withColumn("__u", F.lit(1))
     join_cols = on(["object_id", "index_id"] + (["database_id"] if "database_id" in u.columns else []), keys)
-    tables = objects.filter(F.rtrim("type") == "U").select(*keys, "object_id", F.col("name").alias("table_name"))
+    tables = objects.filter(tsql.same("type", "U")).select(*keys, "object_id", F.col("name").alias("table_name"))
     i = indexes.select(*keys, "object_id", "index_id", F.col("name").alias("index_name"), "type_desc",
                        "is_primary_key", *(["database_id"] if "database_id" in indexes.columns else []))
     j = i.join(tables, on(["object_id"], keys)).join(u, join_cols, "left")
@@ -62,7 +62,7 @@ def missing_index_details(df: DataFrame) -> DataFrame:
 def tables_without_primary_key(objects: DataFrame, indexes: DataFrame, owner: str = "dbo",
                                keys: Keys = ()) -> DataFrame:
     """User tables with no primary-key index (``left_anti``, exact here)."""
-    t = objects.filter(F.rtrim("type") == "U")
+    t = objects.filter(tsql.same("type", "U"))
     pk = indexes.filter(F.col("is_primary_key") == 1).select(*keys, "object_id")
     return t.join(pk, on(["object_id"], keys), "left_anti").select(
         *keys, F.col("object_id").alias("id"), _owner_name(t, owner).alias("table_name"))
@@ -74,7 +74,7 @@ def table_row_counts(objects: DataFrame, indexes: DataFrame, owner: str = "dbo",
     The legacy filter ``indid < 2`` means "heap or clustered index"; on the
     modern catalog that is ``type_desc IN ('HEAP', 'CLUSTERED')``.
     """
-    t = objects.filter(F.rtrim("type") == "U")
+    t = objects.filter(tsql.same("type", "U"))
     t = t.select(*keys, "object_id", _owner_name(t, owner).alias("table_name"), "name")
     i = indexes.filter(F.col("type_desc").isin("HEAP", "CLUSTERED")).select(
         *keys, "object_id", F.col("row_count").alias("rows"))
@@ -90,14 +90,14 @@ def table_space(objects: DataFrame, space: DataFrame, keys: Keys = ()) -> DataFr
     per_obj = space.groupBy(*keys, "object_id").agg(
         (F.sum("reserved_pages") * 8).cast("bigint").alias("reserved_kb"),
         (F.sum("data_pages") * 8).cast("bigint").alias("data_kb"))
-    t = objects.filter(F.rtrim("type") == "U").select(*keys, "object_id", F.col("name").alias("table_name"))
+    t = objects.filter(tsql.same("type", "U")).select(*keys, "object_id", F.col("name").alias("table_name"))
     return t.join(per_obj, on(["object_id"], keys)).select(*keys, "table_name", "reserved_kb", "data_kb")
 
 
 def drop_statistics_statements(objects: DataFrame, indexes: DataFrame, owner: str = "dbo",
                                keys: Keys = ()) -> DataFrame:
     """``drop statistics [owner].[table].[stat]`` text for statistics on tables and views (never run)."""
-    o = objects.filter(F.rtrim("type").isin("U", "V"))
+    o = objects.filter(tsql.one_of("type", ["U", "V"]))
     own = F.col("schema_name") if "schema_name" in o.columns else F.lit(owner)
     o = o.select(*keys, "object_id", own.alias("__owner"), F.col("name").alias("__obj"))
     i = indexes.filter(F.col("is_statistics") == 1).select(*keys, "object_id", F.col("name").alias("__ix"))
@@ -186,10 +186,11 @@ def index_difference(a: DataFrame, b: DataFrame, index_name: str | None = None,
     """(table, index, key columns) rows of ``a`` not in ``b`` (``EXCEPT DISTINCT``; NULLs equal).
 
     The optional name filter applies to ``a`` only, as in the reference.
+    Names compare under the server collation.
     """
     cols = [*keys, "table_name", "index_name", "key_columns"]
-    left = a if index_name is None else a.filter(F.col("index_name") == index_name)
-    return left.select(*cols).subtract(b.select(*cols))
+    left = a if index_name is None else a.filter(tsql.same("index_name", index_name))
+    return except_rows(left, b, cols)
 
 
 def unused_procedures(procedures: DataFrame, procedure_stats: DataFrame, keys: Keys = ()) -> DataFrame:
@@ -201,4 +202,4 @@ def unused_procedures(procedures: DataFrame, procedure_stats: DataFrame, keys: K
     p = procedures.filter(F.col("is_ms_shipped") == 0)
     used = (p.join(procedure_stats.select(*keys, "object_id"), on(["object_id"], keys))
             .select(*keys, F.col("name").alias("sp_name")))
-    return p.select(*keys, F.col("name").alias("sp_name")).subtract(used)
+    return except_rows(p.select(*keys, F.col("name").alias("sp_name")), used, [*keys, "sp_name"])

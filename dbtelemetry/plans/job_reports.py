@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dbtelemetry.operators import inventory, jobs, tempdb
 from dbtelemetry.plans.catalog import report
 from dbtelemetry.plans.schema_reports import html_oracle
-from dbtelemetry.sources import html
+from dbtelemetry.sources import html, readers, sinks
 # The trace report covers "today"; the last captured day of the event fixtures.
 TRACE_AS_OF = "2024-01-30 00:00:00"
 
@@ -293,7 +293,7 @@ def _session_query(rel):
 
 # ---------------------------------------------------------------- trace, principals, inventory
 
-@report("default_trace_today", ("trace_rows", "trace_subclass_values", "trace_events", "trace_categories"), f"""
+_TRACE_SQL = f"""
 WITH today AS (
   SELECT * FROM trace_rows
   WHERE spid > 50 AND object_type <> 21587 AND database_name <> 'tempdb'
@@ -305,7 +305,23 @@ FROM today r
 JOIN trace_events ev ON ev.trace_event_id = r.event_class
 JOIN trace_categories cat ON cat.category_id = ev.category_id
 LEFT JOIN trace_subclass_values sub ON sub.trace_event_id = r.event_class AND sub.subclass_value = r.object_type
-""")
+"""
+_TRACE_RELATIONS = ("trace_rows", "trace_subclass_values", "trace_events", "trace_categories")
+
+
+@report("trace_from_files", _TRACE_RELATIONS, _TRACE_SQL)
+def _trace_from_files(rel):
+    """S3: the trace exported as rollover files, read back by the path of its current file, then the day's events."""
+    folder = sinks.new_folder(rel.trace_rows.sparkSession)
+    for n in range(3):
+        part = rel.trace_rows.filter(F.pmod(F.xxhash64("start_time"), F.lit(3)) == n)
+        part.write.parquet(f"{folder}/log_{n + 1}.trc.parquet")
+    files = readers.trace_rollover_glob(f"{folder}/log_3.trc", ".parquet")
+    trace = readers.trace_source(rel.trace_rows.sparkSession, files)
+    return inventory.default_trace_today(trace, rel.trace_subclass_values, rel.trace_events, rel.trace_categories, TRACE_AS_OF)
+
+
+@report("default_trace_today", _TRACE_RELATIONS, _TRACE_SQL)
 def _default_trace(rel):
     """Default-trace events of the day with names."""
     return inventory.default_trace_today(rel.trace_rows, rel.trace_subclass_values, rel.trace_events,

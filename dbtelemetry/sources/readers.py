@@ -107,9 +107,9 @@ def across_databases(df: DataFrame, exclude: Sequence[str] = (), include: Sequen
     """
     c = F.col(column)
     if exclude:
-        df = df.filter(~c.isin(*exclude))
+        df = df.filter(~tsql.one_of(c, exclude))
     if include is not None:
-        df = df.filter(c.isin(*include))
+        df = df.filter(tsql.one_of(c, include))
     if like is not None:
         df = df.filter(tsql.like(c, like))
     return df

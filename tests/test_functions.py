@@ -94,3 +94,29 @@ def test_agent_datetime_ignores_session_time_zone(spark):
                                                    tsql.ts_literal("2024-03-10 03:00:01"))) == 61
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_server_collations(spark):
+    """'Abc ' and 'abc' are one under the case-blind collation and two under the other; trailing blanks never count."""
+    from dbtelemetry.operators.common import except_rows
+
+    a = spark.createDataFrame([("Abc ", 1), ("abc", 2), ("x", 3), (None, 4)], "s string, i int")
+    b = spark.createDataFrame([("ABC", 10), ("x  ", 20), (None, 30)], "t string, j int")
+
+    def joined(case):
+        return sorted((r.i, r.j) for r in a.join(b, tsql.text("s", case) == tsql.text("t", case)).collect())
+
+    assert joined(False) == [(1, 10), (2, 10), (3, 20)] and joined(True) == [(3, 20)]
+    sizes = lambda case: sorted(r["count"] for r in a.groupBy(tsql.text("s", case)).count().collect())
+    assert sizes(False) == [1, 1, 2] and sizes(True) == [1, 1, 1, 1]
+    other = b.withColumnRenamed("t", "s")
+    left = lambda case: sorted(r.s for r in except_rows(a, other, ["s"], case).collect())
+    assert left(False) == [] and left(True) == ["Abc ", "abc"]
+    twice = spark.createDataFrame([("abc", 1), ("Abc ", 1)], "s string, i int")
+    out = except_rows(twice, other.withColumnRenamed("j", "i"), ["s", "i"])
+    assert [r.s for r in out.collect()] == ["Abc "] and out.schema["s"].dataType.simpleString() == "string"
+    hits = lambda pattern, case: [r.i for r in a.filter(tsql.like("s", pattern, case)).collect()]
+    assert hits("ABC", False) == [1, 2] and hits("abc", True) == [2] and hits("Abc", True) == [1] and hits("abc ", False) == [1]
+    assert [r.i for r in a.filter(tsql.same("s", "ABC")).collect()] == [1, 2]
+    assert [r.i for r in a.filter(tsql.one_of("s", ["ABC", "X"])).collect()] == [1, 2, 3]
+    assert [r.i for r in a.filter(tsql.one_of("s", ["Abc"], True)).collect()] == [1]
