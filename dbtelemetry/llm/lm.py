@@ -59,7 +59,7 @@ ROUNDS = 2
 RATE = 0.15
 CHUNK = 6_000_000
 #: Text of one scoring chunk.
-SCORE_CHUNK = 8_000_000
+SCORE_CHUNK = 9_000_000
 SMOOTHING = 0.1  # fixed by the contract
 #: The end of a text; holds a space, as no word does.
 END = b" "
@@ -376,38 +376,45 @@ def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np
     bias = p["bias"] + model.shut
     back = model.contexts(ctx, begins)
     size = model.start + 1
-    found, inverse = np.unique(sum(c * size**j for j, c in enumerate(back)), return_inverse=True)
+    key = sum(c * size**j for j, c in enumerate(back))
+    # Tokens in the order of their contexts: every context's vector is made and read once, in turn.
+    turn = np.argsort(key)
+    key = key[turn]
+    head = np.append(True, key[1:] != key[:-1])
+    found, which = key[head], np.cumsum(head) - 1
     vectors = np.empty((len(found), DIM), np.float32)
     for k in range(0, len(found), step):
         vectors[k:k + step] = model.predict([found[k:k + step] // size**j % size for j in range(CONTEXT)])
     norm = _log_sums(vectors, p["word"], bias)
     out = np.empty(len(cls))
     for k in range(0, len(cls), step):
-        own, at = cls[k:k + step], inverse[k:k + step]
-        out[k:k + step] = np.einsum("ij,ij->i", vectors[at], p["word"][own]) + bias[own] - norm[at]
+        own, at = cls[turn[k:k + step]], which[k:k + step]
+        out[turn[k:k + step]] = np.einsum("ij,ij->i", vectors[at], p["word"][own]) + bias[own] - norm[at]
     groups, size = model.mass.shape
     if size == 1:
         return out
     vectors_of, inner_bias = p["inner"].reshape(-1, size, DIM), p["inner_bias"].reshape(-1, size) + model.inner_shut
-    order = np.argsort(buckets // size, kind="stable")
+    inverse = np.empty(len(cls), np.int64)
+    inverse[turn] = which
+    inverse = inverse[inner]
+    order = np.lexsort((inverse, (buckets // size).astype(np.uint16)))
     ends = np.append(0, np.cumsum(np.bincount(buckets // size, minlength=groups)))
     for g in np.flatnonzero(np.diff(ends)):
         for k in range(ends[g], ends[g + 1], step):
             some = order[k:min(k + step, ends[g + 1])]
-            own, at = vectors[inverse[inner[some]]], buckets[some] - g * size
+            own, at = vectors[inverse[some]], buckets[some] - g * size
             logit = np.einsum("ij,ij->i", own, vectors_of[g][at]) + inner_bias[g][at]
             out[inner[some]] += logit - _log_sums(own, vectors_of[g], inner_bias[g])
     return out
 
 
-def score_tokens(model: Model | None, numbers: np.ndarray, bounds: np.ndarray, words: pa.Array, c: np.ndarray) -> dict[str, np.ndarray]:
-    """Scores of texts given as token numbers; ``words`` are the distinct tokens and ``c`` their counts."""
+def score_tokens(model: Model | None, numbers: np.ndarray, bounds: np.ndarray, ids: np.ndarray, c: np.ndarray) -> dict[str, np.ndarray]:
+    """Scores of texts given as token numbers; ``ids`` (``Model.ids``) and counts ``c`` of the distinct tokens."""
     begins = bounds[:-1]
     total, distinct = (model.total, model.distinct) if model else (0, 0)
     base = np.log10((c + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))[numbers]
     score = base
     if model:
-        ids = model.ids_of(words)
         unknown = c == 0
         share = np.zeros(len(c))  # of a token in its bucket
         other = ~unknown & (ids >= len(model.words))
@@ -424,7 +431,8 @@ def score_chunk(model: Model | None, docs: pd.DataFrame, words: pd.DataFrame) ->
     numbers, bounds, distinct = coded(pa.array(docs["text"], pa.string()))
     known = dict(zip(map(bytes, words["word"]), words["c"], strict=True))
     c = np.array([known[w] for w in distinct.to_pylist()], np.float64)
-    return pd.DataFrame({"doc_id": docs["doc_id"], "held_out": docs["held_out"], **score_tokens(model, numbers, bounds, distinct, c)})
+    ids = model.ids_of(distinct) if model else np.zeros(len(c), np.int64)
+    return pd.DataFrame({"doc_id": docs["doc_id"], "held_out": docs["held_out"], **score_tokens(model, numbers, bounds, ids, c)})
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -472,17 +480,29 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
         words = [bytes(r["word"]) for r in top]
         mass = count_buckets(counts, words, group_size(distinct))
         model = train(rows.filter(~F.col("held_out")), new_model(words, [r["c"] for r in top], total, distinct, mass=mass))
-    known = tokens.select(F.col("chunk").alias("of_chunk"), "at", "word").join(counts, "word", "left")
-    known = known.select("of_chunk", "at", "word", F.coalesce("c", F.lit(0)).alias("c"))
-    bodies = table.filter(F.col("at").isNull()).select("chunk", "ids", "held", "bounds", "numbers")
     shipped = spark.sparkContext.broadcast(model)
 
+    def numbered(batches):
+        for batch in batches:
+            ids = shipped.value.ids_of(batch.column("word").cast(pa.large_binary())) if shipped.value else np.zeros(len(batch), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(ids)], names=["word", "c", "id"])
+
+    # A known token's id travels in place of the token.
+    known = tokens.select(F.col("chunk").alias("of_chunk"), "at", "word").join(
+        counts.mapInArrow(numbered, "word binary, c long, id long"), "word", "left")
+    known = known.select("of_chunk", "at", "c", "id", F.when(F.col("c").isNull(), F.col("word")).alias("word"))
+    bodies = table.filter(F.col("at").isNull()).select("chunk", "ids", "held", "bounds", "numbers")
+
     def score(body: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("at").combine_chunks()
+        words = words.sort_by("at")
         bounds = np.array(body["bounds"][0].as_py(), np.int64)
         numbers = np.frombuffer(pa.decompress(body["numbers"][0].as_py(), int(bounds[-1]) * 4, "zstd"), "<i4")
-        made = score_tokens(shipped.value, numbers, bounds, pa.concat_arrays(words["word"].chunks).cast(pa.large_binary()),
-                            words["c"].to_numpy().astype(np.float64))
+        c = words["c"].fill_null(0).to_numpy().astype(np.float64)
+        ids = words["id"].fill_null(0).to_numpy().copy()
+        if shipped.value:
+            new = pa.concat_arrays(words["word"].chunks).cast(pa.large_binary()).drop_null()
+            ids[c == 0] = shipped.value.ids_of(new)
+        made = score_tokens(shipped.value, numbers, bounds, ids, c)
         return pa.table({"doc_id": pa.array(body["ids"][0].as_py(), pa.int64()), "held_out": pa.array(body["held"][0].as_py(), pa.bool_()), **made})
 
     return bodies.groupBy("chunk").cogroup(known.groupBy("of_chunk")).applyInArrow(score, SCORES)
