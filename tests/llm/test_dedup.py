@@ -137,36 +137,42 @@ def test_near_dedup_nulls_and_repeats(make):
 
 def lines_brute(docs):
     """Template tree and recurrence in plain Python."""
-    lines = defaultdict(list)
+    variable = lambda t: any(c in "0123456789@/" for c in t)
+    lines, docs_of = [], defaultdict(set)
     for doc, text in docs:
         for k, line in enumerate((text or "").split("\n")):
-            tokens = ["<*>" if any(c in "0123456789@/" for c in t) else t for t in line.split()]
+            tokens = line.split()
+            if not all(map(variable, tokens)):
+                tokens = ["<*>" if variable(t) else t for t in tokens]
             if tokens:
-                lines[len(tokens), tuple(tokens[:3])].append((doc, k, tuple(tokens)))
+                lines.append((doc, k, tuple(tokens)))
+                docs_of[tuple(tokens)].add(doc)
+    leaves = defaultdict(list)
+    for t in docs_of:
+        m = len(t) - 3
+        for q in range(4):
+            part = t[3 + q * m // 4:3 + (q + 1) * m // 4]
+            if m >= 4 and any(not variable(x) and x != "<*>" for x in part):
+                leaves[len(t), t[:3], q, part].append(t)
+    templates = [[t] for t in docs_of]
+    for (n, *_), own in leaves.items():
+        anchor = max(own, key=lambda t: (len(docs_of[t]), " ".join(t)))
+        templates.append([t for t in own if sum(a == b for a, b in zip(t[3:], anchor[3:])) >= 0.7 * (n - 3)])
     gone = set()
-    for leaf, rows in lines.items():
-        docs_of = defaultdict(set)
-        for doc, _, t in rows:
-            docs_of[t].add(doc)
-        anchor = max(docs_of, key=lambda t: (len(docs_of[t]), " ".join(t)))
-        template = {t: None if sum(a == b for a, b in zip(t, anchor)) >= 0.7 * leaf[0] else t for t in docs_of}
-        found = defaultdict(set)
-        for doc, _, t in rows:
-            found[template[t]].add(doc)
-        for doc, k, t in rows:
-            d = found[template[t]]
-            if (len(d) >= 5 or len(d) >= 2 and leaf[0] > 50) and doc != min(d):
-                gone.add((doc, k))
+    for own in templates:
+        found = set().union(*(docs_of[t] for t in own))
+        if len(found) >= 5 or len(found) >= 2 and len(own[0]) > 50:
+            gone.update((d, k) for d, k, t in lines if t in set(own) and d != min(found))
     return gone
 
 
 def test_lines_match_brute_force(make):
     rng = random.Random(2)
-    parts = ["user {} logged in from host now", "copyright {} all rights reserved here", "a b c", "", "   ",
+    parts = ["user {} logged in from host now at once", "job for {} ended and {} began to run there", "one two three {} {} {} {} end", "copyright {} all rights reserved here", "a b c", "", "   ",
              " ".join(f"p{i}" for i in range(60))]
     docs = []
     for d in range(40):
-        text = "\n".join([rng.choice(parts).format(rng.choice(["x7", "bob", "12", "a@b"])) for _ in range(5)] + [f"own line number {chr(97 + d % 26)}{chr(97 + d // 26)} k"])
+        text = "\n".join([rng.choice(parts).format(*rng.choices(["x7", "bob", "12", "a@b", "eve"], k=4)) for _ in range(5)] + [f"own line number {chr(97 + d % 26)}{chr(97 + d // 26)} k"])
         docs.append((d, text))
     docs += [(40, None), (41, ""), (42, "z " * 30_000)]
     gone = lines_brute(docs)
@@ -179,6 +185,24 @@ def test_lines_match_brute_force(make):
         assert got[d].n_lines == sum(1 for x in all_ if x.strip())
 
 
+def dropped(make, lines):
+    return [r.doc_id for r in line_dedup.clean(make(list(enumerate(lines)))).collect() if r.n_dropped]
+
+
+def test_unlike_short_lines_stay(make):
+    ends = ["came home", "came away", "went home", "sat home", "lay home", "ran home"]
+    assert dropped(make, [f"the old man {e}" for e in ends]) == []
+    assert dropped(make, ["12 44 99", "71 2 3", "1 1 1", "5 6 7", "88 1 0"]) == []
+    assert sorted(dropped(make, ["12 44 99"] * 5)) == [1, 2, 3, 4]
+
+
+def test_two_families_of_one_leaf(make):
+    one = "at that time the water rose over the low banks of the river near old {}"
+    two = "at that time all seven ships left with salt and corn bound for the port {}"
+    lines = [one.format(w) for w in "abcdefg"] + [two.format(w) for w in "hijklm"] + ["at that time nothing like either of them was to be seen in any street at all"]
+    assert sorted(dropped(make, lines)) == [1, 2, 3, 4, 5, 6, 8, 9, 10, 11, 12]
+
+
 def test_lines_repeated_rows_and_null_ids(make):
     long = " ".join(f"q{i}" for i in range(55))
     out = line_dedup.clean(make([(1, long), (1, long), (2, long), (None, long)])).collect()
