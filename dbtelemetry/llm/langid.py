@@ -43,6 +43,7 @@ MARK = "▁"
 RARE = 1e-3
 CACHE_WORDS = 200_000
 BLOCK = 200_000
+SALTS = 16
 
 _WORD = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -117,27 +118,27 @@ class Lattice:
             begin = end
 
 
-def _forward(width: int, ids: dict, prob: np.ndarray, rows: int, scaled: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of all segmentations of each prefix, per language, and the log scale taken out of each.
+def _sums(width: int, ids: dict, prob: np.ndarray, rows: int, back: bool = False) -> np.ndarray:
+    """Logarithms of the sums of all segmentations of each prefix (``back``: of each rest), per language.
 
-    ``prob`` has a last row of zeros, which id -1 finds.
+    ``prob`` has a last row of zeros, which id -1 finds. Every sum is taken
+    relative to the one before it, so no length and no language underflows;
+    a single letter is always a piece, so no sum is zero.
     """
-    a = np.zeros((width + 1, rows, prob.shape[1]))
-    a[0] = 1.0
-    log = np.zeros((width + 1, rows))
-    for e in range(1, width + 1):
-        total = a[e]
+    out = np.zeros((width + 1, rows, prob.shape[1]))
+    places = range(width - 1, -1, -1) if back else range(1, width + 1)
+    for e in places:
+        near = out[e + 1] if back else out[e - 1]
+        total = np.zeros(near.shape)
         for n, found in ids.items():
-            if n <= e:
-                part = a[e - n] * prob[found[:, e - n]]
-                if scaled:
-                    part *= np.exp(log[e - n] - log[e - 1])[:, None]
-                total += part
-        if scaled:
-            top = total.max(axis=1)
-            total /= top[:, None]
-            log[e] = log[e - 1] + np.log(top)
-    return a, log
+            if back and e + n <= width:
+                part = prob[found[:, e]]
+                total += part if n == 1 else part * np.exp(out[e + n] - near)
+            elif not back and n <= e:
+                part = prob[found[:, e - n]]
+                total += part if n == 1 else part * np.exp(out[e - n] - near)
+        out[e] = near + np.log(total)
+    return out
 
 
 @dataclass
@@ -162,9 +163,7 @@ class Scorer:
         """Log-probability of each word in each language, all segmentations summed."""
         out = np.zeros((len(words), len(self.model.langs)))
         for at, width, ids in self.lattice.blocks(words):
-            a, log = _forward(width, ids, self.model.prob, len(at), width > FIT_CHARS)
-            with np.errstate(divide="ignore"):
-                out[at] = np.maximum(np.log(a[width]), -1e4) + log[width][:, None]
+            out[at] = _sums(width, ids, self.model.prob, len(at))[width]
         return out
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -205,24 +204,29 @@ def fit(counts: dict[str, dict[str, int]], names: list[str], rounds: int = ROUND
     for _ in range(rounds):
         found = np.full((lattice.size, len(langs)), SMOOTHING)
         for at, width, ids in blocks:
-            a, _log = _forward(width, ids, prob, len(at), False)
-            b = np.zeros_like(a)
-            b[width] = 1.0
-            share = weight[at] / np.maximum(a[width], 1e-300)
-            for s in range(width - 1, -1, -1):
+            a, b = _sums(width, ids, prob, len(at)), _sums(width, ids, prob, len(at), back=True)
+            share = weight[at]
+            for s in range(width):
                 for n, own in ids.items():
                     if s + n <= width:
-                        step = prob[own[:, s]] * b[s + n]
-                        b[s] += step
                         used = own[:, s] >= 0
-                        mass = (a[s] * step * share)[used]
+                        piece = own[used, s]
+                        mass = share[used] * prob[piece] * np.exp(a[s][used] + b[s + n][used] - a[width][used])
                         for k in range(len(langs)):
-                            found[:, k] += np.bincount(own[used, s], weights=mass[:, k], minlength=lattice.size)
+                            found[:, k] += np.bincount(piece, weights=mass[:, k], minlength=lattice.size)
         prob[:-1] = found / found.sum(axis=0)
         prob[-2] = np.maximum(prob[-2], 1e-9) * RARE  # shared by all letters that are no pieces
     return Model(langs, names, prob)
 
 
+def _first(rows: DataFrame, order: list[Column], n: int, spread: str) -> DataFrame:
+    """The first ``n`` rows a language in ``order``; salted first, so no task gets more than ``SALTS * n`` rows of a language."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread, F.lit(5)), F.lit(SALTS)))
+    for keys in (["lang", "_salt"], ["lang"]):
+        salted = salted.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_n") <= n)
+    return salted.drop("_salt", "_n")
+
+
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = PER_LANGUAGE, words_per_language: int = WORDS_PER_LANGUAGE, path: str | None = None) -> Model | None:
     """Fit on a bounded sample of the rows where ``learn`` holds and text and language are not null."""
@@ -231,8 +235,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"), learn.alias("learn"))
     rows = rows.filter(F.col("learn") & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("_n", F.row_number().over(pick)).filter(F.col("_n") <= per_language)
+    ids = _first(rows.select("doc_id", "lang"), [F.xxhash64("doc_id"), F.col("doc_id")], per_language, "doc_id")
     # At most per_language rows a language: a bounded list of ids.
     chosen = sorted({r[0] for r in ids.select("doc_id").collect() if r[0] is not None})
     sample = rows.filter(F.col("doc_id").isin(chosen)) if chosen else rows.limit(0)
@@ -250,8 +253,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     tally = sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
     tally = tally.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    often = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
-    tally = tally.withColumn("_n", F.row_number().over(often)).filter(F.col("_n") <= words_per_language)
+    tally = _first(tally, [F.col("n").desc(), F.col("word")], words_per_language, "word")
     counts: dict[str, dict[str, int]] = {}
     for lang, word, n in tally.select("lang", "word", "n").collect():
         counts.setdefault(lang, {})[word] = n

@@ -273,3 +273,24 @@ def test_bpe_frame(make):
     back = {r.doc_id: r.text for r in bpe.decode(enc).collect()}
     assert all(back[i] == (t or "") for i, t in rows)
     assert bpe.encode(make([])).count() == 0
+
+
+def test_language_scores_do_not_jump_with_length():
+    """One more unknown letter costs about the same at any length; very long words stay finite."""
+    words = {"the": 500, "then": 80, "of": 300, "and": 400, "with": 100}
+    model = langid.fit({"a": {w: n * 1000 for w, n in words.items()}, "b": {w[::-1]: n * 1000 for w, n in words.items()}}, langid.pieces())
+    scorer = model.scorer()
+    lengths = [1, 2, 37, 38, 39, 40, 41, 45, 300, 5000]
+    got = scorer.words(["Ж" * n for n in lengths])
+    assert np.isfinite(got).all()
+    step = got[1] - got[0]
+    for n, row in zip(lengths, got):
+        assert np.allclose(row, got[0] + step * (n - 1), rtol=1e-6)
+    long = scorer.words(["the" * 2000, "eht" * 2000])
+    assert np.isfinite(long).all() and long[0, 0] > long[0, 1] and long[1, 1] > long[1, 0]
+
+
+def test_language_id_of_an_empty_table(make):
+    docs = make([])
+    model = langid.train(docs, F.lit(True))
+    assert model is None and langid.with_language(docs, model).count() == 0
