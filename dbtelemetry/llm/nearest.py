@@ -11,14 +11,20 @@ cosine of the original vectors in double precision.
 
 Rows and probes meet in groups of bounded size: buckets are dealt to cells
 of about ``block`` rows a table, a larger bucket is split into blocks, and
-queries are split into blocks as well. A group answers with the k best per
-query, so hot buckets cost work, not rows. No row, bucket or candidate is
-capped. All parameters are independent of the data.
+where over ``query_block`` queries visit a group they are split as well. Only
+the rows of such groups are copied, once for each part of their queries, so
+what moves grows with the rows and with the work. A group answers with the k
+best per query, so hot buckets cost work, not rows. No row, bucket or candidate
+is capped. All parameters are independent of the data.
+
+A query whose probes reach fewer than k rows (or than there are, if fewer) is
+compared with all rows, exactly, in blocks of queries that are sent to all tasks.
 
 Vectors that are null, zero, or hold null or non-finite components take no
 part; vectors of different length never meet. Ties go to the smaller id. A
 query's own id is no candidate. Rows that repeat an id count as candidates
 each; the id is listed once with its best score. A null id takes no part.
+Empty input gives an empty result.
 """
 
 from __future__ import annotations
@@ -154,40 +160,76 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
            block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of each query, nearest first."""
     common.small_batches(vectors.sparkSession)
-    index = common.stored(_hashed(vectors, id_col, vec_col, tables, hashes, width, None))
+    index = _hashed(vectors, id_col, vec_col, tables, hashes, width, None)
+    index = common.stored(index.withColumn("row", F.monotonically_increasing_id()))
     asks = common.stored(_hashed(queries, id_col, vec_col, tables, hashes, width, probes))
-    rows_n, asks_n = index.count(), asks.count()
-    cells_n, asks_parts = max(1, -(-rows_n // block)), max(1, -(-asks_n // query_block))
+    cells_n = max(1, -(-index.count() // block))
     entries = index.select("id", "dim", F.posexplode("keys").alias("table", "key"))
     blocks = entries.groupBy("dim", "table", "key").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
     blocks = blocks.filter("blocks > 1")  # buckets that are split: at most one per ``block`` rows
     cell = F.pmod(F.xxhash64("key"), F.lit(cells_n)).cast("int").alias("cell")
-    group = ["dim", "table", "cell", "block", "part"]
+    place = ["dim", "table", "cell", "block"]
 
-    full = index.select("id", "dim", "vec", F.posexplode("keys").alias("table", "key"))
-    full = full.join(blocks, ["dim", "table", "key"], "left")
-    full = full.select("id", "dim", "table", "key", "vec", cell,
-                       F.pmod(F.xxhash64("id", F.lit(7)), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"),
-                       F.explode(F.sequence(F.lit(0), F.lit(asks_parts - 1))).alias("part"))
     visits = asks.select("id", "dim", F.posexplode("keys").alias("n", "key"))
     visits = visits.withColumn("table", F.floor(F.col("n") / F.lit(probes)).cast("int"))
     visits = visits.join(blocks, ["dim", "table", "key"], "left")
     visits = visits.select("id", "dim", "table", "key", cell,
                            F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("block"))
-    visits = visits.groupBy("id", "dim", "table", "cell", "block").agg(F.collect_set("key").alias("keys"))
-    visits = visits.join(asks.select("id", "dim", "vec").dropDuplicates(["id", "dim", "vec"]), ["id", "dim"])
-    visits = visits.withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(asks_parts)).cast("int"))
+    visits = common.stored(visits.groupBy("id", *place).agg(F.collect_set("key").alias("keys")))
+    crowded = visits.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("parts")).filter("parts > 1")
+    visits = visits.join(crowded, place, "left").withColumn(
+        "part", F.pmod(F.xxhash64("id", F.lit(11)), F.coalesce("parts", F.lit(1))).cast("int"))
+    whole = asks.select("id", "dim", "vec").dropDuplicates(["id", "dim", "vec"])
+    visits = visits.select("id", *place, "keys", "part").join(whole, ["id", "dim"])
+
+    full = index.select("id", "row", "dim", "vec", F.posexplode("keys").alias("table", "key"))
+    full = full.join(blocks, ["dim", "table", "key"], "left")
+    full = full.select("id", "dim", "table", "key", "vec", cell,
+                       F.pmod(F.xxhash64("row", F.lit(7)), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"))
+    full = full.join(crowded, place, "left")
+    full = full.select("id", "key", "vec", *place, F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
 
     def best(rows, asked):
         return _best(rows, asked, k)
 
-    some = full.groupBy(*group).cogroup(visits.groupBy(*group)).applyInPandas(best, "query_id long, vec_id long, score double")
+    group = [*place, "part"]
+    some = full.groupBy(*group).cogroup(visits.groupBy(*group)).applyInPandas(best, _FOUND)
+    some = common.stored(some.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+    some = some.union(_few(index, whole, some, k, query_block))
     merged = some.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (merged.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+    nearest = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return (merged.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
+_FOUND = "query_id long, vec_id long, score double"
+
+
+def _few(index: DataFrame, asks: DataFrame, found: DataFrame, k: int, query_block: int) -> DataFrame:
+    """The k best of all rows for the queries that have found fewer than k, although there are more."""
+    there = index.select("dim", "id").distinct().groupBy("dim").agg(F.count(F.lit(1)).alias("there"))  # one row a length
+    got = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("got")).withColumnRenamed("query_id", "id")
+    short = asks.join(there, "dim", "left").join(got, "id", "left")
+    # A query may or may not be among the rows itself; one candidate too many only costs a comparison.
+    short = short.filter(F.coalesce("got", F.lit(0)) < F.least(F.lit(k), F.coalesce("there", F.lit(0))))
+    short = common.stored(short.select("id", "dim", "vec"))
+    out = index.sparkSession.createDataFrame([], _FOUND)
+    blocks_n = -(-short.count() // query_block)
+    for b in range(blocks_n):
+        part = short.filter(F.pmod(F.xxhash64("id", F.lit(13)), F.lit(blocks_n)) == b).toPandas()
+        sent = index.sparkSession.sparkContext.broadcast(part.assign(keys=[[0]] * len(part)))  # about ``query_block`` queries
+
+        def run(batches, sent=sent):
+            for batch in common.chunks(batches, "vec", 8_000_000):
+                rows = batch.to_pandas().assign(key=0)
+                for dim, asked in sent.value.groupby("dim"):
+                    hits = _best(rows[rows["dim"] == dim], asked, k)
+                    yield pa.RecordBatch.from_pandas(hits, preserve_index=False)
+
+        out = out.union(index.select("id", "dim", "vec").mapInArrow(run, _FOUND))
+    return out
+
+
 def op1_multiprobe_lsh(spark, sf_dir: str) -> DataFrame:
     """The 5 nearest found of every vector whose id is divisible by 50, among all vectors."""
     vectors = common.table(spark, sf_dir, "embeddings")

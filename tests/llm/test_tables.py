@@ -54,6 +54,21 @@ def test_nearest_odd_vectors(spark):
     assert nearest.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nearest_gives_all_that_there_are(spark):
+    """Queries whose neighbours are nearly opposite still get five, or all candidates."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([[np.ones(12)], -np.ones((8, 12)) + rng.normal(0, 0.05, (8, 12))])
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)] + [(100, [1.0, 2.0]), (101, [-1.0, -2.0]), (102, [-2.0, 1.0])])
+    out = nearest.search(df, df.filter("vec_id % 50 = 0")).collect()
+    got = defaultdict(list)
+    for r in sorted(out, key=lambda r: (r.query_id, r["rank"])):
+        got[r.query_id].append(r.vec_id)
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    assert got[0] == (1 + np.argsort(-(u[1:] @ u[0]), kind="stable")[:5]).tolist()
+    assert got[100] == [102, 101]
+
+
 def test_shards_fit_and_are_minimal(make):
     rows = [(i, "x" * (i % 97)) for i in range(3000)] + [(5000, None), (None, "abc"), (7000, "y" * 5000), (8000, "z" * 900), (8000, "z" * 900)]
     out = sharding.shards(make(rows), limit=1500).collect()
