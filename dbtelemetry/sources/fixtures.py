@@ -120,7 +120,9 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
         ("statement_start_offset", "(o_orderkey % 10) * 2"),
         ("statement_end_offset", "CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE (o_orderkey % 10) * 2 + 40 END"),
         ("creation_time", "o_orderdate"),
-        ("last_execution_time", "o_orderdate + INTERVAL '1' SECOND * (o_orderkey * 7 % 864000)"),
+        ("last_execution_time", "CASE WHEN o_orderkey % 4 < 3 THEN CAST(TIMESTAMP '2024-01-01 00:00:00' "
+                                "+ INTERVAL '1' SECOND * (o_orderkey * 7 % 2592000) AS TIMESTAMP) "
+                                "ELSE o_orderdate + INTERVAL '1' SECOND * (o_orderkey * 7 % 864000) END"),
         ("execution_count", "o_orderkey * 7919 % 1000003"),
         ("total_elapsed_time", "o_orderkey * 104729 % 1000003"),
         ("total_worker_time", "o_orderkey * 15485863 % 1000003"),
@@ -349,11 +351,14 @@ RELATIONS: dict[str, tuple[str, list[tuple[str, str]]]] = {
          "<blocked-process-report><blocked-process><process spid=\"' || CAST(user_id AS STRING) "
          "|| '\" waittime=\"' || CAST(CAST(FLOOR(value * 1000000) AS BIGINT) AS STRING) "
          "|| '\" waitresource=\"KEY: ' || CAST(user_id % 5 AS STRING) || '\" xactid=\"' "
-         "|| CAST(user_id AS STRING) || '\" lockMode=\"S\"><executionStack><frame ' "
+         "|| CAST(user_id AS STRING) || '\" lockMode=\"S\" isolationlevel=\"' "
+         "|| CASE WHEN user_id % 3 = 0 THEN 'serializable (4)' ELSE 'read committed (2)' END || '\"><executionStack><frame ' "
          "|| CASE WHEN event_id % 4 = 0 THEN '' ELSE 'stmtstart=\"4\" stmtend=\"44\" ' END "
          "|| 'sqlhandle=\"0x0' || CAST(user_id % 10 AS STRING) || '\"/></executionStack><inputbuf>select 1"
          "</inputbuf></process></blocked-process><blocking-process><process spid=\"' "
-         "|| CAST(user_id + 1 AS STRING) || '\" status=\"sleeping\" trancount=\"1\"/></blocking-process>"
+         "|| CAST(user_id + 1 AS STRING) || '\" status=\"sleeping\" trancount=\"1\"><executionStack><frame stmtstart=\"4\" "
+         "stmtend=\"44\" sqlhandle=\"0x0' || CAST((user_id + 1) % 10 AS STRING) || '\"/></executionStack><inputbuf>update t "
+         "set a = 1</inputbuf></process></blocking-process>"
          "</blocked-process-report></TextData></EVENT_INSTANCE>'"),
     ]),
     "wait_type_description": (

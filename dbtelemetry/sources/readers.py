@@ -120,6 +120,18 @@ def across_tables(df: DataFrame, table_col: str = "table_name", measures: Sequen
     return df.groupBy(table_col).agg(*[F.sum(m).alias(m) for m in measures])
 
 
+def over_all_cores(df: DataFrame) -> DataFrame:
+    """``df`` with at least one partition a core, for costly work on each row.
+
+    A small file is one partition, and its rows would be parsed by one core.
+    Inputs of enough partitions stay as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def message_source(spark: SparkSession, path_or_topic: str, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
     """The blocked-process queue as a streaming DataFrame, with a unique ``message_id`` that follows the queue's order.
 

@@ -26,6 +26,7 @@ from dbtelemetry.functions import tsql
 from dbtelemetry.operators.asof import latest_covering
 from dbtelemetry.operators.common import db_name, spread_left_join
 from dbtelemetry.sources import sinks
+from dbtelemetry.sources.readers import message_source, over_all_cores
 from dbtelemetry.streaming.merge_fold import fold_sorted_partitions
 
 # Fixed values of the event source and the merge.
@@ -90,7 +91,7 @@ def parse_messages(messages: DataFrame, body_col: str = "message_body", type_col
     other message is parsed; ``parse_ok`` is false when the body is not
     well-formed XML with an event type.
     """
-    m = messages.filter(~F.col(type_col).endswith(END_DIALOG_SUFFIX))
+    m = over_all_cores(messages).filter(~F.col(type_col).endswith(END_DIALOG_SUFFIX))
     # explode(array(...)) is an evaluation barrier: without it the optimizer
     # pushes the routing filters below this projection and parses each
     # message once per referenced field.
@@ -556,8 +557,6 @@ def start_blocking_job(spark, source: str, out_dir: str, checkpoint_dir: str, fm
     with ``{"availableNow": True}`` the second query starts when the first
     has ended. Returns both queries.
     """
-    from dbtelemetry.sources.readers import message_source
-
     capture = f"{out_dir}/capture"
     rows = captured(message_source(spark, source, fmt, options=source_options))
     trig = trigger or {"processingTime": "10 seconds"}
