@@ -294,3 +294,98 @@ def test_language_id_of_an_empty_table(make):
     docs = make([])
     model = langid.train(docs, F.lit(True))
     assert model is None and langid.with_language(docs, model).count() == 0
+
+
+def scalar_logit(net, window):
+    """The network's logit of one window, one number at a time."""
+    h_n, p = toxicity.HIDDEN, {k: v.astype(float) for k, v in net.p.items()}
+    dot = lambda a, b: sum(float(x) * float(y) for x, y in zip(a, b))
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    inputs = []
+    for w in window:
+        codes = [ord(c) for c in w]
+        rows = [p["char"][(c * 131 + (1 if i == 0 else codes[i - 1]) * 7919) % toxicity.CHARS] for i, c in enumerate(codes)]
+        inputs.append([*p["word"][net.vocab.get(w, 0)], *[sum(r[k] for r in rows) / len(rows) for k in range(toxicity.CHAR_DIM)]])
+    states = {}
+    for side, turn in (("f", range(len(window))), ("b", range(len(window) - 1, -1, -1))):
+        h = [0.0] * h_n
+        for t in turn:
+            g = [dot(inputs[t], p["w" + side][:, k]) + p["b" + side][k] for k in range(3 * h_n)]
+            v = [dot(h, p["u" + side][:, k]) for k in range(3 * h_n)]
+            z = [sigmoid(g[k] + v[k]) for k in range(h_n)]
+            r = [sigmoid(g[k + h_n] + v[k + h_n]) for k in range(h_n)]
+            n = [math.tanh(g[k + 2 * h_n] + r[k] * v[k + 2 * h_n]) for k in range(h_n)]
+            h = [n[k] + z[k] * (h[k] - n[k]) for k in range(h_n)]
+            states[side, t] = h
+    both = [[*states["f", t], *states["b", t]] for t in range(len(window))]
+    weight = [math.exp(dot(b, p["attend"])) for b in both]
+    pooled = [sum(w * b[k] for w, b in zip(weight, both)) / sum(weight) for k in range(2 * h_n)]
+    return dot(pooled, p["out"]) + float(p["bias"][0])
+
+
+def test_toxicity_forward_against_scalars():
+    rng = random.Random(9)
+    words = ["the", "of", "vile", "scum", "naïve", "x", "longerword"]
+    net = toxicity.Network({w: i + 1 for i, w in enumerate(words[:4])}, np.array([0.1, -0.2, 2.0, 1.5]), seed=3)
+    windows = [[rng.choice(words) for _ in range(rng.randint(1, 7))] for _ in range(5)]
+    seen, at = toxicity._places(windows)
+    logit, _ = net.forward(*net.projected(net.inputs(seen)[0]), at)
+    assert np.allclose(logit, [scalar_logit(net, w) for w in windows], atol=1e-4)
+    # A text's logit is that of its largest window, whatever else is in the chunk.
+    text = " ".join(rng.choice(words) for _ in range(toxicity.WINDOW * 2 + 7))
+    scorer = toxicity.Model(0.0, net, np.array([0.0, 1.0, 0.0])).scorer()
+    largest, count = scorer.logits(["of the", text, ""])
+    own = [scalar_logit(net, w) for w in toxicity._windows(toxicity.words_of(text))]
+    assert abs(largest[1] - max(own)) < 1e-4 and count.tolist()[1:] == [len(own), 0]
+
+
+def test_toxicity_of_an_empty_table(spark, make):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.train(make([]), labels, F.lit(True))
+    assert toxicity.with_toxicity(make([]), model).count() == 0
+
+
+def test_lm_score_against_scalars():
+    """Every token's probability by the definition: class among all classes, bucket in its group, share in its bucket."""
+    count = {b"w%d" % i: 1 + i % 7 for i in range(400)} | {lm.END: 50, b"the": 90, b"of": 60}
+    words = [b"the", b"of", lm.END]
+    size = 5
+    mass = np.zeros(lm.GROUPS * size)
+    for w, c in count.items():
+        if w not in words:
+            mass[lm.bucket(w, lm.GROUPS, size)] += c + lm.SMOOTHING
+    model = lm.new_model(words, [90, 60, 50], sum(count.values()), len(count), mass=mass)
+    trainer = lm.Trainer(model, 0)
+    trainer.texts(["the w1 of w2 w3", "of the w9"] * 50)
+    p = {k: v.astype(float) for k, v in trainer.model.p.items()}
+    text = "the w1 never of w2 w399 the the w7 unseen"
+    own = [*text.encode().split(), lm.END]
+    ids = [model.ids(w)[1] for w in own]
+    want = 0.0
+    for i, w in enumerate(own):
+        if w not in count:
+            want += math.log10(0.1 / (model.total + 0.1 * (model.distinct + 1)))
+            continue
+        r = sum(p["at"][j] * p["context"][ids[i - 1 - j] if i > j else model.start] for j in range(lm.CONTEXT))
+        out = model.ids(w)[0]
+        groups = model.mass.sum(axis=1)
+        cls = out if out < 3 else 3 + (out - 3) // size
+        logits = {k: r @ p["word"][k] + p["bias"][k] for k in range(model.classes) if k < 3 or groups[k - 3] > 0}
+        want += (logits[cls] - math.log(sum(math.exp(v) for v in logits.values()))) / math.log(10)
+        if out >= 3:
+            g = (out - 3) // size
+            inner = {k: r @ p["inner"][g * size + k] + p["inner_bias"][g * size + k] for k in range(size) if model.mass[g, k] > 0}
+            want += (inner[(out - 3) % size] - math.log(sum(math.exp(v) for v in inner.values()))) / math.log(10)
+            want += math.log10((count[w] + 0.1) / model.mass.reshape(-1)[out - 3])
+        want += math.log10(1 - 0.1 / model.base_mass)
+    known = pd.DataFrame({"word": [*count, b"never", b"unseen"], "c": [*count.values(), 0, 0]})
+    got = lm.score_chunk(trainer.model, pd.DataFrame({"doc_id": [1], "held_out": [True], "text": [text]}), known).iloc[0]
+    assert abs(got.score - want) < 1e-4 and got.n_known == len(own) - 2
+
+
+def test_lm_repeated_rows_and_a_long_text(make):
+    rows = [(7, "the of and")] * 300 + [(8, prose(EN, 30_000, 2)), (9, "the of and"), (10, None)]
+    out = lm.scores(make(rows), common.remainder("doc_id", 10) == 0, classes=8, chunk=2000).collect()
+    assert len(out) == len(rows)
+    assert len({(r.n_tokens, r.base_score, round(r.score, 9)) for r in out if r.doc_id == 7}) == 1
+    assert {r.n_tokens for r in out if r.doc_id in (8, 10)} == {30_001, 1}
