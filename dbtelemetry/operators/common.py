@@ -98,12 +98,6 @@ def lookup_plan(df: DataFrame, plans: DataFrame, handle_col: str = "plan_handle"
     return _keyed_lookup(df, lookup, handle_col, "__p", how, keys)
 
 
-def bounded_lookup(df: DataFrame) -> DataFrame:
-    """Broadcast a lookup whose size is fixed by its definition (a constant
-    catalog such as wait-type or trace-event names), never data-sized."""
-    return F.broadcast(df)
-
-
 def except_rows(a: DataFrame, b: DataFrame, cols: Sequence[str], case_sensitive: bool = False) -> DataFrame:
     """``SELECT cols FROM a EXCEPT SELECT cols FROM b`` with the string columns under the collation; NULLs are equal.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
-from dbtelemetry.operators.common import Keys, bounded_lookup, on, with_absent
+from dbtelemetry.operators.common import Keys, on, with_absent
 
 # Fixed values of the default-trace report: statistics objects and tempdb are skipped,
 # and system sessions (spid 50 and below) are ignored.
@@ -24,19 +24,17 @@ def default_trace_today(trace: DataFrame, subclasses: DataFrame, events: DataFra
     Event and category names are inner joins, the object-type name a left
     join on (event, subclass value). The ``<>`` tests drop rows with a NULL
     object type or database, as in the reference. The three lookups are
-    the server's fixed trace catalogs (a few hundred rows), so they are
-    broadcast; the trace rows are never shuffled.
+    the server's trace catalogs (a few hundred rows), which AQE broadcasts
+    from their measured size; the trace rows are not shuffled then.
     """
     since = tsql.start_of_day(tsql.as_ts(as_of))
     trace = with_absent(trace, "string", "server_name", "object_name", "login_name", "application_name")
     gt = trace.filter((F.col("spid") > SYSTEM_SPID_MAX) & (F.col("object_type") != STATISTICS_OBJECT_TYPE)
                       & (F.col("database_name") != "tempdb") & (F.col("start_time") >= since)
                       & (F.col("start_time") < since + F.expr("INTERVAL 1 DAY")))
-    sv = bounded_lookup(subclasses.select(F.col("trace_event_id").alias("__sv_ev"),
-                                          F.col("subclass_value").alias("__sv_val"), "subclass_name"))
-    ev = bounded_lookup(events.select(F.col("trace_event_id").alias("__ev"), F.col("name").alias("event_name"),
-                                      "category_id"))
-    cat = bounded_lookup(categories.select(F.col("category_id").alias("__cat"), F.col("name").alias("category")))
+    sv = subclasses.select(F.col("trace_event_id").alias("__sv_ev"), F.col("subclass_value").alias("__sv_val"), "subclass_name")
+    ev = events.select(F.col("trace_event_id").alias("__ev"), F.col("name").alias("event_name"), "category_id")
+    cat = categories.select(F.col("category_id").alias("__cat"), F.col("name").alias("category"))
     j = gt.join(sv, (gt["event_class"] == sv["__sv_ev"]) & (sv["__sv_val"] == gt["object_type"]), "left")
     j = j.join(ev, j["event_class"] == ev["__ev"]).join(cat, F.col("category_id") == cat["__cat"])
     return j.select(*keys, *[c for c in ("server_name", "object_name", "login_name", "application_name")
