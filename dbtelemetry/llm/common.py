@@ -46,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage there: a lost executor costs a re-read, not a
@@ -54,7 +54,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -76,7 +76,7 @@ def templates(lines: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) ->
     # Fewer free tokens than this cannot differ in one and still agree in enough.
     least = depth + next(m for m in range(1, 1000) if m - 1 >= similar * m)
     texts = lines.filter(F.col("n") >= least).select("leaf", "lh", "n", "key").join(shared, "leaf", "left_semi").distinct()
-    texts = common.stored(texts.join(seen, ["leaf", "lh"]))
+    texts = common.stored(texts.join(seen, ["leaf", "lh"]), "zstd")
     free = F.slice(F.split("key", " ", -1), F.lit(depth + 1), F.col("n") - depth)
     m = F.col("n") - depth
     cut = lambda k: F.floor(k * m / QUARTERS).cast("int")
@@ -87,7 +87,7 @@ def templates(lines: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) ->
     parts = common.stored(parts.select("leaf", "lh", F.xxhash64("k", F.array_join("part", " ")).alias("path")))
     several = parts.groupBy("leaf", "path").count().filter("count > 1").select("leaf", "path")
     parts = parts.join(several, ["leaf", "path"], "left_semi").join(texts, ["leaf", "lh"])
-    parts = common.stored(parts.select("leaf", "path", "lh", "docs", "n", "key"))
+    parts = common.stored(parts.select("leaf", "path", "lh", "docs", "n", "key"), "zstd")
     anchor = parts.groupBy("leaf", "path").agg(F.max(F.struct("docs", "key")).alias("top"))
     pair = parts.join(anchor.select("leaf", "path", F.col("top.key").alias("anchor")), ["leaf", "path"])
     rest = lambda c: F.slice(F.split(c, " ", -1), F.lit(depth + 1), F.col("n") - depth)
@@ -97,7 +97,7 @@ def templates(lines: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) ->
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
                   similar: float = SIMILAR, few: int = FEW, long: int = LONG) -> DataFrame:
     """``doc, th, pos`` (id, text hash and line number) of the lines that go."""
-    lines = common.stored(_lines(docs, id_col, text_col, depth))
+    lines = common.stored(_lines(docs, id_col, text_col, depth), "zstd")
     narrow = lines.select("doc", "th", "pos", "n", "leaf", "lh")
     shared = narrow.join(templates(lines, depth, similar), ["leaf", "lh"])
     own = narrow.withColumn("path", F.col("lh")).withColumn("own", F.lit(True))
