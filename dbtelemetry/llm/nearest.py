@@ -166,7 +166,7 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     cells_n = max(1, -(-index.count() // block))
     entries = index.select("id", "dim", F.posexplode("keys").alias("table", "key"))
     blocks = entries.groupBy("dim", "table", "key").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-    blocks = blocks.filter("blocks > 1")  # buckets that are split: at most one per ``block`` rows
+    blocks = _sent(blocks.filter("blocks > 1"))  # buckets that are split: at most one per ``block`` rows
     cell = F.pmod(F.xxhash64("key"), F.lit(cells_n)).cast("int").alias("cell")
     place = ["dim", "table", "cell", "block"]
 
@@ -176,7 +176,8 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     visits = visits.select("id", "dim", "table", "key", cell,
                            F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("block"))
     visits = common.stored(visits.groupBy("id", *place).agg(F.collect_set("key").alias("keys")))
-    crowded = visits.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("parts")).filter("parts > 1")
+    crowded = visits.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("parts"))
+    crowded = _sent(crowded.filter("parts > 1"))  # at most one per ``query_block`` visits
     visits = visits.join(crowded, place, "left").withColumn(
         "part", F.pmod(F.xxhash64("id", F.lit(11)), F.coalesce("parts", F.lit(1))).cast("int"))
     whole = asks.select("id", "dim", "vec").dropDuplicates(["id", "dim", "vec"])
@@ -202,6 +203,15 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
+SENT_ROWS = 100_000
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    """A stored table for joins, broadcast if it has few rows: the rows that it meets carry vectors and need not move."""
+    table = common.stored(table)
+    return F.broadcast(table) if table.count() <= SENT_ROWS else table
+
+
 _FOUND = "query_id long, vec_id long, score double"
 
 
