@@ -227,7 +227,8 @@ def _episodes(narrow: DataFrame, num_partitions: int | None) -> DataFrame:
     back = Window.partitionBy("__pid", "__key").orderBy(*[F.col(c).desc() for c in order])
     before = F.greatest("__t_in", F.max("__t").over(run.rowsBetween(Window.unboundedPreceding, -1)))
     after = F.least("__thr_in", F.min("__thr").over(back.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("__before", before).withColumn("__after", after)
+    # Backward first: all forward windows then share one sort.
+    rows = rows.withColumn("__after", after).withColumn("__before", before)
     split = F.col("__before").isNull() | (F.col("__before") < F.col("__after"))
     rows = rows.withColumn("__split", split)
     opener = F.when(F.col("__split"), F.col("__rid"))
