@@ -196,13 +196,12 @@ def _summed(rows: np.ndarray, ids: np.ndarray, slot: np.ndarray) -> tuple[np.nda
     return found, np.stack([np.bincount(at, column, len(found)) for column in rows.T], axis=1)
 
 
-def _chance(logit: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(-logit)), in place."""
-    np.maximum(logit, -30, out=logit)
-    np.negative(logit, out=logit)
-    np.exp(logit, out=logit)
-    logit += 1.0
-    return np.reciprocal(logit, out=logit)
+def _chance(negative: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-logit)) from -logit, in place; a logit far below zero gives zero."""
+    with np.errstate(over="ignore"):
+        np.exp(negative, out=negative)
+    negative += 1.0
+    return np.reciprocal(negative, out=negative)
 
 
 class Trainer:
@@ -241,10 +240,12 @@ class Trainer:
         parts = [p["context"][c] for c in back]
         r = sum(p["at"][j] * c for j, c in enumerate(parts))
         wt, wn = p["word"][target], p["word"][drawn]
-        st = np.einsum("nd,nd->n", r, wt) + p["bias"][target] - self.log_noise[target]
-        sn = r @ wn.T + (p["bias"][drawn] - self.log_noise[drawn])
+        st = self.log_noise[target] - p["bias"][target] - np.einsum("nd,nd->n", r, wt)
+        sn = r @ -wn.T
+        sn += self.log_noise[drawn] - p["bias"][drawn]
         # Derivatives of the objective by the logits: data rows up, noise rows down.
-        gt, gn = (1.0 - _chance(st)) / n, _chance(sn) / -n
+        gt, gn = (1.0 - _chance(st)) / n, _chance(sn)
+        gn *= np.float32(-1.0 / n)
         dr = gt[:, None] * wt + gn @ wn
         rows = (gt[:, None] * r).T
         g = {"word": np.stack([np.bincount(target, c, len(p["word"])) for c in rows], axis=1),
@@ -268,16 +269,16 @@ class Trainer:
             0, np.cumsum(np.bincount(buckets // size, minlength=groups)))
         r, buckets = r[order], buckets[order]
         wt = p["inner"][buckets]
-        gt = (1.0 - _chance(np.einsum("nd,nd->n", r, wt) + p["inner_bias"][buckets] - self.inner_log_noise[buckets])) / n
+        gt = (1.0 - _chance(self.inner_log_noise[buckets] - p["inner_bias"][buckets] - np.einsum("nd,nd->n", r, wt))) / n
         first = np.arange(groups)[:, None]
         drawn = np.searchsorted(self.inner_cumulative, first + self.rng.random((groups, INNER_NOISE)), side="right")
         drawn = drawn.clip(first * size, first * size + size - 1)
-        wn, bn = p["inner"][drawn], p["inner_bias"][drawn] - self.inner_log_noise[drawn]
+        wn, bn = p["inner"][drawn], self.inner_log_noise[drawn] - p["inner_bias"][drawn]
         out = gt[:, None] * wt
         noise, noise_bias = np.zeros_like(wn), np.zeros_like(bn)
         for g in np.flatnonzero(np.diff(ends)):
             own = slice(ends[g], ends[g + 1])
-            gn = _chance(r[own] @ wn[g].T + bn[g]) / -n
+            gn = _chance(bn[g] - r[own] @ wn[g].T) / -n
             out[own] += gn @ wn[g]
             noise[g], noise_bias[g] = gn.T @ r[own], gn.sum(axis=0)
         ids = np.concatenate([buckets, drawn.reshape(-1)])
@@ -351,16 +352,18 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
 def _log_sums(vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray, block: int = 512) -> np.ndarray:
     """Logarithm of the sum over all classes of exp(logit), for each vector."""
     out = np.empty(len(vectors))
-    columns, ones = np.ascontiguousarray(weights.T), np.ones(len(weights), np.float32)
+    # The bias is one more row of the product, which a last entry of one picks.
+    columns, ones = np.concatenate((weights.T, bias[None])).astype(np.float32), np.ones(len(weights), np.float32)
+    own = np.ones((block, vectors.shape[1] + 1), np.float32)
     live = bias[bias > -1e29]
     reach = np.sqrt((vectors * vectors).sum(axis=1).max(initial=0)) * np.sqrt((weights * weights).sum(axis=1).max())
     # No logit can leave the range of exp in single precision: no need to find each row's largest.
     safe = reach + np.abs(live).max(initial=0) < 60
     space = np.empty((block, len(weights)), np.float32)
     for k in range(0, len(vectors), block):
-        own = vectors[k:k + block]
-        logit = np.matmul(own, columns, out=space[:len(own)])
-        logit += bias
+        some = vectors[k:k + block]
+        own[:len(some), :-1] = some
+        logit = np.matmul(own[:len(some)], columns, out=space[:len(some)])
         top = 0.0
         if not safe:
             top = logit.max(axis=1)
@@ -488,8 +491,9 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(ids)], names=["word", "c", "id"])
 
     # A known token's id travels in place of the token.
+    # Hashed, not sorted: a partition's distinct tokens are its share of the counts.
     known = tokens.select(F.col("chunk").alias("of_chunk"), "at", "word").join(
-        counts.mapInArrow(numbered, "word binary, c long, id long"), "word", "left")
+        counts.mapInArrow(numbered, "word binary, c long, id long").hint("shuffle_hash"), "word", "left")
     known = known.select("of_chunk", "at", "c", "id", F.when(F.col("c").isNull(), F.col("word")).alias("word"))
     bodies = table.filter(F.col("at").isNull()).select("chunk", "ids", "held", "bounds", "numbers")
 
