@@ -461,3 +461,14 @@ def test_parameter_filters(spark):
                                r("job_history")).count()
     assert with_cat <= without
     assert storage.event_log_search(r("event_log"), "%ERROR%", case_sensitive=True).count() == 0
+
+
+def test_no_column_of_these_reports_is_null_throughout(spark):
+    import __spark_entry__ as entry
+
+    qs = entry.queries()
+    for name in ("running_requests", "unused_indexes", "failed_jobs", "job_report", "blocked_process_events", "table_row_counts",
+                 "last_restore", "low_disk_space_html"):
+        df = qs[name](spark, SF_SMALL)
+        row = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(c)).alias(c) for c in df.columns]).first()
+        assert all(row[c] for c in ("__rows", *df.columns)), (name, row)
