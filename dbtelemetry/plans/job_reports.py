@@ -81,6 +81,7 @@ def _pad6(x: str) -> str:
     return f"CASE WHEN length({x}::VARCHAR) <= 6 THEN lpad({x}::VARCHAR, 6, '0') END"
 
 
+# The VALUES lists are fixed values: the schedule words that the report must show, as in operators/jobs.py.
 _DECODE_SQL = f"""
 day_bits(bit, day) AS (VALUES (1, 'Sunday'), (2, 'Monday'), (4, 'Tuesday'), (8, 'Wednesday'), (16, 'Thursday'),
                              (32, 'Friday'), (64, 'Saturday')),

@@ -132,6 +132,7 @@ def _unused_procedures(rel):
 
 # ---------------------------------------------------------------- backups
 
+# The VALUES lists are fixed values: the label texts that the report must show, as in operators/backups.py.
 _BACKUP_HISTORY_SQL = """
 WITH level_label(level, label) AS (VALUES (80, 'SQL Server 2000'), (90, 'SQL Server 2005 '), (100, 'SQL Server 2008'),
                                           (110, 'SQL Server 2011')),
