@@ -34,7 +34,7 @@ from dbtelemetry.llm import common
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 VOCABULARY = "byte_bpe_50k.json"
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 3_000_000
 CACHE_WORDS = 250_000
 CACHE_CHARS = 48
 
