@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dbtelemetry.functions import tsql
 from dbtelemetry.operators.common import Keys, lookup_plan, lookup_text, on, with_absent
-from dbtelemetry.operators.ordering import in_order
+from dbtelemetry.operators.ordering import in_order_with
 
 # Allocation-page rules and labels of the contention report.
 PFS_INTERVAL = 8088
@@ -104,12 +104,13 @@ def tempdb_sessions(task_space: DataFrame, requests: DataFrame, sql_text: DataFr
     head = lookup_text(narrow, sql_text, keys=keys).select(*narrow.columns, F.substring(stmt, 1, HEAD).alias("__head"))
     order = [*keys, F.col("internal_object_dealloc_mb").desc(), F.col("__head").desc()]
 
-    def attach(rows: DataFrame) -> DataFrame:
-        wide = lookup_plan(lookup_text(rows, sql_text, keys=keys), plans, keys=keys)
+    def stated(wide: DataFrame) -> DataFrame:
         wide = wide.filter(F.col("text").isNotNull() | F.col("query_plan").isNotNull())
         return wide.withColumn("statement_text", stmt)
 
-    out = in_order(head, order, attach, within=[F.col("statement_text").desc()])
+    finds = {"sql_handle": lambda need: lookup_text(need, sql_text, how="inner", keys=keys),
+             "plan_handle": lambda need: lookup_plan(need, plans, how="inner", keys=keys)}
+    out = in_order_with(head, order, finds, keys, then=stated, within=[F.col("statement_text").desc()])
     return out.select(*keys, "session_id", (F.col("alloc_pages") / F.lit(128.0)).alias("internal_object_mb"),
                       "internal_object_dealloc_mb", "text", "statement_text", "query_plan")
 
