@@ -86,13 +86,20 @@ def trace_source(spark: SparkSession, path_glob: str, fmt: str = "parquet", sche
     return reader.load(path_glob)
 
 
-def text_source(spark: SparkSession, path: str, server_from_path: bool = True) -> DataFrame:
+def text_source(spark: SparkSession, path: str, server_from_path: bool = True, server_in_line: bool = False) -> DataFrame:
     """Captured command output as rows of text (``INSERT ... EXEC`` of a shell command).
 
     One row per line in column ``output``; the server name is taken from
     the parent folder when the captures are laid out one folder per server.
+    With ``server_in_line`` the files hold many servers, as
+    :func:`~dbtelemetry.sources.sinks.write_output` writes them: the name,
+    URL-encoded, and a tab begin each line (NULL for a line without a tab).
     """
     df = spark.read.text(path).withColumnRenamed("value", "output")
+    if server_in_line:
+        tab, line = F.instr("output", "\t"), F.col("output")
+        return df.select(F.when(tab == 0, line).otherwise(line.substr(tab + 1, F.length(line))).alias("output"),
+                         F.when(tab > 0, F.url_decode(line.substr(F.lit(1), tab - 1))).alias("server_name"))
     if server_from_path:
         df = df.withColumn("server_name", F.element_at(F.split(F.input_file_name(), "/"), -2))
     return df
