@@ -84,18 +84,42 @@ def bucket(word: bytes, groups: int, size: int) -> int:
     return (tail[0] * 31 + tail[-1]) % groups * size + zlib.crc32(word) % size
 
 
+#: CRC-32 of each byte, for the words of a batch at once.
+_CRC = np.array([zlib.crc32(bytes([b])) ^ 0xFF000000 for b in range(256)], np.uint32) ^ np.uint32(zlib.crc32(b"\0") ^ 0xFF000000)
+#: Words longer than this are hashed one by one.
+_LONG = 64
+
+
+def buckets(words: pa.Array, groups: int, size: int) -> np.ndarray:
+    """``bucket`` of many words (large_binary, none empty)."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data, start, n = np.frombuffer(words.buffers()[2], np.uint8), at[:-1], np.diff(at)
+    crc = np.full(len(n), 0xFFFFFFFF, np.uint32)
+    live = np.flatnonzero(n <= _LONG)
+    for k in range(_LONG):
+        live = live[n[live] > k]
+        if not len(live):
+            break
+        own = crc[live]
+        crc[live] = _CRC[(own ^ data[start[live] + k]) & 255] ^ (own >> np.uint32(8))
+    crc = ~crc
+    for i in np.flatnonzero(n > _LONG):
+        crc[i] = zlib.crc32(words[int(i)].as_py())
+    first, last = data[at[1:] - np.minimum(n, 2)].astype(np.int64), data[at[1:] - 1].astype(np.int64)
+    return (first * 31 + last) % groups * size + crc.astype(np.int64) % size
+
+
 def count_buckets(counts: DataFrame, words: list[bytes], size: int) -> np.ndarray:
     """Smoothed counts by bucket of the tokens that are not ``words``."""
-    top = frozenset(words)
-
     def run(batches):
-        mass = np.zeros(GROUPS * size)
+        mass, top = np.zeros(GROUPS * size), pa.array(words, pa.large_binary())
         for batch in batches:
-            rest = [(bucket(w, GROUPS, size), c) for w, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(), strict=True)
-                    if w not in top]
-            if rest:
-                at, c = np.array(rest, np.int64).T
-                mass += np.bincount(at, c + SMOOTHING, len(mass))
+            found = batch.column("word").cast(pa.large_binary())
+            rest = pc.is_null(pc.index_in(found, value_set=top))
+            c = batch.column("c").filter(rest).to_numpy(zero_copy_only=False)
+            mass += np.bincount(buckets(found.filter(rest), GROUPS, size), c + SMOOTHING, len(mass))
         at = np.flatnonzero(mass)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int64()), "mass": pa.array(mass[at], pa.float64())})
 
@@ -147,7 +171,7 @@ class Model:
         out = pc.index_in(words, value_set=self.listed).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         rest = np.flatnonzero(out < 0)
         groups, size = self.mass.shape
-        out[rest] = [len(self.words) + bucket(w, groups, size) for w in words.take(pa.array(rest)).to_pylist()]
+        out[rest] = len(self.words) + buckets(words.take(pa.array(rest)), groups, size)
         return out
 
     def levels(self, out: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,14 +210,12 @@ def new_model(words: list[bytes], counts: list[int], total: int, distinct: int,
     return Model(words, c, total, distinct, {k: v.astype(np.float32) for k, v in p.items()}, mass)
 
 
-def _summed(rows: np.ndarray, ids: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids and the sums of ``rows`` by them; ``slot`` is scratch space with a place for every id."""
-    each = np.arange(len(ids))
-    slot[ids] = each
-    found = ids[slot[ids] == each]
-    slot[found] = np.arange(len(found))
-    at = slot[ids]
-    return found, np.stack([np.bincount(at, column, len(found)) for column in rows.T], axis=1)
+def _summed(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids and the sums of ``rows`` by them."""
+    order = np.argsort(ids.astype(np.uint16) if ids.max() < 1 << 16 else ids, kind="stable")
+    ids = ids[order]
+    heads = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return ids[heads], np.add.reduceat(rows[order], heads, axis=0)
 
 
 def _chance(negative: np.ndarray) -> np.ndarray:
@@ -220,7 +242,6 @@ class Trainer:
         mass = model.mass / np.maximum(model.mass.sum(axis=1, keepdims=True), 1e-30)
         self.inner_cumulative = (np.cumsum(mass, axis=1) + np.arange(len(mass))[:, None]).reshape(-1)
         self.inner_log_noise = np.log(INNER_NOISE * np.maximum(mass, 1e-30)).reshape(-1).astype(np.float32)
-        self.slot = {k: np.zeros(len(self.p[k]), np.int64) for k in ("context", "inner")}
         self.tokens = 0
 
     def texts(self, texts: pa.Array | list[str | None]) -> None:
@@ -247,17 +268,17 @@ class Trainer:
         gt, gn = (1.0 - _chance(st)) / n, _chance(sn)
         gn *= np.float32(-1.0 / n)
         dr = gt[:, None] * wt + gn @ wn
-        rows = (gt[:, None] * r).T
-        g = {"word": np.stack([np.bincount(target, c, len(p["word"])) for c in rows], axis=1),
-             "bias": np.bincount(target, gt, len(p["bias"])), "at": np.zeros_like(p["at"])}
+        word = np.zeros_like(p["word"])
+        found, sums = _summed(gt[:, None] * r, target)
+        word[found] = sums
+        g = {"word": word, "bias": np.bincount(target, gt, len(p["bias"])), "at": np.zeros_like(p["at"])}
         np.add.at(g["word"], drawn, gn.T @ r)
         np.add.at(g["bias"], drawn, gn.sum(axis=0))
         if len(inner) and self.model.mass.shape[1] > 1:
             dr[inner] += self.inner_step(r[inner], buckets, n)
         for j, c in enumerate(parts):
             g["at"][j] = np.einsum("nd,nd->d", dr, c)
-        self.add("context", *_summed(np.concatenate([dr * p["at"][j] for j in range(len(back))]), np.concatenate(back),
-                                     self.slot["context"]), n)
+        self.add("context", *_summed(np.concatenate([dr * p["at"][j] for j in range(len(back))]), np.concatenate(back)), n)
         for k, v in g.items():
             self.add(k, slice(None), v, n)
 
@@ -275,16 +296,20 @@ class Trainer:
         drawn = drawn.clip(first * size, first * size + size - 1)
         wn, bn = p["inner"][drawn], self.inner_log_noise[drawn] - p["inner_bias"][drawn]
         out = gt[:, None] * wt
-        noise, noise_bias = np.zeros_like(wn), np.zeros_like(bn)
-        for g in np.flatnonzero(np.diff(ends)):
-            own = slice(ends[g], ends[g + 1])
-            gn = _chance(bn[g] - r[own] @ wn[g].T) / -n
-            out[own] += gn @ wn[g]
-            noise[g], noise_bias[g] = gn.T @ r[own], gn.sum(axis=0)
+        # The groups' rows side by side, all as long as the longest; the noise of the places left empty counts nothing.
+        own = np.diff(ends)
+        line = np.repeat(np.arange(groups), own), np.arange(len(r)) - np.repeat(ends[:-1], own)
+        side = np.zeros((groups, own.max(), r.shape[1]), r.dtype)
+        side[line] = r
+        gn = _chance(bn[:, None] - side @ wn.transpose(0, 2, 1))
+        gn *= np.float32(-1.0 / n)
+        gn *= (np.arange(side.shape[1]) < own[:, None])[:, :, None]
+        out += (gn @ wn)[line]
+        noise, noise_bias = gn.transpose(0, 2, 1) @ side, gn.sum(axis=1)
         ids = np.concatenate([buckets, drawn.reshape(-1)])
         rows = np.concatenate([np.column_stack([gt[:, None] * r, gt]),
                                np.column_stack([noise.reshape(-1, r.shape[1]), noise_bias.reshape(-1)])])
-        found, sums = _summed(rows, ids, self.slot["inner"])
+        found, sums = _summed(rows, ids)
         self.add("inner", found, sums[:, :-1], n)
         self.add("inner_bias", found, sums[:, -1], n)
         back = np.empty_like(out)
@@ -372,6 +397,33 @@ def _log_sums(vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray, block:
     return out
 
 
+def _pair_log_sums(model: Model, found: np.ndarray, bias: np.ndarray, block: int = 256, step: int = 2048) -> np.ndarray | None:
+    """``_log_sums`` over the classes for pairs of context tokens, sorted; None if exp could leave its range.
+
+    A logit is the sum of what either token gives, so its exp is a product:
+    exp is taken once a token and class, not once a pair and class.
+    """
+    p, size = model.p, model.start + 1
+    each = [found // size**j % size for j in range(CONTEXT)]
+    parts, slots = [], []
+    for j, c in enumerate(each):
+        ids, slot = np.unique(c, return_inverse=True)
+        parts.append(p["context"][ids] * p["at"][j])
+        slots.append(slot)
+    longest = np.sqrt((p["word"] * p["word"]).sum(axis=1).max())
+    reach = sum(np.sqrt((v * v).sum(axis=1).max(initial=0)) for v in parts) * longest
+    if reach + np.abs(bias[bias > -1e29]).max(initial=0) >= 60:
+        return None
+    sums = np.zeros(len(found))
+    for b in range(0, len(bias), block):
+        weights = p["word"][b:b + block].T
+        tables = [np.exp(v @ weights + (bias[b:b + block] if j == 0 else np.float32(0))) for j, v in enumerate(parts)]
+        for k in range(0, len(found), step):
+            some = slice(k, k + step)
+            sums[some] += np.einsum("ij,ij->i", tables[0][slots[0][some]], tables[1][slots[1][some]])
+    return np.log(sums)
+
+
 def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, step: int = 100_000) -> np.ndarray:
     """Normalised natural log-probability of each token's class (and bucket in it), given the two tokens before it."""
     p = model.p
@@ -388,7 +440,9 @@ def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np
     vectors = np.empty((len(found), DIM), np.float32)
     for k in range(0, len(found), step):
         vectors[k:k + step] = model.predict([found[k:k + step] // size**j % size for j in range(CONTEXT)])
-    norm = _log_sums(vectors, p["word"], bias)
+    norm = _pair_log_sums(model, found, bias)
+    if norm is None:
+        norm = _log_sums(vectors, p["word"], bias)
     out = np.empty(len(cls))
     for k in range(0, len(cls), step):
         own, at = cls[turn[k:k + step]], which[k:k + step]

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from llm_helpers import make  # noqa: F401
 from pyspark.sql import functions as F
 from dbtelemetry.llm import bpe, common, langid, lm, toxicity
@@ -389,3 +390,32 @@ def test_lm_repeated_rows_and_a_long_text(make):
     assert len(out) == len(rows)
     assert len({(r.n_tokens, r.base_score, round(r.score, 9)) for r in out if r.doc_id == 7}) == 1
     assert {r.n_tokens for r in out if r.doc_id in (8, 10)} == {30_001, 1}
+
+
+def test_lm_pairs_normalise_by_products_of_their_tokens(monkeypatch):
+    """op7: exp is taken by token and class, not by pair and class; what cannot be held so goes the longer way."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}".encode() for i in range(300)]
+    model = lm.new_model(words, list(range(900, 600, -1)), 10**6, 5000, mass=rng.random(lm.GROUPS * 3) * 1000)
+    found = np.unique(rng.integers(0, (model.start + 1)**2, 60_000))
+    bias = model.p["bias"] + model.shut
+    size = model.start + 1
+    vectors = model.predict([found % size, found // size])
+    want = lm._log_sums(vectors, model.p["word"], bias)
+    done = []
+    exp = np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **k: (done.append(np.size(x)), exp(x, **k))[1])
+    got = lm._pair_log_sums(model, found, bias)
+    monkeypatch.undo()
+    assert np.abs(got - want).max() < 1e-5 and sum(done) <= 2 * size * len(bias) < len(found) * len(bias) / 10
+    model.p["word"] *= 1000
+    assert lm._pair_log_sums(model, found, bias) is None
+
+
+def test_lm_buckets_of_many_words():
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.integers(33, 256, n).astype(np.uint8)) for n in (1, 2, 3, 5, 63, 64, 65, 400) for _ in range(200)]
+    packed = pa.array(words, pa.large_binary())
+    assert lm.buckets(packed, 64, 134).tolist() == [lm.bucket(w, 64, 134) for w in words]
+    assert lm.buckets(packed.slice(7, 50), 64, 3).tolist() == [lm.bucket(w, 64, 3) for w in words[7:57]]
+    assert lm.buckets(packed.slice(0, 0), 64, 3).tolist() == []
