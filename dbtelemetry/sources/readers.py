@@ -28,12 +28,12 @@ def scan(spark: SparkSession, path: str, as_of: str | None = None, columns: Sequ
     df = spark.read.parquet(path)
     if as_of is not None and "captured_at" in df.columns:
         ts = tsql.as_ts(as_of)
-        if "captured_date" in df.columns:
-            df = df.filter(F.col("captured_date") <= F.to_date(ts))
         by = [c for c in ("server_name",) if c in df.columns]
         days = captured_days(spark, path, ts, servers)
-        if days is not None:
+        if days is not None:  # none is after the moment
             df = df.filter(F.col("captured_date").isin(days))
+        elif "captured_date" in df.columns:
+            df = df.filter(F.col("captured_date") <= F.to_date(ts))
         df = df.filter(F.col("captured_at") <= ts)
         day = [c for c in ("captured_date",) if c in df.columns]
         last = df.groupBy(*by).agg(F.max(F.struct("captured_at", *day)).alias("last"))
