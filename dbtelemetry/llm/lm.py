@@ -13,8 +13,9 @@ plus a bias. Training contrasts each token of every training text with
 buckets, in numpy: each task trains on its texts, the tasks' parameters are
 averaged by tokens, in ``ROUNDS`` rounds over different texts.
 
-Scoring normalises over all classes, in batched matrix products over the
-distinct contexts of a chunk, and over the buckets of a token's group; within
+Scoring normalises over all classes, once a worker for the pairs of frequent
+contexts and once a chunk for each other distinct context, and over the buckets
+of a token's group; within
 its bucket a token has its smoothed share of the counts. Empty buckets have no
 probability; an unknown token has that of the base, the known ones share the
 rest. So the probabilities of all known tokens and one unknown token add up to
@@ -34,6 +35,7 @@ are scored alike (and count in training as often as they occur).
 
 from __future__ import annotations
 
+import functools
 import zlib
 from dataclasses import dataclass, replace
 
@@ -54,9 +56,15 @@ CONTEXT = 2
 DIM = 24
 NOISE = 64
 INNER_NOISE = 16
+#: Rows of a group that meet its noise in one product.
+SIDE = 32
 BATCH = 4096
 ROUNDS = 2
 RATE = 0.15
+#: Contexts whose pairs' normalisers are taken once a Python worker, for all its chunks.
+PAIRED = 3000
+#: Rows of a product in scoring.
+BLOCK = 512
 CHUNK = 6_000_000
 #: Text of one scoring chunk.
 SCORE_CHUNK = 9_000_000
@@ -130,7 +138,7 @@ def count_buckets(counts: DataFrame, words: list[bytes], size: int) -> np.ndarra
     return out
 
 
-@dataclass
+@dataclass(eq=False)
 class Model:
     """``words`` are the classes' tokens; parameters in ``p``; totals of the counts; smoothed counts by group and bucket."""
 
@@ -140,6 +148,9 @@ class Model:
     distinct: int
     p: dict[str, np.ndarray]
     mass: np.ndarray
+    #: Of ``with_norms``: context ids' places (-1: none) in a table of normalisers, one token back by two.
+    place_of: np.ndarray | None = None
+    norms: np.ndarray | None = None
 
     def __post_init__(self):
         self.place = {w: i for i, w in enumerate(self.words)}
@@ -192,7 +203,7 @@ class Model:
         return out
 
     def predict(self, back: list[np.ndarray]) -> np.ndarray:
-        return sum(self.p["at"][j] * self.p["context"][c] for j, c in enumerate(back))
+        return sum(self.p["at"][j] * self.p["context"].take(c, axis=0) for j, c in enumerate(back))
 
 
 def new_model(words: list[bytes], counts: list[int], total: int, distinct: int, seed: int = 0, mass: np.ndarray | None = None) -> Model:
@@ -210,12 +221,24 @@ def new_model(words: list[bytes], counts: list[int], total: int, distinct: int,
     return Model(words, c, total, distinct, {k: v.astype(np.float32) for k, v in p.items()}, mass)
 
 
-def _summed(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids and the sums of ``rows`` by them."""
-    order = np.argsort(ids.astype(np.uint16) if ids.max() < 1 << 16 else ids, kind="stable")
-    ids = ids[order]
-    heads = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-    return ids[heads], np.add.reduceat(rows[order], heads, axis=0)
+def _distinct(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, all below ``size``, in order, and the place among them of each id."""
+    seen = np.zeros(size, bool)
+    seen[ids] = True
+    found = np.flatnonzero(seen)
+    place = np.empty(size, np.intp)
+    place[found] = np.arange(len(found))
+    return found, place.take(ids)
+
+
+def _add_rows(out: np.ndarray, rows: np.ndarray, at: np.ndarray) -> None:
+    """Adds each of ``rows`` to the row ``at`` of ``out``; both are contiguous, in single precision, of the same even width.
+
+    Numpy adds fastest at flat places, and two columns as one complex number.
+    """
+    width = out.shape[1] // 2
+    places = (at[:, None] * width + np.arange(width)).reshape(-1)
+    np.add.at(out.reshape(-1).view(np.complex64), places, rows.reshape(-1).view(np.complex64))
 
 
 def _chance(negative: np.ndarray) -> np.ndarray:
@@ -256,74 +279,86 @@ class Trainer:
 
     def step(self, target: np.ndarray, back: list[np.ndarray]) -> None:
         p, n = self.p, len(target)
+        scale = np.float32(-1.0 / n)
         target, inner, buckets = self.model.levels(target)
         drawn = np.searchsorted(self.cumulative, self.rng.random(NOISE), side="right").clip(max=len(self.noise) - 1)
-        parts = [p["context"][c] for c in back]
+        parts = [p["context"].take(c, axis=0) for c in back]
         r = sum(p["at"][j] * c for j, c in enumerate(parts))
-        wt, wn = p["word"][target], p["word"][drawn]
-        st = self.log_noise[target] - p["bias"][target] - np.einsum("nd,nd->n", r, wt)
+        wt, wn = p["word"].take(target, axis=0), p["word"].take(drawn, axis=0)
+        st = (self.log_noise - p["bias"]).take(target) - np.einsum("nd,nd->n", r, wt)
         sn = r @ -wn.T
         sn += self.log_noise[drawn] - p["bias"][drawn]
-        # Derivatives of the objective by the logits: data rows up, noise rows down.
+        # Derivatives of the objective by the logits: data rows up, noise rows down (these n times too large).
         gt, gn = (1.0 - _chance(st)) / n, _chance(sn)
-        gn *= np.float32(-1.0 / n)
-        dr = gt[:, None] * wt + gn @ wn
-        word = np.zeros_like(p["word"])
-        found, sums = _summed(gt[:, None] * r, target)
-        word[found] = sums
-        g = {"word": word, "bias": np.bincount(target, gt, len(p["bias"])), "at": np.zeros_like(p["at"])}
-        np.add.at(g["word"], drawn, gn.T @ r)
-        np.add.at(g["bias"], drawn, gn.sum(axis=0))
+        dr = gn @ (wn * scale)
+        wt *= gt[:, None]
+        dr += wt
+        g = {"word": np.zeros_like(p["word"]), "at": np.empty_like(p["at"]),
+             "bias": np.bincount(target, gt, len(p["bias"])) + np.bincount(drawn, (np.ones(n, np.float32) @ gn) * scale, len(p["bias"]))}
+        _add_rows(g["word"], gt[:, None] * r, target)
+        _add_rows(g["word"], (gn.T @ r) * scale, drawn)
         if len(inner) and self.model.mass.shape[1] > 1:
-            dr[inner] += self.inner_step(r[inner], buckets, n)
+            dr[inner] += self.inner_step(r.take(inner, axis=0), buckets, n)
+        found, place = _distinct(np.concatenate(back), len(p["context"]))
+        sums = np.zeros((len(found), dr.shape[1]), np.float32)
         for j, c in enumerate(parts):
             g["at"][j] = np.einsum("nd,nd->d", dr, c)
-        self.add("context", *_summed(np.concatenate([dr * p["at"][j] for j in range(len(back))]), np.concatenate(back)), n)
+            _add_rows(sums, dr * p["at"][j], place[j * n:(j + 1) * n])
+        self.add("context", found, sums, n)
         for k, v in g.items():
-            self.add(k, slice(None), v, n)
+            self.add(k, None, v, n)
 
     def inner_step(self, r: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
         """The step of the buckets within their groups, with noise drawn once a group; the derivative by ``r``."""
         p, (groups, size) = self.p, self.model.mass.shape
         order = np.argsort((buckets // size).astype(np.uint16), kind="stable")
-        ends = np.searchsorted(buckets[order], np.arange(groups + 1) * size) if groups == 1 else np.append(
-            0, np.cumsum(np.bincount(buckets // size, minlength=groups)))
-        r, buckets = r[order], buckets[order]
-        wt = p["inner"][buckets]
-        gt = (1.0 - _chance(self.inner_log_noise[buckets] - p["inner_bias"][buckets] - np.einsum("nd,nd->n", r, wt))) / n
+        r, buckets = r.take(order, axis=0), buckets.take(order)
+        own = np.bincount(buckets // size, minlength=groups)
+        wt = p["inner"].take(buckets, axis=0)
+        gt = (1.0 - _chance((self.inner_log_noise - p["inner_bias"]).take(buckets) - np.einsum("nd,nd->n", r, wt))) / n
         first = np.arange(groups)[:, None]
         drawn = np.searchsorted(self.inner_cumulative, first + self.rng.random((groups, INNER_NOISE)), side="right")
         drawn = drawn.clip(first * size, first * size + size - 1)
-        wn, bn = p["inner"][drawn], self.inner_log_noise[drawn] - p["inner_bias"][drawn]
-        out = gt[:, None] * wt
-        # The groups' rows side by side, all as long as the longest; the noise of the places left empty counts nothing.
-        own = np.diff(ends)
-        line = np.repeat(np.arange(groups), own), np.arange(len(r)) - np.repeat(ends[:-1], own)
-        side = np.zeros((groups, own.max(), r.shape[1]), r.dtype)
-        side[line] = r
-        gn = _chance(bn[:, None] - side @ wn.transpose(0, 2, 1))
-        gn *= np.float32(-1.0 / n)
-        gn *= (np.arange(side.shape[1]) < own[:, None])[:, :, None]
-        out += (gn @ wn)[line]
-        noise, noise_bias = gn.transpose(0, 2, 1) @ side, gn.sum(axis=1)
-        ids = np.concatenate([buckets, drawn.reshape(-1)])
-        rows = np.concatenate([np.column_stack([gt[:, None] * r, gt]),
-                               np.column_stack([noise.reshape(-1, r.shape[1]), noise_bias.reshape(-1)])])
-        found, sums = _summed(rows, ids)
-        self.add("inner", found, sums[:, :-1], n)
-        self.add("inner_bias", found, sums[:, -1], n)
-        back = np.empty_like(out)
-        back[order] = out
+        # A group's rows fill lines of SIDE places; the noise of places left empty counts nothing.
+        lines = -(-own // SIDE)
+        place = np.arange(len(r)) + np.repeat((np.cumsum(lines) - lines) * SIDE - (np.cumsum(own) - own), own)
+        drawn = drawn[np.repeat(np.arange(groups), lines)]
+        wn, bn = p["inner"].take(drawn, axis=0), self.inner_log_noise[drawn] - p["inner_bias"][drawn]
+        side, scale = np.zeros((len(drawn) * SIDE, r.shape[1]), np.float32), np.zeros(len(drawn) * SIDE, np.float32)
+        side[place], scale[place] = r, -1.0 / n
+        side = side.reshape(len(drawn), SIDE, -1)
+        gn = side @ wn.transpose(0, 2, 1)
+        gn = _chance(np.subtract(bn[:, None], gn, out=gn))
+        gn *= scale.reshape(len(drawn), SIDE, 1)
+        # Sums of vectors and, in the last two columns, of biases and nothing.
+        found, at = _distinct(np.concatenate([buckets, drawn.reshape(-1)]), len(p["inner"]))
+        sums, rows = np.zeros((len(found), r.shape[1] + 2), np.float32), np.zeros((len(at), r.shape[1] + 2), np.float32)
+        np.multiply(gt[:, None], r, out=rows[:len(r), :-2])
+        rows[:len(r), -2] = gt
+        rows[len(r):, :-2] = (gn.transpose(0, 2, 1) @ side).reshape(-1, r.shape[1])
+        rows[len(r):, -2] = gn.sum(axis=1).reshape(-1)
+        _add_rows(sums, rows, at)
+        wt *= gt[:, None]
+        wt += (gn @ wn).reshape(-1, r.shape[1]).take(place, axis=0)
+        self.add("inner", found, sums[:, :-2], n)
+        self.add("inner_bias", found, sums[:, -2], n)
+        back = np.empty_like(wt)
+        back[order] = wt
         return back
 
-    def add(self, name: str, rows, v: np.ndarray, n: int) -> None:
-        v = v.astype(np.float32)
-        square = self.square[name][rows] + v * v * np.float32(n)
-        self.square[name][rows] = square
-        square = np.sqrt(square)
-        v *= np.float32(RATE * np.sqrt(n))
-        v /= square
-        self.p[name][rows] += v
+    def add(self, name: str, rows: np.ndarray | None, v: np.ndarray, n: int) -> None:
+        """A step along ``v``, of the given rows or all."""
+        v = v.astype(np.float32) * np.float32(np.sqrt(n))
+        square = self.square[name] if rows is None else self.square[name].take(rows, axis=0)
+        square += v * v
+        v *= np.float32(RATE)
+        v /= np.sqrt(square)
+        if rows is None:
+            self.p[name] += v
+        else:
+            self.square[name][rows] = square
+            v += self.p[name].take(rows, axis=0)
+            self.p[name][rows] = v
 
 
 def _packed(p: dict[str, np.ndarray]) -> bytes:
@@ -374,94 +409,144 @@ def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def _log_sums(vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray, block: int = 512) -> np.ndarray:
-    """Logarithm of the sum over all classes of exp(logit), for each vector."""
+def _reach(p: dict[str, np.ndarray], weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no logit, whatever the context, can leave the range of exp in single precision."""
+    longest = sum(np.sqrt(np.square(p["context"] * a).sum(axis=1).max()) for a in p["at"])
+    return longest * np.sqrt(np.square(weights).sum(axis=1).max()) + np.abs(bias[bias > -1e29]).max(initial=0) < 60
+
+
+def _log_sums(vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray, safe: bool = False) -> np.ndarray:
+    """Logarithm of the sum over all classes of exp(logit), for each vector; ``safe``: see ``_reach``.
+
+    Logits are summed in double precision: a product's single precision
+    depends on the row's place, and equal texts are to score alike.
+    """
     out = np.empty(len(vectors))
     # The bias is one more row of the product, which a last entry of one picks.
-    columns, ones = np.concatenate((weights.T, bias[None])).astype(np.float32), np.ones(len(weights), np.float32)
-    own = np.ones((block, vectors.shape[1] + 1), np.float32)
-    live = bias[bias > -1e29]
-    reach = np.sqrt((vectors * vectors).sum(axis=1).max(initial=0)) * np.sqrt((weights * weights).sum(axis=1).max())
-    # No logit can leave the range of exp in single precision: no need to find each row's largest.
-    safe = reach + np.abs(live).max(initial=0) < 60
-    space = np.empty((block, len(weights)), np.float32)
-    for k in range(0, len(vectors), block):
-        some = vectors[k:k + block]
+    columns, ones = np.concatenate((weights.T, bias[None])).astype(np.float64), np.ones(len(weights), np.float32)
+    own = np.zeros((BLOCK, vectors.shape[1] + 1))
+    own[:, -1] = 1.0
+    wide, logit = np.empty((BLOCK, len(weights))), np.empty((BLOCK, len(weights)), np.float32)
+    for k in range(0, len(vectors), BLOCK):
+        some = vectors[k:k + BLOCK]
         own[:len(some), :-1] = some
-        logit = np.matmul(own[:len(some)], columns, out=space[:len(some)])
-        top = 0.0
+        logit[:] = np.matmul(own, columns, out=wide)
+        top = np.zeros(BLOCK)
         if not safe:
             top = logit.max(axis=1)
             logit -= top[:, None]
-        out[k:k + block] = top + np.log((np.exp(logit, out=logit) @ ones).astype(np.float64))
+        out[k:k + BLOCK] = (top + np.log((np.exp(logit, out=logit) @ ones).astype(np.float64)))[:len(some)]
     return out
 
 
-def _pair_log_sums(model: Model, found: np.ndarray, bias: np.ndarray, block: int = 256, step: int = 2048) -> np.ndarray | None:
-    """``_log_sums`` over the classes for pairs of context tokens, sorted; None if exp could leave its range.
+def _tables(model: Model, live: list[np.ndarray], bias: np.ndarray, block: int):
+    """By blocks of classes, exp of what a context one and two ... tokens back gives to the logits, a row for each context id.
 
     A logit is the sum of what either token gives, so its exp is a product:
-    exp is taken once a token and class, not once a pair and class.
+    exp is taken once a token and class, not once a pair and class. Rows in
+    blocks without a ``live`` id are left empty; a row's place in a product
+    follows from its id, so it is rounded alike for every chunk.
     """
-    p, size = model.p, model.start + 1
-    each = [found // size**j % size for j in range(CONTEXT)]
-    parts, slots = [], []
-    for j, c in enumerate(each):
-        ids, slot = np.unique(c, return_inverse=True)
-        parts.append(p["context"][ids] * p["at"][j])
-        slots.append(slot)
-    longest = np.sqrt((p["word"] * p["word"]).sum(axis=1).max())
-    reach = sum(np.sqrt((v * v).sum(axis=1).max(initial=0)) for v in parts) * longest
-    if reach + np.abs(bias[bias > -1e29]).max(initial=0) >= 60:
+    p, size, parts = model.p, model.start + 1, []
+    for at in p["at"]:
+        part = np.zeros((-(-size // BLOCK) * BLOCK, DIM), np.float32)
+        np.multiply(p["context"], at, out=part[:size])
+        parts.append(part)
+    used = [[k for k in range(0, size, BLOCK) if own[k:k + BLOCK].any()] for own in live]
+    for b in range(0, len(bias), block):
+        weights = np.ascontiguousarray(p["word"][b:b + block].T)
+        out = [np.empty((len(part), weights.shape[1]), np.float32) for part in parts]
+        for j, table in enumerate(out):
+            for k in used[j]:
+                np.matmul(parts[j][k:k + BLOCK], weights, out=table[k:k + BLOCK])
+                rows = table[k:min(k + BLOCK, size)]
+                if j == 0:
+                    rows += bias[b:b + block]
+                np.exp(rows, out=rows)
+        yield out
+
+
+def _pair_log_sums(model: Model, found: np.ndarray, bias: np.ndarray, block: int = 256, step: int = 512) -> np.ndarray | None:
+    """``_log_sums`` over the classes for pairs of context tokens, sorted; None if exp could leave its range."""
+    size = model.start + 1
+    if not _reach(model.p, model.p["word"], bias):
         return None
+    each = [found // size**j % size for j in range(CONTEXT)]
     sums = np.zeros(len(found))
-    for b in range(0, len(bias), block):
-        weights = p["word"][b:b + block].T
-        tables = [np.exp(v @ weights + (bias[b:b + block] if j == 0 else np.float32(0))) for j, v in enumerate(parts)]
+    for one, two in _tables(model, [np.bincount(c, minlength=size) > 0 for c in each], bias, block):
         for k in range(0, len(found), step):
             some = slice(k, k + step)
-            sums[some] += np.einsum("ij,ij->i", tables[0][slots[0][some]], tables[1][slots[1][some]])
+            sums[some] += np.einsum("ij,ij->i", one.take(each[0][some], axis=0), two.take(each[1][some], axis=0))
     return np.log(sums)
 
 
-def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, step: int = 100_000) -> np.ndarray:
+@functools.lru_cache(maxsize=1)
+def with_norms(model: Model, most: int = PAIRED) -> Model:
+    """The trained model with the normalisers of all pairs of its ``most`` most frequent contexts.
+
+    Taken once a Python worker, for all its chunks, so that the table is never shipped.
+    """
+    bias = model.p["bias"] + model.shut
+    if not _reach(model.p, model.p["word"], bias):
+        return model
+    often = np.argsort(-np.concatenate([[np.inf], model.counts, model.mass.reshape(-1)]), kind="stable")[:most] - 1
+    often[0] = model.start
+    place = np.full(model.start + 1, -1)
+    place[often] = np.arange(len(often))
+    made = [[table.take(often, axis=0) for table in tables] for tables in _tables(model, [place >= 0] * CONTEXT, bias, 256)]
+    one, two = (np.concatenate(parts, axis=1) for parts in zip(*made, strict=True))
+    sums = one @ two.T
+    return replace(model, place_of=place, norms=np.log(sums, out=sums))
+
+
+def _norms(model: Model, back: list[np.ndarray], bias: np.ndarray, step: int) -> np.ndarray:
+    """``_log_sums`` over the classes for each token's context."""
+    out, rest, size = np.empty(len(back[0])), np.arange(len(back[0])), model.start + 1
+    if model.norms is not None:
+        one, two = (model.place_of.take(c) for c in back)
+        listed = (one >= 0) & (two >= 0)
+        out[listed] = model.norms[one[listed], two[listed]]
+        rest = np.flatnonzero(~listed)
+    if not len(rest):
+        return out
+    # Every other context once, in order.
+    key = sum(c.take(rest) * size**j for j, c in enumerate(back))
+    turn = np.argsort(key)
+    key = key.take(turn)
+    head = np.append(True, key[1:] != key[:-1])
+    found = key[head]
+    norm = _pair_log_sums(model, found, bias)
+    if norm is None:
+        norm = np.concatenate([_log_sums(model.predict([found[k:k + step] // size**j % size for j in range(CONTEXT)]), model.p["word"], bias)
+                               for k in range(0, len(found), step)])
+    out[rest.take(turn)] = norm.take(np.cumsum(head) - 1)
+    return out
+
+
+def log_probabilities(model: Model, cls: np.ndarray, ctx: np.ndarray, begins: np.ndarray, step: int = 50 * BLOCK) -> np.ndarray:
     """Normalised natural log-probability of each token's class (and bucket in it), given the two tokens before it."""
     p = model.p
     cls, inner, buckets = model.levels(cls)
     bias = p["bias"] + model.shut
     back = model.contexts(ctx, begins)
-    size = model.start + 1
-    key = sum(c * size**j for j, c in enumerate(back))
-    # Tokens in the order of their contexts: every context's vector is made and read once, in turn.
-    turn = np.argsort(key)
-    key = key[turn]
-    head = np.append(True, key[1:] != key[:-1])
-    found, which = key[head], np.cumsum(head) - 1
-    vectors = np.empty((len(found), DIM), np.float32)
-    for k in range(0, len(found), step):
-        vectors[k:k + step] = model.predict([found[k:k + step] // size**j % size for j in range(CONTEXT)])
-    norm = _pair_log_sums(model, found, bias)
-    if norm is None:
-        norm = _log_sums(vectors, p["word"], bias)
-    out = np.empty(len(cls))
+    out = -_norms(model, back, bias, step)
     for k in range(0, len(cls), step):
-        own, at = cls[turn[k:k + step]], which[k:k + step]
-        out[turn[k:k + step]] = np.einsum("ij,ij->i", vectors[at], p["word"][own]) + bias[own] - norm[at]
+        some = slice(k, k + step)
+        own = cls[some]
+        out[some] += np.einsum("ij,ij->i", model.predict([c[some] for c in back]), p["word"].take(own, axis=0)) + bias.take(own)
     groups, size = model.mass.shape
     if size == 1:
         return out
     vectors_of, inner_bias = p["inner"].reshape(-1, size, DIM), p["inner_bias"].reshape(-1, size) + model.inner_shut
-    inverse = np.empty(len(cls), np.int64)
-    inverse[turn] = which
-    inverse = inverse[inner]
-    order = np.lexsort((inverse, (buckets // size).astype(np.uint16)))
+    safe = _reach(p, p["inner"], inner_bias.reshape(-1))
+    order = np.argsort((buckets // size).astype(np.uint16), kind="stable")
     ends = np.append(0, np.cumsum(np.bincount(buckets // size, minlength=groups)))
     for g in np.flatnonzero(np.diff(ends)):
         for k in range(ends[g], ends[g + 1], step):
             some = order[k:min(k + step, ends[g + 1])]
-            own, at = vectors[inverse[some]], buckets[some] - g * size
-            logit = np.einsum("ij,ij->i", own, vectors_of[g][at]) + inner_bias[g][at]
-            out[inner[some]] += logit - _log_sums(own, vectors_of[g], inner_bias[g])
+            own, at = model.predict([c.take(inner.take(some)) for c in back]), buckets.take(some) - g * size
+            logit = np.einsum("ij,ij->i", own, vectors_of[g].take(at, axis=0)) + inner_bias[g].take(at)
+            out[inner[some]] += logit - _log_sums(own, vectors_of[g], inner_bias[g], safe)
     return out
 
 
@@ -560,7 +645,7 @@ def scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str
         if shipped.value:
             new = pa.concat_arrays(words["word"].chunks).cast(pa.large_binary()).drop_null()
             ids[c == 0] = shipped.value.ids_of(new)
-        made = score_tokens(shipped.value, numbers, bounds, ids, c)
+        made = score_tokens(shipped.value and with_norms(shipped.value), numbers, bounds, ids, c)
         return pa.table({"doc_id": pa.array(body["ids"][0].as_py(), pa.int64()), "held_out": pa.array(body["held"][0].as_py(), pa.bool_()), **made})
 
     return bodies.groupBy("chunk").cogroup(known.groupBy("of_chunk")).applyInArrow(score, SCORES)

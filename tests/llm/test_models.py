@@ -412,6 +412,83 @@ def test_lm_pairs_normalise_by_products_of_their_tokens(monkeypatch):
     assert lm._pair_log_sums(model, found, bias) is None
 
 
+def lm_model(classes, groups_of, seed=5):
+    """A model with trained-like vectors; its classes are w0, w1, ..."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}".encode() for i in range(classes - 1)] + [lm.END]
+    model = lm.new_model(words, list(range(3 * classes, 2 * classes, -1)), 10**6, 50_000, mass=rng.random(lm.GROUPS * groups_of) * 1000)
+    for k in ("context", "word", "inner"):
+        model.p[k] += rng.normal(0, 0.3, model.p[k].shape).astype(np.float32)
+    return model
+
+
+def test_lm_equal_texts_score_the_same_in_every_chunk():
+    """op7: a text's score does not hang on the texts that share its chunk, to the last bit."""
+    rng = np.random.default_rng(6)
+    for most in (0, 40):
+        model = lm_model(300, 21)
+        model = lm.with_norms(model, most) if most else model
+        text = "w3 w9 w3 w250 x1 x2 w9 w3 x3 w1"
+        others = [" ".join(f"w{i}" if i < 320 else f"x{i}" for i in rng.integers(0, 900, n)) for n in (1, 700, 30, 5_000, 2)]
+        found = set()
+        for texts in ([text], [text, *others[:1]], [*others[:2], text], [*others, text, text], [others[3], text]):
+            numbers, bounds, words = lm.coded(pa.array(texts, pa.string()))
+            c = np.array([7 if w.startswith(b"x") else 9 for w in words.to_pylist()], float)
+            made = lm.score_tokens(model, numbers, bounds, model.ids_of(words), c)
+            found |= {made["score"][i] for i, t in enumerate(texts) if t == text}
+        assert len(found) == 1
+
+
+def test_lm_normalisers_of_frequent_pairs_are_taken_once(monkeypatch):
+    """op7: pairs of frequent contexts read a table made once; the others are summed a chunk; the scores are the same."""
+    model = lm_model(200, 3)
+    table = lm.with_norms(model, 250)
+    assert table.norms.shape == (250, 250) and table.place_of[model.start] == 0
+    assert sorted(table.place_of[table.place_of >= 0]) == list(range(250))
+    rng = np.random.default_rng(7)
+    often = np.flatnonzero(table.place_of[:-1] >= 0)
+    ids = np.append(rng.choice(often, 5_000), rng.integers(0, model.start, 5_000))
+    begins = np.array([0, 10, 5_000, 7_500])
+    want = lm.log_probabilities(model, ids, ids, begins)
+    pairs, plain = [], lm._pair_log_sums
+    monkeypatch.setattr(lm, "_pair_log_sums", lambda m, found, *a: (pairs.append(len(found)), plain(m, found, *a))[1])
+    assert np.abs(lm.log_probabilities(table, ids, ids, begins) - want).max() < 1e-5 and pairs[0] < 5_000
+    lm.log_probabilities(table, ids[:5_000], ids[:5_000], begins[:2])
+    assert len(pairs) == 1
+    wide = lm_model(200, 3)
+    wide.p["word"] *= 1000
+    assert lm.with_norms(wide).norms is None
+
+
+def test_lm_noise_of_groups_of_every_length():
+    """op7: the buckets' step by its definition, for groups of none, one, a full line and several lines of rows."""
+    model = lm_model(10, 6)
+    trainer = lm.Trainer(model, 0)
+    groups, size = model.mass.shape
+    rng = np.random.default_rng(8)
+    own = {0: 1, 1: lm.SIDE, 2: lm.SIDE + 1, 5: 3 * lm.SIDE, 63: 2}
+    buckets = rng.permutation(np.concatenate([g * size + rng.integers(0, size, n) for g, n in own.items()]))
+    n, r = 500, rng.normal(0, 0.5, (len(buckets), lm.DIM)).astype(np.float32)
+    p = {k: v.astype(float) for k, v in trainer.p.items()}
+    drawn = np.random.default_rng(0)
+    trainer.rng = np.random.default_rng(0)
+    first = np.arange(groups)[:, None]
+    drawn = np.searchsorted(trainer.inner_cumulative, first + drawn.random((groups, lm.INNER_NOISE)), side="right")
+    drawn = drawn.clip(first * size, first * size + size - 1)
+    chance = lambda i, k: 1 / (1 + math.exp(trainer.inner_log_noise[k] - p["inner_bias"][k] - r[i].astype(float) @ p["inner"][k]))
+    want, vectors, biases = np.zeros(r.shape), np.zeros_like(p["inner"]), np.zeros_like(p["inner_bias"])
+    for i, b in enumerate(buckets):
+        for k, weight in [(b, (1 - chance(i, b)) / n), *((k, -chance(i, k) / n) for k in drawn[b // size])]:
+            want[i] += weight * p["inner"][k]
+            vectors[k] += weight * r[i]
+            biases[k] += weight
+    got = trainer.inner_step(r, buckets, n)
+    assert np.abs(got - want).max() < 1e-6
+    for name, g in (("inner", vectors), ("inner_bias", biases)):
+        step = lm.RATE * g * math.sqrt(n) / np.sqrt(0.1 + n * g * g)
+        assert np.abs(trainer.p[name] - p[name] - step).max() < 1e-4
+
+
 def test_lm_buckets_of_many_words():
     rng = np.random.default_rng(4)
     words = [bytes(rng.integers(33, 256, n).astype(np.uint8)) for n in (1, 2, 3, 5, 63, 64, 65, 400) for _ in range(200)]
